@@ -46,7 +46,7 @@ def market_value(df: DataFrame, mode: str = "rounded", q: str = "quantity", p: s
     'raw': q*p unrounded."""
     prod = F.col(q) * F.col(p)
     if mode == "rounded":
-        expr = F.round(money(q, "decimal(24,8)") * money(p, "decimal(24,8)"), 2).cast("double")
+        expr = F.round(money(q, "decimal(19,8)") * money(p, "decimal(19,8)"), 2).cast("double")
     elif mode == "reported":
         expr = F.coalesce(F.nullif(F.col(reported), F.lit(0.0)), prod)
     elif mode == "raw":
@@ -138,16 +138,17 @@ def source_status(outcome: DataFrame, rows: DataFrame, history_available: bool =
     )
 
 
-def run_status(statuses: DataFrame, fx_status: str, run_date, run_time, pipeline: str = "investment") -> DataFrame:
+def run_status(statuses: DataFrame, fx_status: str, run_date, run_time, pipeline: str = "investment",
+               ts_type: str = "timestamp_ntz") -> DataFrame:
     """Status rows: one per source plus one for fx (row_count NULL); missing status -> 'unknown'."""
     src = statuses.select(
-        F.lit(run_date).cast("date").alias("run_date"), F.lit(run_time).cast("timestamp").alias("run_time"),
+        F.lit(run_date).cast("date").alias("run_date"), F.lit(run_time).cast(ts_type).alias("run_time"),
         F.lit(pipeline).alias("pipeline"), "source",
         F.coalesce(F.col("status"), F.lit("unknown")).alias("status"),
         F.col("row_count").cast("long").alias("row_count"), F.lit("").alias("message"),
     )
     fx = statuses.sparkSession.range(1).select(
-        F.lit(run_date).cast("date").alias("run_date"), F.lit(run_time).cast("timestamp").alias("run_time"),
+        F.lit(run_date).cast("date").alias("run_date"), F.lit(run_time).cast(ts_type).alias("run_time"),
         F.lit(pipeline).alias("pipeline"), F.lit("fx").alias("source"),
         F.lit(fx_status or "unknown").alias("status"), F.lit(None).cast("long").alias("row_count"), F.lit("").alias("message"),
     )
@@ -163,7 +164,7 @@ def filter_positions(df: DataFrame, mode: str, q: str = "quantity") -> DataFrame
     """
     text = F.trim(F.col(q).cast("string"))
     if mode == "skip_zero":
-        num = F.try_cast(F.coalesce(F.nullif(text, F.lit("")), F.lit("0")), "double")
+        num = F.coalesce(F.nullif(text, F.lit("")), F.lit("0")).try_cast("double")
         return df.withColumn(q, num).filter(F.col(q).isNotNull() & (F.col(q) != 0))
     if mode == "positive":
         return df.withColumn(q, text.cast("double")).filter(F.col(q) > 0)

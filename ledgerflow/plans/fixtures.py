@@ -161,3 +161,27 @@ def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("run_date", "run_time", F.lit("investment").alias("pipeline"), "source", "status", "row_count",
                 F.lit("").alias("message"))
     )
+
+
+# ---------------------------------------------------------------------------
+# exchange balance payloads and spot prices (from events)
+# ---------------------------------------------------------------------------
+
+def _event_currency(col: Column) -> Column:
+    return _case(col % 6, [(0, "BTC"), (1, "ETH"), (2, "USD"), (3, "SOL"), (4, "SGD")], "DOGE")
+
+
+def exchange_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON balance list per event: a balance of (value - 50) and an entry with no amount."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    amount = (F.col("value").cast("decimal(18,2)") - F.lit(50)).cast("string")
+    payload = F.concat(F.lit('[{"currency":"'), _event_currency(F.col("event_id")), F.lit('","amount":"'), amount,
+                       F.lit('","available":"0"},{"currency":"LTC"}]'))
+    return e.select("user_id", "event_id", payload.alias("payload"))
+
+
+def spot_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price per coin (DOGE has none)."""
+    e = table(spark, sf_dir, "events").select("event_id", "value")
+    coin = _case(F.col("event_id") % 4, [(0, "BTC"), (1, "ETH"), (2, "SOL")], "ADA")
+    return e.groupBy(coin.alias("currency")).agg((F.max("value") * F.lit(1000.0)).alias("price"))

@@ -340,3 +340,25 @@ SELECT year_month, category,
   count(*) AS tx_count
 FROM dwd_tx GROUP BY year_month, category
 """, ("dwd_tx",))
+
+EVENT_CCY = "CASE event_id % 6 WHEN 0 THEN 'BTC' WHEN 1 THEN 'ETH' WHEN 2 THEN 'USD' WHEN 3 THEN 'SOL' WHEN 4 THEN 'SGD' ELSE 'DOGE' END"
+
+view("exchange_payloads", f"""
+SELECT user_id, event_id,
+       '[{{"currency":"' || {EVENT_CCY} || '","amount":"' || cast(cast(value AS decimal(18,2)) - 50 AS varchar)
+         || '","available":"0"}},{{"currency":"LTC"}}]' AS payload
+FROM events
+""")
+
+view("spot_prices", """
+SELECT CASE event_id % 4 WHEN 0 THEN 'BTC' WHEN 1 THEN 'ETH' WHEN 2 THEN 'SOL' ELSE 'ADA' END AS currency,
+       max(value) * 1000.0 AS price
+FROM events GROUP BY 1
+""")
+
+view("exchange_balances", """
+SELECT user_id, event_id, b.currency AS currency, coalesce(b.amount, '0') AS amount
+FROM (SELECT user_id, event_id,
+             unnest(from_json(payload, '[{"currency":"VARCHAR","amount":"VARCHAR","available":"VARCHAR"}]')) AS b
+      FROM exchange_payloads)
+""", ("exchange_payloads",))
