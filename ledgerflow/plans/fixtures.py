@@ -185,3 +185,103 @@ def spot_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("event_id", "value")
     coin = _case(F.col("event_id") % 4, [(0, "BTC"), (1, "ETH"), (2, "SOL")], "ADA")
     return e.groupBy(coin.alias("currency")).agg((F.max("value") * F.lit(1000.0)).alias("price"))
+
+
+# ---------------------------------------------------------------------------
+# statement words (what a PDF word extractor emits), from orders
+# ---------------------------------------------------------------------------
+
+def _w(line: int, x0: float, x1: float, text: Column, keep: Column | None = None) -> Column:
+    """One word struct; ``keep`` False turns it into NULL (dropped after explode)."""
+    s = F.struct(F.lit(float(line)).alias("dy"), F.lit(float(x0)).alias("x0"), F.lit(float(x1)).alias("x1"), text.alias("text"))
+    return s if keep is None else F.when(keep, s)
+
+
+def _explode_words(df: DataFrame, words: list[Column], file_col: Column, page: Column, top: Column) -> DataFrame:
+    e = df.select(file_col.alias("source_file"), page.alias("page"), top.alias("base"), F.explode(F.array(*words)).alias("w"))
+    return e.filter(F.col("w").isNotNull()).select(
+        "source_file", "page", F.col("w.text").alias("text"), F.col("w.x0").alias("x0"), F.col("w.x1").alias("x1"),
+        (F.col("base") + F.col("w.dy")).alias("top"))
+
+
+def statement_words(spark: SparkSession, sf_dir: str, kind: str = "savings") -> DataFrame:
+    """Words of savings ('sav_YYYY_N.pdf') or card ('card_YYYY_N.pdf') statements: orders of
+    one year and one block of 1,024 keys per file, 32 key slots per page, one transaction
+    per order plus page and file headers."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    k = F.col("o_orderkey")
+    prefix = "sav_" if kind == "savings" else "card_"
+    file_col = F.concat(F.lit(prefix), F.date_format("o_orderdate", "yyyy"), F.lit("_"), (k / 1024).cast("long").cast("string"),
+                        F.lit(".pdf"))
+    page = ((k % 1024) / 32).cast("int") + 1
+    top = F.lit(100.0) + (k % 32).cast("double") * 24.0
+    amt = F.format_number(money("o_totalprice"), 2)
+    day = F.date_format("o_orderdate", "dd")
+    mon = F.date_format("o_orderdate", "MMM")
+    if kind == "savings":
+        m4 = k % 4
+        t1 = _case(m4, [(0, "Inward"), (1, "Bill"), (3, "Misc")], F.lit(None).cast("string"))
+        t2 = _case(m4, [(0, "Credit"), (1, "Payment"), (3, "Debit")], F.lit(None).cast("string"))
+        wd = k % 5 < 3
+        on_first = k % 7 != 0
+        words = [
+            _w(0, 20, 32, day), _w(0, 40, 60, mon),
+            _w(0, 80, 120, t1, t1.isNotNull()), _w(0, 125, 165, t2, t2.isNotNull()),
+            _w(0, 310, 350, amt, on_first & wd), _w(0, 410, 450, amt, on_first & ~wd),
+            _w(0, 515, 555, amt, k % 2 == 0),
+            _w(12, 80, 110, F.lit("Shop")), _w(12, 115, 150, k.cast("string")),
+            _w(12, 310, 350, amt, ~on_first & wd), _w(12, 410, 450, amt, ~on_first & ~wd),
+            _w(18, 80, 130, F.concat(F.lit("PIB"), k.cast("string")), k % 3 == 0),
+        ]
+        header = [("Date", 20, 45), ("Description", 80, 150), ("Withdrawals", 300, 360), ("Deposits", 405, 455), ("Balance", 505, 565)]
+    else:
+        cr = F.when(k % 5 >= 3, F.lit("CR")).otherwise(F.lit(""))
+        upmon = F.upper(mon)
+        words = [
+            _w(0, 20, 32, day), _w(0, 40, 62, upmon),
+            _w(0, 70, 82, day, k % 2 == 0), _w(0, 90, 112, upmon, k % 2 == 0),
+            _w(0, 150, 190, F.lit("SHOP")), _w(0, 195, 240, k.cast("string")),
+            _w(0, 350, 390, F.lit("0.99"), k % 7 == 0),
+            _w(0, 400, 460, F.concat(amt, cr)),
+            _w(12, 150, 180, F.lit("Ref"), k % 3 == 0), _w(12, 185, 200, F.lit("No."), k % 3 == 0),
+            _w(12, 205, 240, k.cast("string"), k % 3 == 0),
+            _w(18, 400, 420, F.lit("CR"), k % 11 == 0),
+            _w(20, 400, 440, F.lit("5.50CR"), k % 13 == 0),
+        ]
+        header = [("Post", 20, 40), ("Date", 45, 65), ("Trans", 70, 90), ("Date", 95, 115), ("Description", 150, 200),
+                  ("of", 205, 215), ("Transaction", 220, 280), ("Transaction", 400, 450), ("Amount", 455, 490)]
+    tx_words = _explode_words(o, words, file_col, page, top)
+
+    pages = o.select(file_col.alias("f"), page.alias("p")).distinct()
+    page_words = [_w(40, 20, 50, F.lit("Page")), _w(40, 55, 65, F.col("p").cast("string"))] + \
+                 [_w(60, x0, x1, F.lit(t)) for t, x0, x1 in header]
+    hdr_words = _explode_words(pages, page_words, F.col("f"), F.col("p"), F.lit(0.0))
+
+    per_file = o.groupBy(file_col.alias("f")).agg(F.min("o_orderdate").alias("d0"), F.sum(money("o_totalprice")).alias("tot"))
+    y0, m0 = F.date_format("d0", "yyyy"), F.date_format("d0", "MMM")
+    if kind == "savings":
+        file_words = [_w(10, 20, 80, F.lit("Statement")), _w(10, 85, 100, F.lit("of")), _w(10, 105, 160, F.lit("Account")),
+                      _w(20, 20, 60, F.lit("Period:")), _w(20, 65, 80, F.lit("01")), _w(20, 85, 100, m0), _w(20, 105, 130, y0),
+                      _w(30, 20, 40, F.lit("One")), _w(30, 45, 80, F.lit("Account")), _w(30, 85, 100, F.lit("SGD")),
+                      _w(30, 105, 160, F.format_number(F.col("tot"), 2))]
+    else:
+        file_words = [_w(20, 20, 60, F.lit("Statement")), _w(20, 65, 85, F.lit("Date")), _w(20, 90, 100, F.lit("01")),
+                      _w(20, 105, 125, F.upper(m0)), _w(20, 130, 160, y0)]
+    first_words = _explode_words(per_file, file_words, F.col("f"), F.lit(1), F.lit(0.0))
+    return tx_words.unionByName(hdr_words).unionByName(first_words)
+
+
+def pension_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pension statement text per pension row ('as at' date and three labelled balances)."""
+    p = pension(spark, sf_dir)
+    fmt = lambda c: F.concat(F.lit("$"), F.format_number(F.col(c).cast("decimal(18,2)"), 2))
+    text = F.concat_ws(
+        "\n",
+        F.lit("Account balances"),
+        F.concat(F.lit("as at "), F.date_format("statement_date", "d MMM yyyy")),
+        F.concat(F.lit("Ordinary Account "), fmt("ordinary_account")),
+        F.concat(F.lit("SPECIAL ACCOUNT "), fmt("special_account")),
+        F.concat(F.lit("MediSave Account "), fmt("medisave_account")),
+        F.lit("Total"),
+    )
+    return p.select("source_file", text.alias("text"))

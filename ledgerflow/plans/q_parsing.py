@@ -1 +1,424 @@
-"""Queries (filled in below)."""
+"""Queries for statement parsing, payload readers, sources and sinks."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ledgerflow.operators import fx as fxops
+from ledgerflow.operators import rollup, statements as st
+from ledgerflow.plans import fixtures as fx
+from ledgerflow.plans.catalog import query
+from ledgerflow.plans.oracle_views import VIEWS, view, with_views
+from ledgerflow.schemas import BANK_TRANSACTIONS
+from ledgerflow.session import scratch_path
+from ledgerflow.sources import events as ev
+from ledgerflow.sources import payloads, tables
+
+# ------------------------------------------------------------------ oracle views: savings words
+
+view("sav_base", """
+SELECT 'sav_' || strftime(o_orderdate, '%Y') || '_' || cast(o_orderkey // 1024 AS varchar) || '.pdf' AS source_file,
+       cast((o_orderkey % 1024) // 32 + 1 AS integer) AS page,
+       cast(100 + (o_orderkey % 32) * 24 AS double) AS base, o_orderkey AS k, o_orderdate, o_totalprice,
+       strftime(o_orderdate, '%d') AS day, strftime(o_orderdate, '%b') AS mon,
+       format('{:,.2f}', cast(o_totalprice AS decimal(18,2))) AS amt
+FROM orders""")
+
+_SAV_WORDS = [
+    (0, 20, 32, "day", "true"), (0, 40, 60, "mon", "true"),
+    (0, 80, 120, "CASE k % 4 WHEN 0 THEN 'Inward' WHEN 1 THEN 'Bill' ELSE 'Misc' END", "k % 4 <> 2"),
+    (0, 125, 165, "CASE k % 4 WHEN 0 THEN 'Credit' WHEN 1 THEN 'Payment' ELSE 'Debit' END", "k % 4 <> 2"),
+    (0, 310, 350, "amt", "k % 7 <> 0 AND k % 5 < 3"), (0, 410, 450, "amt", "k % 7 <> 0 AND k % 5 >= 3"),
+    (0, 515, 555, "amt", "k % 2 = 0"),
+    (12, 80, 110, "'Shop'", "true"), (12, 115, 150, "cast(k AS varchar)", "true"),
+    (12, 310, 350, "amt", "k % 7 = 0 AND k % 5 < 3"), (12, 410, 450, "amt", "k % 7 = 0 AND k % 5 >= 3"),
+    (18, 80, 130, "'PIB' || cast(k AS varchar)", "k % 3 = 0"),
+]
+_SAV_PAGE_WORDS = [(40, 20, 50, "'Page'"), (40, 55, 65, "cast(page AS varchar)"), (60, 20, 45, "'Date'"),
+                   (60, 80, 150, "'Description'"), (60, 300, 360, "'Withdrawals'"), (60, 405, 455, "'Deposits'"),
+                   (60, 505, 565, "'Balance'")]
+_SAV_FILE_WORDS = [(10, 20, 80, "'Statement'"), (10, 85, 100, "'of'"), (10, 105, 160, "'Account'"),
+                   (20, 20, 60, "'Period:'"), (20, 65, 80, "'01'"), (20, 85, 100, "strftime(d0, '%b')"),
+                   (20, 105, 130, "strftime(d0, '%Y')"), (30, 20, 40, "'One'"), (30, 45, 80, "'Account'"),
+                   (30, 85, 100, "'SGD'"), (30, 105, 160, "format('{:,.2f}', tot)")]
+
+
+def _word_sql(src, dy, x0, x1, text, cond="true", page="page", base="base"):
+    return (f"SELECT source_file, {page} AS page, {text} AS text, cast({x0} AS double) AS x0, cast({x1} AS double) AS x1, "
+            f"{base} + {dy} AS top FROM {src} WHERE {cond}")
+
+
+view("sav_words", "\nUNION ALL\n".join(
+    [_word_sql("sav_base", *w) for w in _SAV_WORDS]
+    + [_word_sql("(SELECT DISTINCT source_file, page FROM sav_base)", dy, x0, x1, t, base="0.0") for dy, x0, x1, t in _SAV_PAGE_WORDS]
+    + [_word_sql("(SELECT source_file, min(o_orderdate) AS d0, sum(cast(o_totalprice AS decimal(18,2))) AS tot FROM sav_base GROUP BY 1)",
+                 dy, x0, x1, t, page="1", base="0.0") for dy, x0, x1, t in _SAV_FILE_WORDS]), ("sav_base",))
+
+view("sav_lines", """
+SELECT source_file, page, round(top, 1) AS top, list(text ORDER BY x0, x1, text) AS ws,
+       trim(string_agg(text, ' ' ORDER BY x0, x1, text)) AS text
+FROM sav_words GROUP BY source_file, page, round(top, 1)""", ("sav_words",))
+
+_NOISE_SQL = " OR ".join(f"contains(text, '{f}')" for f in st.SAVINGS_NOISE)
+view("sav_clean", f"SELECT * FROM sav_lines WHERE NOT ({_NOISE_SQL})", ("sav_lines",))
+
+view("sav_centres", """
+SELECT w.source_file, w.page, w.centre AS withdrawal, d.centre AS deposit, b.centre AS balance FROM (
+  SELECT *, row_number() OVER (PARTITION BY source_file, page ORDER BY ord) AS pick FROM (
+    SELECT *,
+      min(CASE WHEN text = 'Deposits' THEN ord END) OVER (PARTITION BY source_file, page ORDER BY ord
+          ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS dep_ord,
+      min(CASE WHEN text = 'Balance' THEN ord END) OVER (PARTITION BY source_file, page ORDER BY ord
+          ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS bal_ord
+    FROM (SELECT *, row_number() OVER (PARTITION BY source_file, page ORDER BY top, x0, x1) AS ord, (x0 + x1) / 2 AS centre
+          FROM sav_words))
+  WHERE text = 'Withdrawals' AND dep_ord IS NOT NULL AND bal_ord IS NOT NULL) w
+JOIN (SELECT source_file, page, row_number() OVER (PARTITION BY source_file, page ORDER BY top, x0, x1) AS ord,
+             (x0 + x1) / 2 AS centre FROM sav_words) d ON d.source_file = w.source_file AND d.page = w.page AND d.ord = w.dep_ord
+JOIN (SELECT source_file, page, row_number() OVER (PARTITION BY source_file, page ORDER BY top, x0, x1) AS ord,
+             (x0 + x1) / 2 AS centre FROM sav_words) b ON b.source_file = w.source_file AND b.page = w.page AND b.ord = w.bal_ord
+WHERE w.pick = 1""", ("sav_words",))
+
+
+def _sav_lines(spark, d):
+    return st.words_to_lines(fx.statement_words(spark, d, "savings"))
+
+
+# ------------------------------------------------------------------ R1, R2, R6, R7, R8
+
+@query("words_to_lines", with_views("SELECT source_file, page, top, text FROM sav_lines", ["sav_lines"]))
+def q_words_to_lines(spark, d):
+    return _sav_lines(spark, d).select("source_file", "page", "top", "text")
+
+
+@query("drop_noise", with_views("SELECT source_file, page, top, text FROM sav_clean", ["sav_clean"]))
+def q_drop_noise(spark, d):
+    return st.drop_noise(_sav_lines(spark, d), st.SAVINGS_NOISE).select("source_file", "page", "top", "text")
+
+
+@query("column_centres", with_views("SELECT * FROM sav_centres", ["sav_centres"]))
+def q_column_centres(spark, d):
+    return st.column_centres(fx.statement_words(spark, d, "savings"))
+
+
+@query("nearest_column", with_views("""
+SELECT w.source_file, w.page, w.top, w.x0, w.text,
+  CASE WHEN abs((x0 + x1) / 2 - withdrawal) <= abs((x0 + x1) / 2 - deposit)
+         AND abs((x0 + x1) / 2 - withdrawal) <= abs((x0 + x1) / 2 - balance) THEN 'withdrawal'
+       WHEN abs((x0 + x1) / 2 - deposit) <= abs((x0 + x1) / 2 - balance) THEN 'deposit'
+       ELSE 'balance' END AS col
+FROM sav_words w JOIN sav_centres c ON w.source_file = c.source_file AND w.page = c.page
+WHERE regexp_matches(w.text, '^\\d{1,3}(,\\d{3})*\\.\\d{2}$')""", ["sav_words", "sav_centres"]))
+def q_nearest_column(spark, d):
+    words = fx.statement_words(spark, d, "savings")
+    c = st.column_centres(words)
+    amounts = words.filter(F.col("text").rlike(st.AMOUNT_RE)).join(c, ["source_file", "page"])
+    centre = (F.col("x0") + F.col("x1")) / 2
+    col = st.nearest_column(centre, {n: F.col(n) for n in st.COLUMNS})
+    return amounts.select("source_file", "page", "top", "x0", "text", col.alias("col"))
+
+
+@query("segment_lines", with_views(f"""
+SELECT source_file, page, top, text, txn FROM (
+  SELECT *, sum(CASE WHEN regexp_matches(ws[1] || ' ' || coalesce(ws[2], ''), '{st.SAVINGS_DATE_RE}') THEN 1 ELSE 0 END)
+              OVER (PARTITION BY source_file, page ORDER BY top ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS txn
+  FROM sav_clean) WHERE txn > 0""", ["sav_clean"]))
+def q_segment_lines(spark, d):
+    seg = st.segment(st.drop_noise(_sav_lines(spark, d), st.SAVINGS_NOISE), st.SAVINGS_DATE_RE)
+    return seg.select("source_file", "page", "top", "text", F.col("txn").cast("bigint").alias("txn"))
+
+
+# ------------------------------------------------------------------ R3-R5, R9-R12 (golden-tested; rows-only here)
+
+def _all_words(spark, d):
+    return fx.statement_words(spark, d, "savings").unionByName(fx.statement_words(spark, d, "credit_card"))
+
+
+@query("statement_facts")
+def q_statement_facts(spark, d):
+    lines = st.words_to_lines(_all_words(spark, d))
+    return st.statement_facts(st.page_text(lines))
+
+
+@query("statement_savings")
+def q_statement_savings(spark, d):
+    words = fx.statement_words(spark, d, "savings")
+    lines = st.words_to_lines(words)
+    years = st.statement_facts(st.page_text(lines)).select("source_file", "year")
+    return st.savings_transactions(lines, st.column_centres(words), years)
+
+
+@query("statement_card")
+def q_statement_card(spark, d):
+    lines = st.words_to_lines(fx.statement_words(spark, d, "credit_card"))
+    pages = st.page_text(lines)
+    years = st.statement_facts(pages).select("source_file", "year")
+    card_pages = pages.filter(st._contains_any(F.col("text"), st.CARD_HEADERS)).select("source_file", "page")
+    return st.card_transactions(lines.join(card_pages, ["source_file", "page"], "left_semi"), years)
+
+
+@query("statement_transactions")
+def q_statement_transactions(spark, d):
+    tx, _ = st.parse_statements(_all_words(spark, d))
+    return tx
+
+
+@query("statement_month")
+def q_statement_month(spark, d):
+    tx, _ = st.parse_statements(_all_words(spark, d))
+    tx = tx.withColumn("transaction_date", F.to_date(F.initcap(F.lower("date")), "d MMM yyyy"))
+    return rollup.statement_month(tx.withColumn("position", F.struct("page", "top")))
+
+
+# ------------------------------------------------------------------ R13
+
+view("pension_letters", """
+SELECT source_file, concat_ws(chr(10), 'Account balances', 'as at ' || strftime(statement_date, '%-d %b %Y'),
+  'Ordinary Account $' || format('{:,.2f}', cast(ordinary_account AS decimal(18,2))),
+  'SPECIAL ACCOUNT $' || format('{:,.2f}', cast(special_account AS decimal(18,2))),
+  'MediSave Account $' || format('{:,.2f}', cast(medisave_account AS decimal(18,2))), 'Total') AS text
+FROM pension""", ("pension",))
+
+
+def _label_sql(name, pat):
+    return (f"cast(replace(arg_max(amt, pos) FILTER (WHERE regexp_matches(line, '{pat}') AND amt <> ''), ',', '')"
+            f" AS decimal(18,2)) AS {name}")
+
+
+@query("labelled_balances", with_views(f"""
+SELECT source_file, statement_date, cast(ordinary_account AS double) AS ordinary_account,
+       cast(special_account AS double) AS special_account, cast(medisave_account AS double) AS medisave_account,
+       cast(round(ordinary_account + special_account + medisave_account, 2) AS double) AS total
+FROM (
+  SELECT source_file, cast(strptime(any_value(as_at), '%d %b %Y') AS date) AS statement_date,
+    {", ".join(_label_sql(n, p) for n, p in st.BALANCE_LABELS.items())}
+  FROM (SELECT source_file, regexp_extract(text, '{st.AS_AT_RE}', 1) AS as_at,
+               line, pos, regexp_extract(line, '\\$([\\d,]+\\.\\d{{2}})', 1) AS amt
+        FROM (SELECT source_file, text, unnest(string_split(text, chr(10))) AS line,
+                     generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM pension_letters))
+  GROUP BY source_file)""", ["pension_letters"]))
+def q_labelled_balances(spark, d):
+    return st.labelled_balances(fx.pension_letters(spark, d))
+
+
+# ------------------------------------------------------------------ S11 sectioned CSV
+
+view("flex_lines", """
+SELECT 'flex_' || cast(l_orderkey // 512 AS varchar) || '.csv' AS file, 0 AS line_no,
+       '"ClientAccountID","CurrencyPrimary","AssetClass","Symbol","Quantity","MarkPrice"' AS text
+FROM lineitem GROUP BY 1
+UNION ALL
+SELECT 'flex_' || cast(l_orderkey // 512 AS varchar) || '.csv', 1, 'Trades,Header' FROM lineitem GROUP BY 1
+UNION ALL
+SELECT 'flex_' || cast(l_orderkey // 512 AS varchar) || '.csv',
+       cast((l_orderkey % 512) * 8 + l_linenumber + 1 AS integer),
+       CASE WHEN l_linenumber = 3 THEN '' ELSE '"U1",' END || '"' || n_name || '","'
+         || CASE p_type WHEN 'ECONOMY' THEN 'STK' WHEN 'SMALL' THEN 'ETF' WHEN 'MEDIUM' THEN 'CRYPTO'
+                        WHEN 'PROMO' THEN 'CASH' WHEN 'STANDARD' THEN 'OPT' ELSE 'WAR' END
+         || '","S' || cast(l_partkey % 40 AS varchar) || '"," '
+         || CASE WHEN l_linenumber = 5 THEN 'x' WHEN l_linenumber = 6 THEN '' ELSE cast(cast(l_quantity AS integer) - 10 AS varchar) END
+         || ' ",' || cast(cast(p_retailprice AS decimal(18,2)) AS varchar)
+FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+""")
+
+
+def _flex_lines(spark, d):
+    li = fx.table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+    part = fx.table(spark, d, "part").select("p_partkey", "p_type", "p_retailprice")
+    supp = fx.table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    nation = fx.table(spark, d, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    j = li.join(part, li.l_partkey == part.p_partkey).join(supp.join(nation, "s_nationkey"), li.l_suppkey == supp.s_suppkey)
+    file_col = F.concat(F.lit("flex_"), (F.col("l_orderkey") / 512).cast("long").cast("string"), F.lit(".csv"))
+    code = fx._case(F.col("p_type"), [("ECONOMY", "STK"), ("SMALL", "ETF"), ("MEDIUM", "CRYPTO"), ("PROMO", "CASH"),
+                                      ("STANDARD", "OPT")], "WAR")
+    qty = fx._case(F.col("l_linenumber"), [(5, "x"), (6, "")], (F.col("l_quantity").cast("int") - 10).cast("string"))
+    text = F.concat(F.when(F.col("l_linenumber") == 3, F.lit("")).otherwise(F.lit('"U1",')), F.lit('"'), F.col("n_name"),
+                    F.lit('","'), code, F.lit('","S'), (F.col("l_partkey") % 40).cast("string"), F.lit('"," '), qty,
+                    F.lit(' ",'), F.col("p_retailprice").cast("decimal(18,2)").cast("string"))
+    recs = j.select(file_col.alias("file"), ((F.col("l_orderkey") % 512) * 8 + F.col("l_linenumber") + 1).cast("int").alias("line_no"),
+                    text.alias("text"))
+    files = li.select(file_col.alias("file")).distinct()
+    hdr = files.select("file", F.lit(0).alias("line_no"),
+                       F.lit('"ClientAccountID","CurrencyPrimary","AssetClass","Symbol","Quantity","MarkPrice"').alias("text"))
+    sec = files.select("file", F.lit(1).alias("line_no"), F.lit("Trades,Header").alias("text"))
+    return hdr.unionByName(sec).unionByName(recs)
+
+
+def broker_positions(records):
+    """Broker report records -> positions: unparseable quantity/price rows skipped,
+    zero quantity dropped, class code mapped (unknown -> lower case), value round(q*p, 2)."""
+    r = F.col("record")
+    qty = F.coalesce(F.nullif(r["Quantity"], F.lit("")), F.lit("0")).try_cast("double")
+    price = F.coalesce(F.nullif(r["MarkPrice"], F.lit("")), F.lit("0")).try_cast("double")
+    out = records.select(
+        "file", "line_no", F.coalesce(r["Symbol"], F.lit("")).alias("symbol"),
+        F.coalesce(r["AssetClass"], F.lit("STK")).alias("code"), qty.alias("quantity"), price.alias("price"),
+        F.coalesce(r["CurrencyPrimary"], F.lit("USD")).alias("currency"))
+    out = out.filter(F.col("quantity").isNotNull() & F.col("price").isNotNull() & (F.col("quantity") != 0))
+    out = fxops.map_class(out, "code", out="asset_class")
+    return fxops.market_value(out, "rounded").drop("code")
+
+
+@query("sectioned_csv", with_views("""
+SELECT file, line_no, symbol, quantity, price, currency, asset_class,
+       cast(round(cast(quantity AS decimal(19,8)) * cast(price AS decimal(19,8)), 2) AS double) AS market_value
+FROM (
+  SELECT file, line_no,
+         coalesce(cells[len(header) + 1 - list_position(list_reverse(header), 'Symbol')], '') AS symbol,
+         try_cast(coalesce(nullif(cells[len(header) + 1 - list_position(list_reverse(header), 'Quantity')], ''), '0') AS double) AS quantity,
+         try_cast(coalesce(nullif(cells[len(header) + 1 - list_position(list_reverse(header), 'MarkPrice')], ''), '0') AS double) AS price,
+         coalesce(cells[len(header) + 1 - list_position(list_reverse(header), 'CurrencyPrimary')], 'USD') AS currency,
+         CASE code WHEN 'STK' THEN 'stock' WHEN 'ETF' THEN 'etf' WHEN 'OPT' THEN 'option' WHEN 'FUT' THEN 'future'
+                   WHEN 'CASH' THEN 'cash' WHEN 'CRYPTO' THEN 'crypto' ELSE lower(code) END AS asset_class
+  FROM (
+    SELECT *, coalesce(cells[len(header) + 1 - list_position(list_reverse(header), 'AssetClass')], 'STK') AS code FROM (
+      SELECT file, line_no, cells, is_header,
+             last_value(CASE WHEN is_header THEN cells END IGNORE NULLS) OVER (PARTITION BY file ORDER BY line_no
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS header
+      FROM (SELECT file, line_no, cells,
+                   list_has_all(cells, ['CurrencyPrimary', 'AssetClass', 'Symbol', 'Quantity', 'MarkPrice']) AS is_header
+            FROM (SELECT file, line_no, list_transform(string_split(text, ','), lambda c: regexp_replace(trim(c), '^"+|"+$', '', 'g')) AS cells
+                  FROM flex_lines)))
+    WHERE NOT is_header AND header IS NOT NULL AND len(cells) = len(header)))
+WHERE quantity IS NOT NULL AND price IS NOT NULL AND quantity <> 0""", ["flex_lines"]))
+def q_sectioned_csv(spark, d):
+    recs = payloads.read_sectioned_csv(_flex_lines(spark, d))
+    return broker_positions(recs)
+
+
+# ------------------------------------------------------------------ S5, S6 idempotent loads
+
+@query("skip_landed", with_views("""
+SELECT etl_time, source_file, description, amount FROM tx
+WHERE source_file NOT IN (SELECT source_file FROM tx WHERE cast(substr(source_file, 11, 2) AS integer) % 2 = 0)""", ["tx"]))
+def q_skip_landed(spark, d):
+    new, landed = fx.tx_halves(spark, d)
+    return tables.skip_landed(new, landed, ["source_file"]).select("etl_time", "source_file", "description", "amount")
+
+
+@query("skip_loaded", with_views("""
+SELECT source_file, statement_date, total_cpf FROM pension
+WHERE statement_date NOT IN (SELECT statement_date FROM pension WHERE o_orderkey % 80 = 0)""", ["pension"]))
+def q_skip_loaded(spark, d):
+    p = fx.pension(spark, d)
+    return tables.skip_loaded(p, p.filter(F.col("o_orderkey") % 80 == 0)).select("source_file", "statement_date", "total_cpf")
+
+
+# ------------------------------------------------------------------ S9, S10 events
+
+_ENVELOPE_SQL = """CASE page_id % 5
+  WHEN 0 THEN '{"data":{"bucket":"b1","name":"inbox/' || cast(page_id AS varchar) || '.pdf"}}'
+  WHEN 1 THEN '{"bucket":"b1","name":"raw/' || cast(page_id AS varchar) || '.pdf"}'
+  WHEN 2 THEN '{"data":{"bucket":"b1","name":"inbox/p' || cast(page_id AS varchar) || '.PDF"}}'
+  WHEN 3 THEN '{"data":{"bucket":"","name":"inbox/x.pdf"}}'
+  ELSE '{"data":{"bucket":"b1","name":"inbox/' || cast(page_id AS varchar) || '.html"}}' END"""
+
+
+def _spark_sql(sql: str) -> str:
+    """The same CASE text for Spark SQL (STRING instead of VARCHAR)."""
+    return sql.replace("AS varchar", "AS string")
+
+
+def _envelopes(spark, d):
+    p = fx.table(spark, d, "pages").select("page_id")
+    return p.select("page_id", F.expr(_spark_sql(_ENVELOPE_SQL)).alias("body"))
+
+
+@query("route_events", with_views("""
+SELECT page_id, bucket, name,
+  CASE WHEN bucket = '' OR name = '' THEN 'error'
+       WHEN NOT starts_with(name, 'inbox/') OR NOT ends_with(lower(name), '.pdf') THEN 'skipped' ELSE 'process' END AS action,
+  CASE WHEN bucket = '' OR name = '' THEN 'missing bucket or name'
+       WHEN NOT starts_with(name, 'inbox/') THEN name || ' is not in inbox/'
+       WHEN NOT ends_with(lower(name), '.pdf') THEN name || ' is not a PDF' END AS reason,
+  CASE WHEN bucket <> '' AND name <> '' AND starts_with(name, 'inbox/') AND ends_with(lower(name), '.pdf')
+       THEN split_part(name, '/', -1) END AS file
+FROM (SELECT page_id, coalesce(json_extract_string(data, '$.bucket'), '') AS bucket,
+             coalesce(json_extract_string(data, '$.name'), '') AS name
+      FROM (SELECT page_id, coalesce(json_extract(body, '$.data'), body::JSON) AS data
+            FROM (SELECT page_id, """ + _ENVELOPE_SQL + """ AS body FROM pages)))"""))
+def q_route_events(spark, d):
+    return ev.route_events(_envelopes(spark, d)).select("page_id", "bucket", "name", "action", "reason", "file")
+
+
+_SUBJECT_SQL = ("CASE WHEN page_id % 2 = 0 THEN '/projects/_/buckets/b1/objects/inbox/' || cast(page_id AS varchar) || '.pdf' "
+                "ELSE 'inbox/sub/' || cast(page_id AS varchar) || '.pdf' END")
+
+
+@query("object_path", with_views(f"""
+SELECT page_id, subject, path, split_part(path, '/', -1) AS base_name FROM (
+  SELECT page_id, subject,
+         CASE WHEN instr(subject, '/objects/') > 0 THEN substr(subject, instr(subject, '/objects/') + 9) ELSE subject END AS path
+  FROM (SELECT page_id, {_SUBJECT_SQL} AS subject FROM pages))"""))
+def q_object_path(spark, d):
+    p = fx.table(spark, d, "pages").select("page_id", F.expr(_spark_sql(_SUBJECT_SQL)).alias("subject"))
+    p = p.withColumn("path", ev.object_path("subject"))
+    return p.withColumn("base_name", ev.base_name("path"))
+
+
+# ------------------------------------------------------------------ S14, S15, A10, S13
+
+@query("stamp_local_date", with_views("""
+SELECT event_id, ts AS etl_time, cast(ts + INTERVAL 8 HOUR AS date) AS date, cast(ts AS date) AS landing_date FROM events"""))
+def q_stamp_local_date(spark, d):
+    e = fx.table(spark, d, "events").select("event_id", "ts")
+    out = tables.stamp(e, F.col("ts").cast("timestamp"), tz="Asia/Singapore")
+    return out.select("event_id", F.col("etl_time").cast("timestamp_ntz").alias("etl_time"), "date", "landing_date")
+
+
+@query("statement_totals", with_views("""
+SELECT source_file,
+  cast(round(sum(CASE WHEN amount < 0 THEN abs(cast(amount AS decimal(18,2))) ELSE 0 END), 2) AS double) AS total_debits,
+  cast(round(sum(CASE WHEN amount > 0 THEN cast(amount AS decimal(18,2)) ELSE 0 END), 2) AS double) AS total_credits,
+  count(*) AS tx_count
+FROM tx GROUP BY source_file""", ["tx"]))
+def q_statement_totals(spark, d):
+    return rollup.statement_totals(fx.tx(spark, d))
+
+
+@query("table_freshness", with_views("""
+SELECT 'ods_bank_transactions_df' AS "table", max(etl_time) AS last_modified FROM tx
+UNION ALL SELECT 'ods_investment_positions_df', max(etl_time) FROM positions
+UNION ALL SELECT 'ods_account_balances_df', max(etl_time) FROM balances
+UNION ALL SELECT 'ods_cpf_balances_df', max(etl_time) FROM pension""", ["tx", "positions", "balances", "pension"]))
+def q_table_freshness(spark, d):
+    return tables.table_freshness({
+        "ods_bank_transactions_df": fx.tx(spark, d), "ods_investment_positions_df": fx.positions(spark, d),
+        "ods_account_balances_df": fx.balances(spark, d), "ods_cpf_balances_df": fx.pension(spark, d)})
+
+
+# ------------------------------------------------------------------ S3, S4, S7 sinks (round trips)
+
+def _scratch(spark, name):
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@query("land_raw_roundtrip")
+def q_land_raw_roundtrip(spark, d):
+    """Land raw transactions partitioned by month, twice (idempotent), and read them back."""
+    t = fx.tx(spark, d).withColumn("month", F.substring("source_file", 6, 7))
+    path = _scratch(spark, "raw-tx")
+    tables.land_raw(t, path, ["month"])
+    tables.land_raw(t, path, ["month"])
+    return spark.read.parquet(path)
+
+
+@query("append_ods")
+def q_append_ods(spark, d):
+    """Append raw transactions in the enforced ods schema and read the table back."""
+    path = _scratch(spark, "ods-tx")
+    tables.append_ods(fx.tx(spark, d), path, BANK_TRANSACTIONS)
+    return tables.read_table(spark, path, BANK_TRANSACTIONS)
+
+
+@query("materialize")
+def q_materialize(spark, d):
+    """Full-refresh materialization of the monthly spend model as layer.table."""
+    from ledgerflow.plans.q_models import _monthly_spend
+    name = tables.materialize(_monthly_spend(spark, d), "dws", "dws_monthly_spend_df", path=_scratch(spark, "dws"))
+    return spark.table(name)
+
+
+assert "sav_words" in VIEWS

@@ -42,7 +42,7 @@ def read_sectioned_csv(lines: DataFrame, required: Sequence[str] = POSITION_HEAD
     on ',' and stripped of spaces and double quotes (no quoted commas).
     Returns (file, line_no, record map).
     """
-    cells = F.transform(F.split(F.col(text), ","), lambda c: F.trim(F.regexp_replace(F.trim(c), '"', "")))
+    cells = F.transform(F.split(F.col(text), ","), lambda c: F.regexp_replace(F.trim(c), '^"+|"+$', ""))
     req = F.array(*[F.lit(r) for r in required])
     t = lines.select(file_col, line_no, cells.alias("cells"))
     t = t.withColumn("is_header", F.size(F.array_except(req, F.col("cells"))) == 0)
