@@ -18,15 +18,17 @@ from ledgerflow.functions.dates import month_start, month_start_of_ym
 from ledgerflow.functions.money import money, money_sum, ratio_pct, round_money
 from ledgerflow.operators.dedup import dedup_latest
 
-ZERO = F.lit(0).cast("decimal(18,2)")
+
+def _zero() -> Column:
+    return F.lit(0).cast("decimal(18,2)")
 
 
 def _debit(amount: str = "amount") -> Column:
-    return F.when(F.col(amount) < 0, F.abs(money(amount))).otherwise(ZERO)
+    return F.when(F.col(amount) < 0, F.abs(money(amount))).otherwise(_zero())
 
 
 def _credit(amount: str = "amount") -> Column:
-    return F.when(F.col(amount) > 0, money(amount)).otherwise(ZERO)
+    return F.when(F.col(amount) > 0, money(amount)).otherwise(_zero())
 
 
 def monthly_spend(df: DataFrame, keys: Sequence[str] = (), month: str = "year_month", category: str = "category") -> DataFrame:
@@ -82,9 +84,9 @@ def pivot_classes(
     """
     aggs = []
     for target, classes in mapping.items():
-        s = F.round(F.sum(F.when(F.col(class_col).isin(list(classes)), money(value)).otherwise(ZERO)), 2)
+        s = F.round(F.sum(F.when(F.col(class_col).isin(list(classes)), money(value)).otherwise(_zero())), 2)
         if target in zero_as_null:
-            s = F.nullif(s, ZERO)
+            s = F.nullif(s, _zero())
         aggs.append(s.cast("double").alias(target))
     return df.groupBy(*keys, date).agg(*aggs)
 
@@ -153,7 +155,7 @@ def row_total(cols: Sequence[str], scale: int = 2) -> Column:
     """round(coalesce(c1,0) + coalesce(c2,0) + ..., scale) computed exactly."""
     total = None
     for c in cols:
-        term = F.coalesce(money(c), ZERO)
+        term = F.coalesce(money(c), _zero())
         total = term if total is None else total + term
     return round_money(total, scale)
 

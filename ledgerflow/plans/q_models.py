@@ -14,12 +14,17 @@ from ledgerflow.plans.oracle_views import CARRIED, OVERRIDE, fill_sql, money, ms
 # Reports that need "today" take an explicit date (never the wall clock).
 AS_OF = "1998-09-15"
 
-POS_TB = [F.col(c).desc() for c in fx.POSITION_TIEBREAK]
-BAL_TB = [F.col("o_orderkey").desc()]
+
+def pos_tb():
+    return [F.col(c).desc() for c in fx.POSITION_TIEBREAK]
+
+
+def bal_tb():
+    return [F.col("o_orderkey").desc()]
 
 
 def _dwd_pos(spark, d):
-    return m.dwd_positions(fx.positions(spark, d), tiebreak=POS_TB)
+    return m.dwd_positions(fx.positions(spark, d), tiebreak=pos_tb())
 
 
 def _dwd_tx(spark, d):
@@ -28,7 +33,7 @@ def _dwd_tx(spark, d):
 
 def _history(spark, d):
     return m.net_worth_history(_dwd_pos(spark, d), fx.balances(spark, d), fx.pension(spark, d), fx.tx(spark, d),
-                               balance_tiebreak=BAL_TB, pension_tiebreak=BAL_TB)
+                               balance_tiebreak=bal_tb(), pension_tiebreak=bal_tb())
 
 
 def _monthly_spend(spark, d):
@@ -43,7 +48,7 @@ SELECT date, source, symbol, etl_time, l_orderkey, l_linenumber FROM (
     ORDER BY etl_time DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC) AS rn
   FROM positions) WHERE rn = 1""", ["positions"]))
 def q_dedup_positions(spark, d):
-    latest = dedup.dedup_latest(fx.positions(spark, d), ["date", "source", "symbol"], tiebreak=POS_TB)
+    latest = dedup.dedup_latest(fx.positions(spark, d), ["date", "source", "symbol"], tiebreak=pos_tb())
     return latest.select("date", "source", "symbol", "etl_time", "l_orderkey", "l_linenumber")
 
 
@@ -148,24 +153,24 @@ def q_spend_mom(spark, d):
 
 @query("dedup_balances", with_views("SELECT statement_date, source_file, balance, o_orderkey FROM bal_latest", ["bal_latest"]))
 def q_dedup_balances(spark, d):
-    return m.latest_balances(fx.balances(spark, d), tiebreak=BAL_TB).select("statement_date", "source_file", "balance", "o_orderkey")
+    return m.latest_balances(fx.balances(spark, d), tiebreak=bal_tb()).select("statement_date", "source_file", "balance", "o_orderkey")
 
 
 @query("monthly_balance", with_views("SELECT * FROM bank_monthly", ["bank_monthly"]))
 def q_monthly_balance(spark, d):
-    return rollup.monthly_balance(m.latest_balances(fx.balances(spark, d), tiebreak=BAL_TB))
+    return rollup.monthly_balance(m.latest_balances(fx.balances(spark, d), tiebreak=bal_tb()))
 
 
 @query("latest_in_month", with_views("""
 SELECT statement_date, source_file, ordinary_account, special_account, medisave_account FROM pen_latest""", ["pen_latest"]))
 def q_latest_in_month(spark, d):
-    return m.latest_pension(fx.pension(spark, d), tiebreak=BAL_TB).select(
+    return m.latest_pension(fx.pension(spark, d), tiebreak=bal_tb()).select(
         "statement_date", "source_file", "ordinary_account", "special_account", "medisave_account")
 
 
 @query("unpivot_accounts", with_views("SELECT date, asset_class, market_value_sgd FROM pen_unpivot", ["pen_unpivot"]))
 def q_unpivot_accounts(spark, d):
-    pen = m.latest_pension(fx.pension(spark, d), tiebreak=BAL_TB).withColumn("date", month_start("statement_date"))
+    pen = m.latest_pension(fx.pension(spark, d), tiebreak=bal_tb()).withColumn("date", month_start("statement_date"))
     return rollup.unpivot_accounts(pen, ["date"], m.PENSION_CLASSES)
 
 
@@ -216,15 +221,15 @@ def q_flagship_net_worth(spark, d):
     """The model DAG run by name (model-to-model references resolved lazily)."""
     inputs = {"tx": fx.tx(spark, d), "positions": fx.positions(spark, d),
               "balances": fx.balances(spark, d), "pension": fx.pension(spark, d)}
-    return m.run_models(inputs, ["net_worth_monthly"], position_tiebreak=POS_TB,
-                        balance_tiebreak=BAL_TB, pension_tiebreak=BAL_TB)["net_worth_monthly"]
+    return m.run_models(inputs, ["net_worth_monthly"], position_tiebreak=pos_tb(),
+                        balance_tiebreak=bal_tb(), pension_tiebreak=bal_tb())["net_worth_monthly"]
 
 
 # ------------------------------------------------------------------ phase 4
 
 @query("validity_ranges", with_views("SELECT * FROM bank_ranged", ["bank_ranged"]))
 def q_validity_ranges(spark, d):
-    bank = rollup.monthly_balance(m.latest_balances(fx.balances(spark, d), tiebreak=BAL_TB))
+    bank = rollup.monthly_balance(m.latest_balances(fx.balances(spark, d), tiebreak=bal_tb()))
     return timeline.to_ranges(bank, "date")
 
 
@@ -234,7 +239,7 @@ LEFT JOIN bank_ranged b ON cast(date_trunc('month', i.date) AS date) >= b.date
                         AND cast(date_trunc('month', i.date) AS date) < b.next_date""", ["inv_daily", "bank_ranged"]))
 def q_interval_join(spark, d):
     inv = rollup.pivot_classes(_dwd_pos(spark, d), m.DAILY_CLASSES)
-    bank = rollup.monthly_balance(m.latest_balances(fx.balances(spark, d), tiebreak=BAL_TB))
+    bank = rollup.monthly_balance(m.latest_balances(fx.balances(spark, d), tiebreak=bal_tb()))
     return timeline.month_asof_join(inv, bank, "date", "date", ["cash_sgd"]).select("date", "stocks_sgd", "cash_sgd")
 
 
@@ -243,7 +248,7 @@ SELECT i.date, i.crypto_sgd, c.cpf_oa_sgd, c.cpf_sa_sgd, c.cpf_ma_sgd FROM inv_d
 LEFT JOIN pen_monthly c ON c.date = cast(date_trunc('month', i.date) AS date)""", ["inv_daily", "pen_monthly"]))
 def q_month_join(spark, d):
     inv = rollup.pivot_classes(_dwd_pos(spark, d), m.DAILY_CLASSES)
-    pen = m.latest_pension(fx.pension(spark, d), tiebreak=BAL_TB).select(
+    pen = m.latest_pension(fx.pension(spark, d), tiebreak=bal_tb()).select(
         month_start("statement_date").alias("date"),
         *[rollup.round_money(rollup.money(c)).alias(f"{lbl}_sgd") for c, lbl in m.PENSION_CLASSES.items()])
     return timeline.month_join(inv, pen, "date").select("date", "crypto_sgd", "cpf_oa_sgd", "cpf_sa_sgd", "cpf_ma_sgd")
@@ -251,7 +256,7 @@ def q_month_join(spark, d):
 
 def _daily(spark, d):
     return m.net_worth_daily(_dwd_pos(spark, d), fx.balances(spark, d), fx.pension(spark, d), fx.tx(spark, d),
-                             balance_tiebreak=BAL_TB, pension_tiebreak=BAL_TB)
+                             balance_tiebreak=bal_tb(), pension_tiebreak=bal_tb())
 
 
 @query("day_over_day", with_views("SELECT date, total_net_worth_sgd, day_over_day_change_sgd FROM nw_daily", ["nw_daily"]))

@@ -10,7 +10,11 @@ from ledgerflow.plans.catalog import query
 from ledgerflow.plans.oracle_views import with_views
 from ledgerflow.sources.payloads import explode_balances
 
-POS_TB = [F.col(c).desc() for c in fx.POSITION_TIEBREAK]
+
+def pos_tb():
+    return [F.col(c).desc() for c in fx.POSITION_TIEBREAK]
+
+
 POS_TB_SQL = "etl_time DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC"
 LI_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 RUN_DATE, RUN_TIME = "1998-12-01", "1998-12-01 22:00:00"
@@ -61,7 +65,7 @@ SELECT source, symbol, date, quantity, market_value_sgd, l_orderkey FROM (
 
 @query("latest_positions", with_views(_LATEST_POS, ["positions"]))
 def q_latest_positions(spark, d):
-    latest = dedup.latest_per_key_in_snapshot(fx.positions(spark, d), ["symbol"], keys=["source"], tiebreak=POS_TB)
+    latest = dedup.latest_per_key_in_snapshot(fx.positions(spark, d), ["symbol"], keys=["source"], tiebreak=pos_tb())
     return latest.select("source", "symbol", "date", "quantity", "market_value_sgd", "l_orderkey")
 
 
@@ -128,7 +132,7 @@ def _fallback(spark, d):
     live = pos.filter(F.col("l_suppkey") % 2 == 0)
     hist = pos.filter(F.col("l_suppkey") % 2 == 1)
     outcome = spark.createDataFrame(OUTCOME, "source string, ok boolean")
-    return fxops.positions_with_fallback(live, outcome, hist, tiebreak=POS_TB), outcome
+    return fxops.positions_with_fallback(live, outcome, hist, tiebreak=pos_tb()), outcome
 
 
 _FALLBACK_SQL = f"""

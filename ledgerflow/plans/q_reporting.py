@@ -1 +1,272 @@
-"""Queries (filled in below)."""
+"""Queries for categorisation, reporting, dashboard summaries and streaming ingest."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ledgerflow.operators import labels as lb
+from ledgerflow.operators import report as rp
+from ledgerflow.operators import rollup, rules
+from ledgerflow.plans import fixtures as fx
+from ledgerflow.plans import models as m
+from ledgerflow.plans.catalog import query
+from ledgerflow.plans.oracle_views import OVERRIDE, pct, view, with_views
+from ledgerflow.plans.q_models import _dwd_tx, _history
+from ledgerflow.schemas import BANK_TRANSACTIONS
+from ledgerflow.session import scratch_path
+from ledgerflow.sources import payloads
+from ledgerflow.streaming.ingest import idempotent_append, ingest_stream
+
+STATUS_DATE = "2024-01-15"
+TOP_MONTH = "1998-07"
+
+# ------------------------------------------------------------------ C1-C6
+
+view("tx_batched", """
+SELECT *, cast((row_index // 40) AS integer) AS batch, cast(row_index % 40 AS integer) AS batch_index FROM (
+  SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY etl_time, description) - 1 AS row_index FROM tx)""", ("tx",))
+
+view("replies", """
+SELECT source_file, batch,
+       CASE WHEN batch % 2 = 1 THEN '```json' || chr(10) || j || chr(10) || '```' ELSE j END AS reply
+FROM (SELECT source_file, batch,
+             cast(to_json(list({'index': batch_index, 'category': category} ORDER BY batch_index)) AS varchar) AS j
+      FROM tx_batched WHERE category IS NOT NULL GROUP BY source_file, batch)""", ("tx_batched",))
+
+view("reply_labels", """
+SELECT source_file, batch, cast(batch * 40 + it.index AS integer) AS row_index, it.category AS category FROM (
+  SELECT source_file, batch, unnest(from_json(body, '[{"index":"INTEGER","category":"VARCHAR"}]')) AS it FROM (
+    SELECT source_file, batch,
+      CASE WHEN starts_with(t, '```') THEN trim(CASE WHEN contains(a, '```') THEN regexp_extract(a, '(?s)^(.*)```', 1) ELSE a END, ' ' || chr(9) || chr(13) || chr(10))
+           ELSE t END AS body
+    FROM (SELECT *, regexp_extract(t, '(?s)^[^\\n]*\\n(.*)$', 1) AS a FROM (
+      SELECT source_file, batch, trim(reply, ' ' || chr(9) || chr(13) || chr(10)) AS t FROM replies))))""", ("replies",))
+
+
+def _batched(spark, d):
+    return lb.assign_batches(fx.tx(spark, d))
+
+
+def _replies(spark, d):
+    b = _batched(spark, d).filter(F.col("category").isNotNull())
+    g = b.groupBy("source_file", "batch").agg(
+        F.to_json(F.sort_array(F.collect_list(F.struct(F.col("batch_index").alias("index"), "category")))).alias("j"))
+    fence = F.concat(F.lit("```json\n"), F.col("j"), F.lit("\n```"))
+    return g.select("source_file", "batch", F.when(F.col("batch") % 2 == 1, fence).otherwise(F.col("j")).alias("reply"))
+
+
+@query("assign_batches", with_views("SELECT source_file, description, row_index, batch, batch_index FROM tx_batched", ["tx_batched"]))
+def q_assign_batches(spark, d):
+    return _batched(spark, d).select("source_file", "description", F.col("row_index").cast("bigint").alias("row_index"),
+                                     "batch", "batch_index")
+
+
+@query("build_request")
+def q_build_request(spark, d):
+    return lb.build_request(_batched(spark, d))
+
+
+@query("parse_reply", with_views("SELECT * FROM reply_labels", ["reply_labels"]))
+def q_parse_reply(spark, d):
+    return lb.parse_reply(_replies(spark, d))
+
+
+@query("attach_label", with_views("""
+SELECT b.source_file, cast(b.row_index AS bigint) AS row_index, b.description, coalesce(l.category, 'Other') AS category
+FROM tx_batched b LEFT JOIN reply_labels l ON b.source_file = l.source_file AND b.row_index = l.row_index""",
+    ["tx_batched", "reply_labels"]))
+def q_attach_label(spark, d):
+    labels = lb.parse_reply(_replies(spark, d))
+    out = lb.attach_label(_batched(spark, d), labels)
+    return out.select("source_file", F.col("row_index").cast("bigint").alias("row_index"), "description", "category")
+
+
+_DOMAIN_SQL = ", ".join(f"'{c}'" for c in rules.CATEGORY_DOMAIN)
+
+
+@query("category_domain", with_views(f"""
+SELECT source_file, description, category FROM (SELECT source_file, description, {OVERRIDE} AS category FROM tx)
+WHERE category IS NOT NULL AND category NOT IN ({_DOMAIN_SQL})""", ["tx"]))
+def q_category_domain(spark, d):
+    over = rules.apply_rules(fx.tx(spark, d)).select("source_file", "description", "category")
+    return rules.category_domain(over)
+
+
+_KW_SQL = "CASE " + " ".join(f"WHEN contains(upper(description), '{kw}') THEN '{lab}'" for kw, lab in lb.KEYWORD_RULES) + " ELSE 'Other' END"
+
+
+@query("classify_rules", with_views(f"""
+SELECT source_file, cast(row_index AS bigint) AS row_index, description, {_KW_SQL} AS category FROM tx_batched""", ["tx_batched"]))
+def q_classify_rules(spark, d):
+    out = lb.classify(_batched(spark, d).select("source_file", "batch", "batch_index", "row_index", "description"))
+    return out.select("source_file", F.col("row_index").cast("bigint").alias("row_index"), "description", "category")
+
+
+# ------------------------------------------------------------------ P11, Q1-Q3, A12
+
+@query("source_status", with_views(f"""
+SELECT run_date, source, status, row_count, message FROM run_status
+WHERE run_date = DATE '{STATUS_DATE}' AND pipeline = 'investment'""", ["run_status"]))
+def q_source_status(spark, d):
+    return rp.source_status(fx.run_status(spark, d), STATUS_DATE)
+
+
+def _event_tables(spark, d):
+    """Per day and event type: the newest event ('table last modified'), checked at 06:00 UTC next day."""
+    e = fx.table(spark, d, "events")
+    g = e.groupBy(F.col("ts").cast("date").alias("run_date"), F.col("event_type").alias("table")).agg(F.max("ts").alias("last_modified"))
+    as_of = (F.date_add("run_date", 1).cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(6), F.lit(0), F.lit(0)))
+    return g.withColumn("as_of", as_of)
+
+
+view("event_fresh", """
+SELECT run_date, "table", last_modified,
+       last_modified >= start AS fresh,
+       CASE WHEN last_modified >= start THEN strftime(last_modified + INTERVAL 8 HOUR, '%H:%M') END AS updated_local,
+       CASE WHEN last_modified < start THEN date_diff('microsecond', last_modified, as_of) // 3600000000 END AS age_hours
+FROM (SELECT *, cast(cast(as_of + INTERVAL 8 HOUR AS date) AS timestamp) - INTERVAL 8 HOUR AS start FROM (
+  SELECT cast(ts AS date) AS run_date, event_type AS "table", max(ts) AS last_modified,
+         cast(cast(ts AS date) + 1 AS timestamp) + INTERVAL 6 HOUR AS as_of
+  FROM events GROUP BY 1, 2))""")
+
+
+def _fresh(spark, d):
+    t = _event_tables(spark, d)
+    return rp.freshness(t, F.col("as_of").cast("timestamp")).drop("as_of")
+
+
+@query("freshness", with_views("SELECT * FROM event_fresh", ["event_fresh"]))
+def q_freshness(spark, d):
+    return _fresh(spark, d)
+
+
+@query("pipeline_verdict", with_views("""
+SELECT coalesce(s.run_date, t.run_date) AS run_date,
+  CASE WHEN s.has_failed = 1 OR coalesce(t.n_tables, 0) = 0 OR t.all_fresh = 0 THEN 'action'
+       WHEN s.has_fallback = 1 THEN 'warn'
+       WHEN coalesce(s.n_status, 0) = 0 THEN 'unknown' ELSE 'clear' END AS verdict
+FROM (SELECT run_date, max(CASE WHEN status = 'failed' THEN 1 ELSE 0 END) AS has_failed,
+             max(CASE WHEN status = 'fallback' THEN 1 ELSE 0 END) AS has_fallback, count(*) AS n_status
+      FROM run_status GROUP BY run_date) s
+FULL JOIN (SELECT run_date, min(CASE WHEN fresh THEN 1 ELSE 0 END) AS all_fresh, count(*) AS n_tables
+           FROM event_fresh GROUP BY run_date) t ON s.run_date = t.run_date""", ["run_status", "event_fresh"]))
+def q_pipeline_verdict(spark, d):
+    return rp.overall_verdict(fx.run_status(spark, d), _fresh(spark, d))
+
+
+@query("report_lines")
+def q_report_lines(spark, d):
+    status = fx.run_status(spark, d)
+    fresh = _fresh(spark, d)
+    return rp.report_lines(status, fresh, rp.overall_verdict(status, fresh))
+
+
+# ------------------------------------------------------------------ Q4-Q6, O2, O3
+
+def _monthly(spark, d):
+    return m.net_worth_monthly(_history(spark, d))
+
+
+_KPI_METRICS = ("total_net_worth_sgd", "investment_sgd", "cash_sgd", "total_cpf_sgd")
+
+
+@query("kpis", with_views("SELECT date, " + ", ".join(
+    f"{c}, CASE WHEN prev_{c} <> 0 THEN {pct(f'{c} - prev_{c}', f'prev_{c}')} END AS {c}_mom_pct" for c in _KPI_METRICS) + """
+FROM (SELECT *, """ + ", ".join(f"lag({c}) OVER (ORDER BY date) AS prev_{c}" for c in _KPI_METRICS) + """ FROM nw_monthly)
+WHERE date = (SELECT max(date) FROM nw_monthly)""", ["nw_monthly"]))
+def q_kpis(spark, d):
+    return rp.kpis(_monthly(spark, d), _KPI_METRICS)
+
+
+ALLOCATION = {"investments": ("stocks_sgd", "crypto_sgd"), "cash": ("cash_sgd",),
+              "endowus": ("endowus_principal_sgd",), "cpf": ("cpf_oa_sgd", "cpf_sa_sgd", "cpf_ma_sgd")}
+
+
+def _alloc_sql():
+    parts = []
+    for name, cols in ALLOCATION.items():
+        v = " + ".join(f"coalesce(cast({c} AS decimal(18,2)), 0)" for c in cols)
+        parts.append(f"SELECT date, '{name}' AS asset_class, cast({v} AS double) AS value FROM latest")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("allocation", with_views(f"""
+SELECT date, asset_class, value, {pct('value', 'total')} AS share_pct
+FROM (SELECT *, sum(cast(value AS decimal(18,2))) OVER (PARTITION BY date) AS total FROM alloc)""",
+    ["nw_monthly"], {"latest": "SELECT * FROM nw_monthly WHERE date = (SELECT max(date) FROM nw_monthly)",
+                     "alloc": _alloc_sql()}))
+def q_allocation(spark, d):
+    return rp.allocation(_monthly(spark, d), ALLOCATION)
+
+
+@query("account_breakdown", with_views(f"""
+SELECT date, source, value, {pct('value', 'total')} AS share_pct
+FROM (SELECT *, sum(cast(value AS decimal(18,2))) OVER (PARTITION BY date) AS total FROM (
+  SELECT date, source, cast(round(sum(cast(market_value_sgd AS decimal(18,2))), 2) AS double) AS value
+  FROM nw_history WHERE date = (SELECT max(date) FROM nw_history) GROUP BY date, source))""", ["nw_history"]))
+def q_account_breakdown(spark, d):
+    return rp.breakdown(_history(spark, d))
+
+
+@query("top_merchants", with_views(f"""
+SELECT * FROM (
+  SELECT row_number() OVER (ORDER BY total DESC, description, category) AS rank, description, category,
+         cast(total AS double) AS total_spend, tx_count
+  FROM (SELECT description, category, round(sum(abs(cast(amount AS decimal(18,2)))), 2) AS total, count(*) AS tx_count
+        FROM dwd_tx WHERE year_month = '{TOP_MONTH}' AND amount < 0 GROUP BY description, category))
+WHERE rank <= 5""", ["dwd_tx"]))
+def q_top_merchants(spark, d):
+    out = rollup.top_merchants(_dwd_tx(spark, d), TOP_MONTH, k=5)
+    return out.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query("recent_transactions", with_views("""
+SELECT transaction_id, transaction_date, description, amount, category, rank FROM (
+  SELECT *, row_number() OVER (ORDER BY transaction_date DESC, transaction_id DESC) AS rank FROM dwd_tx)
+WHERE rank <= 10""", ["dwd_tx"]))
+def q_recent_transactions(spark, d):
+    out = rollup.recent_transactions(_dwd_tx(spark, d), k=10)
+    return out.select("transaction_id", "transaction_date", "description", "amount", "category",
+                      F.col("rank").cast("bigint").alias("rank"))
+
+
+# ------------------------------------------------------------------ S8, S16
+
+@query("file_arrival_stream")
+def q_file_arrival_stream(spark, d):
+    """Statements arrive as files (one per month); one is delivered twice under a new name.
+
+    The stream appends each transaction once: re-deliveries and replayed
+    micro-batches are removed by the key anti join.
+    """
+    root = scratch_path(spark, f"inbox-{uuid.uuid4().hex[:12]}")
+    inbox, target, ckpt = f"{root}/inbox", f"{root}/ods_bank_transactions_df", f"{root}/_checkpoint"
+    raw = fx.tx(spark, d)
+    t = raw.withColumn("transaction_id", m.tx_id(raw))
+    t.repartition(8, "source_file").write.mode("append").parquet(inbox)
+    schema = T.StructType(BANK_TRANSACTIONS.fields + [T.StructField("transaction_id", T.StringType(), True)])
+    handler = idempotent_append(target, schema, ["transaction_id", "etl_time"])
+    ingest_stream(spark, inbox, schema, handler, ckpt, glob="*.parquet")
+    # re-delivery: some statements arrive again as new files
+    t.filter(F.col("source_file") < "stmt_1996").write.mode("append").parquet(inbox)
+    ingest_stream(spark, inbox, schema, handler, ckpt, glob="*.parquet")
+    return spark.read.parquet(target)
+
+
+@query("read_holdings_csv")
+def q_read_holdings_csv(spark, d):
+    """Bond holdings snapshots written as CSV from orders and read back with the fixed schema."""
+    path = scratch_path(spark, f"holdings-{uuid.uuid4().hex[:12]}")
+    o = fx.table(spark, d, "orders")
+    h = o.select(
+        F.lit(None).cast("date").alias("date"),
+        F.col("o_orderdate").cast("date").alias("issue_date"),
+        F.add_months(F.col("o_orderdate").cast("date"), 120).alias("maturity_date"),
+        F.concat(F.lit("GX"), F.col("o_orderkey").cast("string")).alias("issue_code"),
+        F.round(F.col("o_totalprice"), 2).alias("face_value"),
+        F.lit("SGD").alias("currency"))
+    h.write.mode("overwrite").option("header", True).csv(path)
+    return payloads.read_holdings_csv(spark, path, as_of="1998-12-31")
