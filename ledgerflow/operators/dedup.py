@@ -56,11 +56,14 @@ def latest_snapshot(
     """Rows whose ``date`` equals the newest ``date`` (per ``keys``, or globally).
 
     The newest date is a one-row-per-key aggregate joined back (a left-semi
-    join on key and date): one partial+final aggregation and one join, no
-    correlated subquery.
+    join on key and date): one partial+final aggregation and one broadcast
+    join, no correlated subquery.  ``keys`` must be a bounded set (sources,
+    currencies); for per-owner snapshots use :func:`dedup_latest` on the date.
     """
     newest = df.groupBy(*keys).agg(F.max(date).alias(date))
-    return df.join(newest, on=[*keys, date], how="left_semi")
+    # One row (no keys) or one row per key: tiny next to ``df``; broadcasting it
+    # keeps the big side where it is.  Keys such as a source list are bounded.
+    return df.join(F.broadcast(newest), on=[*keys, date], how="left_semi")
 
 
 def latest_per_key_in_snapshot(

@@ -102,14 +102,24 @@ def monthly_balance(
     return df.groupBy(*keys, month_start_of_ym(ym).alias("date")).agg(money_sum(value).alias(out))
 
 
+def calendar_bounded(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Broadcast hint for a per-date/per-month aggregate *without* owner keys:
+    its size is bounded by the calendar (one row per month or day), not by the
+    data.  With owner keys the size grows with the owners, so the choice is
+    left to the planner and AQE's runtime statistics."""
+    return F.broadcast(df) if not keys else df
+
+
 def month_end_rows(df: DataFrame, date: str = "date", keys: Sequence[str] = ()) -> DataFrame:
     """Rows on the last date present within their month (per owner).
 
-    The correlated "max date in the same month" subquery becomes one
-    aggregate per (keys, month) and a left-semi join back.
+    The correlated "max date in the same month" subquery becomes one partial
+    aggregate per (keys, month) and a left-semi join back; without owner keys
+    the aggregate is calendar-bounded and broadcast, so the big side is not
+    shuffled again.
     """
-    last = df.groupBy(*keys, month_start(date).alias("__m")).agg(F.max(date).alias(date))
-    return df.join(last.drop("__m"), on=[*keys, date], how="left_semi")
+    last = df.groupBy(*keys, month_start(date).alias("__m")).agg(F.max(date).alias(date)).drop("__m")
+    return df.join(calendar_bounded(last, keys), on=[*keys, date], how="left_semi")
 
 
 def month_end_by_class(
@@ -119,9 +129,18 @@ def month_end_by_class(
     by: Sequence[str] = ("source", "asset_class"),
     value: str = "market_value_sgd",
 ) -> DataFrame:
-    """Month-start date, ``by`` columns and the summed month-end value."""
-    rows = month_end_rows(df, date, keys)
-    return rows.groupBy(*keys, month_start(date).alias("date"), *by).agg(money_sum(value).alias(value))
+    """Month-start date, ``by`` columns and the summed value on the month's last date.
+
+    One pass: sum per (keys, date, by) first (partial aggregation; the result
+    is bounded by dates x classes per owner), then keep each month's last
+    date with a window over that small aggregate.  Equal to filtering rows to
+    the month's last date and summing, because every date with a row appears
+    in the aggregate.
+    """
+    daily = df.groupBy(*keys, F.col(date).alias("__d"), *by).agg(F.sum(money(value)).alias("__v"))
+    w = Window.partitionBy(*keys, month_start("__d"))
+    last = daily.withColumn("__last", F.max("__d").over(w)).filter(F.col("__d") == F.col("__last"))
+    return last.select(*keys, month_start("__d").alias("date"), *by, round_money(F.col("__v")).alias(value))
 
 
 def monthly_contributions(

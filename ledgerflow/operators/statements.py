@@ -108,15 +108,23 @@ def statement_facts(pages: DataFrame) -> DataFrame:
 
 def column_centres(words: DataFrame, keys: Sequence[str] = PAGE) -> DataFrame:
     """Per page: centres of the first 'Withdrawals' word followed (in reading
-    order) by a 'Deposits' and a 'Balance' word.  Pages without one are absent."""
-    order = Window.partitionBy(*keys).orderBy("top", "x0", "x1")
-    after = order.rowsBetween(1, Window.unboundedFollowing)
-    centre = (F.col("x0") + F.col("x1")) / 2
-    w = words.withColumn("ord", F.row_number().over(order)).withColumn("centre", centre)
-    for name, hdr in (("dep", "Deposits"), ("bal", "Balance")):
-        w = w.withColumn(name, F.min(F.when(F.col("text") == hdr, F.struct("ord", "centre"))).over(after))
-    cands = w.filter((F.col("text") == "Withdrawals") & F.col("dep").isNotNull() & F.col("bal").isNotNull())
-    first = cands.groupBy(*keys).agg(F.min(F.struct("ord", "centre", F.col("dep.centre").alias("d"), F.col("bal.centre").alias("b"))).alias("h"))
+    order) by a 'Deposits' and a 'Balance' word.  Pages without one are absent.
+
+    Only the three header words take part, and "the first X after this word"
+    is a running minimum over the words *after* it, evaluated with the order
+    reversed so the frame grows incrementally (an unbounded-following frame
+    would be recomputed for every row).
+    """
+    pos = F.struct("top", "x0", "x1")
+    hdr = words.filter(F.col("text").isin(*COLUMN_HEADERS)).select(
+        *keys, "text", pos.alias("pos"), ((F.col("x0") + F.col("x1")) / 2).alias("centre"))
+    after = (Window.partitionBy(*keys).orderBy(F.col("pos").desc())
+             .rowsBetween(Window.unboundedPreceding, -1))
+    for name, h in (("dep", "Deposits"), ("bal", "Balance")):
+        hdr = hdr.withColumn(name, F.min(F.when(F.col("text") == h, F.struct("pos", "centre"))).over(after))
+    cands = hdr.filter((F.col("text") == "Withdrawals") & F.col("dep").isNotNull() & F.col("bal").isNotNull())
+    first = cands.groupBy(*keys).agg(F.min(F.struct("pos", "centre", F.col("dep.centre").alias("d"),
+                                                    F.col("bal.centre").alias("b"))).alias("h"))
     return first.select(*keys, F.col("h.centre").alias("withdrawal"), F.col("h.d").alias("deposit"), F.col("h.b").alias("balance"))
 
 
@@ -156,41 +164,48 @@ def savings_transactions(lines: DataFrame, centres: DataFrame, years: DataFrame,
 
     ``lines``: output of :func:`words_to_lines` for savings pages; ``centres``:
     :func:`column_centres`; ``years``: (source_file, year).
+
+    Each transaction's few lines are folded once into three values (the
+    chosen amount token, the type text and the description lines) in a
+    single projection, so no array expression is evaluated twice; the
+    remaining derivations are scalar.
     """
     seg = segment(drop_noise(lines, SAVINGS_NOISE), SAVINGS_DATE_RE, keys)
     tx = _group_transactions(seg, keys).join(centres, list(keys))
     first = F.element_at("lines", 1)
+    rest_lines = F.slice("lines", 2, 1 << 20)
     cols = {n: F.col(n) for n in COLUMNS}
 
-    def tok(w, is_first):
-        cen = (w["x0"] + w["x1"]) / 2
-        return F.struct(w["text"].alias("text"), F.lit(is_first).alias("first"),
-                        w["text"].rlike(AMOUNT_RE).alias("is_amt"), nearest_column(cen, cols).alias("col"))
+    def amount_token(w, is_first):
+        col = nearest_column((w["x0"] + w["x1"]) / 2, cols)
+        return F.struct(w["text"].alias("text"), F.lit(is_first).alias("first"), col.alias("col"))
+
+    def is_amount(w):
+        return w["text"].rlike(AMOUNT_RE)
 
-    first_toks = F.transform(F.slice(first["words"], 3, 1 << 20), lambda w: tok(w, True))
-    cont_lines = F.slice("lines", 2, 1 << 20)
-    cont_toks = F.flatten(F.transform(cont_lines, lambda l: F.transform(l["words"], lambda w: tok(w, False))))
+    first_words = F.slice(first["words"], 3, 1 << 20)
+    amounts = F.concat(
+        F.transform(F.filter(first_words, is_amount), lambda w: amount_token(w, True)),
+        F.flatten(F.transform(rest_lines, lambda l: F.transform(F.filter(l["words"], is_amount), lambda w: amount_token(w, False)))),
+    )
+    chosen = F.try_element_at(F.filter(amounts, lambda t: t["col"].isin("withdrawal", "deposit")), F.lit(1))
+    type_text = F.trim(F.array_join(F.transform(F.filter(first_words, lambda w: ~is_amount(w)), lambda w: w["text"]), " "))
+    cont_text = F.filter(F.transform(rest_lines, lambda l: l["text"]), lambda l: ~F.trim(l).rlike(SAVINGS_REF_RE))
     tx = tx.select(
         *keys, "txn", first["top"].alias("top"),
         F.concat_ws(" ", F.slice(F.transform(first["words"], lambda w: w["text"]), 1, 2)).alias("day_month"),
-        first_toks.alias("ft"), cont_toks.alias("ct"),
-        F.transform(cont_lines, lambda l: l["text"]).alias("cont_text"),
-    )
-    chosen = F.try_element_at(F.filter(F.concat("ft", "ct"), lambda t: t["is_amt"] & t["col"].isin("withdrawal", "deposit")), F.lit(1))
-    type_text = F.trim(F.array_join(F.transform(F.filter("ft", lambda t: ~t["is_amt"]), lambda t: t["text"]), " "))
-    tx = tx.withColumn("chosen", chosen).withColumn("ttype", type_text)
+        chosen.alias("chosen"), type_text.alias("ttype"), cont_text.alias("cont_text"),
+    ).join(years, "source_file")
+
     keyword = _contains_any(F.col("ttype"), DEPOSIT_KEYWORDS)
     is_dep = F.when(F.col("chosen.first") & (F.col("ttype") != ""), keyword).otherwise(F.col("chosen.col") == "deposit")
-    desc_lines = F.concat(
-        F.when(F.col("ttype") != "", F.array(F.col("ttype"))).otherwise(F.array().cast("array<string>")),
-        F.filter("cont_text", lambda l: ~F.trim(l).rlike(SAVINGS_REF_RE)),
-    )
-    desc = _join_desc(desc_lines, SAVINGS_NOISE, SAVINGS_REF_RE)
+    desc_lines = F.concat(F.when(F.col("ttype") != "", F.array(F.col("ttype"))).otherwise(F.array().cast("array<string>")),
+                          F.col("cont_text"))
     amt = _amount_value(F.col("chosen.text"))
-    out = tx.join(years, "source_file").select(
+    out = tx.select(
         *keys, "txn", "top",
         F.concat(F.col("day_month"), F.lit(" "), F.col("year")).alias("date"),
-        desc.alias("description"),
+        _join_desc(desc_lines, SAVINGS_NOISE, SAVINGS_REF_RE).alias("description"),
         F.col("ttype").alias("transaction_type"),
         F.when(is_dep, amt).otherwise(-amt).cast("double").alias("amount"),
     )

@@ -98,8 +98,11 @@ def q_category_domain(spark, d):
 _KW_SQL = "CASE " + " ".join(f"WHEN contains(upper(description), '{kw}') THEN '{lab}'" for kw, lab in lb.KEYWORD_RULES) + " ELSE 'Other' END"
 
 
-@query("classify_rules", with_views(f"""
-SELECT source_file, cast(row_index AS bigint) AS row_index, description, {_KW_SQL} AS category FROM tx_batched""", ["tx_batched"]))
+ORACLE_CLASSIFY = with_views(f"""
+SELECT source_file, cast(row_index AS bigint) AS row_index, description, {_KW_SQL} AS category FROM tx_batched""", ["tx_batched"])
+
+
+@query("classify_rules", ORACLE_CLASSIFY)
 def q_classify_rules(spark, d):
     out = lb.classify(_batched(spark, d).select("source_file", "batch", "batch_index", "row_index", "description"))
     return out.select("source_file", F.col("row_index").cast("bigint").alias("row_index"), "description", "category")
@@ -270,3 +273,11 @@ def q_read_holdings_csv(spark, d):
         F.lit("SGD").alias("currency"))
     h.write.mode("overwrite").option("header", True).csv(path)
     return payloads.read_holdings_csv(spark, path, as_of="1998-12-31")
+
+
+@query("classify_batches", ORACLE_CLASSIFY)
+def q_classify_batches(spark, d):
+    """The same classifier driven once per 40-row batch (the remote-model calling pattern)."""
+    out = lb.classify(_batched(spark, d).select("source_file", "batch", "batch_index", "row_index", "description"),
+                      per_batch=True)
+    return out.select("source_file", F.col("row_index").cast("bigint").alias("row_index"), "description", "category")
