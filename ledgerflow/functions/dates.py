@@ -24,9 +24,8 @@ def parse_statement_date(c: Column | str, on_bad: str = "error") -> Column:
     # Month names in source files may be upper case; normalise to the
     # "Feb" form the pattern expects.
     text = F.initcap(F.lower(F.trim(_c(c))))
-    fmt = F.lit(STATEMENT_DATE_FORMAT)
     if on_bad == "null":
-        return F.try_to_date(text, fmt)
+        return F.try_to_date(text, STATEMENT_DATE_FORMAT)
     return F.to_date(text, STATEMENT_DATE_FORMAT)
 
 
