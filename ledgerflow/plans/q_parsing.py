@@ -82,6 +82,50 @@ JOIN (SELECT source_file, page, row_number() OVER (PARTITION BY source_file, pag
 WHERE w.pick = 1""", ("sav_words",))
 
 
+view("card_base", """
+SELECT 'card_' || strftime(o_orderdate, '%Y') || '_' || cast(o_orderkey // 1024 AS varchar) || '.pdf' AS source_file,
+       cast((o_orderkey % 1024) // 32 + 1 AS integer) AS page,
+       cast(100 + (o_orderkey % 32) * 24 AS double) AS base, o_orderkey AS k, o_orderdate, o_totalprice,
+       strftime(o_orderdate, '%d') AS day, upper(strftime(o_orderdate, '%b')) AS mon,
+       format('{:,.2f}', cast(o_totalprice AS decimal(18,2))) AS amt
+FROM orders""")
+
+_CARD_WORDS = [
+    (0, 20, 32, "day", "true"), (0, 40, 62, "mon", "true"), (0, 70, 82, "day", "k % 2 = 0"), (0, 90, 112, "mon", "k % 2 = 0"),
+    (0, 150, 190, "'SHOP'", "true"), (0, 195, 240, "cast(k AS varchar)", "true"), (0, 350, 390, "'0.99'", "k % 7 = 0"),
+    (0, 400, 460, "amt || CASE WHEN k % 5 >= 3 THEN 'CR' ELSE '' END", "true"),
+    (12, 150, 180, "'Ref'", "k % 3 = 0"), (12, 185, 200, "'No.'", "k % 3 = 0"), (12, 205, 240, "cast(k AS varchar)", "k % 3 = 0"),
+    (18, 400, 420, "'CR'", "k % 11 = 0"), (20, 400, 440, "'5.50CR'", "k % 13 = 0"),
+]
+_CARD_PAGE_WORDS = [(40, 20, 50, "'Page'"), (40, 55, 65, "cast(page AS varchar)"), (60, 20, 40, "'Post'"), (60, 45, 65, "'Date'"),
+                    (60, 70, 90, "'Trans'"), (60, 95, 115, "'Date'"), (60, 150, 200, "'Description'"), (60, 205, 215, "'of'"),
+                    (60, 220, 280, "'Transaction'"), (60, 400, 450, "'Transaction'"), (60, 455, 490, "'Amount'")]
+_CARD_FILE_WORDS = [(20, 20, 60, "'Statement'"), (20, 65, 85, "'Date'"), (20, 90, 100, "'01'"),
+                    (20, 105, 125, "upper(strftime(d0, '%b'))"), (20, 130, 160, "strftime(d0, '%Y')")]
+
+view("card_words", "\nUNION ALL\n".join(
+    [_word_sql("card_base", *w) for w in _CARD_WORDS]
+    + [_word_sql("(SELECT DISTINCT source_file, page FROM card_base)", dy, x0, x1, t, base="0.0") for dy, x0, x1, t in _CARD_PAGE_WORDS]
+    + [_word_sql("(SELECT source_file, min(o_orderdate) AS d0 FROM card_base GROUP BY 1)",
+                 dy, x0, x1, t, page="1", base="0.0") for dy, x0, x1, t in _CARD_FILE_WORDS]), ("card_base",))
+
+view("stmt_page_text", """
+SELECT source_file, page, string_agg(text, chr(10) ORDER BY top) AS text FROM (
+  SELECT source_file, page, round(top, 1) AS top, trim(string_agg(text, ' ' ORDER BY x0, x1, text)) AS text
+  FROM (SELECT * FROM sav_words UNION ALL SELECT * FROM card_words) GROUP BY 1, 2, 3)
+GROUP BY 1, 2""", ("sav_words", "card_words"))
+
+_IS_CARD = " OR ".join(f"contains(text, '{h}')" for h in st.CARD_HEADERS)
+view("stmt_facts", f"""
+SELECT source_file,
+  CASE WHEN {_IS_CARD} THEN 'credit_card' ELSE 'savings' END AS statement_type,
+  CASE WHEN {_IS_CARD} THEN coalesce(nullif(regexp_extract(text, '{st.CARD_YEAR_RE}', 1), ''), '{st.CARD_DEFAULT_YEAR}')
+       ELSE coalesce(nullif(regexp_extract(text, '{st.SAVINGS_YEAR_RE}', 1), ''), '{st.SAVINGS_DEFAULT_YEAR}') END AS year,
+  CASE WHEN {_IS_CARD} THEN NULL ELSE cast(cast(replace(coalesce(nullif(regexp_extract(text, '{st.CLOSING_RE}', 1), ''),
+       nullif(regexp_extract(text, '{st.GRAND_TOTAL_RE}', 1), '')), ',', '') AS decimal(18,2)) AS double) END AS closing_balance
+FROM stmt_page_text WHERE page = 1""", ("stmt_page_text",))
+
+
 def _sav_lines(spark, d):
     return st.words_to_lines(fx.statement_words(spark, d, "savings"))
 
@@ -136,10 +180,18 @@ def _all_words(spark, d):
     return fx.statement_words(spark, d, "savings").unionByName(fx.statement_words(spark, d, "credit_card"))
 
 
-@query("statement_facts")
+def _facts(spark, d):
+    return st.statement_facts(st.page_text(st.words_to_lines(_all_words(spark, d))))
+
+
+@query("statement_type", with_views("SELECT source_file, statement_type FROM stmt_facts", ["stmt_facts"]))
+def q_statement_type(spark, d):
+    return _facts(spark, d).select("source_file", "statement_type")
+
+
+@query("statement_facts", with_views("SELECT * FROM stmt_facts", ["stmt_facts"]))
 def q_statement_facts(spark, d):
-    lines = st.words_to_lines(_all_words(spark, d))
-    return st.statement_facts(st.page_text(lines))
+    return _facts(spark, d)
 
 
 @query("statement_savings")

@@ -64,7 +64,12 @@ def q_assign_batches(spark, d):
                                      "batch", "batch_index")
 
 
-@query("build_request")
+@query("build_request", with_views("""
+SELECT source_file, batch, 'Classify these transactions:' || chr(10) || chr(10) || string_agg(
+  cast(batch_index AS varchar) || '. Date: ' || date || ' | Description: ' || description || ' | Amount: '
+    || regexp_replace(regexp_replace(cast(cast(amount AS decimal(18,2)) AS varchar), '0$', ''), '[.]$', '.0'),
+  chr(10) ORDER BY batch_index) AS request
+FROM tx_batched GROUP BY source_file, batch""", ["tx_batched"]))
 def q_build_request(spark, d):
     return lb.build_request(_batched(spark, d))
 
