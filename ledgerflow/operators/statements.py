@@ -170,8 +170,11 @@ def savings_transactions(lines: DataFrame, centres: DataFrame, years: DataFrame,
     single projection, so no array expression is evaluated twice; the
     remaining derivations are scalar.
     """
-    seg = segment(drop_noise(lines, SAVINGS_NOISE), SAVINGS_DATE_RE, keys)
-    tx = _group_transactions(seg, keys).join(centres, list(keys))
+    # inner join: only pages with a column header take part; the three centres
+    # ride along as grouping columns (they are constant per page)
+    with_cols = lines.join(centres, list(keys))
+    seg = segment(drop_noise(with_cols, SAVINGS_NOISE), SAVINGS_DATE_RE, keys)
+    tx = seg.groupBy(*keys, "txn", *COLUMNS).agg(F.sort_array(F.collect_list(F.struct("top", "text", "words"))).alias("lines"))
     first = F.element_at("lines", 1)
     rest_lines = F.slice("lines", 2, 1 << 20)
     cols = {n: F.col(n) for n in COLUMNS}
@@ -217,14 +220,20 @@ def savings_transactions(lines: DataFrame, centres: DataFrame, years: DataFrame,
 def card_transactions(lines: DataFrame, years: DataFrame, keys: Sequence[str] = PAGE) -> DataFrame:
     """Card pages -> transactions.  On the date line the last amount wins and a
     'CR' suffix marks a credit; on later lines 'nnCR' always overrides, a plain
-    amount only fills a missing one, and a lone 'CR' flips to credit."""
+    amount only fills a missing one, and a lone 'CR' flips to credit.
+
+    The amount rule is an ordered fold (``aggregate``) over the tokens of one
+    transaction.  Array expressions are evaluated once, before the join with
+    the statement years; the description is assembled after it.
+    """
     seg = segment(drop_noise(lines, CARD_NOISE), CARD_DATE_RE, keys)
     tx = _group_transactions(seg, keys)
     first = F.element_at("lines", 1)
+    rest_lines = F.slice("lines", 2, 1 << 20)
     rest = F.slice(first["words"], 3, 1 << 20)
     second_date = (F.size(rest) >= 2) & F.concat(F.try_element_at(rest, F.lit(1))["text"], F.lit(" "),
                                                  F.try_element_at(rest, F.lit(2))["text"]).rlike(CARD_DATE_RE)
-    rest = F.when(second_date, F.slice(rest, 3, 1 << 20)).otherwise(rest)
+    tx = tx.select(*keys, "txn", "lines", F.when(second_date, F.slice(rest, 3, 1 << 20)).otherwise(rest).alias("rest"))
 
     def tok(w, is_first):
         t = w["text"]
@@ -234,8 +243,8 @@ def card_transactions(lines: DataFrame, years: DataFrame, keys: Sequence[str] =
                         F.when(is_cr_amt, stem).otherwise(t).alias("num"), t.rlike(AMOUNT_RE).alias("amt"))
 
     toks = F.concat(
-        F.transform(rest, lambda w: tok(w, True)),
-        F.flatten(F.transform(F.slice("lines", 2, 1 << 20), lambda l: F.transform(l["words"], lambda w: tok(w, False)))),
+        F.transform("rest", lambda w: tok(w, True)),
+        F.flatten(F.transform(rest_lines, lambda l: F.transform(l["words"], lambda w: tok(w, False)))),
     )
     init = F.struct(F.lit(None).cast("string").alias("amount"), F.lit(False).alias("credit"))
 
@@ -249,25 +258,28 @@ def card_transactions(lines: DataFrame, years: DataFrame, keys: Sequence[str] =
             .otherwise(acc)
         return F.when(t["first"], on_first).otherwise(later)
 
-    state = F.aggregate(toks, init, step)
-    first_desc = F.trim(F.array_join(F.transform(F.filter(F.transform(rest, lambda w: tok(w, True)),
-                                                            lambda t: ~t["cr_amt"] & ~t["amt"]), lambda t: t["text"]), " "))
-    cont = F.filter(F.transform(F.slice("lines", 2, 1 << 20), lambda l: l["text"]),
+    def plain_word(w):
+        t = w["text"]
+        return ~t.rlike(AMOUNT_RE) & ~(t.endswith("CR") & F.trim(F.regexp_replace(t, "CR$", "")).rlike(AMOUNT_RE))
+
+    first_desc = F.trim(F.array_join(F.transform(F.filter("rest", plain_word), lambda w: w["text"]), " "))
+    cont = F.filter(F.transform(rest_lines, lambda l: l["text"]),
                     lambda l: ~F.trim(l).rlike(CARD_REF_RE) & ~F.trim(l).rlike(AMOUNT_RE))
-    desc_lines = F.concat(
-        F.when((first_desc != "") & ~first_desc.isin(*CARD_SKIP), F.array(first_desc)).otherwise(F.array().cast("array<string>")),
-        cont,
-    )
     out = tx.select(
         *keys, "txn", first["top"].alias("top"),
         F.concat_ws(" ", F.slice(F.transform(first["words"], lambda w: w["text"]), 1, 2)).alias("day_month"),
-        state.alias("st"), _join_desc(desc_lines, NOISE_FRAGMENTS, CARD_REF_RE).alias("description"),
+        F.aggregate(toks, init, step).alias("st"), first_desc.alias("first_desc"), cont.alias("cont"),
     ).join(years, "source_file")
+    head = F.col("first_desc")
+    desc_lines = F.concat(
+        F.when((head != "") & ~head.isin(*CARD_SKIP), F.array(head)).otherwise(F.array().cast("array<string>")),
+        F.col("cont"),
+    )
     amt = _amount_value(F.col("st.amount"))
     out = out.select(
         *keys, "txn", "top",
         F.concat(F.col("day_month"), F.lit(" "), F.col("year")).alias("date"),
-        "description",
+        _join_desc(desc_lines, NOISE_FRAGMENTS, CARD_REF_RE).alias("description"),
         F.lit("Credit Card").alias("transaction_type"),
         F.when(F.col("st.credit"), amt).otherwise(-amt).cast("double").alias("amount"),
     )
@@ -279,19 +291,20 @@ def card_transactions(lines: DataFrame, years: DataFrame, keys: Sequence[str] =
 def parse_statements(words: DataFrame, keys: Sequence[str] = PAGE) -> tuple[DataFrame, DataFrame]:
     """Words of many statements -> (transactions, statement facts).
 
-    Page text is rebuilt from the lines (for the page-1 facts); savings pages
-    need column centres, card pages need a transaction-table header.
+    Words are hash partitioned once by page; lines, page text, column centres
+    and segmentation all reuse that partitioning.  Page 1 decides each file's
+    type; it is applied at the transaction level (with the year), not by
+    joining every line.  Savings pages are those with a column header, card
+    pages those with a transaction-table header.
     """
+    words = words.repartition(*keys)
     lines = words_to_lines(words, keys)
     pages = page_text(lines, keys)
     facts = statement_facts(pages)
-    years = facts.select("source_file", "year")
-    typed = lines.join(facts.select("source_file", "statement_type"), "source_file")
-    sav = savings_transactions(typed.filter(F.col("statement_type") == "savings").drop("statement_type"),
-                               column_centres(words, keys), years, keys)
+    years = {t: facts.filter(F.col("statement_type") == t).select("source_file", "year") for t in ("savings", "credit_card")}
+    sav = savings_transactions(lines, column_centres(words, keys), years["savings"], keys)
     card_pages = pages.filter(_contains_any(F.col("text"), CARD_HEADERS)).select(*keys)
-    card_lines = typed.filter(F.col("statement_type") == "credit_card").drop("statement_type").join(card_pages, list(keys), "left_semi")
-    card = card_transactions(card_lines, years, keys)
+    card = card_transactions(lines.join(card_pages, list(keys), "left_semi"), years["credit_card"], keys)
     tx = sav.unionByName(card).select(
         "source_file", "page", "top", "date", "description", "transaction_type", "amount")
     return tx, facts

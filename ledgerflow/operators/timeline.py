@@ -120,22 +120,37 @@ def month_asof_join(
     right_date: str,
     value_cols: Sequence[str],
     keys: Sequence[str] = (),
+    strategy: str = "carry",
 ) -> DataFrame:
     """Attach to each left row the ``right`` values of the latest ``right_date <= month(left_date)``.
 
     Equivalent to the range join ``month(l) >= r.date and month(l) < next(r.date)``
-    when ``right`` has one row per (keys, month).  Implemented without a
-    non-equi join: the distinct (keys, month) of the left side (bounded by the
-    calendar per owner) are unioned with the right side, the right values
-    are carried forward along that month series, and the result is attached by
-    an equi-join on (keys, month).  Every step is a shuffle on ``keys``.
+    when ``right`` has one row per (keys, month); no non-equi join is used.
+
+    ``strategy='carry'`` (for calendar-bounded left sides such as one row per
+    day): left and right rows are unioned into one series per owner, the
+    right values are carried forward along it and the left rows kept -- one
+    pass over each side, one shuffle on ``keys``.
+    ``strategy='months'`` (for raw-row left sides): only the distinct
+    (keys, month) of the left side enter the carry-forward, and the values
+    are attached back with an equi-join on (keys, month), so a hot owner's
+    rows never meet in one window.
     """
-    mcol = "__month"
-    months = left.select(*keys, month_start(left_date).alias(mcol)).distinct()
-    tag = "__is_left"
+    mcol, tag = "__month", "__is_left"
+    typed_nulls = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in value_cols]
     r = right.select(*keys, F.col(right_date).alias(mcol), *value_cols, F.lit(False).alias(tag))
-    lm = months.select(*keys, mcol, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in value_cols], F.lit(True).alias(tag))
     w = Window.partitionBy(*keys).orderBy(F.col(mcol), F.col(tag)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if strategy == "carry":
+        extra = [c for c in left.columns if c not in keys]
+        lrows = left.select(*keys, month_start(left_date).alias(mcol), *typed_nulls, F.lit(True).alias(tag),
+                            F.struct(*extra).alias("__row"))
+        both = r.withColumn("__row", F.lit(None).cast(lrows.schema["__row"].dataType)).unionByName(lrows)
+        carried = both.select(*keys, tag, "__row", *[F.last(c, ignorenulls=True).over(w).alias(c) for c in value_cols])
+        return carried.filter(F.col(tag)).select(*keys, *[F.col(f"__row.{c}").alias(c) for c in extra], *value_cols)
+    if strategy != "months":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    months = left.select(*keys, month_start(left_date).alias(mcol)).distinct()
+    lm = months.select(*keys, mcol, *typed_nulls, F.lit(True).alias(tag))
     carried = (
         r.unionByName(lm)
         .select(*keys, mcol, tag, *[F.last(c, ignorenulls=True).over(w).alias(c) for c in value_cols])

@@ -72,3 +72,11 @@ def test_owner_keys_partition_every_model(spark):
         expect = _rows(single[n])
         for owner in ("a", "b"):
             assert _rows(multi[n].filter(F.col("owner") == owner).drop("owner")) == expect, n
+
+
+def test_month_asof_strategies_agree(spark):
+    inv = rollup.pivot_classes(m.dwd_positions(fx.positions(spark, SF), tiebreak=pos_tb()), m.DAILY_CLASSES)
+    bank = rollup.monthly_balance(m.latest_balances(fx.balances(spark, SF), tiebreak=bal_tb()))
+    a = timeline.month_asof_join(inv, bank, "date", "date", ["cash_sgd"], strategy="carry")
+    b = timeline.month_asof_join(inv, bank, "date", "date", ["cash_sgd"], strategy="months")
+    assert _rows(a.select(*sorted(a.columns))) == _rows(b.select(*sorted(b.columns)))
