@@ -129,9 +129,22 @@ def column_centres(words: DataFrame, keys: Sequence[str] = PAGE) -> DataFrame:
 
 
 def nearest_column(x: Column, centres: dict[str, Column]) -> Column:
-    """Name of the centre nearest to ``x``; ties go to the earlier name."""
-    cands = [F.struct(F.abs(x - c).alias("d"), F.lit(i).alias("i"), F.lit(n).alias("n")) for i, (n, c) in enumerate(centres.items())]
-    return F.array_min(F.array(*cands))["n"]
+    """Name of the centre nearest to ``x``; ties go to the earlier name.
+
+    A CASE over the distances (no per-token array), so it stays cheap inside
+    array lambdas."""
+    names = list(centres)
+    dist = {n: F.abs(x - centres[n]) for n in names}
+    expr = None
+    for i, n in enumerate(names[:-1]):
+        cond = F.lit(True)
+        for j, other in enumerate(names):
+            if j < i:
+                cond = cond & (dist[n] < dist[other])
+            elif j > i:
+                cond = cond & (dist[n] <= dist[other])
+        expr = F.when(cond, F.lit(n)) if expr is None else expr.when(cond, F.lit(n))
+    return F.lit(names[0]) if expr is None else expr.otherwise(F.lit(names[-1]))
 
 
 # --------------------------------------------------------------------- R8
