@@ -194,7 +194,6 @@ def q_statement_facts(spark, d):
     return _facts(spark, d)
 
 
-@query("statement_savings")
 def q_statement_savings(spark, d):
     words = fx.statement_words(spark, d, "savings")
     lines = st.words_to_lines(words)
@@ -202,7 +201,6 @@ def q_statement_savings(spark, d):
     return st.savings_transactions(lines, st.column_centres(words), years)
 
 
-@query("statement_card")
 def q_statement_card(spark, d):
     lines = st.words_to_lines(fx.statement_words(spark, d, "credit_card"))
     pages = st.page_text(lines)
@@ -211,13 +209,11 @@ def q_statement_card(spark, d):
     return st.card_transactions(lines.join(card_pages, ["source_file", "page"], "left_semi"), years)
 
 
-@query("statement_transactions")
 def q_statement_transactions(spark, d):
     tx, _ = st.parse_statements(_all_words(spark, d))
     return tx
 
 
-@query("statement_month")
 def q_statement_month(spark, d):
     tx, _ = st.parse_statements(_all_words(spark, d))
     tx = tx.withColumn("transaction_date", F.to_date(F.initcap(F.lower("date")), "d MMM yyyy"))
@@ -447,7 +443,7 @@ def _scratch(spark, name):
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-@query("land_raw_roundtrip")
+@query("land_raw_roundtrip", with_views("SELECT *, substr(source_file, 6, 7) AS month FROM tx", ["tx"]))
 def q_land_raw_roundtrip(spark, d):
     """Land raw transactions partitioned by month, twice (idempotent), and read them back."""
     t = fx.tx(spark, d).withColumn("month", F.substring("source_file", 6, 7))
@@ -457,7 +453,7 @@ def q_land_raw_roundtrip(spark, d):
     return spark.read.parquet(path)
 
 
-@query("append_ods")
+@query("append_ods", with_views("SELECT * FROM tx", ["tx"]))
 def q_append_ods(spark, d):
     """Append raw transactions in the enforced ods schema and read the table back."""
     path = _scratch(spark, "ods-tx")
@@ -465,7 +461,7 @@ def q_append_ods(spark, d):
     return tables.read_table(spark, path, BANK_TRANSACTIONS)
 
 
-@query("materialize")
+@query("materialize", with_views("SELECT * FROM m_spend", ["m_spend"]))
 def q_materialize(spark, d):
     """Full-refresh materialization of the monthly spend model as layer.table."""
     from ledgerflow.plans.q_models import _monthly_spend
@@ -474,3 +470,152 @@ def q_materialize(spark, d):
 
 
 assert "sav_words" in VIEWS
+
+
+# ------------------------------------------------------------------ parser oracles (token level, no arrays)
+
+def _noise_sql(col, fragments):
+    return "(" + " OR ".join(f"contains({col}, '{f}')" for f in fragments) + ")"
+
+
+_AMT = st.AMOUNT_RE
+
+
+def _stmt_tokens(words_view):
+    return f"""
+SELECT source_file, page, round(top, 1) AS top, text, x0, x1,
+       row_number() OVER (PARTITION BY source_file, page, round(top, 1) ORDER BY x0, x1, text) AS pos
+FROM {words_view}"""
+
+
+def _segmented(lines_view, noise, date_re, extra_join=""):
+    return f"""
+SELECT * , top = min(top) OVER (PARTITION BY source_file, page, txn) AS is_first FROM (
+  SELECT l.source_file, l.page, l.top, l.text, l.ws,
+         cast(sum(CASE WHEN regexp_matches(l.ws[1] || ' ' || coalesce(l.ws[2], ''), '{date_re}') THEN 1 ELSE 0 END)
+              OVER (PARTITION BY l.source_file, l.page ORDER BY l.top ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bigint) AS txn
+  FROM {lines_view} l {extra_join}
+  WHERE NOT {_noise_sql('l.text', noise)})
+WHERE txn > 0"""
+
+
+_SAV_CTES = {
+    "sav_tok": _stmt_tokens("sav_words"),
+    "sav_seg": _segmented("sav_lines", st.SAVINGS_NOISE, st.SAVINGS_DATE_RE,
+                          "JOIN sav_centres c ON c.source_file = l.source_file AND c.page = l.page"),
+    "sav_amt": f"""
+SELECT s.source_file, s.page, s.txn, s.top * 10000 + t.pos AS k, t.text, s.is_first,
+  CASE WHEN abs((t.x0 + t.x1) / 2 - c.withdrawal) <= abs((t.x0 + t.x1) / 2 - c.deposit)
+        AND abs((t.x0 + t.x1) / 2 - c.withdrawal) <= abs((t.x0 + t.x1) / 2 - c.balance) THEN 'withdrawal'
+       WHEN abs((t.x0 + t.x1) / 2 - c.deposit) <= abs((t.x0 + t.x1) / 2 - c.balance) THEN 'deposit' ELSE 'balance' END AS col
+FROM sav_seg s JOIN sav_tok t ON t.source_file = s.source_file AND t.page = s.page AND t.top = s.top
+JOIN sav_centres c ON c.source_file = s.source_file AND c.page = s.page
+WHERE (NOT s.is_first OR t.pos >= 3) AND regexp_matches(t.text, '{_AMT}')""",
+    "sav_chosen": """
+SELECT source_file, page, txn, arg_min(text, k) AS amt_text, arg_min(is_first, k) AS on_first, arg_min(col, k) AS col
+FROM sav_amt WHERE col IN ('withdrawal', 'deposit') GROUP BY 1, 2, 3""",
+    "sav_head": f"""
+SELECT s.source_file, s.page, s.txn, s.top, s.ws[1] || ' ' || s.ws[2] AS day_month,
+  trim(coalesce(string_agg(t.text, ' ' ORDER BY t.pos) FILTER (WHERE t.pos >= 3 AND NOT regexp_matches(t.text, '{_AMT}')), '')) AS ttype
+FROM sav_seg s JOIN sav_tok t ON t.source_file = s.source_file AND t.page = s.page AND t.top = s.top
+WHERE s.is_first GROUP BY 1, 2, 3, 4, 5""",
+    "sav_desc": f"""
+SELECT source_file, page, txn, trim(string_agg(l, ' | ' ORDER BY o)) AS description FROM (
+  SELECT source_file, page, txn, ttype AS l, -1.0 AS o FROM sav_head WHERE ttype <> ''
+  UNION ALL
+  SELECT source_file, page, txn, text, top FROM sav_seg WHERE NOT is_first AND NOT regexp_matches(trim(text), '{st.SAVINGS_REF_RE}'))
+WHERE NOT {_noise_sql('l', st.SAVINGS_NOISE)} AND NOT regexp_matches(trim(l), '{st.SAVINGS_REF_RE}') AND length(trim(l)) > 1
+GROUP BY 1, 2, 3""",
+    "sav_years": "SELECT source_file, year FROM stmt_facts WHERE source_file LIKE 'sav%'",
+}
+_KEYWORDS_SQL = " OR ".join(f"contains(h.ttype, '{k}')" for k in st.DEPOSIT_KEYWORDS)
+_SAV_SKIP_SQL = ", ".join(f"'{x}'" for x in st.SAVINGS_SKIP)
+_SAV_ORACLE = f"""
+SELECT * FROM (
+  SELECT h.source_file, h.page, h.txn, h.top, h.day_month || ' ' || y.year AS date,
+         coalesce(d.description, '') AS description, h.ttype AS transaction_type,
+         CASE WHEN CASE WHEN ch.on_first AND h.ttype <> '' THEN ({_KEYWORDS_SQL}) ELSE ch.col = 'deposit' END
+              THEN 1 ELSE -1 END * cast(cast(replace(ch.amt_text, ',', '') AS decimal(18,2)) AS double) AS amount
+  FROM sav_head h JOIN sav_chosen ch ON ch.source_file = h.source_file AND ch.page = h.page AND ch.txn = h.txn
+  JOIN sav_years y ON y.source_file = h.source_file
+  LEFT JOIN sav_desc d ON d.source_file = h.source_file AND d.page = h.page AND d.txn = h.txn)
+WHERE description <> '' AND description NOT IN ({_SAV_SKIP_SQL})"""
+
+ORACLE_SAVINGS = with_views(_SAV_ORACLE, ["sav_lines", "sav_centres", "stmt_facts"], _SAV_CTES)
+
+
+query("statement_savings", ORACLE_SAVINGS)(q_statement_savings)
+
+
+view("card_lines", """
+SELECT source_file, page, round(top, 1) AS top, list(text ORDER BY x0, x1, text) AS ws,
+       trim(string_agg(text, ' ' ORDER BY x0, x1, text)) AS text
+FROM card_words GROUP BY source_file, page, round(top, 1)""", ("card_words",))
+
+_IS_CARD_PAGE = " OR ".join(f"contains(p.text, '{h}')" for h in st.CARD_HEADERS)
+_CR_AMT = f"(ends_with(t.text, 'CR') AND regexp_matches(trim(regexp_replace(t.text, 'CR$', '')), '{_AMT}'))"
+_CARD_SKIP_SQL = ", ".join(f"'{x}'" for x in st.CARD_SKIP)
+_CARD_CTES = {
+    "card_pages": f"SELECT p.source_file, p.page FROM stmt_page_text p WHERE p.source_file LIKE 'card%' AND ({_IS_CARD_PAGE})",
+    "card_tok": _stmt_tokens("card_words"),
+    "card_seg": _segmented("card_lines", st.CARD_NOISE, st.CARD_DATE_RE,
+                           "JOIN card_pages cp ON cp.source_file = l.source_file AND cp.page = l.page"),
+    # first-line tokens after the date (and after a second date when present); later-line tokens
+    "card_t": f"""
+SELECT s.source_file, s.page, s.txn, s.is_first, s.top * 10000 + t.pos AS k, t.pos, t.text,
+       {_CR_AMT} AS cr_amt, regexp_matches(t.text, '{_AMT}') AS amt,
+       CASE WHEN {_CR_AMT} THEN trim(regexp_replace(t.text, 'CR$', '')) ELSE t.text END AS num
+FROM card_seg s JOIN card_tok t ON t.source_file = s.source_file AND t.page = s.page AND t.top = s.top
+WHERE NOT s.is_first OR t.pos >= CASE WHEN len(s.ws) >= 4 AND regexp_matches(s.ws[3] || ' ' || s.ws[4], '{st.CARD_DATE_RE}')
+                                      THEN 5 ELSE 3 END""",
+    "card_agg": """
+SELECT source_file, page, txn,
+  arg_max(num, k) FILTER (WHERE is_first AND (cr_amt OR amt)) AS a0,
+  arg_max(cr_amt, k) FILTER (WHERE is_first AND (cr_amt OR amt)) AS c0,
+  arg_max(num, k) FILTER (WHERE NOT is_first AND cr_amt) AS last_cr,
+  arg_min(text, k) FILTER (WHERE NOT is_first AND amt) AS first_plain,
+  min(k) FILTER (WHERE NOT is_first AND amt) AS first_plain_k,
+  coalesce(bool_or(text = 'CR') FILTER (WHERE NOT is_first), false) AS any_cr,
+  trim(coalesce(string_agg(text, ' ' ORDER BY pos) FILTER (WHERE is_first AND NOT cr_amt AND NOT amt), '')) AS head
+FROM card_t GROUP BY 1, 2, 3""",
+    "card_cr_after": """
+SELECT a.source_file, a.page, a.txn, bool_or(t.text = 'CR' AND t.k > a.first_plain_k) AS cr_after
+FROM card_agg a JOIN card_t t ON t.source_file = a.source_file AND t.page = a.page AND t.txn = a.txn AND NOT t.is_first
+GROUP BY 1, 2, 3""",
+    "card_first": "SELECT source_file, page, txn, top, ws[1] || ' ' || ws[2] AS day_month FROM card_seg WHERE is_first",
+    "card_desc": f"""
+SELECT source_file, page, txn, trim(string_agg(l, ' | ' ORDER BY o)) AS description FROM (
+  SELECT source_file, page, txn, head AS l, -1.0 AS o FROM card_agg WHERE head <> '' AND head NOT IN ({_CARD_SKIP_SQL})
+  UNION ALL
+  SELECT source_file, page, txn, text, top FROM card_seg
+  WHERE NOT is_first AND NOT regexp_matches(trim(text), '{st.CARD_REF_RE}') AND NOT regexp_matches(trim(text), '{_AMT}'))
+WHERE NOT {_noise_sql('l', st.NOISE_FRAGMENTS)} AND NOT regexp_matches(trim(l), '{st.CARD_REF_RE}') AND length(trim(l)) > 1
+GROUP BY 1, 2, 3""",
+    "card_years": "SELECT source_file, year FROM stmt_facts WHERE source_file LIKE 'card%'",
+}
+_CARD_ORACLE = f"""
+SELECT * FROM (
+  SELECT f.source_file, f.page, f.txn, f.top, f.day_month || ' ' || y.year AS date,
+         coalesce(d.description, '') AS description, 'Credit Card' AS transaction_type,
+         CASE WHEN CASE WHEN a.last_cr IS NOT NULL THEN true WHEN a.a0 IS NOT NULL THEN a.c0 OR a.any_cr
+                        ELSE coalesce(ca.cr_after, false) END THEN 1 ELSE -1 END
+           * cast(cast(replace(coalesce(a.last_cr, a.a0, a.first_plain), ',', '') AS decimal(18,2)) AS double) AS amount
+  FROM card_first f JOIN card_agg a ON a.source_file = f.source_file AND a.page = f.page AND a.txn = f.txn
+  JOIN card_years y ON y.source_file = f.source_file
+  LEFT JOIN card_cr_after ca ON ca.source_file = f.source_file AND ca.page = f.page AND ca.txn = f.txn
+  LEFT JOIN card_desc d ON d.source_file = f.source_file AND d.page = f.page AND d.txn = f.txn)
+WHERE amount IS NOT NULL AND description <> '' AND description NOT IN ({_CARD_SKIP_SQL})"""
+
+ORACLE_CARD = with_views(_CARD_ORACLE, ["card_lines", "stmt_facts"], _CARD_CTES)
+
+query("statement_card", ORACLE_CARD)(q_statement_card)
+
+_TX_COLS = "source_file, page, top, date, description, transaction_type, amount"
+ORACLE_TRANSACTIONS = with_views(f"SELECT {_TX_COLS} FROM ({_SAV_ORACLE}) UNION ALL SELECT {_TX_COLS} FROM ({_CARD_ORACLE})",
+                                 ["sav_lines", "sav_centres", "card_lines", "stmt_facts"], {**_SAV_CTES, **_CARD_CTES})
+ORACLE_MONTH = with_views(f"""
+SELECT source_file, strftime(arg_min(cast(strptime(date, '%d %b %Y') AS date), page * 1000000 + top), '%Y-%m') AS statement_month
+FROM (SELECT {_TX_COLS} FROM ({_SAV_ORACLE}) UNION ALL SELECT {_TX_COLS} FROM ({_CARD_ORACLE})) GROUP BY source_file""",
+                          ["sav_lines", "sav_centres", "card_lines", "stmt_facts"], {**_SAV_CTES, **_CARD_CTES})
+query("statement_transactions", ORACLE_TRANSACTIONS)(q_statement_transactions)
+query("statement_month", ORACLE_MONTH)(q_statement_month)

@@ -13,7 +13,7 @@ from ledgerflow.operators import rollup, rules
 from ledgerflow.plans import fixtures as fx
 from ledgerflow.plans import models as m
 from ledgerflow.plans.catalog import query
-from ledgerflow.plans.oracle_views import OVERRIDE, pct, view, with_views
+from ledgerflow.plans.oracle_views import OVERRIDE, TX_ID, pct, view, with_views
 from ledgerflow.plans.q_models import _dwd_tx, _history
 from ledgerflow.schemas import BANK_TRANSACTIONS
 from ledgerflow.session import scratch_path
@@ -151,7 +151,7 @@ def q_freshness(spark, d):
     return _fresh(spark, d)
 
 
-@query("pipeline_verdict", with_views("""
+view("verdicts", """
 SELECT coalesce(s.run_date, t.run_date) AS run_date,
   CASE WHEN s.has_failed = 1 OR coalesce(t.n_tables, 0) = 0 OR t.all_fresh = 0 THEN 'action'
        WHEN s.has_fallback = 1 THEN 'warn'
@@ -160,12 +160,35 @@ FROM (SELECT run_date, max(CASE WHEN status = 'failed' THEN 1 ELSE 0 END) AS has
              max(CASE WHEN status = 'fallback' THEN 1 ELSE 0 END) AS has_fallback, count(*) AS n_status
       FROM run_status GROUP BY run_date) s
 FULL JOIN (SELECT run_date, min(CASE WHEN fresh THEN 1 ELSE 0 END) AS all_fresh, count(*) AS n_tables
-           FROM event_fresh GROUP BY run_date) t ON s.run_date = t.run_date""", ["run_status", "event_fresh"]))
+           FROM event_fresh GROUP BY run_date) t ON s.run_date = t.run_date""", ("run_status", "event_fresh"))
+
+
+@query("pipeline_verdict", with_views("SELECT * FROM verdicts", ["verdicts"]))
 def q_pipeline_verdict(spark, d):
     return rp.overall_verdict(fx.run_status(spark, d), _fresh(spark, d))
 
 
-@query("report_lines")
+_VERDICT_TEXT = "CASE verdict " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in rp.VERDICTS.items()) + " END"
+_ICON = "CASE {c} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in rp.STATUS_ICONS.items()) + f" ELSE '{rp.UNKNOWN_ICON}' END"
+
+
+@query("report_lines", with_views(f"""
+SELECT run_date, row_number() OVER (PARTITION BY run_date ORDER BY section, sort, line) AS line_no, line FROM (
+  SELECT run_date, 10 AS section, source AS sort,
+         {_ICON.format(c="status")} || ' ' || upper(source)
+           || CASE WHEN row_count IS NOT NULL THEN ' — ' || cast(row_count AS varchar) || ' positions' ELSE '' END
+           || ' (' || status || ')' AS line
+  FROM run_status WHERE source <> 'fx'
+  UNION ALL
+  SELECT run_date, 20, '', {_ICON.format(c="min(status)")} || ' FX Rates (' || min(status) || ')'
+  FROM run_status WHERE source = 'fx' GROUP BY run_date
+  UNION ALL
+  SELECT run_date, 30, "table",
+         CASE WHEN fresh THEN '✅ ' || "table" || ' — updated ' || updated_local || ' SGT'
+              ELSE '❌ ' || "table" || ' — stale (' || cast(age_hours AS varchar) || 'h old)' END
+  FROM event_fresh
+  UNION ALL
+  SELECT run_date, 40, '', {_VERDICT_TEXT} FROM verdicts)""", ["run_status", "event_fresh", "verdicts"]))
 def q_report_lines(spark, d):
     status = fx.run_status(spark, d)
     fresh = _fresh(spark, d)
@@ -243,7 +266,7 @@ def q_recent_transactions(spark, d):
 
 # ------------------------------------------------------------------ S8, S16
 
-@query("file_arrival_stream")
+@query("file_arrival_stream", with_views(f"SELECT {TX_ID} AS transaction_id, * FROM tx", ["tx"]))
 def q_file_arrival_stream(spark, d):
     """Statements arrive as files (one per month); one is delivered twice under a new name.
 
@@ -264,7 +287,10 @@ def q_file_arrival_stream(spark, d):
     return spark.read.parquet(target)
 
 
-@query("read_holdings_csv")
+@query("read_holdings_csv", with_views("""
+SELECT DATE '1998-12-31' AS date, cast(o_orderdate AS date) AS issue_date,
+       cast(o_orderdate + INTERVAL 120 MONTH AS date) AS maturity_date, 'GX' || cast(o_orderkey AS varchar) AS issue_code,
+       round(o_totalprice, 2) AS face_value, 'SGD' AS currency FROM orders"""))
 def q_read_holdings_csv(spark, d):
     """Bond holdings snapshots written as CSV from orders and read back with the fixed schema."""
     path = scratch_path(spark, f"holdings-{uuid.uuid4().hex[:12]}")
