@@ -57,13 +57,13 @@ def latest_snapshot(
 
     The newest date is a one-row-per-key aggregate joined back (a left-semi
     join on key and date): one partial+final aggregation and one broadcast
-    join, no correlated subquery.  ``keys`` must be a bounded set (sources,
-    currencies); for per-owner snapshots use :func:`dedup_latest` on the date.
+    join, no correlated subquery.
     """
     newest = df.groupBy(*keys).agg(F.max(date).alias(date))
-    # One row (no keys) or one row per key: tiny next to ``df``; broadcasting it
-    # keeps the big side where it is.  Keys such as a source list are bounded.
-    return df.join(F.broadcast(newest), on=[*keys, date], how="left_semi")
+    # Without keys the newest date is one row: broadcast it so the big side is
+    # not shuffled.  With keys its size follows the key set, so AQE decides
+    # from runtime statistics (it broadcasts a small key set such as sources).
+    return df.join(F.broadcast(newest) if not keys else newest, on=[*keys, date], how="left_semi")
 
 
 def latest_per_key_in_snapshot(

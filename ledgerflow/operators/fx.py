@@ -1,8 +1,9 @@
 """Positions and FX: class maps, market value, rate inversion, base-currency
 conversion, live-or-fallback snapshots and run-status rows.
 
-Rate tables have one row per currency (bounded by ISO 4217, a few hundred
-rows), so they are broadcast; everything else is left to the planner/AQE.
+Rate and price tables have one row per currency or coin; they are broadcast
+after a size check (with a shuffle join beyond it); everything else is left
+to the planner and AQE.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ ASSET_CLASS_CODES: dict[str, str] = {
 # Fiat currencies dropped from exchange balance lists.
 FIAT: tuple[str, ...] = ("USD", "SGD", "EUR", "GBP")
 BASE_CURRENCY = "SGD"
-# Upper bound on a currency table (ISO 4217 has under 200 active codes).
-MAX_CURRENCIES = 1000
+# Largest lookup table (currencies, coin prices) broadcast after a size check.
+MAX_DIM_ROWS = 100_000
 
 
 def map_class(df: DataFrame, col: str = "asset_class", mapping: Mapping[str, str] = ASSET_CLASS_CODES,
@@ -68,12 +69,23 @@ def invert_rates(quoted: DataFrame, base: str = BASE_CURRENCY, currency: str = "
     return rates.unionByName(base_row)
 
 
+def broadcast_if_bounded(dim: DataFrame, max_rows: int = MAX_DIM_ROWS) -> DataFrame:
+    """Broadcast ``dim`` only after checking it has at most ``max_rows`` rows.
+
+    The check stops reading at ``max_rows + 1`` rows.  Beyond the bound the
+    plain DataFrame is returned and the planner / AQE pick a shuffle join.
+    """
+    small = dim.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(dim) if small else dim
+
+
 def lookup(df: DataFrame, dim: DataFrame, on: str | Sequence[str], value: str, default,
-           out: str | None = None) -> DataFrame:
-    """Left lookup join with a default for misses.  ``dim`` must be small and
-    unique on ``on`` (a currency or price table); it is broadcast."""
+           out: str | None = None, max_dim_rows: int = MAX_DIM_ROWS) -> DataFrame:
+    """Left lookup join with a default for misses.  ``dim`` must be unique on
+    ``on`` (a currency or price table); it is broadcast when its checked size
+    is within ``max_dim_rows``."""
     keys = [on] if isinstance(on, str) else list(on)
-    d = F.broadcast(dim.select(*keys, F.col(value).alias("__v")))
+    d = broadcast_if_bounded(dim.select(*keys, F.col(value).alias("__v")), max_dim_rows)
     res = df.join(d, on=keys, how="left")
     return res.withColumn(out or value, F.coalesce(F.col("__v"), F.lit(default))).drop("__v")
 
@@ -116,10 +128,10 @@ def positions_with_fallback(live: DataFrame, outcome: DataFrame, history: DataFr
     """
     ok = outcome.filter(F.col("ok")).select("source")
     failed = outcome.filter(~F.col("ok")).select("source")
-    live_rows = live.join(F.broadcast(ok), "source", "left_semi")
+    live_rows = live.join(broadcast_if_bounded(ok), "source", "left_semi")
     if history is None:
         return live_rows
-    hist = history.join(F.broadcast(failed), "source", "left_semi")
+    hist = history.join(broadcast_if_bounded(failed), "source", "left_semi")
     fallback = latest_per_key_in_snapshot(hist, ["symbol"], date=date, keys=["source"], tiebreak=tiebreak)
     return live_rows.unionByName(fallback.select(*live_rows.columns))
 

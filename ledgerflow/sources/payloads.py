@@ -32,7 +32,7 @@ def explode_balances(df: DataFrame, payload: str = "payload", keep: Sequence[str
 
 
 def read_sectioned_csv(lines: DataFrame, required: Sequence[str] = POSITION_HEADER, file_col: str = "file",
-                       line_no: str = "line_no", text: str = "text") -> DataFrame:
+                       line_no: str = "line_no", text: str = "text", block_lines: int = 1 << 16) -> DataFrame:
     """Records of a multi-section CSV text.
 
     Input: one row per line with an explicit (file, line number) order.  A line
@@ -44,10 +44,18 @@ def read_sectioned_csv(lines: DataFrame, required: Sequence[str] = POSITION_HEAD
     """
     cells = F.transform(F.split(F.col(text), ","), lambda c: F.regexp_replace(F.trim(c), '^"+|"+$', ""))
     req = F.array(*[F.lit(r) for r in required])
-    t = lines.select(file_col, line_no, cells.alias("cells"))
+    t = lines.select(file_col, line_no, cells.alias("cells"), (F.col(line_no) / block_lines).cast("long").alias("__block"))
     t = t.withColumn("is_header", F.size(F.array_except(req, F.col("cells"))) == 0)
-    w = Window.partitionBy(file_col).orderBy(line_no).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = t.withColumn("header", F.last(F.when(F.col("is_header"), F.col("cells")), ignorenulls=True).over(w))
+    hdr = F.when(F.col("is_header"), F.col("cells"))
+    # Header carry in two levels so no window spans a whole file: the last
+    # header of every block (one row per block), carried into later blocks
+    # along the small per-block series, then within each bounded block.
+    blocks = t.groupBy(file_col, "__block").agg(F.max_by(hdr, F.when(F.col("is_header"), F.col(line_no))).alias("__last"))
+    wb = Window.partitionBy(file_col).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    carry_in = blocks.select(file_col, "__block", F.last("__last", ignorenulls=True).over(wb).alias("__in"))
+    w = Window.partitionBy(file_col, "__block").orderBy(line_no).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    t = t.withColumn("__own", F.last(hdr, ignorenulls=True).over(w)).join(carry_in, [file_col, "__block"], "left")
+    t = t.withColumn("header", F.coalesce("__own", "__in"))
     rec = t.filter(~F.col("is_header") & F.col("header").isNotNull() & (F.size("cells") == F.size("header")))
     # last cell wins for a repeated header name: reverse, then keep the first of each key
     zipped = F.reverse(F.arrays_zip(F.col("header").alias("k"), F.col("cells").alias("v")))

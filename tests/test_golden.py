@@ -138,3 +138,13 @@ def test_route_events(spark):
     assert got == [("process", "a.PDF"), ("skipped", None), ("error", None), ("skipped", None), ("error", None)]
     no_prefix = events.route_events(df, prefix=None).collect()
     assert no_prefix[1].action == "process"
+
+
+def test_sectioned_csv_header_carries_across_blocks(spark):
+    text = ['CurrencyPrimary,AssetClass,Symbol,Quantity,MarkPrice', 'x', 'USD,STK,A,1,2.00', 'y', 'USD,STK,B,1,3.00',
+            'CurrencyPrimary,Symbol,AssetClass,Quantity,MarkPrice', 'USD,C,ETF,2,4.00']
+    lines = spark.createDataFrame([("f", i, t) for i, t in enumerate(text)], "file string, line_no int, text string")
+    whole = sorted((r.symbol, r.asset_class, r.market_value) for r in broker_positions(payloads.read_sectioned_csv(lines)).collect())
+    blocked = sorted((r.symbol, r.asset_class, r.market_value)
+                     for r in broker_positions(payloads.read_sectioned_csv(lines, block_lines=2)).collect())
+    assert whole == blocked == [("A", "stock", 2.0), ("B", "stock", 3.0), ("C", "etf", 8.0)]

@@ -80,3 +80,17 @@ def test_month_asof_strategies_agree(spark):
     a = timeline.month_asof_join(inv, bank, "date", "date", ["cash_sgd"], strategy="carry")
     b = timeline.month_asof_join(inv, bank, "date", "date", ["cash_sgd"], strategy="months")
     assert _rows(a.select(*sorted(a.columns))) == _rows(b.select(*sorted(b.columns)))
+
+
+def test_row_index_equals_window_row_number(spark):
+    from ledgerflow.operators.numbering import row_index
+    tx = fx.tx(spark, SF)
+    order = ["etl_time", "description"]
+    a = row_index(tx, ["source_file"], order, bucket=F.to_date("etl_time")).select("source_file", "description", "etl_time", "row_index")
+    from pyspark.sql import Window
+    w = Window.partitionBy("source_file").orderBy(*order)
+    b = tx.select("source_file", "description", "etl_time", (F.row_number().over(w) - 1).cast("long").alias("row_index"))
+    assert _rows(a) == _rows(b)
+    hot = tx.withColumn("source_file", F.lit("one.pdf"))  # every row in one statement
+    c = row_index(hot, ["source_file"], order, bucket=F.to_date("etl_time"))
+    assert sorted(r.row_index for r in c.select("row_index").collect()) == list(range(hot.count()))
