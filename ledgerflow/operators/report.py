@@ -40,25 +40,31 @@ def source_status(run_status: DataFrame, run_date=None, pipeline: str = "investm
     return df.select("run_date", "source", "status", "row_count", "message").orderBy("run_date", "source")
 
 
+def _utc_to_local(ts: Column, tz: str) -> Column:
+    """UTC wall-clock (TIMESTAMP_NTZ) -> wall-clock in ``tz``; independent of the session time zone."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), ts.cast("timestamp_ntz"))
+
+
 def local_midnight_utc(as_of: Column, tz: str = LOCAL_TZ) -> Column:
-    """UTC instant of local midnight of the local day containing ``as_of`` (a UTC timestamp)."""
-    local_day = F.to_date(F.from_utc_timestamp(as_of, tz))
-    return F.to_utc_timestamp(local_day.cast("timestamp"), tz)
+    """UTC wall-clock of local midnight of the local day containing ``as_of`` (a UTC wall-clock)."""
+    midnight = F.to_date(_utc_to_local(as_of, tz)).cast("timestamp_ntz")
+    return F.convert_timezone(F.lit(tz), F.lit("UTC"), midnight)
 
 
 def freshness(tables: DataFrame, as_of: Column, tz: str = LOCAL_TZ) -> DataFrame:
     """Per table: fresh when modified since local midnight of ``as_of``; else age in whole hours.
 
     ``tables`` has (table, last_modified) and may carry grouping columns;
-    ``as_of`` is a UTC timestamp column or literal.
+    times are UTC wall-clock timestamps, so results do not depend on the
+    session time zone.
     """
-    lm = F.col("last_modified").cast("timestamp")
+    lm = F.col("last_modified").cast("timestamp_ntz")
     start = local_midnight_utc(as_of, tz)
-    age = F.floor((F.unix_micros(as_of) - F.unix_micros(lm)) / F.lit(3_600_000_000)).cast("long")
+    age = F.floor(F.timestamp_diff("MICROSECOND", lm, as_of.cast("timestamp_ntz")) / F.lit(3_600_000_000)).cast("long")
     return tables.select(
         "*",
         (lm >= start).alias("fresh"),
-        F.when(lm >= start, F.date_format(F.from_utc_timestamp(lm, tz), "HH:mm")).alias("updated_local"),
+        F.when(lm >= start, F.date_format(_utc_to_local(lm, tz), "HH:mm")).alias("updated_local"),
         F.when(lm < start, age).alias("age_hours"),
     )
 

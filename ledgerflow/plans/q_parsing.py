@@ -412,8 +412,8 @@ def q_object_path(spark, d):
 SELECT event_id, ts AS etl_time, cast(ts + INTERVAL 8 HOUR AS date) AS date, cast(ts AS date) AS landing_date FROM events"""))
 def q_stamp_local_date(spark, d):
     e = fx.table(spark, d, "events").select("event_id", "ts")
-    out = tables.stamp(e, F.col("ts").cast("timestamp"), tz="Asia/Singapore")
-    return out.select("event_id", F.col("etl_time").cast("timestamp_ntz").alias("etl_time"), "date", "landing_date")
+    out = tables.stamp(e, F.col("ts"), tz="Asia/Singapore")
+    return out.select("event_id", "etl_time", "date", "landing_date")
 
 
 @query("statement_totals", with_views("""

@@ -126,7 +126,7 @@ def _event_tables(spark, d):
     """Per day and event type: the newest event ('table last modified'), checked at 06:00 UTC next day."""
     e = fx.table(spark, d, "events")
     g = e.groupBy(F.col("ts").cast("date").alias("run_date"), F.col("event_type").alias("table")).agg(F.max("ts").alias("last_modified"))
-    as_of = (F.date_add("run_date", 1).cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(6), F.lit(0), F.lit(0)))
+    as_of = (F.date_add("run_date", 1).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(6), F.lit(0), F.lit(0)))
     return g.withColumn("as_of", as_of)
 
 
@@ -143,7 +143,7 @@ FROM (SELECT *, cast(cast(as_of + INTERVAL 8 HOUR AS date) AS timestamp) - INTER
 
 def _fresh(spark, d):
     t = _event_tables(spark, d)
-    return rp.freshness(t, F.col("as_of").cast("timestamp")).drop("as_of")
+    return rp.freshness(t, F.col("as_of")).drop("as_of")
 
 
 @query("freshness", with_views("SELECT * FROM event_fresh", ["event_fresh"]))

@@ -104,10 +104,12 @@ def file_freshness(df: DataFrame, name: str) -> DataFrame:
 
 def stamp(df: DataFrame, as_of, tz: str = "Asia/Singapore", ts_col: str = "etl_time", date_col: str = "date",
           utc_date_col: str | None = "landing_date") -> DataFrame:
-    """Load time stamp, the local calendar date of it in ``tz``, and (optionally)
-    the UTC date used for the landing partition (the two differ near midnight)."""
-    t = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
-    out = df.withColumn(ts_col, t).withColumn(date_col, F.to_date(F.from_utc_timestamp(t, tz)))
+    """Load time stamp (UTC wall-clock), the local calendar date of it in ``tz``,
+    and (optionally) the UTC date used for the landing partition (the two
+    differ near midnight).  Independent of the session time zone."""
+    t = (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast("timestamp_ntz")
+    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), t)
+    out = df.withColumn(ts_col, t).withColumn(date_col, F.to_date(local))
     if utc_date_col:
         out = out.withColumn(utc_date_col, F.to_date(t))
     return out

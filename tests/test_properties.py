@@ -94,3 +94,16 @@ def test_row_index_equals_window_row_number(spark):
     hot = tx.withColumn("source_file", F.lit("one.pdf"))  # every row in one statement
     c = row_index(hot, ["source_file"], order, bucket=F.to_date("etl_time"))
     assert sorted(r.row_index for r in c.select("row_index").collect()) == list(range(hot.count()))
+
+
+def test_results_do_not_depend_on_session_time_zone(spark, registry):
+    qs, _ = registry
+    names = ["stamp_local_date", "freshness", "pipeline_verdict", "append_ods", "net_worth_daily"]
+    base = {n: _rows(qs[n](spark, SF)) for n in names}
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        for n in names:
+            assert _rows(qs[n](spark, SF)) == base[n], n
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
