@@ -18,6 +18,7 @@ from ledgerflow.functions.dates import month_start, parse_statement_date, year_m
 from ledgerflow.functions.money import money, round_money
 from ledgerflow.functions.text import record_id
 from ledgerflow.operators import dedup, rollup, rules, timeline
+from ledgerflow.session import cut_lineage
 
 # Labels the history feed gives the non-broker sources.
 BANK_SOURCE = "uob_savings"
@@ -176,20 +177,42 @@ MODEL_NAMES = ("dwd_transactions", "dwd_positions", "monthly_spend", "savings_ra
                "net_worth_monthly", "net_worth_daily", "spend_mom")
 
 
+# Which requested models read each shared intermediate.
+CONSUMERS = {
+    "dwd_transactions": ("monthly_spend", "savings_rate", "spend_mom"),
+    "dwd_positions": ("net_worth_history", "net_worth_monthly", "net_worth_daily"),
+    "monthly_spend": ("spend_mom",),
+    "net_worth_history": ("net_worth_monthly",),
+}
+
+
 def run_models(inputs: dict[str, DataFrame], names: Sequence[str], keys: Sequence[str] = (),
                as_of: _dt.date | str | None = None, position_tiebreak=(), balance_tiebreak=(),
-               pension_tiebreak=()) -> dict[str, DataFrame]:
+               pension_tiebreak=(), checkpoint_shared: bool = False) -> dict[str, DataFrame]:
     """Build the requested models from raw inputs ``tx, positions, balances, pension``.
 
-    Model-to-model references resolve to the same lazy DataFrame, so a model
-    used by several others is planned once per action; persist or write it
-    when several actions consume it.
+    Model-to-model references resolve to the same lazy DataFrame.  With
+    ``checkpoint_shared`` an intermediate read by two or more of the requested
+    models is written once with a reliable ``checkpoint()`` into the folder
+    named by ``spark.checkpoint.dir``: later actions start from it, and a lost
+    executor does not send them back to the raw inputs.
     """
     built: dict[str, DataFrame] = {}
+    wanted = set(names)
+
+    def shared(name: str) -> bool:
+        return checkpoint_shared and len(wanted.intersection(CONSUMERS.get(name, ()))) >= 2
 
     def get(name: str) -> DataFrame:
         if name in built:
             return built[name]
+        v = _build(name)
+        if shared(name):
+            v = cut_lineage(v)
+        built[name] = v
+        return v
+
+    def _build(name: str) -> DataFrame:
         if name == "dwd_transactions":
             v = dwd_transactions(inputs["tx"], keys)
         elif name == "dwd_positions":
@@ -212,7 +235,6 @@ def run_models(inputs: dict[str, DataFrame], names: Sequence[str], keys: Sequenc
             v = spend_mom(get("monthly_spend"), as_of, keys)
         else:
             raise KeyError(f"unknown model {name!r}; known: {MODEL_NAMES}")
-        built[name] = v
         return v
 
     return {n: get(n) for n in names}

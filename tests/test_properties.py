@@ -107,3 +107,19 @@ def test_results_do_not_depend_on_session_time_zone(spark, registry):
             assert _rows(qs[n](spark, SF)) == base[n], n
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_shared_models_checkpointed_into_checkpoint_dir(spark):
+    import os
+    from ledgerflow.session import ensure_checkpoint_dir
+    inputs = {"tx": fx.tx(spark, SF), "positions": fx.positions(spark, SF),
+              "balances": fx.balances(spark, SF), "pension": fx.pension(spark, SF)}
+    names = ["net_worth_monthly", "net_worth_daily", "savings_rate", "spend_mom"]
+    kw = dict(as_of="1998-09-15", position_tiebreak=pos_tb(), balance_tiebreak=bal_tb(), pension_tiebreak=bal_tb())
+    plain = m.run_models(inputs, names, **kw)
+    ckpt_dir = ensure_checkpoint_dir(spark)
+    before = sum(len(f) for _, _, f in os.walk(ckpt_dir))
+    cut = m.run_models(inputs, names, checkpoint_shared=True, **kw)
+    assert sum(len(f) for _, _, f in os.walk(ckpt_dir)) > before
+    for n in names:
+        assert _rows(cut[n]) == _rows(plain[n]), n
