@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.money import money, RATE
+from ledgerflow.functions.money import money
 from ledgerflow.operators.fx import convert_to_base, invert_rates
 
 

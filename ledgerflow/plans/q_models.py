@@ -9,7 +9,7 @@ from ledgerflow.operators import dedup, rollup, rules, timeline
 from ledgerflow.plans import fixtures as fx
 from ledgerflow.plans import models as m
 from ledgerflow.plans.catalog import query
-from ledgerflow.plans.oracle_views import CARRIED, OVERRIDE, fill_sql, money, msum, pct, row_total_sql, with_views
+from ledgerflow.plans.oracle_views import CARRIED, OVERRIDE, fill_sql, money, pct, row_total_sql, with_views
 
 # Reports that need "today" take an explicit date (never the wall clock).
 AS_OF = "1998-09-15"
