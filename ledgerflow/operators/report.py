@@ -130,10 +130,19 @@ def share_of_total(df: DataFrame, value: str = "value", keys: Sequence[str] = ()
     return df.withColumn(out, ratio_pct(money(value), total, scale))
 
 
-def latest_rows(df: DataFrame, date: str = "date", keys: Sequence[str] = ()) -> DataFrame:
-    """Rows on each owner's newest date (aggregate + semi join, no global sort)."""
-    newest = df.groupBy(*keys).agg(F.max(date).alias(date))
-    return df.join(newest, [*keys, date], "left_semi")
+def latest_rows(df: DataFrame, date: str = "date", keys: Sequence[str] = (), bounded: bool = True) -> DataFrame:
+    """Rows on each owner's newest date.
+
+    ``bounded`` (a calendar-bounded series such as a monthly dashboard): one
+    pass, the newest date as a window maximum per owner.  Otherwise the
+    newest dates are an aggregate joined back (left semi), which never puts
+    an owner's raw rows in one window.
+    """
+    if bounded:
+        newest = F.max(date).over(Window.partitionBy(*keys))
+        return df.withColumn("__newest", newest).filter(F.col(date) == F.col("__newest")).drop("__newest")
+    agg = df.groupBy(*keys).agg(F.max(date).alias(date))
+    return df.join(F.broadcast(agg) if not keys else agg, [*keys, date], "left_semi")
 
 
 def allocation(monthly: DataFrame, classes: Mapping[str, Sequence[str]], keys: Sequence[str] = ()) -> DataFrame:
