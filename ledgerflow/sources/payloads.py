@@ -57,14 +57,12 @@ def read_sectioned_csv(lines: DataFrame, required: Sequence[str] = POSITION_HEAD
     t = t.withColumn("__own", F.last(hdr, ignorenulls=True).over(w)).join(carry_in, [file_col, "__block"], "left")
     t = t.withColumn("header", F.coalesce("__own", "__in"))
     rec = t.filter(~F.col("is_header") & F.col("header").isNotNull() & (F.size("cells") == F.size("header")))
-    # last cell wins for a repeated header name: reverse, then keep the first of each key
-    zipped = F.reverse(F.arrays_zip(F.col("header").alias("k"), F.col("cells").alias("v")))
-    dedup = F.aggregate(
-        zipped,
-        F.array().cast("array<struct<k:string,v:string>>"),
-        lambda acc, x: F.when(F.exists(acc, lambda y: y["k"] == x["k"]), acc).otherwise(F.concat(acc, F.array(x))),
-    )
-    return rec.select(file_col, line_no, F.map_from_entries(dedup).alias("record"))
+    # a repeated header name keeps its last cell: distinct names, each looked
+    # up at its last position
+    rev = F.reverse(F.col("header"))
+    names = F.array_distinct(rev)
+    values = F.transform(names, lambda k: F.try_element_at(F.col("cells"), (F.size("header") + 1 - F.array_position(rev, k)).cast("int")))
+    return rec.select(file_col, line_no, F.map_from_arrays(names, values).alias("record"))
 
 
 def read_report_lines(spark: SparkSession, path: str) -> DataFrame:
