@@ -108,7 +108,7 @@ def report_lines(status: DataFrame, fresh: DataFrame, verdicts: DataFrame, label
     verdict_lines = verdicts.select(key, F.lit(40).alias("section"), F.lit("").alias("sort"), vm[F.col("verdict")].alias("line"))
     allx = broker_lines.unionByName(fx_lines).unionByName(table_lines).unionByName(verdict_lines)
     w = Window.partitionBy(key).orderBy("section", "sort", "line")
-    return allx.withColumn("line_no", F.row_number().over(w)).select(key, "line_no", "line")
+    return allx.withColumn("line_no", F.row_number().over(w).cast("long")).select(key, "line_no", "line")
 
 
 # ------------------------------------------------------------------ dashboard summaries

@@ -166,8 +166,8 @@ def q_nearest_column(spark, d):
 
 @query("segment_lines", with_views(f"""
 SELECT source_file, page, top, text, txn FROM (
-  SELECT *, sum(CASE WHEN regexp_matches(ws[1] || ' ' || coalesce(ws[2], ''), '{st.SAVINGS_DATE_RE}') THEN 1 ELSE 0 END)
-              OVER (PARTITION BY source_file, page ORDER BY top ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS txn
+  SELECT *, cast(sum(CASE WHEN regexp_matches(ws[1] || ' ' || coalesce(ws[2], ''), '{st.SAVINGS_DATE_RE}') THEN 1 ELSE 0 END)
+              OVER (PARTITION BY source_file, page ORDER BY top ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bigint) AS txn
   FROM sav_clean) WHERE txn > 0""", ["sav_clean"]))
 def q_segment_lines(spark, d):
     seg = st.segment(st.drop_noise(_sav_lines(spark, d), st.SAVINGS_NOISE), st.SAVINGS_DATE_RE)

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from tools.oracle_check import compare
+from tools.oracle_check import compare, type_mismatches
 
 ORACLE_NAMES = sorted(entry.oracle_sql())
 ROWS_ONLY = sorted(set(entry.queries()) - set(ORACLE_NAMES))
@@ -18,6 +18,7 @@ def test_matches_oracle(spark, duck, registry, name):
     drows = cur.fetchall()
     dcols = [c[0] for c in cur.description]
     assert compare(rows, df.columns, drows, dcols) is None
+    assert type_mismatches(df.schema, dcols, duck.sql(sqls[name]).types) == []
 
 
 @pytest.mark.parametrize("name", ROWS_ONLY)
