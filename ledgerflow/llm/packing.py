@@ -102,7 +102,11 @@ def pieces(
 
 
 def sum_of_squares(counts: np.ndarray, size: int) -> list[list[int]]:
-    """Pack counts[s] pieces of each length s, longest first; the bins as lists of lengths."""
+    """Pack counts[s] pieces of each length s, longest first; the bins as lists of lengths.
+
+    A bin is opened only where no open one has room, which needs fewer bins
+    than letting the rule weigh a new bin against the open ones.
+    """
     open_bins = np.zeros(size + 1, dtype=np.int64)  # by gap; gaps 0 and size never count
     stacks: dict[int, list[list[int]]] = defaultdict(list)
     closed: list[list[int]] = []
@@ -116,8 +120,8 @@ def sum_of_squares(counts: np.ndarray, size: int) -> list[list[int]]:
             after = open_bins[0: size - s]
             change = np.where(have > 0, 2 * (after - have) + 2, np.iinfo(np.int64).max)
             change[0] = 1 - 2 * have[0] if have[0] > 0 else change[0]
-            g = int(change.argmin()) + s if len(change) else 0
-            if len(change) and change[g - s] <= 2 * open_bins[size - s] + 1:
+            g = int(change.argmin()) + s
+            if have[g - s] > 0:
                 own = stacks[g].pop()
                 open_bins[g] -= 1
                 gap = g - s
@@ -132,7 +136,7 @@ def sum_of_squares(counts: np.ndarray, size: int) -> list[list[int]]:
     return closed + [b for gap in sorted(stacks) for b in stacks[gap]]
 
 
-def plan(counts: np.ndarray, size: int, most: int = 1 << 15, full: float = 0.995) -> dict[str, np.ndarray]:
+def plan(counts: np.ndarray, size: int, most: int = 1 << 17, full: float = 0.995) -> dict[str, np.ndarray]:
     """Slots for counts[s] pieces of each length: arrays length, rank, repeat, bin, offset.
 
     Pieces of ``length`` ranked rank .. rank+repeat-1 go to bins bin ..
