@@ -6,11 +6,12 @@ to a shared folder without a shuffle.  Global statistics (documents, average
 length, document frequencies of the queries' terms) are sums over the shards.
 
 Each shard answers all queries of a block on its own.  Terms are taken from the
-highest bound down; the k-th best score so far is the threshold.  Terms whose
-upper bounds together stay under it cannot lift a document into the result by
-themselves, so their postings are not read; for the documents that the other
-terms touch, the block maxima of the skipped terms bound what is missing, and
-only documents whose bound reaches the threshold are scored in full.  Pruning
+highest bound down; the k-th best score so far is the threshold, and one shard
+in eight answers first, so that the others start from its thresholds.  Terms
+whose upper bounds together stay well under it cannot lift a document into the
+result by themselves, so their postings are not read; for the documents that
+the other terms touch, the block maxima of the skipped terms bound what is
+missing, and only documents whose bound reaches the threshold are scored in full.  Pruning
 never drops a document that could be among the k best, ties included; Spark
 merges the shards' lists, so the result is exact.
 
@@ -41,9 +42,24 @@ from ledgerflow.llm.textops import gather_ranges, runs, signed, words
 from ledgerflow.session import scratch_path
 
 NO_ID = (1 << 63) - 1
+#: Terms are read until the bounds of the rest fall under this share of the threshold: less saves postings, more saves full scores.
+SHARE = 0.25
+#: One shard in so many answers first, to give the others their thresholds.
+FIRST = 8
 BLOCK = 64  # documents per block of the block maxima
 
 
+def _narrow(x: np.ndarray) -> bytes:
+    """Bytes of non-negative integers in the narrowest of 2, 4 and 8 bytes."""
+    most = int(x.max()) if len(x) else 0
+    return x.astype(np.uint16 if most < 1 << 16 else np.uint32 if most < 1 << 32 else np.uint64).tobytes()
+
+
+def _wide(raw: bytes, n: int) -> np.ndarray:
+    """The n integers of ``_narrow``."""
+    return np.frombuffer(raw, dtype={2: np.uint16, 4: np.uint32, 8: np.uint64}[len(raw) // n] if n else np.uint16)
+
+
 def pack_shard(ids: np.ndarray, texts: list[str]) -> dict:
     """One shard: documents in order of id, terms in order of hash, postings by term and document."""
     order = np.argsort(ids, kind="stable")
@@ -63,15 +79,15 @@ def pack_shard(ids: np.ndarray, texts: list[str]) -> dict:
     first = np.flatnonzero(np.concatenate(([True], term[1:] != term[:-1]))) if len(term) else np.zeros(0, np.int64)
     return {
         "n_docs": len(ids), "n_words": int(lengths.sum()), "ids": ids.astype(np.int64).tobytes(), "lengths": lengths.tobytes(),
-        "terms": term[first].tobytes(), "starts": np.append(first, len(term)).astype(np.int64).tobytes(),
-        "docs": doc.tobytes(), "tfs": tf.tobytes(),
+        "terms": term[first].tobytes(), "dfs": _narrow(np.diff(np.append(first, len(term)))),
+        "docs": _narrow(doc), "tfs": _narrow(tf),
     }
 
 
-SHARD = "n_docs long, n_words long, ids binary, lengths binary, terms binary, starts binary, docs binary, tfs binary"
+SHARD = "n_docs long, n_words long, ids binary, lengths binary, terms binary, dfs binary, docs binary, tfs binary"
 
 
-def build_index(docs: DataFrame, order: str = "doc_id", text: str = "text", shard_chars: int = 48_000_000) -> DataFrame:
+def build_index(docs: DataFrame, order: str = "doc_id", text: str = "text", shard_chars: int = 16_000_000) -> DataFrame:
     """Write the index of all rows to the shared folder and return it (one row per shard)."""
     spark = docs.sparkSession
 
@@ -101,14 +117,15 @@ class Shard:
     def __init__(self, row: dict, average: float, k1: float, b: float):
         self.ids = np.frombuffer(row["ids"], dtype=np.int64)
         self.terms = np.frombuffer(row["terms"], dtype=np.int64)
-        self.starts = np.frombuffer(row["starts"], dtype=np.int64)
-        self.docs = np.frombuffer(row["docs"], dtype=np.int32)
-        tf = np.frombuffer(row["tfs"], dtype=np.int32).astype(np.float64)
+        self.df = _wide(row["dfs"], len(self.terms)).astype(np.int64)
+        self.starts = np.concatenate(([0], np.cumsum(self.df)))
+        self.docs = _wide(row["docs"], int(self.starts[-1]))
+        tf = _wide(row["tfs"], int(self.starts[-1])).astype(np.float64)
         lengths = np.frombuffer(row["lengths"], dtype=np.int32)
         norm = k1 * (1 - b + b * lengths / average)
         self.impacts = tf * (k1 + 1) / (tf + norm[self.docs])
-        self.df = np.diff(self.starts)
-        term_of = np.repeat(np.arange(len(self.terms)), self.df)
+        term_of = np.repeat(np.arange(len(self.terms), dtype=np.int32), self.df)
+        del tf, norm
         self.term_max = np.maximum.reduceat(self.impacts, self.starts[:-1]) if len(self.terms) else np.zeros(0)
         # Block maxima: one entry per term and block of documents where it occurs.
         block = self.docs // BLOCK
@@ -118,9 +135,10 @@ class Shard:
         self.pair_max = np.maximum.reduceat(self.impacts, pair) if len(pair) else np.zeros(0)
         self.pair_starts = np.searchsorted(pair, self.starts)
         # The same postings by document, terms in order: for full scores.
+        del block
         by_doc = np.argsort(self.docs, kind="stable")
-        self.doc_terms, self.doc_impacts = term_of[by_doc].astype(np.int32), self.impacts[by_doc]
-        self.doc_starts = np.searchsorted(self.docs[by_doc], np.arange(len(self.ids) + 1))
+        self.doc_terms, self.doc_impacts = term_of[by_doc], self.impacts[by_doc]
+        self.doc_starts = np.concatenate(([0], np.cumsum(np.bincount(self.docs, minlength=len(self.ids)))))
         self.weights = np.zeros(len(self.terms))  # of the query at hand
 
     def full(self, docs: np.ndarray) -> np.ndarray:
@@ -130,8 +148,8 @@ class Shard:
         owner = np.repeat(np.arange(len(docs)), n)
         return np.bincount(owner, weights=self.weights[self.doc_terms[at]] * self.doc_impacts[at], minlength=len(docs))
 
-    def top(self, term: np.ndarray, idf: np.ndarray, k: int, slack: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
-        """The k best documents (places) and their scores; ``term`` are places of the query's terms here."""
+    def top(self, term: np.ndarray, idf: np.ndarray, k: int, threshold: float = 0.0, slack: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
+        """The k best documents (places) of at least ``threshold``, and their scores; ``term`` are places of the query's terms here."""
         if len(term) == 0:
             return np.zeros(0, dtype=np.int64), np.zeros(0)
         self.weights[term] = idf
@@ -140,25 +158,41 @@ class Shard:
         term, idf, bound = term[order], idf[order], bound[order]
         below = np.append(np.cumsum(bound[::-1])[::-1], 0.0)  # sum of the bounds of this term and all later ones
         partial = np.zeros(len(self.ids))
-        done, threshold, seen = 0, 0.0, np.zeros(0, dtype=np.int64)
+        needed = lambda: int(np.searchsorted(-below, slack - SHARE * threshold, side="right"))  # noqa: E731  terms before the rest is too weak
+        done, step = 0, 16 if threshold == 0 else len(term)
         # Read terms in growing steps until the rest cannot make a result on its own.
-        while done < len(term) and below[done] + slack >= threshold:
-            step = max(8, done)
-            t, weight = term[done: done + step], idf[done: done + step]
-            at = gather_ranges(self.starts[t], self.df[t])
-            partial += np.bincount(self.docs[at], weights=np.repeat(weight, self.df[t]) * self.impacts[at], minlength=len(partial))
-            done += len(t)
-            if len(partial) > k:
-                best = np.argpartition(-partial, k - 1)[:k]
-                fresh = best[partial[best] > 0]
-                if len(fresh) == k:
-                    threshold = max(threshold, float(self.full(fresh).min()))
+        while done < min(len(term), needed()):
+            end = min(done + step, needed(), len(term))
+            t, weight = term[done:end], idf[done:end]
+            step *= 3
+            ranges = list(zip(self.starts[t].tolist(), self.starts[t + 1].tolist(), strict=True))
+            docs = np.concatenate([self.docs[lo:hi] for lo, hi in ranges])
+            gained = np.concatenate([self.impacts[lo:hi] for lo, hi in ranges]) * np.repeat(weight, self.df[t])
+            partial += np.bincount(docs, weights=gained, minlength=len(partial))
+            done = end
+            if len(partial) > k and done < len(term):
+                # A partial score is a lower bound of the whole one.
+                threshold = max(threshold, float(np.partition(partial, len(partial) - k)[-k]))
         t, weight = term[done:], idf[done:]
         n = self.pair_starts[t + 1] - self.pair_starts[t]
         at = gather_ranges(self.pair_starts[t], n)
         missing = np.bincount(self.pair_block[at], weights=np.repeat(weight, n) * self.pair_max[at], minlength=self.n_blocks)
-        could = np.flatnonzero((partial > 0) & (partial + missing[np.arange(len(partial)) // BLOCK] + slack >= threshold))
-        score = np.round(self.full(could), 6)
+        touched = np.flatnonzero(partial)
+        reach = partial[touched] + missing[touched // BLOCK] + slack
+        keep = reach >= threshold
+        could, reach = touched[keep], reach[keep]
+        # Full scores from the highest bound down, in growing chunks, each of which may raise the threshold.
+        order = np.argsort(-reach, kind="stable")
+        could, reach = could[order], reach[order]
+        docs, scores, at, chunk = could[:0], np.zeros(0), 0, k + 2
+        while at < len(could) and reach[at] >= threshold:
+            now = could[at: at + chunk]
+            docs, scores = np.concatenate((docs, now)), np.concatenate((scores, self.full(now)))
+            if len(scores) >= k:
+                threshold = max(threshold, float(np.partition(scores, len(scores) - k)[-k]))
+            at, chunk = at + chunk, chunk * 2
+        enough = scores + slack >= threshold
+        could, score = docs[enough], np.round(scores[enough], 6)
         self.weights[term] = 0.0
         keep = np.lexsort((self.ids[could], -score))[:k]
         return could[keep], score[keep]
@@ -202,35 +236,47 @@ def search(
             for batch in batches:
                 for _, row in batch.iterrows():
                     terms = np.frombuffer(row["terms"], dtype=np.int64)
-                    df = np.diff(np.frombuffer(row["starts"], dtype=np.int64))
+                    df = _wide(row["dfs"], len(terms))
                     at = np.minimum(np.searchsorted(terms, vocabulary), max(0, len(terms) - 1))
                     here = np.flatnonzero(terms[at] == vocabulary) if len(terms) else np.zeros(0, np.int64)
-                    yield pd.DataFrame({"place": here, "df": df[at[here]]})
+                    yield pd.DataFrame({"place": here, "df": df[at[here]].astype(np.int64)})
 
         counted = (
-            index.select("terms", "starts").mapInPandas(frequencies, "place long, df long").groupBy("place").agg(F.sum("df").alias("df")).toPandas())
+            index.select("terms", "dfs").mapInPandas(frequencies, "place long, df long").groupBy("place").agg(F.sum("df").alias("df")).toPandas())
         df = np.zeros(len(vocabulary))
         df[counted["place"].to_numpy(np.int64)] = counted["df"].to_numpy(np.float64)
         idf = spark.sparkContext.broadcast(np.log(1 + (n_docs - df + 0.5) / (df + 0.5)))
 
-        def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            ids, starts, vocabulary, where = sent.value
-            weight = idf.value
-            for batch in batches:
-                for _, row in batch.iterrows():
-                    shard = Shard(row, average, k1, b)
-                    place = np.minimum(np.searchsorted(shard.terms, vocabulary), max(0, len(shard.terms) - 1))
-                    here = shard.terms[place] == vocabulary if len(shard.terms) else np.zeros(len(vocabulary), dtype=bool)
-                    out = []
-                    for q in range(len(ids)):
-                        own = where[starts[q]: starts[q + 1]]
-                        own = own[here[own]]
-                        found, score = shard.top(place[own], weight[own], k)
-                        out.append((np.full(len(found), ids[q]), shard.ids[found], score))
-                    if out:
-                        yield pd.DataFrame(dict(zip(("query_id", "id", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
-
-        return index.mapInPandas(answer, "query_id long, id long, score double")
+        def answering(thresholds):
+            def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                ids, starts, vocabulary, where = sent.value
+                weight, least = idf.value, thresholds.value
+                for batch in batches:
+                    for _, row in batch.iterrows():
+                        shard = Shard(row, average, k1, b)
+                        place = np.minimum(np.searchsorted(shard.terms, vocabulary), max(0, len(shard.terms) - 1))
+                        here = shard.terms[place] == vocabulary if len(shard.terms) else np.zeros(len(vocabulary), dtype=bool)
+                        out = []
+                        for q in range(len(ids)):
+                            own = where[starts[q]: starts[q + 1]]
+                            own = own[here[own]]
+                            found, score = shard.top(place[own], weight[own], k, least[q])
+                            out.append((np.full(len(found), ids[q]), shard.ids[found], score))
+                        if out:
+                            yield pd.DataFrame(dict(zip(("query_id", "id", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
+
+            return answer
+
+        schema, leads = "query_id long, id long, score double", F.pmod(F.xxhash64("lengths"), F.lit(FIRST)) == 0
+        least = spark.sparkContext.broadcast(np.zeros(len(ids)))
+        first_path = scratch_path(spark, f"wand-first-{uuid4().hex}")
+        index.where(leads).mapInPandas(answering(least), schema).write.parquet(first_path)
+        first = spark.read.schema(schema).parquet(first_path)
+        # The k-th best score among the first shards: nothing below it can be a result.
+        kth = first.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))).where(F.col("rank") == k)
+        reached = dict(kth.select("query_id", "score").toPandas().itertuples(index=False))
+        least = spark.sparkContext.broadcast(np.array([reached.get(q, 0.0) for q in ids.tolist()]))
+        return first.unionByName(index.where(~leads).mapInPandas(answering(least), schema))
 
     lists = one_block(0)
     for number in range(1, blocks):
