@@ -12,8 +12,10 @@ scores every whole text in Spark.
 Labels are learned only from rows whose crc32(doc_id as text) mod ``folds`` is
 not 0.  The model is fitted on at most about ``max_labelled`` labelled rows, a
 sample by hash of the id; mining counts run in Spark, and what reaches the driver is
-that sample's vote matrix (max_labelled x voters bits).  Only the text is an
-input of a score.
+that sample's vote matrix (max_labelled x voters bits).  Near copies teach once:
+of the sampled rows whose least shingle hash is the same, one is kept, or the
+words of one text copied many times would crowd out all other voters.  Only the
+text is an input of a score.
 
 Nulls and edges: a null text counts as empty and is scored; labels without an
 id or a value teach nothing; of several labels of one id the largest holds; a
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
@@ -33,6 +36,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.llm.textops import runs, segments_min, shingles, signed, words
+from ledgerflow.session import scratch_path
+
 WORD = regex.compile(r"\p{L}+")
 STEMS = (3, 4, 5, 6)
 # Patterns that vote "toxic" whatever the language.
@@ -159,7 +165,20 @@ def train(
     if have > max_labelled:
         taught = taught.where(F.pmod(F.xxhash64("__id"), F.lit(1_000_000)) < int(1_000_000 * max_labelled / have))
     body = docs.select(F.col(order).cast("long").alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
-    # At most about max_labelled pairs of numbers: a bound, so the texts need no shuffle.
+
+    def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            least = [segments_min(*shingles(words(batch["body"].iloc[lo:hi].tolist()), 5)) for lo, hi in runs(batch["body"].tolist())]
+            yield pd.DataFrame({"__id": batch["__id"].to_numpy(), "least": signed(np.concatenate(least)) if least else []})
+
+    # At most about max_labelled pairs of numbers are broadcast: a bound, so the texts need no shuffle.
+    once = (
+        body.join(F.broadcast(taught), "__id").select("__id", "body").mapInPandas(shingled, "__id long, least long")
+        .groupBy("least").agg(F.min("__id").alias("__id")).select("__id").distinct()
+    )
+    ids_path = scratch_path(spark, f"toxicity-sample-{uuid4().hex}")
+    taught.join(once, "__id").write.parquet(ids_path)
+    taught = spark.read.parquet(ids_path)
     sample = body.join(F.broadcast(taught), "__id").select("body", F.col("__label").alias("label"))
 
     def mine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
