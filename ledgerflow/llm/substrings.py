@@ -12,7 +12,7 @@ join with the path's least document decides all windows through it.  Where
 paths branch, only one representative per path (those in its least document)
 is opened into single windows, whose hashes meet in a second, word-level join.
 Edges and windows carry their source coordinates (document, word), and two
-independent 64-bit hashes must agree.
+independent hashes (64 and 64 bits for paths, 64 and 32 for windows) must agree.
 
 A window that also starts in a document with a smaller id is repeated; the
 words under repeated windows are removed from the later document.  Decisions
@@ -118,7 +118,7 @@ def remove_repeats(
     spark = docs.sparkSession
     body = F.coalesce(F.col(text), F.lit(""))
     base = docs.select(
-        F.coalesce(F.col(order).cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(body).alias("tag"), body.alias("body"))
+        F.coalesce(F.col(order).cast("long"), F.lit(LAST)).alias("id"), F.hash(body).alias("tag"), body.alias("body"))
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -130,11 +130,15 @@ def remove_repeats(
             })
 
     edges_path = scratch_path(spark, f"edges-{uuid4().hex}")
-    base.mapInPandas(emit, "id long, tag long, lo int, hi int, edge long, path1 long, path2 long").write.parquet(edges_path)
+    base.mapInPandas(emit, "id long, tag int, lo int, hi int, edge long, path1 long, path2 long").write.parquet(edges_path)
     edges = spark.read.parquet(edges_path)
 
     # Edges of one document alone drop out; a hot edge meets in map-side minima first.
-    many = edges.groupBy("edge").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("edge")
+    # The list is written, so that the join deals both sides anew and can split a hot edge.
+    many_path = scratch_path(spark, f"many-{uuid4().hex}")
+    (edges.groupBy("edge").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("edge")
+     .write.parquet(many_path))
+    many = spark.read.parquet(many_path)
     repeated_path = scratch_path(spark, f"repeated-{uuid4().hex}")
     edges.join(many, "edge", "left_semi").write.parquet(repeated_path)
     repeated = spark.read.parquet(repeated_path)
@@ -167,14 +171,14 @@ def remove_repeats(
                 sure = np.flatnonzero(starts).astype(np.int32)
                 if len(ask):
                     h1, h2 = window_hashes(text_, ask, window)
-                    rows.append((doc_id, tag, n, 0, text_, sure, ask.astype(np.int32), signed(h1), signed(h2)))
+                    rows.append((doc_id, tag, n, 0, text_, sure, ask.astype(np.int32), signed(h1), (h2 >> np.uint64(32)).astype(np.uint32).view(np.int32)))
                 else:
                     rows.append((doc_id, tag, *_report(doc_id, text_, _covered(n, sure, sure, window))[1:], None, None, None, None))
             yield pd.DataFrame(rows, columns=["id", "tag", "n_words", "n_removed", "body", "sure", "ask", "h1", "h2"])
 
     settled_path = scratch_path(spark, f"settled-{uuid4().hex}")
     (
-        joined.mapInPandas(settle, "id long, tag long, n_words long, n_removed long, body string, sure array<int>, ask array<int>, h1 array<long>, h2 array<long>")
+        joined.mapInPandas(settle, "id long, tag int, n_words long, n_removed long, body string, sure array<int>, ask array<int>, h1 array<long>, h2 array<int>")
         .withColumn("row", F.monotonically_increasing_id()).write.parquet(settled_path)
     )
     settled = spark.read.parquet(settled_path)
