@@ -21,7 +21,8 @@ def _step(links: DataFrame, large: bool) -> DataFrame:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         both = links
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
+    # Cut, so that the join deals both sides anew and can split a hot node.
+    least = cut_lineage(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m")))
     out = both.join(least, F.col("a") == F.col("u"))
     moved = out.where(F.col("b") > F.col("a")) if large else out.where(F.col("b") != F.col("m"))
     pairs = moved.select(F.col("b").alias("x"), F.col("m").alias("y"))
