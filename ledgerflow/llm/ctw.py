@@ -102,7 +102,7 @@ def _nodes(leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Zeros and ones at the 255 decision nodes of byte counts leaf[:, 256] (node 1 is the first bit)."""
     zeros, ones = (np.zeros((len(leaf), 256)) for _ in range(2))
     for level in range(8):
-        split = leaf.reshape(len(leaf), 1 << level, 2, -1).sum(axis=3)
+        split = leaf.reshape(len(leaf), 1 << level, 2, 128 >> level).sum(axis=3)
         zeros[:, 1 << level: 2 << level] = split[:, :, 0]
         ones[:, 1 << level: 2 << level] = split[:, :, 1]
     return zeros, ones
