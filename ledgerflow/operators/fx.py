@@ -1,9 +1,10 @@
 """Positions and FX: class maps, market value, rate inversion, base-currency
 conversion, live-or-fallback snapshots and run-status rows.
 
-Rate and price tables have one row per currency or coin; they are broadcast
-after a size check (with a shuffle join beyond it); everything else is left
-to the planner and AQE.
+Rate and price tables have one row per currency or coin.  Lookups are plain
+left joins: Spark broadcasts a side only under its own size threshold
+(``spark.sql.autoBroadcastJoinThreshold``), checked on statistics or, under
+AQE, on the bytes that a stage has really written; building a query runs no job.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.money import money, RATE
+from ledgerflow.functions.money import money
 from ledgerflow.operators.dedup import latest_per_key_in_snapshot
 
 # Broker asset-class codes -> our classes.
@@ -28,8 +29,8 @@ ASSET_CLASS_CODES: dict[str, str] = {
 # Fiat currencies dropped from exchange balance lists.
 FIAT: tuple[str, ...] = ("USD", "SGD", "EUR", "GBP")
 BASE_CURRENCY = "SGD"
-# Largest lookup table (currencies, coin prices) broadcast after a size check.
-MAX_DIM_ROWS = 100_000
+# Exact product of an unrounded value and a rate: 22 + 14 + 1 digits fit a decimal.
+UNROUNDED, RATE_FACTOR = "decimal(22,8)", "decimal(14,6)"
 
 
 def map_class(df: DataFrame, col: str = "asset_class", mapping: Mapping[str, str] = ASSET_CLASS_CODES,
@@ -69,23 +70,12 @@ def invert_rates(quoted: DataFrame, base: str = BASE_CURRENCY, currency: str = "
     return rates.unionByName(base_row)
 
 
-def broadcast_if_bounded(dim: DataFrame, max_rows: int = MAX_DIM_ROWS) -> DataFrame:
-    """Broadcast ``dim`` only after checking it has at most ``max_rows`` rows.
-
-    The check stops reading at ``max_rows + 1`` rows.  Beyond the bound the
-    plain DataFrame is returned and the planner / AQE pick a shuffle join.
-    """
-    small = dim.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(dim) if small else dim
-
-
 def lookup(df: DataFrame, dim: DataFrame, on: str | Sequence[str], value: str, default,
-           out: str | None = None, max_dim_rows: int = MAX_DIM_ROWS) -> DataFrame:
+           out: str | None = None) -> DataFrame:
     """Left lookup join with a default for misses.  ``dim`` must be unique on
-    ``on`` (a currency or price table); it is broadcast when its checked size
-    is within ``max_dim_rows``."""
+    ``on`` (a currency or price table)."""
     keys = [on] if isinstance(on, str) else list(on)
-    d = broadcast_if_bounded(dim.select(*keys, F.col(value).alias("__v")), max_dim_rows)
+    d = dim.select(*keys, F.col(value).alias("__v"))
     res = df.join(d, on=keys, how="left")
     return res.withColumn(out or value, F.coalesce(F.col("__v"), F.lit(default))).drop("__v")
 
@@ -93,10 +83,14 @@ def lookup(df: DataFrame, dim: DataFrame, on: str | Sequence[str], value: str, d
 def convert_to_base(df: DataFrame, rates: DataFrame, currency: str = "currency", value: str = "market_value",
                     rate: str = "fx_rate_to_base", out_rate: str = "fx_rate_to_sgd",
                     out_value: str = "market_value_sgd", default_rate: float = 1.0) -> DataFrame:
-    """Attach the rate (unknown currency -> ``default_rate``) and round(value*rate, 2)."""
+    """Attach the rate (unknown currency -> ``default_rate``) and round(value*rate, 2).
+
+    The value is not rounded before it is multiplied: it keeps eight decimals
+    (coin amounts have them), and the one rounding is at the end.
+    """
     r = rates.select(F.col("currency").alias(currency), F.col(rate).alias(out_rate))
     res = lookup(df, r, currency, out_rate, default_rate)
-    return res.withColumn(out_value, F.round(money(value) * money(out_rate, RATE), 2).cast("double"))
+    return res.withColumn(out_value, F.round(F.col(value).cast(UNROUNDED) * F.col(out_rate).cast(RATE_FACTOR), 2).cast("double"))
 
 
 def rates_from_history(history: DataFrame, date: str = "date", rate: str = "fx_rate_to_sgd") -> DataFrame:
@@ -128,10 +122,10 @@ def positions_with_fallback(live: DataFrame, outcome: DataFrame, history: DataFr
     """
     ok = outcome.filter(F.col("ok")).select("source")
     failed = outcome.filter(~F.col("ok")).select("source")
-    live_rows = live.join(broadcast_if_bounded(ok), "source", "left_semi")
+    live_rows = live.join(ok, "source", "left_semi")
     if history is None:
         return live_rows
-    hist = history.join(broadcast_if_bounded(failed), "source", "left_semi")
+    hist = history.join(failed, "source", "left_semi")
     fallback = latest_per_key_in_snapshot(hist, ["symbol"], date=date, keys=["source"], tiebreak=tiebreak)
     return live_rows.unionByName(fallback.select(*live_rows.columns))
 

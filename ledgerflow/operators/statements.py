@@ -88,8 +88,11 @@ def page_text(lines: DataFrame, keys: Sequence[str] = PAGE) -> DataFrame:
 # ----------------------------------------------------------------- R3-R5
 
 def statement_facts(pages: DataFrame) -> DataFrame:
-    """Per file from page 1: statement type, year, closing balance (savings only)."""
-    p1 = pages.filter(F.col("page") == 1)
+    """Per file from page 1: statement type, year, closing balance (savings only).
+
+    A file whose page 1 has no words has the default type and year."""
+    first = F.max(F.when(F.col("page") == 1, F.col("text")))
+    p1 = pages.groupBy("source_file").agg(F.coalesce(first, F.lit("")).alias("text"))
     is_card = _contains_any(F.col("text"), CARD_HEADERS)
     stype = F.when(is_card, F.lit("credit_card")).otherwise(F.lit("savings"))
     sav_year = F.coalesce(F.nullif(F.regexp_extract("text", SAVINGS_YEAR_RE, 1), F.lit("")), F.lit(SAVINGS_DEFAULT_YEAR))
@@ -115,7 +118,8 @@ def column_centres(words: DataFrame, keys: Sequence[str] = PAGE) -> DataFrame:
     reversed so the frame grows incrementally (an unbounded-following frame
     would be recomputed for every row).
     """
-    pos = F.struct("top", "x0", "x1")
+    # Words of a line may differ a little in height: the line's height orders them, as in words_to_lines.
+    pos = F.struct(F.round("top", 1).alias("top"), "x0", "x1")
     hdr = words.filter(F.col("text").isin(*COLUMN_HEADERS)).select(
         *keys, "text", pos.alias("pos"), ((F.col("x0") + F.col("x1")) / 2).alias("centre"))
     after = (Window.partitionBy(*keys).orderBy(F.col("pos").desc())
@@ -340,7 +344,7 @@ def labelled_balances(docs: DataFrame, id_col: str = "source_file", text: str =
     """Per document: date after 'as at' and, per label, the amount of the last
     line that matches the label and holds '$amount'.
 
-    ``on_missing='error'`` fails the job when a label is missing;
+    ``on_missing='error'`` fails the job when a label or the date is missing;
     ``'null'`` leaves it NULL (quarantine downstream).
     """
     lines = docs.select(id_col, F.regexp_extract(text, AS_AT_RE, 1).alias("as_at"),
@@ -351,7 +355,9 @@ def labelled_balances(docs: DataFrame, id_col: str = "source_file", text: str =
         hit = F.col("line").rlike(pat) & (amount != "")
         aggs.append(F.max_by(F.when(hit, amount), F.when(hit, F.col("pos"))).alias(name))
     g = lines.groupBy(id_col).agg(*aggs)
-    d = F.to_date(F.initcap(F.lower(F.col("as_at"))), "d MMM yyyy")
+    d = F.try_to_date(F.initcap(F.lower(F.col("as_at"))), "d MMM yyyy")
+    if on_missing == "error":
+        d = F.when(d.isNull(), F.raise_error(F.concat(F.lit("missing 'as at' date in "), F.col(id_col)))).otherwise(d)
     out = [id_col, d.alias("statement_date")]
     for name in labels:
         v = _amount_value(F.col(name)).cast("double")

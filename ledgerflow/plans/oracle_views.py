@@ -82,9 +82,9 @@ view("tx", _TX_SELECT.format(category=_CATEGORY), ("orders_copies",))
 view("tx_b7", _TX_SELECT.format(category=f"CASE WHEN copy = 1 THEN 'Transfer' ELSE {_CATEGORY} END"), ("orders_copies",))
 
 view("quoted_rates", """
-SELECT n_name AS currency,
+SELECT CASE WHEN n_nationkey = 3 THEN 'UNQUOTED' ELSE n_name END AS currency,
        CASE WHEN n_nationkey % 11 = 7 THEN cast(0 AS double) ELSE cast(n_nationkey AS double) + cast('0.37' AS double) END AS rate
-FROM nation WHERE n_nationkey <> 3
+FROM nation
 """)
 
 view("rates", """
@@ -108,7 +108,7 @@ FROM lineitem JOIN part ON l_partkey = p_partkey
 
 view("positions", """
 SELECT p.*, coalesce(r.fx_rate_to_base, 1.0) AS fx_rate_to_sgd,
-       cast(round(cast(p.market_value AS decimal(18,2)) * cast(coalesce(r.fx_rate_to_base, 1.0) AS decimal(18,6)), 2) AS double)
+       cast(round(cast(p.market_value AS decimal(22,8)) * cast(coalesce(r.fx_rate_to_base, 1.0) AS decimal(14,6)), 2) AS double)
          AS market_value_sgd
 FROM positions_raw p LEFT JOIN rates r ON p.currency = r.currency
 """, ("positions_raw", "rates"))
@@ -116,11 +116,12 @@ FROM positions_raw p LEFT JOIN rates r ON p.currency = r.currency
 view("balances", """
 SELECT o_orderdate AS etl_time, 'bank_savings' AS source,
        'acct_' || cast(o_custkey % 3 AS varchar) || '.pdf' AS source_file,
-       strftime(o_orderdate, '%Y-%m') AS statement_date,
+       strftime(CASE WHEN year(o_orderdate) = 1997 AND month(o_orderdate) = 5 THEN o_orderdate - INTERVAL 1 MONTH ELSE o_orderdate END, '%Y-%m')
+         AS statement_date,
        CASE WHEN month(o_orderdate) % 6 = 0 THEN cast(0 AS double)
             ELSE cast(round(cast(o_totalprice AS decimal(18,2)), 2) AS double) END AS balance,
        'SGD' AS currency, o_orderkey
-FROM orders WHERE NOT (year(o_orderdate) = 1997 AND month(o_orderdate) = 5)
+FROM orders
 """)
 
 view("pension", """
@@ -132,7 +133,7 @@ SELECT o_orderdate AS etl_time, 'cpf_' || cast(o_orderkey AS varchar) || '.pdf'
        cast(round(round(cast(o_totalprice AS decimal(18,2)) * 0.60, 2) + round(cast(o_totalprice AS decimal(18,2)) * 0.25, 2)
                   + round(cast(o_totalprice AS decimal(18,2)) * 0.15, 2), 2) AS double) AS total_cpf,
        'SGD' AS currency, o_orderkey
-FROM orders WHERE o_orderkey % 40 = 0
+FROM orders
 """)
 
 view("run_status", """

@@ -64,22 +64,22 @@ FROM sav_words GROUP BY source_file, page, round(top, 1)""", ("sav_words",))
 _NOISE_SQL = " OR ".join(f"contains(text, '{f}')" for f in st.SAVINGS_NOISE)
 view("sav_clean", f"SELECT * FROM sav_lines WHERE NOT ({_NOISE_SQL})", ("sav_lines",))
 
+view("sav_heads", """
+SELECT source_file, page, text, (x0 + x1) / 2 AS centre,
+       row_number() OVER (PARTITION BY source_file, page ORDER BY round(top, 1), x0, x1) AS ord
+FROM sav_words WHERE text IN ('Withdrawals', 'Deposits', 'Balance')""", ("sav_words",))
+
 view("sav_centres", """
-SELECT w.source_file, w.page, w.centre AS withdrawal, d.centre AS deposit, b.centre AS balance FROM (
+SELECT source_file, page, centre AS withdrawal, dep.c AS deposit, bal.c AS balance FROM (
   SELECT *, row_number() OVER (PARTITION BY source_file, page ORDER BY ord) AS pick FROM (
     SELECT *,
-      min(CASE WHEN text = 'Deposits' THEN ord END) OVER (PARTITION BY source_file, page ORDER BY ord
-          ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS dep_ord,
-      min(CASE WHEN text = 'Balance' THEN ord END) OVER (PARTITION BY source_file, page ORDER BY ord
-          ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS bal_ord
-    FROM (SELECT *, row_number() OVER (PARTITION BY source_file, page ORDER BY top, x0, x1) AS ord, (x0 + x1) / 2 AS centre
-          FROM sav_words))
-  WHERE text = 'Withdrawals' AND dep_ord IS NOT NULL AND bal_ord IS NOT NULL) w
-JOIN (SELECT source_file, page, row_number() OVER (PARTITION BY source_file, page ORDER BY top, x0, x1) AS ord,
-             (x0 + x1) / 2 AS centre FROM sav_words) d ON d.source_file = w.source_file AND d.page = w.page AND d.ord = w.dep_ord
-JOIN (SELECT source_file, page, row_number() OVER (PARTITION BY source_file, page ORDER BY top, x0, x1) AS ord,
-             (x0 + x1) / 2 AS centre FROM sav_words) b ON b.source_file = w.source_file AND b.page = w.page AND b.ord = w.bal_ord
-WHERE w.pick = 1""", ("sav_words",))
+      min(CASE WHEN text = 'Deposits' THEN {'o': ord, 'c': centre} END) OVER (PARTITION BY source_file, page ORDER BY ord
+          ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS dep,
+      min(CASE WHEN text = 'Balance' THEN {'o': ord, 'c': centre} END) OVER (PARTITION BY source_file, page ORDER BY ord
+          ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS bal
+    FROM sav_heads)
+  WHERE text = 'Withdrawals' AND dep IS NOT NULL AND bal IS NOT NULL)
+WHERE pick = 1""", ("sav_heads",))
 
 
 view("card_base", """
@@ -443,13 +443,16 @@ def _scratch(spark, name):
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-@query("land_raw_roundtrip", with_views("SELECT *, substr(source_file, 6, 7) AS month FROM tx", ["tx"]))
+@query("land_raw_roundtrip", with_views("""
+SELECT *, CASE WHEN transaction_type = 'Credit Card' THEN 'credit_card' ELSE 'savings' END AS statement_type,
+       substr(source_file, 6, 7) AS month FROM tx""", ["tx"]))
 def q_land_raw_roundtrip(spark, d):
-    """Land raw transactions partitioned by month, twice (idempotent), and read them back."""
-    t = fx.tx(spark, d).withColumn("month", F.substring("source_file", 6, 7))
+    """Land raw transactions by type and month, one type after the other and the first one twice, and read them back."""
+    kind = F.when(F.col("transaction_type") == "Credit Card", F.lit("credit_card")).otherwise(F.lit("savings"))
+    t = fx.tx(spark, d).withColumn("statement_type", kind).withColumn("month", F.substring("source_file", 6, 7))
     path = _scratch(spark, "raw-tx")
-    tables.land_raw(t, path, ["month"])
-    tables.land_raw(t, path, ["month"])
+    for landed in ("savings", "credit_card", "savings"):
+        tables.land_raw(t.where(F.col("statement_type") == landed), path)
     return spark.read.parquet(path)
 
 

@@ -109,7 +109,7 @@ SELECT source_file, cast(row_index AS bigint) AS row_index, description, {_KW_SQ
 
 @query("classify_rules", ORACLE_CLASSIFY)
 def q_classify_rules(spark, d):
-    out = lb.classify(_batched(spark, d).select("source_file", "batch", "batch_index", "row_index", "description"))
+    out = lb.classify_keywords(_batched(spark, d))
     return out.select("source_file", F.col("row_index").cast("bigint").alias("row_index"), "description", "category")
 
 

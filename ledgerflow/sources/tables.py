@@ -45,23 +45,17 @@ def append_ods(df: DataFrame, target: str, schema: T.StructType, table: bool = F
         out.parquet(target)
 
 
-def land_raw(df: DataFrame, path: str, parts: Sequence[str] = ()) -> None:
-    """Land a raw batch as Parquet partitioned by ``parts`` (e.g. type, month).
+def land_raw(df: DataFrame, path: str, parts: Sequence[str] = ("statement_type", "month")) -> None:
+    """Land a raw batch as Parquet partitioned by ``parts``.
 
     Dynamic partition overwrite replaces only the partitions in the batch, so
     re-landing the same batch is idempotent and a retried task rewrites its
-    own partition instead of duplicating it.
+    own partition instead of duplicating it.  ``parts`` must name all that one
+    batch holds whole: with the type among them, a card batch leaves the
+    savings of the same month alone.
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        w = df.write.mode("overwrite")
-        if parts:
-            w = w.partitionBy(*parts)
-        w.parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (w.partitionBy(*parts) if parts else w).parquet(path)
 
 
 def materialize(df: DataFrame, layer: str, name: str, path: str | None = None) -> str:

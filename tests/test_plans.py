@@ -6,10 +6,10 @@ import io
 
 import pytest
 
-import __spark_entry__ as entry
+from ledgerflow.plans import catalog
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
-PYTHON_ALLOWED = {"classify_rules", "classify_batches"}
+PYTHON_ALLOWED = {"classify_batches"}
 SIDE_EFFECT = {"land_raw_roundtrip", "append_ods", "materialize", "file_arrival_stream", "read_holdings_csv"}
 
 
@@ -20,7 +20,7 @@ def plan_text(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SIDE_EFFECT))
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - SIDE_EFFECT))
 def test_plan_shape(spark, registry, name):
     qs, _ = registry
     p = plan_text(qs[name](spark, "/root/testdata/sf0.001"))
