@@ -193,7 +193,7 @@ def savings_transactions(lines: DataFrame, centres: DataFrame, years: DataFrame,
     seg = segment(drop_noise(with_cols, SAVINGS_NOISE), SAVINGS_DATE_RE, keys)
     tx = seg.groupBy(*keys, "txn", *COLUMNS).agg(F.sort_array(F.collect_list(F.struct("top", "text", "words"))).alias("lines"))
     first = F.element_at("lines", 1)
-    rest_lines = F.slice("lines", 2, 1 << 20)
+    rest_lines = F.slice("lines", 2, F.size("lines"))
     cols = {n: F.col(n) for n in COLUMNS}
 
     def amount_token(w, is_first):
@@ -203,7 +203,7 @@ def savings_transactions(lines: DataFrame, centres: DataFrame, years: DataFrame,
     def is_amount(w):
         return w["text"].rlike(AMOUNT_RE)
 
-    first_words = F.slice(first["words"], 3, 1 << 20)
+    first_words = F.slice(first["words"], 3, F.size(first["words"]))
     amounts = F.concat(
         F.transform(F.filter(first_words, is_amount), lambda w: amount_token(w, True)),
         F.flatten(F.transform(rest_lines, lambda l: F.transform(F.filter(l["words"], is_amount), lambda w: amount_token(w, False)))),
@@ -246,11 +246,11 @@ def card_transactions(lines: DataFrame, years: DataFrame, keys: Sequence[str] =
     seg = segment(drop_noise(lines, CARD_NOISE), CARD_DATE_RE, keys)
     tx = _group_transactions(seg, keys)
     first = F.element_at("lines", 1)
-    rest_lines = F.slice("lines", 2, 1 << 20)
-    rest = F.slice(first["words"], 3, 1 << 20)
+    rest_lines = F.slice("lines", 2, F.size("lines"))
+    rest = F.slice(first["words"], 3, F.size(first["words"]))
     second_date = (F.size(rest) >= 2) & F.concat(F.try_element_at(rest, F.lit(1))["text"], F.lit(" "),
                                                  F.try_element_at(rest, F.lit(2))["text"]).rlike(CARD_DATE_RE)
-    tx = tx.select(*keys, "txn", "lines", F.when(second_date, F.slice(rest, 3, 1 << 20)).otherwise(rest).alias("rest"))
+    tx = tx.select(*keys, "txn", "lines", F.when(second_date, F.slice(rest, 3, F.size(rest))).otherwise(rest).alias("rest"))
 
     def tok(w, is_first):
         t = w["text"]

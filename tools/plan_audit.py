@@ -51,10 +51,10 @@ def main() -> None:
     args = ap.parse_args()
 
     from ledgerflow.session import local_session
-    import __spark_entry__ as entry
+    from ledgerflow.plans import catalog
 
     spark = local_session()
-    qs = entry.queries()
+    qs = catalog.queries()
     names = args.names or [n for n in qs if n not in SIDE_EFFECT]
     cols = list(COUNTS)
     print("| query | " + " | ".join(cols) + " |")
