@@ -2,17 +2,25 @@
 
 Every byte of a text (ASCII letters in lower case, then one end symbol, the
 byte 0xFF that UTF-8 never has) is decomposed into eight binary decisions.  For
-each context (the last 0, 1, 2, 3 bytes; 0xFF before the start) and each
-decision node the corpus gives counts of zeros and ones.  A node's
-Krichevsky-Trofimov estimate is weighted against the product over its longer
-contexts, from the longest to the empty one, and the predictive probability of
-a bit mixes the estimates of all depths with the resulting posterior weights.
-The code length of a text is the sum over its bytes.
-
-The counts cover the whole training corpus and are summed by Spark.  The model
-has a fixed size: contexts of three bytes beyond ``max_contexts`` (the most
-frequent have one each) share one child of their two-byte context, so the table
-sent to the tasks has at most max_contexts + 2**16 + 2**8 rows of 256 numbers.
+each context (the last 0 to 6 bytes; 0xFF before the start) and each decision
+the corpus gives counts of zeros and ones.  A node's Krichevsky-Trofimov
+estimate is weighted against the product over its longer contexts, from the
+longest to the empty one, and the predictive probability of a bit mixes the
+estimates of all depths with the resulting posterior weights.  A path ends at
+the longest context in which the corpus met the decision; that node has no
+child on the path and answers by its own estimate.  The code length of a text
+is the sum over its bytes.
+
+Nothing is capped: the counts are those of all grams (six bytes and the next)
+of the whole corpus, summed by Spark, and the model is a table of the same
+rows.  Grams that only held-out texts have stand in it with count zero, so
+every gram of every text has its row.  The grams of one three-byte context lie
+together (at most 2**24 of them, whatever the corpus); their part of the tree
+is weighted in the tasks, sorted, group after group.  What the driver holds are
+the nodes of contexts of two bytes and less, at most 2**16 * 255.
+
+Texts find their grams in a broadcast table of the ``max_grams`` most frequent
+ones, and by a join for all others; both hold the same values.
 
 Beside it stands a word unigram with add-one smoothing (``base_score``): the
 counts of words are looked up in a broadcast table of the ``max_hot`` most
@@ -20,7 +28,8 @@ frequent words, and by a join for all others.  Words are known by 64-bit hash.
 
 Nulls and edges: a null text counts as empty, whose only token is the end; a
 null id is a document like others; repeated rows are counted and scored each; an
-empty table gives an empty result; other columns are not read.
+empty table gives an empty result; without training texts every decision is
+even; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,58 +44,92 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.textops import log_gamma, runs, signed, words
+from ledgerflow.llm.textops import log_gamma, mix64, runs, signed, words
 from ledgerflow.session import scratch_path
 
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
-END = 0xFF
+#: Bytes of the longest context, and of the contexts whose part of the tree one task weighs whole.
+DEPTH, GROUP = 6, 3
 #: Key of the end token among the word hashes.
 END_WORD = np.int64(0)
 BYTES, WORDS = 0, 1
 
 
-def _bytes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Next bytes, their 24-bit contexts, and the document of each position."""
+def gram_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Context << 8 | next byte of every position (the nearest byte of the context lowest), and its document."""
     raw = [t.encode("utf-8").translate(LOWER) for t in texts]
-    data = np.frombuffer(b"\xff\xff\xff" + b"\xff\xff\xff".join(raw) + b"\xff", dtype=np.uint8)
+    start = b"\xff" * DEPTH
+    data = np.frombuffer(start + start.join(raw) + b"\xff", dtype=np.uint8)
     lengths = np.fromiter((len(r) + 1 for r in raw), dtype=np.int64, count=len(raw))
-    # Each document takes 3 bytes of start (the first of them is the end of the one before) and its own bytes.
-    starts = np.concatenate(([0], np.cumsum(lengths + 2)[:-1])) + 3
+    n = len(data) - DEPTH
+    keys = np.zeros(n, dtype=np.int64)
+    for i in range(DEPTH + 1):
+        keys <<= 8
+        keys |= data[i: i + n]
+    # Between two documents stand DEPTH bytes: the end of the first, then the rest of the second one's start.
+    before = np.cumsum(lengths + DEPTH - 1) - (lengths + DEPTH - 1)
     doc = np.repeat(np.arange(len(raw)), lengths)
-    at = np.repeat(starts - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths) + np.arange(lengths.sum())
-    wide = data.astype(np.uint32)
-    return data[at], (wide[at - 3] << 16) | (wide[at - 2] << 8) | wide[at - 1], doc
+    at = np.repeat(before - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+    return keys[at], doc
 
 
-def _tally(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sum counts of equal keys."""
-    keys = np.concatenate([k for k, _ in parts])
-    counts = np.concatenate([c for _, c in parts])
+def _tally(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sum both counts of equal keys."""
+    keys, train, every = (np.concatenate(x) for x in zip(*parts, strict=True))
+    if not len(keys):
+        return keys, train, every
     order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, dtype=np.int64)
-    return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[first], np.add.reduceat(train[order], first), np.add.reduceat(every[order], first)
 
 
-def corpus_counts(train: DataFrame, text: str = "body") -> DataFrame:
-    """kind, key, n: counts of (three-byte context, byte), and of words and ends, over whole texts."""
+def _tallied(keys: np.ndarray, train: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    keys, n = np.unique(keys, return_counts=True)
+    return keys, n if train else np.zeros_like(n), n
+
+
+def corpus_counts(docs: DataFrame, text: str = "body", held: str = "held_out", most: int = 1 << 20) -> DataFrame:
+    """kind, key, n, seen: counts of grams, and of words and ends, in training texts (n) and in all (seen).
+
+    Words are counted in training texts alone.  A task sends its sums on when
+    they reach ``most`` keys.
+    """
+    columns = ("kind", "key", "n", "seen")
+
+    def rows(kind: int, sums: tuple) -> Iterator[pd.DataFrame]:
+        for lo in range(0, len(sums[0]), 1 << 17):
+            key, n, seen = (x[lo: lo + (1 << 17)] for x in sums)
+            yield pd.DataFrame(dict(zip(columns, (np.full(len(key), kind, dtype=np.int32), key, n, seen), strict=True)))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = {BYTES: None, WORDS: None}
         for batch in batches:
-            texts = batch[text].tolist()
-            grams, seen = [], []
-            for lo, hi in runs(texts, 1 << 21):
-                byte, context, _ = _bytes(texts[lo:hi])
-                grams.append(np.unique((context << np.uint32(8)) | byte, return_counts=True))
-                h = signed(words([t.lower() if t.isascii() else _ascii_lower(t) for t in texts[lo:hi]]).hashes)
-                seen.append(np.unique(h, return_counts=True))
-            seen.append((np.array([END_WORD]), np.array([len(texts)])))
-            for kind, parts in ((BYTES, grams), (WORDS, seen)):
-                if parts:
-                    k, n = _tally(parts)
-                    yield pd.DataFrame({"kind": np.full(len(k), kind, dtype=np.int32), "key": k.astype(np.int64), "n": n.astype(np.int64)})
-
-    return train.select(text).mapInPandas(count, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+            for train in (True, False):
+                texts = batch.loc[batch[held] != train, text].tolist()
+                if not texts:
+                    continue
+                found = {BYTES: [], WORDS: []}
+                for lo, hi in runs(texts, 1 << 21):
+                    found[BYTES].append(_tallied(gram_keys(texts[lo:hi])[0], train))
+                    if train:
+                        found[WORDS].append(_tallied(signed(words([_lower(t) for t in texts[lo:hi]]).hashes), True))
+                if train:
+                    ends = np.array([len(texts)])
+                    found[WORDS].append((np.array([END_WORD]), ends, ends))
+                for kind, parts in found.items():
+                    if parts:
+                        sums[kind] = _tally(parts if sums[kind] is None else [sums[kind], *parts])
+            for kind in sums:
+                if sums[kind] is not None and len(sums[kind][0]) > most:
+                    yield from rows(kind, sums[kind])
+                    sums[kind] = None
+        for kind in sums:
+            if sums[kind] is not None:
+                yield from rows(kind, sums[kind])
+
+    counted = docs.select(text, held).mapInPandas(count, "kind int, key long, n long, seen long")
+    return counted.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
 
 
 _ASCII_LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
@@ -96,148 +139,231 @@ def _ascii_lower(text: str) -> str:
     return text.translate(_ASCII_LOWER)
 
 
-# --- the tree ---------------------------------------------------------------
+def _lower(text: str) -> str:
+    return text.lower() if text.isascii() else _ascii_lower(text)
 
-def _nodes(leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Zeros and ones at the 255 decision nodes of byte counts leaf[:, 256] (node 1 is the first bit)."""
-    zeros, ones = (np.zeros((len(leaf), 256)) for _ in range(2))
-    for level in range(8):
-        split = leaf.reshape(len(leaf), 1 << level, 2, 128 >> level).sum(axis=3)
-        zeros[:, 1 << level: 2 << level] = split[:, :, 0]
-        ones[:, 1 << level: 2 << level] = split[:, :, 1]
-    return zeros, ones
 
+# --- the tree ---------------------------------------------------------------
+# A node is a context and one of its 255 decisions (1 is the first bit), context << 8 | decision.
 
 _HALF = float(2 * log_gamma(np.array([0.5]))[0])
 
 
+#: ln Gamma(c + 1/2) and ln Gamma(c + 1) of small counts c, which nearly all nodes have.
+_HALVES, _WHOLES = log_gamma(np.arange(4096) + 0.5), log_gamma(np.arange(4096) + 1.0)
+
+
+def _log_gamma(counts: np.ndarray, plus: float, small: np.ndarray) -> np.ndarray:
+    out = small[np.minimum(counts, len(small) - 1).astype(np.int64)]
+    large = counts >= len(small)
+    out[large] = log_gamma(counts[large] + plus)
+    return out
+
+
 def _log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Block probability of the counts under the Krichevsky-Trofimov estimate."""
-    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1) - _HALF
+    return _log_gamma(zeros, 0.5, _HALVES) + _log_gamma(ones, 0.5, _HALVES) - _log_gamma(zeros + ones, 1, _WHOLES) - _HALF
 
 
-def _log_weighted(log_kt: np.ndarray, log_children: np.ndarray) -> np.ndarray:
-    return math.log(0.5) + np.logaddexp(log_kt, log_children)
+@dataclass
+class Nodes:
+    """Nodes of one depth: their counts, the sum of ln P_w over their children, and each one's place among its parents."""
 
+    ids: np.ndarray
+    zeros: np.ndarray
+    ones: np.ndarray
+    below: np.ndarray | None = None  # None: the deepest
+    up: np.ndarray | None = None
+
+    def __post_init__(self) -> None:
+        kt = _log_kt(self.zeros, self.ones)
+        self.seen = self.zeros + self.ones > 0
+        self.estimate = (self.ones + 0.5) / (self.zeros + self.ones + 1)
+        if self.below is None:
+            self.weighted, self.own = kt, np.ones(len(kt))
+        else:
+            self.weighted = math.log(0.5) + np.logaddexp(kt, self.below)
+            self.own = 1 / (1 + np.exp(np.clip(self.below - kt, -700, 700)))  # posterior weight of its own estimate
+
+    def through(self, at, lower: np.ndarray, lower_seen: np.ndarray) -> np.ndarray:
+        """Mixed probability of a one at nodes ``at``, given that of the next longer context."""
+        own, estimate = self.own[at], self.estimate[at]
+        return np.where(lower_seen, own * estimate + (1 - own) * lower, estimate)
+
+
+def _parents(nodes: Nodes, depth: int) -> Nodes:
+    """The nodes of ``depth``, one less than that of ``nodes``."""
+    ids, nodes.up = np.unique((((nodes.ids >> 8) & ((1 << 8 * depth) - 1)) << 8) | (nodes.ids & 0xFF), return_inverse=True)
+    total = lambda x: np.bincount(nodes.up, weights=x, minlength=len(ids))
+    return Nodes(ids, total(nodes.zeros), total(nodes.ones), total(nodes.weighted))
+
+
+_LEVEL = np.arange(8)
 
-def _dense(context: np.ndarray, byte: np.ndarray, n: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(rows), 256))
-    np.add.at(out, (np.searchsorted(rows, context), byte), n)
-    return out
+
+def _decisions(byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The eight decisions on the way to each byte, and the bit taken at each."""
+    byte = byte[:, None]
+    return (1 << _LEVEL) | (byte >> (8 - _LEVEL)), (byte >> (7 - _LEVEL)) & 1
+
+
+def _weigh(keys: np.ndarray, n: np.ndarray) -> tuple[list[Nodes], np.ndarray, np.ndarray]:
+    """Nodes of the depths DEPTH to GROUP over whole groups of grams; the node and bit of every gram's decisions."""
+    decision, bit = _decisions(keys & 0xFF)
+    ids, at = np.unique(((keys >> 8 << 8)[:, None] | decision).ravel(), return_inverse=True)
+    at, times = at.reshape(-1), np.repeat(n.astype(np.float64), 8)
+    ones = np.bincount(at, weights=times * bit.ravel(), minlength=len(ids))
+    levels = [Nodes(ids, np.bincount(at, weights=times, minlength=len(ids)) - ones, ones)]
+    for depth in range(DEPTH - 1, GROUP - 1, -1):
+        levels.append(_parents(levels[-1], depth))
+    return levels, at, bit
 
 
 @dataclass
-class Tree:
-    """log10 probabilities of the next byte: one row per known context, and the rows to use for all others."""
-
-    table: np.ndarray  # rows of 256
-    contexts3: np.ndarray  # sorted 24-bit contexts; rows 0 ..
-    contexts2: np.ndarray  # sorted 16-bit contexts; rows after those
-    #: then 256 rows for a known last byte alone
-
-    def index(self) -> np.ndarray:
-        """Row of every 24-bit context."""
-        two = np.arange(1 << 16, dtype=np.int32) & 0xFF
-        two += len(self.contexts3) + len(self.contexts2)
-        two[self.contexts2] = len(self.contexts3) + np.arange(len(self.contexts2), dtype=np.int32)
-        out = np.tile(two, 256)
-        out[self.contexts3] = np.arange(len(self.contexts3), dtype=np.int32)
+class Top:
+    """The nodes of contexts of two bytes and less, as what they make of the probability q given by three bytes."""
+
+    ids: np.ndarray  # two-byte nodes, sorted
+    base: np.ndarray  # base + slope * q if the three-byte node was seen
+    slope: np.ndarray
+    last: np.ndarray  # if it was not
+    short: np.ndarray  # by one-byte node, if the two-byte one was not seen
+
+    def mix(self, ids: np.ndarray, q: np.ndarray, seen: np.ndarray) -> np.ndarray:
+        """ids: nodes of any longer context."""
+        two = ids & 0xFFFFFF
+        at = np.minimum(np.searchsorted(self.ids, two), max(0, len(self.ids) - 1))
+        known = self.ids[at] == two if len(self.ids) else np.zeros(len(two), dtype=bool)
+        out = self.short[ids & 0xFFFF]
+        at = at[known]
+        out[known] = np.where(seen[known], self.base[at] + self.slope[at] * q[known], self.last[at])
         return out
 
 
-def build_tree(keys3: np.ndarray, n3: np.ndarray, keys2: np.ndarray, n2: np.ndarray, chunk: int = 2048) -> Tree:
-    """keys3: context << 8 | byte of the included three-byte contexts; keys2: the same of all two-byte contexts."""
-    order = np.lexsort((keys3, (keys3 >> 8) & 0xFFFF))  # by two-byte context, so that siblings are neighbours
-    keys3, n3 = keys3[order], n3[order]
-    ctx2 = np.unique(keys2 >> 8)
-    leaf2 = _dense(keys2 >> 8, keys2 & 0xFF, n2, ctx2)
-    rest = leaf2.copy()  # counts of the contexts that share one child
-    ctx3 = keys3 >> 8
-    first = np.flatnonzero(np.concatenate(([True], ctx3[1:] != ctx3[:-1]))) if len(ctx3) else np.zeros(0, dtype=np.int64)
-    contexts3 = ctx3[first]
-    parent3 = np.searchsorted(ctx2, contexts3 & 0xFFFF)
-    below2 = np.zeros((len(ctx2), 256))  # sum of ln P_w over the children of each node
-    bounds = [*first, len(keys3)]
-
-    def leaves(lo: int, hi: int) -> np.ndarray:
-        a, b = bounds[lo], bounds[hi]
-        out = np.zeros((hi - lo, 256))
-        row = np.repeat(np.arange(hi - lo), np.diff(bounds[lo: hi + 1]))
-        out[row, keys3[a:b] & 0xFF] = n3[a:b]
-        return out
+def top_of(ids: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray) -> Top:
+    """From the two-byte nodes that were seen."""
+    order = np.argsort(ids)
+    two = Nodes(ids[order], zeros[order], ones[order], below[order])
+
+    def dense(nodes: Nodes, to: np.ndarray, size: int) -> Nodes:
+        total = lambda x: np.bincount(to, weights=x, minlength=size).astype(np.float64)
+        return Nodes(np.arange(size), total(nodes.zeros), total(nodes.ones), total(nodes.weighted))
+
+    one = dense(two, two.ids & 0xFFFF, 1 << 16)
+    root = dense(one, one.ids & 0xFF, 1 << 8)
+    whole = lambda node, p: root.through(node & 0xFF, one.through(node & 0xFFFF, p, True), one.seen[node & 0xFFFF])
+    base = whole(two.ids, two.own * two.estimate)
+    return Top(two.ids, base, whole(two.ids, two.own * two.estimate + 1 - two.own) - base, whole(two.ids, two.estimate),
+               root.through(one.ids & 0xFF, one.estimate, one.seen))
+
+
+def log_probabilities(keys: np.ndarray, n: np.ndarray, top: Top) -> np.ndarray:
+    """log10 probability of the last byte of every gram, given whole groups of grams with their counts."""
+    levels, at, bit = _weigh(keys, n)
+    deepest = levels[0]
+    q, seen, place = deepest.estimate, deepest.seen, np.arange(len(deepest.ids))
+    for lower, nodes in zip(levels, levels[1:], strict=False):
+        place = lower.up[place]
+        q, seen = nodes.through(place, q, seen), nodes.seen[place]
+    p = top.mix(deepest.ids, q, seen)[at].reshape(-1, 8)
+    return np.log10(np.where(bit, p, 1 - p)).sum(axis=1)
+
+
+def _whole_groups(batches: Iterator[pd.DataFrame], least: int = 1 << 16) -> Iterator[pd.DataFrame]:
+    """Rows ordered by group, in frames of at least ``least`` rows that end where a group ends."""
+    held, size = [], 0
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append(batch)
+        size += len(batch)
+        if size >= least:
+            rows = pd.concat(held, ignore_index=True)
+            group = rows["group"].to_numpy()
+            cut = int(np.searchsorted(group, group[-1]))
+            if cut:
+                yield rows.iloc[:cut]
+            held, size = [rows.iloc[cut:]], len(rows) - cut
+            least = max(least, 2 * size) if not cut else 1 << 16
+    if size:
+        yield pd.concat(held, ignore_index=True)
+
+
+def gram_model(grams: DataFrame, folder: str) -> DataFrame:
+    """key, seen, log_p of every gram (key, n, seen), written to ``folder``."""
+    spark = grams.sparkSession
+    group = F.shiftright("key", 8).bitwiseAND((1 << 8 * GROUP) - 1)
+    grouped = grams.select("key", "n", "seen", group.alias("group")).repartition("group").sortWithinPartitions("group")
+
+    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _whole_groups(batches):
+            nodes = _weigh(rows["key"].to_numpy(), rows["n"].to_numpy())[0][-1]
+            yield pd.DataFrame({"id": nodes.ids & 0xFFFFFF, "zeros": nodes.zeros, "ones": nodes.ones, "below": nodes.weighted})[nodes.seen]
+
+    two = (
+        grouped.mapInPandas(weigh, "id long, zeros double, ones double, below double")
+        .groupBy("id").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "below"))).toPandas()
+    )
+    top = spark.sparkContext.broadcast(top_of(
+        two["id"].to_numpy(np.int64), *(two[c].to_numpy(np.float64) for c in ("zeros", "ones", "below"))))
 
-    for lo in range(0, len(contexts3), chunk):
-        hi = min(lo + chunk, len(contexts3))
-        leaf = leaves(lo, hi)
-        np.add.at(below2, parent3[lo:hi], _log_kt(*_nodes(leaf)))
-        np.subtract.at(rest, parent3[lo:hi], leaf)
-    rest_nodes = _nodes(rest)
-    below2 += _log_kt(*rest_nodes)
-    nodes2 = _nodes(leaf2)
-    kt2 = _log_kt(*nodes2)
-    parent2 = ctx2 & 0xFF
-    leaf1 = np.zeros((256, 256))
-    np.add.at(leaf1, parent2, leaf2)
-    below1 = np.zeros((256, 256))
-    np.add.at(below1, parent2, _log_weighted(kt2, below2))
-    nodes1 = _nodes(leaf1)
-    kt1 = _log_kt(*nodes1)
-    below0 = _log_weighted(kt1, below1).sum(axis=0, keepdims=True)
-    nodes0 = _nodes(leaf1.sum(axis=0, keepdims=True))
-    kt0 = _log_kt(*nodes0)
-
-    own = lambda kt, below: 1 / (1 + np.exp(np.clip(below - kt, -700, 700)))  # noqa: E731  posterior weight of a node's own estimate
-    one = lambda nodes: (nodes[1] + 0.5) / (nodes[0] + nodes[1] + 1)  # noqa: E731  estimated probability of a one
-    w0, w1, w2, p0, p1, p2 = own(kt0, below0), own(kt1, below1), own(kt2, below2), one(nodes0), one(nodes1), one(nodes2)
-
-    def mixed(at1: np.ndarray, two: tuple | None, p3) -> np.ndarray:
-        p = p3
-        if two is not None:
-            p = two[0] * two[1] + (1 - two[0]) * p
-        else:  # nothing was seen below this byte: both longer contexts say one half
-            p = np.full((len(at1), 256), 0.5)
-        p = w1[at1] * p1[at1] + (1 - w1[at1]) * p
-        p = w0 * p0 + (1 - w0) * p
-        log1, log0 = np.log10(p), np.log10(1 - p)
-        out = np.zeros((len(at1), 1))
-        for level in range(8):  # product of the eight decisions
-            node = slice(1 << level, 2 << level)
-            out = np.stack((out + log0[:, node], out + log1[:, node]), axis=2).reshape(len(at1), -1)
-        return out.astype(np.float32)
-
-    table = np.empty((len(contexts3) + len(ctx2) + 256, 256), dtype=np.float32)
-    for lo in range(0, len(contexts3), chunk):
-        hi = min(lo + chunk, len(contexts3))
-        up = parent3[lo:hi]
-        table[lo:hi] = mixed(parent2[up], (w2[up], p2[up]), one(_nodes(leaves(lo, hi))))
-    for lo in range(0, len(ctx2), chunk):
-        hi = min(lo + chunk, len(ctx2))
-        table[len(contexts3) + lo: len(contexts3) + hi] = mixed(
-            parent2[lo:hi], (w2[lo:hi], p2[lo:hi]), one((rest_nodes[0][lo:hi], rest_nodes[1][lo:hi])))
-    table[len(contexts3) + len(ctx2):] = mixed(np.arange(256), None, None)
-    place = np.argsort(contexts3)  # index() wants no order, but a sorted list is easier to check
-    table[: len(contexts3)] = table[: len(contexts3)][place]
-    return Tree(table, contexts3[place], ctx2)
-
-
-_INDEX: dict[str, np.ndarray] = {}
-
-
-def _index(name: str, tree: Tree) -> np.ndarray:
-    """The tree's index of contexts, built once per worker and model."""
-    if name not in _INDEX:
-        _INDEX.clear()
-        _INDEX[name] = tree.index()
-    return _INDEX[name]
-
-
-def score_texts(texts: list[str], tree: Tree, index: np.ndarray) -> np.ndarray:
-    """log10 probability of every text with its end."""
-    out = np.zeros(len(texts))
-    for lo, hi in runs(texts):
-        byte, context, doc = _bytes(texts[lo:hi])
-        out[lo:hi] = np.bincount(doc, weights=tree.table[index[context], byte], minlength=hi - lo)
-    return out
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _whole_groups(batches):
+            keys = rows["key"].to_numpy()
+            yield pd.DataFrame({"key": keys, "seen": rows["seen"].to_numpy(), "log_p": log_probabilities(keys, rows["n"].to_numpy(), top.value)})
+
+    grouped.mapInPandas(finish, "key long, seen long, log_p double").write.parquet(folder)
+    return spark.read.schema("key long, seen long, log_p double").parquet(folder)
+
+
+class GramTable:
+    """Hashed look-up of the most frequent grams: the first taker of a slot has it, the next ones a slot of a second
+    table; the few that find neither are left to the join."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        """keys: the most frequent first."""
+        self.tables = []
+        for shift, bits in ((0, 2), (29, 1)):
+            size = 1 << max(1, int(len(keys)).bit_length() + bits - 1)
+            slot = self._slot(keys, shift, size)
+            taken, first = np.unique(slot, return_index=True)
+            table, value = np.full(size, -1, dtype=np.int64), np.zeros(size)
+            table[taken], value[taken] = keys[first], values[first]
+            self.tables.append((shift, table, value))
+            rest = np.ones(len(keys), dtype=bool)
+            rest[first] = False
+            keys, values = keys[rest], values[rest]
+
+    @staticmethod
+    def _slot(keys: np.ndarray, shift: int, size: int) -> np.ndarray:
+        return ((mix64(keys.view(np.uint64)) >> np.uint64(shift)) & np.uint64(size - 1)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values (0 where there is none), and the places without one."""
+        out, left = np.zeros(len(keys)), np.arange(len(keys))
+        for shift, table, value in self.tables:
+            sought = keys[left]
+            slot = self._slot(sought, shift, len(table))
+            hit = table[slot] == sought
+            out[left[hit]] = value[slot[hit]]
+            left = left[~hit]
+        return out, left
+
+
+_TABLE: dict[str, GramTable] = {}
+
+
+def _table(name: str, keys: np.ndarray, values: np.ndarray) -> GramTable:
+    """The table of grams, built once per worker and model."""
+    if name not in _TABLE:
+        _TABLE.clear()
+        _TABLE[name] = GramTable(keys, values)
+    return _TABLE[name]
+
+
+def _lists(values: np.ndarray, doc: np.ndarray, n: int) -> list[np.ndarray]:
+    """values of each of n documents; doc ascends."""
+    return np.split(values, np.searchsorted(doc, np.arange(1, n)))
 
 
 def held_out(order: str = "doc_id", modulus: int = 7, remainder: int = 2):
@@ -246,8 +372,8 @@ def held_out(order: str = "doc_id", modulus: int = 7, remainder: int = 2):
 
 def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
     """Rows with the largest counts, at most ``most``: all from the lowest eighth of a power of two that fits."""
-    step = F.floor(F.log2(F.col(n)) * 8)
-    sizes = sorted(((r["step"], r["count"]) for r in counts.groupBy(step.alias("step")).count().collect()), reverse=True)
+    step = F.floor(F.log2(F.col(n)) * 8)  # null, and so left out, for a count of zero
+    sizes = sorted(((r["step"], r["count"]) for r in counts.where(F.col(n) > 0).groupBy(step.alias("step")).count().collect()), reverse=True)
     least, total = None, 0
     for value, size in sizes:
         if (total := total + size) > most:
@@ -257,7 +383,7 @@ def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
 
 
 def score(
-    docs: DataFrame, max_contexts: int = 1 << 16, max_hot: int = 1 << 18, order: str = "doc_id", text: str = "text",
+    docs: DataFrame, max_grams: int = 1 << 21, max_hot: int = 1 << 18, order: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """Scores of all whole texts under a model of those that are not held out.
 
@@ -268,50 +394,51 @@ def score(
     base = docs.select(
         F.col(order).alias("doc_id"), held_out(order).alias("held_out"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     counts_path = scratch_path(spark, f"ctw-counts-{uuid4().hex}")
-    corpus_counts(base.where(~F.col("held_out"))).write.partitionBy("kind").parquet(counts_path)
-    counts = spark.read.schema("key long, n long, kind int").parquet(counts_path)
+    corpus_counts(base).write.partitionBy("kind").parquet(counts_path)
+    counts = spark.read.schema("key long, n long, seen long, kind int").parquet(counts_path)
     grams, vocabulary = counts.where(F.col("kind") == BYTES), counts.where(F.col("kind") == WORDS)
-    total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    n_all, n_distinct = int(total["n"]), int(total["v"])
-
-    # The tree: all two-byte contexts (at most 2**24 pairs), and the most frequent three-byte ones.
-    by_context = grams.groupBy(F.shiftright("key", 8).alias("context")).agg(F.sum("n").alias("total"))
-    kept = most_frequent(by_context, "total", max_contexts).select("context")
-    pairs3 = grams.join(F.broadcast(kept), F.shiftright("key", 8) == F.col("context"), "left_semi").select("key", "n").toPandas()
-    pairs2 = grams.groupBy(F.col("key").bitwiseAND(0xFFFFFF).alias("key")).agg(F.sum("n").alias("n")).toPandas()
-    tree = build_tree(*(x.to_numpy(np.int64) for x in (pairs3["key"], pairs3["n"], pairs2["key"], pairs2["n"])))
+    ends = F.sum(F.when(F.col("key") == F.lit(int(END_WORD)), F.col("n")))
+    total = vocabulary.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.coalesce(ends, F.lit(0)).alias("ends")).first()
+    n_all, n_distinct, n_ends = int(total["n"]), int(total["v"]), int(total["ends"])
+
+    tree = gram_model(grams, scratch_path(spark, f"ctw-model-{uuid4().hex}"))
+    top = most_frequent(tree, "seen", max_grams).select("key", "seen", "log_p").toPandas().sort_values(["seen", "key"], ascending=[False, True])
     hot = most_frequent(vocabulary, "n", max_hot).select("key", "n").toPandas()
     by_key = np.argsort(hot["key"].to_numpy(np.int64))
-    model = spark.sparkContext.broadcast((tree, hot["key"].to_numpy(np.int64)[by_key], hot["n"].to_numpy(np.int64)[by_key]))
+    model = spark.sparkContext.broadcast((
+        top["key"].to_numpy(np.int64), top["log_p"].to_numpy(np.float64),
+        hot["key"].to_numpy(np.int64)[by_key], hot["n"].to_numpy(np.int64)[by_key]))
     name, log_all = uuid4().hex, math.log10(n_all + 1 * (n_distinct + 1))
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tree, keys, n = model.value
-        index = _index(name, tree)
+        frequent, log_p, keys, n = model.value
+        table = _table(name, frequent, log_p)
         logs = np.concatenate((np.log10(n + 1.0), [0.0]))
-        end = int(np.searchsorted(keys, END_WORD))
-        end_known = end < len(keys) and keys[end] == END_WORD
         for batch in batches:
             texts = batch["body"].tolist()
             for lo, hi in runs(texts):
                 part = texts[lo:hi]
-                w = words([t.lower() if t.isascii() else _ascii_lower(t) for t in part])
+                w = words([_lower(t) for t in part])
                 h, doc = signed(w.hashes), w.doc()
                 at = np.minimum(np.searchsorted(keys, h), max(0, len(keys) - 1))
                 known = keys[at] == h if len(keys) else np.zeros(len(h), dtype=bool)
-                rare = np.split(h[~known], np.searchsorted(doc[~known], np.arange(1, len(part))))
+                gram, gram_doc = gram_keys(part)
+                value, left = table.find(gram)
                 yield pd.DataFrame({
                     "doc_id": batch["doc_id"].iloc[lo:hi].array, "held_out": batch["held_out"].iloc[lo:hi].array,
                     "n_tokens": np.diff(w.ptr) + 1,
-                    "n_hot": np.bincount(doc[known], minlength=len(part)) + int(end_known),
+                    "n_hot": np.bincount(doc[known], minlength=len(part)) + int(n_ends > 0),
                     "log_hot": np.bincount(doc, weights=np.where(known, logs[at], 0.0), minlength=len(part))
-                    + (logs[end] if end_known else 0.0),
-                    "score": score_texts(part, tree, index),
+                    + math.log10(n_ends + 1),
+                    "score": np.bincount(gram_doc, weights=value, minlength=len(part)),
                     "n_bytes": [len(t.encode("utf-8")) + 1 for t in part],
-                    "rare": rare,
+                    "rare": _lists(h[~known], doc[~known], len(part)),
+                    "grams": _lists(gram[left], gram_doc[left], len(part)),
                 })
 
-    schema = "doc_id string, held_out boolean, n_tokens long, n_hot long, log_hot double, score double, n_bytes long, rare array<long>"
+    schema = ("doc_id string, held_out boolean, n_tokens long, n_hot long, log_hot double, score double, n_bytes long,"
+              " rare array<long>, grams array<long>")
     scored_path = scratch_path(spark, f"ctw-scored-{uuid4().hex}")
     (base.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(scored, schema)
      .withColumn("row", F.monotonically_increasing_id()).write.parquet(scored_path))
@@ -321,10 +448,15 @@ def score(
         done.select("row", F.explode("rare").alias("key")).join(vocabulary.select("key", "n"), "key")
         .groupBy("row").agg(F.count("*").alias("n_rare"), F.sum(F.log10(F.col("n") + 1)).alias("log_rare"))
     )
-    zero = F.lit(0)
-    return done.drop("rare").join(rare, "row", "left").select(
+    # Every gram has a partner.
+    rest = (
+        done.select("row", F.explode("grams").alias("key")).join(tree.select("key", "log_p"), "key")
+        .groupBy("row").agg(F.sum("log_p").alias("log_rest"))
+    )
+    zero, total_score = F.lit(0), F.col("score") + F.coalesce("log_rest", F.lit(0.0))
+    return done.drop("rare", "grams").join(rare, "row", "left").join(rest, "row", "left").select(
         F.col("doc_id").cast("long").alias("doc_id"), "held_out", "n_tokens",
         (F.col("n_hot") + F.coalesce("n_rare", zero)).alias("n_known"), F.lit(n_all).cast("long").alias("train_tokens"),
         (F.col("log_hot") + F.coalesce("log_rare", F.lit(0.0)) - F.col("n_tokens") * F.lit(log_all)).alias("base_score"),
-        "score", "n_bytes", (-F.col("score") / math.log10(2) / F.col("n_bytes")).alias("bits_per_byte"),
+        total_score.alias("score"), "n_bytes", (-total_score / math.log10(2) / F.col("n_bytes")).alias("bits_per_byte"),
     )

@@ -1,6 +1,7 @@
 """Operators that SQL cannot express, against plain Python on whole small tables."""
 
 import collections
+import functools
 import hashlib
 import math
 import re
@@ -148,50 +149,77 @@ def test_op10_base_columns_and_held_out_gain(spark, texts):
     assert 1.5 < np.mean([r["bits_per_byte"] for r in rows if r["held_out"]]) < 4
 
 
-def test_context_tree_equals_a_slow_recursion():
+def test_context_tree_equals_a_slow_recursion(spark, tmp_path):
     rng = np.random.default_rng(3)
-    texts = ["".join(rng.choice(list("abAB "), 30)) for _ in range(6)] + ["", "zz"]
-    byte, context, _ = ctw._bytes(texts)
-    keys3, n3 = np.unique((context.astype(np.int64) << 8) | byte, return_counts=True)
-    keys2, inverse = np.unique(keys3 & 0xFFFFFF, return_inverse=True)
-    tree = ctw.build_tree(keys3, n3, keys2, np.bincount(inverse, weights=n3).astype(np.int64))
+    texts = ["".join(rng.choice(list("abAB "), 30)) for _ in range(6)] + ["", "zz", "\u00e9 ab"]
+    others = ["ab\u00e9a", "quite else", "", "abab ab"]
+    docs = spark.createDataFrame(
+        [(t, False) for t in texts] + [(t, True) for t in others], "body string, held_out boolean").repartition(3)
+    grams = ctw.corpus_counts(docs, most=20).where(f"kind = {ctw.BYTES}")
+    model = {r["key"]: r["log_p"] for r in ctw.gram_model(grams, str(tmp_path / "model")).collect()}
+
+    def positions(text):
+        data = b"\xff" * 6 + text.encode().lower() + b"\xff"
+        return [(data[i], data[i - 6: i]) for i in range(6, len(data))]
+
     seen = collections.defaultdict(lambda: [0, 0])
-    for b, c in zip(byte.tolist(), context.tolist(), strict=True):
-        for depth in range(4):
+    for b, c in (x for t in texts for x in positions(t)):
+        for depth in range(7):
             for level in range(8):
                 node = (1 << level) | (b >> (8 - level))
-                seen[depth, c & ((1 << 8 * depth) - 1), node][(b >> (7 - level)) & 1] += 1
+                seen[c[6 - depth:], node][(b >> (7 - level)) & 1] += 1
     kt = lambda z, o: math.lgamma(z + .5) + math.lgamma(o + .5) - math.lgamma(z + o + 1) - 2 * math.lgamma(.5)
-    children = collections.defaultdict(set)
-    for depth, c, node in list(seen):
-        if depth:
-            children[depth - 1, c & ((1 << 8 * (depth - 1)) - 1), node].add((depth, c, node))
+    children = collections.defaultdict(list)
+    for c, node in seen:
+        if c:
+            children[c[1:], node].append((c, node))
+
+    def below(key):
+        return sum(weighted(x) for x in children[key]) if key in children else 0.0
 
+    @functools.cache
     def weighted(key):
         own = kt(*seen[key])
-        if key[0] == 3:
-            return own
-        return math.log(.5) + np.logaddexp(own, sum(weighted(x) for x in children[key]))
+        return own if len(key[0]) == 6 else math.log(.5) + np.logaddexp(own, below(key))
 
-    def chance(key, context):
-        z, o = seen[key] if key in seen else (0, 0)
+    def chance(c, node, depth=0):
+        key = c[6 - depth:], node
+        z, o = seen.get(key, (0, 0))
         own = (o + .5) / (z + o + 1)
-        depth, _, node = key
-        if depth == 3:
+        if depth == 6 or (c[5 - depth:], node) not in seen:
             return own
-        below = sum(weighted(x) for x in children[key]) if key in children else 0.0
-        w = 1 / (1 + math.exp(below - kt(z, o)))
-        return w * own + (1 - w) * chance((depth + 1, context & ((1 << 8 * (depth + 1)) - 1), node), context)
+        w = 1 / (1 + math.exp(below(key) - kt(z, o)))
+        return w * own + (1 - w) * chance(c, node, depth + 1)
 
-    index = tree.index()
-    for b, c in list(zip(byte.tolist(), context.tolist(), strict=True))[::9]:
+    asked = {(b, c) for t in texts + others for b, c in positions(t)}
+    assert len(model) == len(asked)
+    for b, c in asked:
         p = 1.0
         for level in range(8):
-            one = chance((0, 0, (1 << level) | (b >> (8 - level))), c)
+            one = chance(c, (1 << level) | (b >> (8 - level)))
             p *= one if (b >> (7 - level)) & 1 else 1 - one
-        assert math.isclose(float(tree.table[index[c], b]), math.log10(p), rel_tol=1e-4, abs_tol=1e-5)
-    rows = 10.0 ** tree.table.astype(np.float64)
-    assert np.allclose(rows.sum(axis=1), 1, atol=1e-4)
+        assert math.isclose(model[int.from_bytes(c) << 8 | b], math.log10(p), rel_tol=1e-9, abs_tol=1e-12)
+    for c in {c for _, c in asked}:  # decisions are even or better known, but always sum to one
+        assert math.isclose(sum(math.prod(
+            (one if (b >> (7 - level)) & 1 else 1 - one) for level in range(8)
+            for one in [chance(c, (1 << level) | (b >> (8 - level)))]) for b in range(256)), 1, rel_tol=1e-9)
+        break
+
+
+def test_op10_tables_of_any_size_give_the_same_scores(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    large = {r["doc_id"]: (r["n_known"], r["score"]) for r in ctw.score(docs).collect()}
+    small = {r["doc_id"]: (r["n_known"], r["score"]) for r in ctw.score(docs, max_grams=300, max_hot=9).collect()}
+    assert large.keys() == small.keys()
+    for d in large:
+        assert large[d][0] == small[d][0]
+        assert math.isclose(large[d][1], small[d][1], rel_tol=1e-9)
+
+
+def test_op10_beats_the_unigram_on_held_out_texts(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = queries.op10_context_tree(spark, sf).where("held_out").collect()
+    assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
 
 
 def test_op3_finds_held_out_toxic_documents(spark):

@@ -153,7 +153,7 @@ def test_fingerprints(odd, none, make_docs):
 
 
 def test_language_model(odd, none):
-    rows = ctw.score(odd, max_contexts=64, max_hot=4).collect()
+    rows = ctw.score(odd, max_grams=64, max_hot=4).collect()
     assert len(rows) == len(ODD) and all(r["score"] < 0 and r["base_score"] < 0 for r in rows)
     assert {r["n_tokens"] for r in rows if r["doc_id"] in (2, 3, 6)} == {1}
     assert ctw.score(none).count() == 0
