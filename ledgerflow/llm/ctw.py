@@ -89,7 +89,7 @@ def _tallied(keys: np.ndarray, train: bool) -> tuple[np.ndarray, np.ndarray, np.
     return keys, n if train else np.zeros_like(n), n
 
 
-def corpus_counts(docs: DataFrame, text: str = "body", held: str = "held_out", most: int = 1 << 20) -> DataFrame:
+def corpus_counts(docs: DataFrame, text: str = "body", held: str = "held_out", most: int = 1 << 21) -> DataFrame:
     """kind, key, n, seen: counts of grams, and of words and ends, in training texts (n) and in all (seen).
 
     Words are counted in training texts alone.  A task sends its sums on when
@@ -289,6 +289,11 @@ def _whole_groups(batches: Iterator[pd.DataFrame], least: int = 1 << 16) -> Iter
         yield pd.concat(held, ignore_index=True)
 
 
+def _columns(df: DataFrame) -> list[np.ndarray]:
+    """The columns of a table of bounded size, sent to the driver as Arrow."""
+    return [c.to_numpy() for c in df.toArrow().columns]
+
+
 def gram_model(grams: DataFrame, folder: str) -> DataFrame:
     """key, seen, log_p of every gram (key, n, seen), written to ``folder``."""
     spark = grams.sparkSession
@@ -302,10 +307,9 @@ def gram_model(grams: DataFrame, folder: str) -> DataFrame:
 
     two = (
         grouped.mapInPandas(weigh, "id long, zeros double, ones double, below double")
-        .groupBy("id").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "below"))).toPandas()
+        .groupBy("id").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "below")))
     )
-    top = spark.sparkContext.broadcast(top_of(
-        two["id"].to_numpy(np.int64), *(two[c].to_numpy(np.float64) for c in ("zeros", "ones", "below"))))
+    top = spark.sparkContext.broadcast(top_of(*_columns(two)))
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _whole_groups(batches):
@@ -403,12 +407,11 @@ def score(
     n_all, n_distinct, n_ends = int(total["n"]), int(total["v"]), int(total["ends"])
 
     tree = gram_model(grams, scratch_path(spark, f"ctw-model-{uuid4().hex}"))
-    top = most_frequent(tree, "seen", max_grams).select("key", "seen", "log_p").toPandas().sort_values(["seen", "key"], ascending=[False, True])
-    hot = most_frequent(vocabulary, "n", max_hot).select("key", "n").toPandas()
-    by_key = np.argsort(hot["key"].to_numpy(np.int64))
-    model = spark.sparkContext.broadcast((
-        top["key"].to_numpy(np.int64), top["log_p"].to_numpy(np.float64),
-        hot["key"].to_numpy(np.int64)[by_key], hot["n"].to_numpy(np.int64)[by_key]))
+    gram, seen, log_p = _columns(most_frequent(tree, "seen", max_grams).select("key", "seen", "log_p"))
+    by_count = np.lexsort((gram, -seen))
+    word, times = _columns(most_frequent(vocabulary, "n", max_hot).select("key", "n"))
+    by_key = np.argsort(word)
+    model = spark.sparkContext.broadcast((gram[by_count], log_p[by_count], word[by_key], times[by_key]))
     name, log_all = uuid4().hex, math.log10(n_all + 1 * (n_distinct + 1))
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
