@@ -92,8 +92,8 @@ def _tallied(keys: np.ndarray, train: bool) -> tuple[np.ndarray, np.ndarray, np.
 def corpus_counts(docs: DataFrame, text: str = "body", held: str = "held_out", most: int = 1 << 21) -> DataFrame:
     """kind, key, n, seen: counts of grams, and of words and ends, in training texts (n) and in all (seen).
 
-    Words are counted in training texts alone.  A task sends its sums on when
-    they reach ``most`` keys.
+    Words are counted in training texts alone.  A task holds about
+    ``most`` keys and sends its sums on when half of that is taken by different ones.
     """
     columns = ("kind", "key", "n", "seen")
 
@@ -103,30 +103,29 @@ def corpus_counts(docs: DataFrame, text: str = "body", held: str = "held_out", m
             yield pd.DataFrame(dict(zip(columns, (np.full(len(key), kind, dtype=np.int32), key, n, seen), strict=True)))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = {BYTES: None, WORDS: None}
+        held_back = {BYTES: [], WORDS: []}  # of each kind the sums so far, then what is not yet added to them
+
+        def add(kind: int, part: tuple) -> Iterator[pd.DataFrame]:
+            parts = held_back[kind]
+            parts.append(part)
+            if sum(len(p[0]) for p in parts) > most:
+                parts[:] = [_tally(parts)]
+                if 2 * len(parts[0][0]) > most:
+                    yield from rows(kind, parts.pop())
+
         for batch in batches:
             for train in (True, False):
                 texts = batch.loc[batch[held] != train, text].tolist()
-                if not texts:
-                    continue
-                found = {BYTES: [], WORDS: []}
-                for lo, hi in runs(texts, 1 << 21):
-                    found[BYTES].append(_tallied(gram_keys(texts[lo:hi])[0], train))
+                for lo, hi in runs(texts):
+                    yield from add(BYTES, _tallied(gram_keys(texts[lo:hi])[0], train))
                     if train:
-                        found[WORDS].append(_tallied(signed(words([_lower(t) for t in texts[lo:hi]]).hashes), True))
-                if train:
+                        yield from add(WORDS, _tallied(signed(words([_lower(t) for t in texts[lo:hi]]).hashes), True))
+                if train and texts:
                     ends = np.array([len(texts)])
-                    found[WORDS].append((np.array([END_WORD]), ends, ends))
-                for kind, parts in found.items():
-                    if parts:
-                        sums[kind] = _tally(parts if sums[kind] is None else [sums[kind], *parts])
-            for kind in sums:
-                if sums[kind] is not None and len(sums[kind][0]) > most:
-                    yield from rows(kind, sums[kind])
-                    sums[kind] = None
-        for kind in sums:
-            if sums[kind] is not None:
-                yield from rows(kind, sums[kind])
+                    yield from add(WORDS, (np.array([END_WORD]), ends, ends))
+        for kind, parts in held_back.items():
+            if parts:
+                yield from rows(kind, _tally(parts))
 
     counted = docs.select(text, held).mapInPandas(count, "kind int, key long, n long, seen long")
     return counted.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
