@@ -41,6 +41,7 @@ from uuid import uuid4
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,8 +75,9 @@ def gram_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _tally(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sum both counts of equal keys."""
-    keys, train, every = (np.concatenate(x) for x in zip(*parts, strict=True))
+    """Sum both counts of equal keys; the list is emptied, so that its parts go before the sort."""
+    keys, train, every = (np.concatenate([part[i] for part in parts]) for i in range(3))
+    parts.clear()
     if not len(keys):
         return keys, train, every
     order = np.argsort(keys, kind="stable")
@@ -95,17 +97,16 @@ def corpus_counts(docs: DataFrame, text: str = "body", held: str = "held_out", m
     Words are counted in training texts alone.  A task holds about
     ``most`` keys and sends its sums on when half of that is taken by different ones.
     """
-    columns = ("kind", "key", "n", "seen")
-
-    def rows(kind: int, sums: tuple) -> Iterator[pd.DataFrame]:
+    def rows(kind: int, sums: tuple) -> Iterator[pa.RecordBatch]:
         for lo in range(0, len(sums[0]), 1 << 17):
-            key, n, seen = (x[lo: lo + (1 << 17)] for x in sums)
-            yield pd.DataFrame(dict(zip(columns, (np.full(len(key), kind, dtype=np.int32), key, n, seen), strict=True)))
+            key, n, seen = (pa.array(x[lo: lo + (1 << 17)].astype(np.int64, copy=False)) for x in sums)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(key), kind, dtype=np.int32)), key, n, seen], names=["kind", "key", "n", "seen"])
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_back = {BYTES: [], WORDS: []}  # of each kind the sums so far, then what is not yet added to them
 
-        def add(kind: int, part: tuple) -> Iterator[pd.DataFrame]:
+        def add(kind: int, part: tuple) -> Iterator[pa.RecordBatch]:
             parts = held_back[kind]
             parts.append(part)
             if sum(len(p[0]) for p in parts) > most:
@@ -113,10 +114,10 @@ def corpus_counts(docs: DataFrame, text: str = "body", held: str = "held_out", m
                 if 2 * len(parts[0][0]) > most:
                     yield from rows(kind, parts.pop())
 
-        for batch in batches:
+        for batch in (b.slice(lo, 256) for b in batches for lo in range(0, b.num_rows, 256)):
             for train in (True, False):
-                texts = batch.loc[batch[held] != train, text].tolist()
-                for lo, hi in runs(texts):
+                texts = [t for t, out in zip(batch[text].to_pylist(), batch[held].to_pylist(), strict=True) if out != train]
+                for lo, hi in runs(texts, 1 << 19):
                     yield from add(BYTES, _tallied(gram_keys(texts[lo:hi])[0], train))
                     if train:
                         yield from add(WORDS, _tallied(signed(words([_lower(t) for t in texts[lo:hi]]).hashes), True))
@@ -127,7 +128,7 @@ def corpus_counts(docs: DataFrame, text: str = "body", held: str = "held_out", m
             if parts:
                 yield from rows(kind, _tally(parts))
 
-    counted = docs.select(text, held).mapInPandas(count, "kind int, key long, n long, seen long")
+    counted = docs.select(text, held).mapInArrow(count, "kind int, key long, n long, seen long")
     return counted.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
 
 
