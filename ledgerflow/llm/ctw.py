@@ -129,7 +129,8 @@ def corpus_counts(docs: DataFrame, text: str = "body", held: str = "held_out", m
                 yield from rows(kind, _tally(parts))
 
     counted = docs.select(text, held).mapInArrow(count, "kind int, key long, n long, seen long")
-    return counted.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+    # Tasks have summed already; a second map-side sum would only hold the same keys again.
+    return counted.repartition("kind", "key").groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
 
 
 _ASCII_LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
