@@ -91,11 +91,11 @@ def _tallied(keys: np.ndarray, train: bool) -> tuple[np.ndarray, np.ndarray, np.
     return keys, n if train else np.zeros_like(n), n
 
 
-def corpus_counts(docs: DataFrame, text: str = "body", held: str = "held_out", most: int = 1 << 21) -> DataFrame:
+def corpus_counts(docs: DataFrame, text: str = "body", held: str = "held_out", most: int = 1 << 22) -> DataFrame:
     """kind, key, n, seen: counts of grams, and of words and ends, in training texts (n) and in all (seen).
 
     Words are counted in training texts alone.  A task holds about
-    ``most`` keys and sends its sums on when half of that is taken by different ones.
+    ``most`` keys and sends its sums on when three quarters of that are different ones.
     """
     def rows(kind: int, sums: tuple) -> Iterator[pa.RecordBatch]:
         for lo in range(0, len(sums[0]), 1 << 17):
@@ -111,7 +111,7 @@ def corpus_counts(docs: DataFrame, text: str = "body", held: str = "held_out", m
             parts.append(part)
             if sum(len(p[0]) for p in parts) > most:
                 parts[:] = [_tally(parts)]
-                if 2 * len(parts[0][0]) > most:
+                if 4 * len(parts[0][0]) > 3 * most:
                     yield from rows(kind, parts.pop())
 
         for batch in (b.slice(lo, 256) for b in batches for lo in range(0, b.num_rows, 256)):
