@@ -24,8 +24,9 @@ added in a fixed order and rounded to 6 decimals; ties go to the smaller id.
 
 Nulls and edges: a null text counts as empty and matches nothing; documents with
 a null id can be found (null id, after all others in ties) but ask nothing; a
-query without words has no result; repeated rows are found one by one; an empty
-table gives an empty result; other columns are not read.
+query without words has no result; repeated rows are found one by one, and every
+row of queries is answered on its own, whatever ids or texts it shares with
+others; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -216,23 +217,25 @@ def search(
                 own = [np.unique(signed(w.hashes[a:b])) for a, b in zip(w.ptr[:-1], w.ptr[1:], strict=True)]
                 yield pd.DataFrame({"query_id": batch["query_id"].iloc[lo:hi].array, "terms": own, "n": [len(x) for x in own]})
 
+    # Every row of queries has a number of its own, written once: ids may repeat.
     asked_path = scratch_path(spark, f"wand-queries-{uuid4().hex}")
     queries.where(F.col(order).isNotNull()).select(
         F.col(order).cast("long").alias("query_id"), F.coalesce(F.col(text), F.lit("")).alias("body")
-    ).mapInPandas(terms_of, "query_id long, terms array<long>, n long").where("n > 0").write.parquet(asked_path)
-    asked = spark.read.schema("query_id long, terms array<long>, n long").parquet(asked_path)
+    ).mapInPandas(terms_of, "query_id long, terms array<long>, n long").where("n > 0").withColumn(
+        "query_row", F.monotonically_increasing_id()).write.parquet(asked_path)
+    asked = spark.read.schema("query_id long, terms array<long>, n long, query_row long").parquet(asked_path)
     blocks = int(asked.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // block_terms + 1
 
     def one_block(number: int) -> DataFrame:
-        mine = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == number).select("query_id", "terms").toPandas()
-        ids = mine["query_id"].to_numpy(np.int64)
+        mine = asked.where(F.pmod(F.xxhash64("query_row"), F.lit(blocks)) == number).select("query_row", "query_id", "terms").toPandas()
+        rows, ids = mine["query_row"].to_numpy(np.int64), mine["query_id"].to_numpy(np.int64)
         flat = np.concatenate([np.asarray(t, dtype=np.int64) for t in mine["terms"]]) if len(mine) else np.zeros(0, np.int64)
         starts = np.concatenate(([0], np.cumsum([len(t) for t in mine["terms"]]))).astype(np.int64)
         vocabulary, where = np.unique(flat, return_inverse=True)
-        sent = spark.sparkContext.broadcast((ids, starts, vocabulary, where.astype(np.int32)))
+        sent = spark.sparkContext.broadcast((rows, ids, starts, vocabulary, where.astype(np.int32)))
 
         def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            vocabulary = sent.value[2]
+            vocabulary = sent.value[3]
             for batch in batches:
                 for _, row in batch.iterrows():
                     terms = np.frombuffer(row["terms"], dtype=np.int64)
@@ -249,7 +252,7 @@ def search(
 
         def answering(thresholds):
             def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-                ids, starts, vocabulary, where = sent.value
+                rows, ids, starts, vocabulary, where = sent.value
                 weight, least = idf.value, thresholds.value
                 for batch in batches:
                     for _, row in batch.iterrows():
@@ -261,27 +264,27 @@ def search(
                             own = where[starts[q]: starts[q + 1]]
                             own = own[here[own]]
                             found, score = shard.top(place[own], weight[own], k, least[q])
-                            out.append((np.full(len(found), ids[q]), shard.ids[found], score))
+                            out.append((np.full(len(found), rows[q]), np.full(len(found), ids[q]), shard.ids[found], score))
                         if out:
-                            yield pd.DataFrame(dict(zip(("query_id", "id", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
+                            yield pd.DataFrame(dict(zip(("query_row", "query_id", "id", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
 
             return answer
 
-        schema, leads = "query_id long, id long, score double", F.pmod(F.xxhash64("lengths"), F.lit(FIRST)) == 0
+        schema, leads = "query_row long, query_id long, id long, score double", F.pmod(F.xxhash64("lengths"), F.lit(FIRST)) == 0
         least = spark.sparkContext.broadcast(np.zeros(len(ids)))
         first_path = scratch_path(spark, f"wand-first-{uuid4().hex}")
         index.where(leads).mapInPandas(answering(least), schema).write.parquet(first_path)
         first = spark.read.schema(schema).parquet(first_path)
         # The k-th best score among the first shards: nothing below it can be a result.
-        kth = first.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))).where(F.col("rank") == k)
-        reached = dict(kth.select("query_id", "score").toPandas().itertuples(index=False))
-        least = spark.sparkContext.broadcast(np.array([reached.get(q, 0.0) for q in ids.tolist()]))
+        kth = first.withColumn("rank", F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score")))).where(F.col("rank") == k)
+        reached = dict(kth.select("query_row", "score").toPandas().itertuples(index=False))
+        least = spark.sparkContext.broadcast(np.array([reached.get(q, 0.0) for q in rows.tolist()]))
         return first.unionByName(index.where(~leads).mapInPandas(answering(least), schema))
 
     lists = one_block(0)
     for number in range(1, blocks):
         lists = lists.unionByName(one_block(number))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), F.asc("id"))
     return (
         lists.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
         .select("query_id", F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), F.col("rank").cast("int").alias("rank"), "score")

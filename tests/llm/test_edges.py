@@ -128,6 +128,16 @@ def test_search(odd, none):
     assert wand.search(none, odd).count() == 0 and wand.search(odd, none).count() == 0
 
 
+def test_search_answers_every_row_of_a_repeated_id(make_docs):
+    docs = make_docs([(i, f"red blue w{i}") for i in range(8)] + [(i, f"green w{i}") for i in range(8, 12)], parts=4)
+    for asked in ([(100, "red blue"), (100, "red blue")], [(100, "red blue"), (100, "green")]):
+        for block_terms in (4_000_000, 1):
+            got = sorted((r["query_id"], r["rank"], r["doc_id"], r["score"]) for r in wand.search(
+                docs, make_docs(asked), k=5, block_terms=block_terms).collect())
+            alone = [(100, r["rank"], r["doc_id"], r["score"]) for q in asked for r in wand.search(docs, make_docs([q]), k=5).collect()]
+            assert got == sorted(alone) and len(got) == 5 + (5 if asked[0] == asked[1] else 4)
+
+
 def test_packing(odd, none):
     rows = packing.pack_documents(odd, size=64).collect()
     assert sum(r["length"] == 1 and r["piece"] == 0 for r in rows if r["doc_id"] in (2, 3)) == 2  # the end token alone
