@@ -40,6 +40,14 @@ from ledgerflow.session import scratch_path
 
 #: Beyond these characters two libraries could differ by their Unicode tables: then the vocabulary's own library is used.
 _COMMON = regex.compile(r"[\x00-\x7f¡-ſ‐-‧]*")
+#: The fast library fails on a run of white space of about a million characters: texts with a run of this length go to the other.
+LONG_SPACE = 100_000
+_SPACE = regex.compile(r"\s+")
+
+
+def long_space(text: str) -> bool:
+    """Whether a text has a long run of white space; each run is read once."""
+    return len(text) >= LONG_SPACE and any(m.end() - m.start() >= LONG_SPACE for m in _SPACE.finditer(text))
 
 
 class Encoder:
@@ -53,7 +61,7 @@ class Encoder:
         self.fast = tiktoken.Encoding("ranks", pat_str=SPLIT.pattern, mergeable_ranks=table, special_tokens=special)
 
     def ids(self, text: str) -> list[int]:
-        if _COMMON.fullmatch(text):
+        if _COMMON.fullmatch(text) and not long_space(text):
             return self.fast.encode(text, allowed_special="all")
         return self.exact.encode(text, add_special_tokens=False).ids
 

@@ -1,7 +1,9 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import hashlib
+import zlib
 
+import numpy as np
 import pytest
 
 from ledgerflow.llm import components, ctw, fingerprints, lsh_forest, mixing, packing, secret_ledger, substrings, tokens, toxicity, wand
@@ -149,6 +151,19 @@ def test_packing(odd, none):
     assert packing.pack_documents(none).count() == 0
 
 
+def test_packing_of_long_white_space(make_docs):
+    n = 1_200_000
+    rows = packing.pieces(make_docs([(1, " " * n), (2, "a" + "\n" * n + "b"), (3, "plain text")], parts=1)).collect()
+    exact = packing.encoder("byte_bpe_50k.json", "byte_bpe_50k.tiktoken").exact
+    for i, t in ((1, " " * n), (2, "a" + "\n" * n + "b"), (3, "plain text")):
+        ids = [*exact.encode(t, add_special_tokens=False).ids, 2]
+        own = sorted((r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows if r["doc_id"] == i)
+        assert sum(p[2] for p in own) == len(ids)
+        assert all(crc == zlib.crc32(np.array(ids[a: a + m], dtype="<u4").tobytes()) for _, a, m, crc in own)
+    run = packing.LONG_SPACE
+    assert packing.long_space("a" + " " * run) and not packing.long_space((" " * (run - 1) + "a") * 3)
+
+
 def test_fingerprints(odd, none, make_docs):
     rows = fingerprints.neighbour_report(odd).collect()
     assert len(rows) == len(ODD)
