@@ -12,10 +12,11 @@ scores every whole text in Spark.
 Labels are learned only from rows whose crc32(doc_id as text) mod ``folds`` is
 not 0.  The model is fitted on at most about ``max_labelled`` labelled rows, a
 sample by hash of the id; mining counts run in Spark, and what reaches the driver is
-that sample's vote matrix (max_labelled x voters bits).  Near copies teach once:
-of the sampled rows whose least shingle hash is the same, one is kept, or the
-words of one text copied many times would crowd out all other voters.  Only the
-text is an input of a score.
+that sample's vote matrix (max_labelled x voters bits).  Near copies teach once, or the
+words of one text copied many times would crowd out all other voters: of the
+sampled rows of one label whose least shingle hash is the same, the one of the
+least id teaches, and those with a five-word Jaccard of 0.8 or more to it do
+not; all others do.  Only the text is an input of a score.
 
 Nulls and edges: a null text counts as empty and is scored; labels without an
 id or a value teach nothing; of several labels of one id the largest holds; a
@@ -152,6 +153,31 @@ class Classifier:
         return out
 
 
+def without_near_copies(body: DataFrame, taught: DataFrame) -> DataFrame:
+    """The rows of ``taught`` (__id, __label; bounded) but for near copies of a row with the same label and a smaller id."""
+    spark = body.sparkSession
+
+    def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = batch["body"].tolist()
+            for lo, hi in runs(texts):
+                values, ptr = shingles(words(texts[lo:hi]), 5)
+                own = [np.unique(signed(values[a:b])) for a, b in zip(ptr[:-1], ptr[1:], strict=True)]
+                part = batch.iloc[lo:hi]
+                yield pd.DataFrame({
+                    "__id": part["__id"].array, "__label": part["__label"].array, "least": signed(segments_min(values, ptr)), "own": own})
+
+    # At most about max_labelled pairs of numbers are broadcast: a bound, so the texts need no shuffle.
+    schema, path = "__id long, __label int, least long, own array<long>", scratch_path(spark, f"toxicity-shingles-{uuid4().hex}")
+    body.join(F.broadcast(taught), "__id").select("__id", "__label", "body").mapInPandas(shingled, schema).write.parquet(path)
+    rows = spark.read.schema(schema).parquet(path)
+    first = rows.groupBy("__label", "least").agg(F.min(F.struct("__id", "own")).alias("first"))
+    common = F.size(F.array_intersect("own", "first.own"))
+    differs = 5 * common < 4 * (F.size("own") + F.size("first.own") - common)
+    kept = rows.join(first, ["__label", "least"]).where((F.col("__id") == F.col("first.__id")) | differs)
+    return taught.join(kept.select("__id").distinct(), "__id")
+
+
 def train(
     docs: DataFrame, labels: DataFrame, folds: int = 5, max_labelled: int = 20_000, max_voters: int = 384,
     least_support: int = 4, order: str = "doc_id", text: str = "text", label: str = "toxic",
@@ -165,19 +191,8 @@ def train(
     if have > max_labelled:
         taught = taught.where(F.pmod(F.xxhash64("__id"), F.lit(1_000_000)) < int(1_000_000 * max_labelled / have))
     body = docs.select(F.col(order).cast("long").alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
-
-    def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            least = [segments_min(*shingles(words(batch["body"].iloc[lo:hi].tolist()), 5)) for lo, hi in runs(batch["body"].tolist())]
-            yield pd.DataFrame({"__id": batch["__id"].to_numpy(), "least": signed(np.concatenate(least)) if least else []})
-
-    # At most about max_labelled pairs of numbers are broadcast: a bound, so the texts need no shuffle.
-    once = (
-        body.join(F.broadcast(taught), "__id").select("__id", "body").mapInPandas(shingled, "__id long, least long")
-        .groupBy("least").agg(F.min("__id").alias("__id")).select("__id").distinct()
-    )
     ids_path = scratch_path(spark, f"toxicity-sample-{uuid4().hex}")
-    taught.join(once, "__id").write.parquet(ids_path)
+    without_near_copies(body, taught).write.parquet(ids_path)
     taught = spark.read.parquet(ids_path)
     sample = body.join(F.broadcast(taught), "__id").select("body", F.col("__label").alias("label"))
 
