@@ -1,11 +1,11 @@
-"""N-gram Jaccard join with a MinHash LSH forest.
-
-A text's set of word five-grams gets a MinHash signature of ``trees`` x
-``max_depth`` values; each tree is the sorted prefix trie of its part of the
-signatures.  Texts that share a long prefix in a tree are candidates.  The
-prefix starts at full depth and is shortened until the chance that a pair at
-the threshold shares it in some tree reaches the target recall; the keys of
-that depth are the trie's nodes.  Candidates are then verified exactly.
+"""N-gram Jaccard join with MinHash banding.
+
+A text's set of word five-grams gets a MinHash signature of ``trees`` bands.
+Their depth is the largest, up to ``max_depth``, at which the chance that a
+pair at the threshold shares a band reaches the target recall; it is computed
+from the parameters before matching, so no trie is sorted and no prefix is
+shortened level by level, as in an LSH forest.  A band's hash is called a node;
+texts that share one are candidates, and candidates are verified exactly.
 
 Exact copies meet first, by content, and count as one text.  Texts that share
 a trie node are connected through the node's least member, and each candidate
