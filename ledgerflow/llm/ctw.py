@@ -15,8 +15,8 @@ Nothing is capped: the counts are those of all grams (six bytes and the next)
 of the whole corpus, summed by Spark, and the model is a table of the same
 rows.  Grams that only held-out texts have stand in it with count zero, so
 every gram of every text has its row.  The grams of one three-byte context lie
-together (at most 2**24 of them, whatever the corpus); their part of the tree
-is weighted in the tasks, sorted, group after group.  What the driver holds are
+together (up to 2**32 of them, for the four bytes that follow; a hot context
+is not split further); their part of the tree is weighted in the tasks, sorted, group after group.  What the driver holds are
 the nodes of contexts of two bytes and less, at most 2**16 * 255.
 
 Texts find their grams in a broadcast table of the ``max_grams`` most frequent
