@@ -1,7 +1,7 @@
 """DuckDB SQL for the operators that SQL can express, over whole tables.
 
-Token counts, packing, toxicity, language-model scores and bottom-k sketches
-are not SQL-expressible; tests/llm holds them against brute-force versions.
+Token counts and ids, alignments, packing, toxicity, language-model scores and
+bottom-k sketches are not SQL-expressible; tests/llm holds them against brute-force versions.
 """
 
 from __future__ import annotations
@@ -117,10 +117,33 @@ o AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, do
 SELECT query_id, doc_id, rank::INTEGER AS rank, score FROM o WHERE rank <= 10
 """
 
+# Sums and products of integers below 2**53 are exact in DOUBLE.
+_NEAREST = """
+a{i} AS MATERIALIZED (SELECT r, arg_min(c, d) AS c, min(d) AS d FROM (
+  SELECT r, c, list_inner_product(v.x, v.x) - 2 * list_inner_product(v.x, m.x) + list_inner_product(m.x, m.x) + c / 1024.0 AS d
+  FROM v CROSS JOIN c{i} m) GROUP BY r),"""
+_MOVED = """
+c{j} AS MATERIALIZED (SELECT c, coalesce(n.x, m.x) AS x FROM c{i} m LEFT JOIN (
+  SELECT c, list(floor(s / n) ORDER BY pos) AS x FROM (
+    SELECT c, pos, sum(x[pos]) AS s, count(*) AS n FROM v JOIN a{i} USING (r), unnest(generate_series(1, 64)) AS u(pos) GROUP BY c, pos)
+  GROUP BY c) n USING (c)),"""
+_OP13 = f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x FROM (
+  SELECT sha256('2:' || coalesce(vec_id::VARCHAR, '')) AS h, x FROM v ORDER BY h, x LIMIT 40)),
+{"".join(_NEAREST.format(i=i) + _MOVED.format(i=i, j=i + 1) for i in range(5))}{_NEAREST.format(i=5)}
+f AS (SELECT vec_id, a5.c, floor(a5.d)::BIGINT AS distance, m.x FROM v JOIN a5 USING (r) JOIN c5 m ON m.c = a5.c)
+SELECT vec_id, c::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+  (sum(distance) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(list_transform(x, lambda e: e::BIGINT::VARCHAR), ',')) AS centroid_sha256 FROM f
+"""
+
 ORACLE: dict[str, str] = {
     "op1_secret_ledger": _OP1,
     "op4_mixing": _OP4,
     "op5_substring_dedup": _OP5,
     "op6_ngram_jaccard": _OP6,
     "op7_bm25_wand": _OP7,
+    "op13_bit_planes": _OP13,
 }

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import (
-    ctw, fingerprints, lsh_forest, mixing, packing, secret_ledger, substrings, tokens, toxicity, wand,
+    alignment, bit_planes, ctw, fingerprints, lsh_forest, mixing, packing, rank_queue, secret_ledger, substrings, tokens,
+    toxicity, wand,
 )
 from ledgerflow.llm.oracles import ORACLE
 
@@ -65,10 +66,26 @@ def op10_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score(_table(spark, sf_dir, "documents"))
 
 
+def op11_rank_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = rank_queue.decode(rank_queue.encode(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return coded.select(
+        "doc_id", rank_queue.n_ids("ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(_table(spark, sf_dir, "documents"))
+
+
+def op13_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bit_planes.cluster(_table(spark, sf_dir, "embeddings"), k=40, rounds=5, salt="2")
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", bit_planes.centroid_digest().alias("centroid_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_secret_ledger, op2_token_counts, op3_toxicity, op4_mixing, op5_substring_dedup, op6_ngram_jaccard,
-        op7_bm25_wand, op8_packing, op9_fingerprints, op10_context_tree)}
+        op7_bm25_wand, op8_packing, op9_fingerprints, op10_context_tree,
+        op11_rank_queue, op12_alignment, op13_bit_planes)}
 
 
 def oracle_sql() -> dict[str, str]:
