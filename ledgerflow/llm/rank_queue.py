@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
 A pre-token starts as one symbol per UTF-8 byte in a linked list.  Every merge
-rank has a bucket of list positions, and a bitmap of three levels says which
+rank has a bucket of list positions, and a bitmap of two levels says which
 buckets hold any: the lowest rank is found by find-first-set from the top
 level down, in constant time whatever the length.  A position taken from a
 bucket is stale, and skipped, if its pair has meanwhile got another rank; else
@@ -35,76 +35,76 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm.tokens import vocabulary_path
 
-_NONE = 1 << 62
+#: Bits of a word of the lower bitmap.
+_WORD = 256
+_BITS = [1 << i for i in range(_WORD)]
 
 
 class RankQueue:
-    """Buckets of positions per rank; three levels of bitmaps of 64 bits name the buckets that hold any."""
+    """Buckets of positions per rank, and bitmaps of two levels: which words of ranks, and which ranks, hold any."""
 
     def __init__(self, ranks: int):
         self.buckets: dict[int, list[int]] = {}
-        self.low = [0] * (ranks // 64 + 1)
-        self.mid = [0] * (ranks // 4096 + 1)
+        self.low = [0] * (ranks // _WORD + 1)
         self.top = 0
 
     def put(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [position]
-            self.low[rank >> 6] |= 1 << (rank & 63)
-            self.mid[rank >> 12] |= 1 << (rank >> 6 & 63)
-            self.top |= 1 << (rank >> 12)
-        else:
-            heapq.heappush(bucket, position)
+        if rank in self.buckets:
+            heapq.heappush(self.buckets[rank], position)
+            return
+        self.buckets[rank] = [position]
+        word = rank // _WORD
+        if not self.low[word]:
+            self.top |= 1 << word
+        self.low[word] |= _BITS[rank % _WORD]
 
     def pop(self) -> tuple[int, int] | None:
-        """The leftmost position of the lowest rank, or None when nothing is left."""
-        if not self.top:
+        """The lowest rank and its leftmost position, or None when nothing is left."""
+        top = self.top
+        if not top:
             return None
-        m = (self.top & -self.top).bit_length() - 1
-        word = self.mid[m]
-        w = m << 6 | (word & -word).bit_length() - 1
-        word = self.low[w]
-        rank = w << 6 | (word & -word).bit_length() - 1
+        word = (top & -top).bit_length() - 1
+        bits = self.low[word]
+        rank = word * _WORD + (bits & -bits).bit_length() - 1
         bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[w] &= self.low[w] - 1  # the lowest bit of each level is the one that was found
-            if not self.low[w]:
-                self.mid[m] &= self.mid[m] - 1
-                if not self.mid[m]:
-                    self.top &= self.top - 1
-        return rank, position
+        if len(bucket) > 1:
+            return rank, heapq.heappop(bucket)
+        del self.buckets[rank]
+        self.low[word] = bits = bits & (bits - 1)  # its lowest bit is the one that was found
+        if not bits:
+            self.top = top & (top - 1)
+        return rank, bucket[0]
 
 
 class Coder(dict):
     """Ids of pre-tokens as packed 32-bit integers; as a mapping it remembers those of short ones, lately seen."""
 
-    def __init__(self, ranks: dict[bytes, int], split: str, remember: int = 250_000, longest: int = 40):
+    def __init__(self, ranks: dict[bytes, int], split: str, remember: int = 150_000, longest: int = 40):
         super().__init__()
         self.ranks, self.split = ranks, regex.compile(split)
         self.remember, self.longest = remember, longest
         self.older: dict[str, bytes] = {}
         self.size = max(ranks.values(), default=-1) + 1
         self.queue = RankQueue(self.size)  # empty again after each pre-token
+        self.single = [ranks[bytes([byte])] for byte in range(256)]
+        self.double = {tuple(token): rank for token, rank in ranks.items() if len(token) == 2}
         self.table: list[bytes | None] = [None] * self.size
         for token, rank in ranks.items():
             self.table[rank] = token
 
     def merged(self, data: bytes) -> list[int]:
         """Ids of one pre-token."""
-        ranks = self.ranks
-        if (whole := ranks.get(data)) is not None:
+        rank_of = self.ranks.get
+        if (whole := rank_of(data)) is not None:
             return [whole]
         n = len(data)
+        ids = [self.single[byte] for byte in data]
         after = list(range(1, n + 2))  # the start of the next symbol; symbol i is data[i:after[i]]
         before = list(range(-1, n))
-        pair = [_NONE] * n  # the rank of the pair that starts at a position
+        pair = [self.double.get(two) for two in zip(data, data[1:])] + [None]  # the rank of the pair that starts at a position
         put, pop = self.queue.put, self.queue.pop
-        for i in range(n - 1):
-            if (rank := ranks.get(data[i: i + 2])) is not None:
-                pair[i] = rank
+        for i, rank in enumerate(pair):
+            if rank is not None:
                 put(rank, i)
         while (found := pop()) is not None:
             rank, i = found
@@ -112,20 +112,22 @@ class Coder(dict):
                 continue  # stale
             j = after[i]
             end = after[i] = after[j]
-            pair[j] = pair[i] = _NONE
+            ids[i] = rank  # a merge's rank is the id that it makes
+            pair[j] = None
             if end < n:
                 before[end] = i
-                if (r := ranks.get(data[i: after[end]])) is not None:
-                    pair[i] = r
-                    put(r, i)
+                pair[i] = made = rank_of(data[i: after[end]])
+                if made is not None:
+                    put(made, i)
+            else:
+                pair[i] = None
             if (p := before[i]) >= 0:
-                pair[p] = _NONE
-                if (r := ranks.get(data[p:end])) is not None:
-                    pair[p] = r
-                    put(r, p)
+                pair[p] = made = rank_of(data[p:end])
+                if made is not None:
+                    put(made, p)
         out, i = [], 0
         while i < n:
-            out.append(ranks[data[i: after[i]]])
+            out.append(ids[i])
             i = after[i]
         return out
 
@@ -195,7 +197,8 @@ def decode(
         bpe = coder(vocabulary, split)
         return pd.Series([bpe.decode(p) for p in packed], dtype=object)
 
-    return rows.withColumn(out, decoded(F.col(ids)))
+    # Not a call on a call: the ids are made once, and also read by others.
+    return rows.withColumn(out, decoded(F.coalesce(F.col(ids), F.lit(b""))))
 
 
 def n_ids(ids: str = "ids"):

@@ -47,7 +47,7 @@ def test_queue_gives_lowest_rank_then_leftmost():
     while held:
         assert queue.pop() == min(held)
         held.remove(min(held))
-    assert queue.pop() is None and not any(queue.low) and not any(queue.mid) and not queue.top
+    assert queue.pop() is None and not any(queue.low) and not queue.top
 
 
 def test_ids_are_the_librarys(library):
