@@ -22,20 +22,21 @@ each; an empty table stays empty; other columns are not read.
 
 from __future__ import annotations
 
+import base64
+import functools
 import json
-import os
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.ctw import most_frequent
+from ledgerflow.llm.packing import long_space
 from ledgerflow.llm.textops import gather_ranges, runs
 from ledgerflow.llm.tokens import SPLIT, _byte_letters, vocabulary_path
 from ledgerflow.session import scratch_path
@@ -45,77 +46,53 @@ _RUN = 1 << 18
 _FAR = np.iinfo(np.int64).max
 
 
-class Remembered:
-    """Ids of texts by one vocabulary, part by part: its merges never cross the parts, so each distinct part is encoded
-    once (by the vocabulary's own library) and remembered for later texts of the worker."""
-
-    def __init__(self, parts: regex.Pattern, encode: Callable[[list[str]], list[list[int]]], table: list[bytes],
-                 remember: int = 250_000, longest: int = 40):
-        self.parts, self.encode, self.table = parts, encode, table
-        self.size = np.array([len(t) for t in table])
-        self.remember, self.longest = remember, longest
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.bad: set[str] = set()  # parts that the vocabulary doesn't give back
-
-    def ids(self, spaced: list[str]) -> list[np.ndarray | None]:
-        """Ids of every text; None where they don't give its bytes back."""
-        if len(self.known) > self.remember:
-            self.older, self.known = self.known, {}
-            self.bad.intersection_update(self.older)
-        parts = [self.parts.findall(t) for t in spaced]
-        sought = list(set().union(*parts) - self.known.keys())
-        new = [part for part in sought if part not in self.older]
-        self.known.update((part, self.older[part]) for part in sought if part in self.older)
-        for part, ids in zip(new, self.encode(new), strict=True):
-            self.known[part] = array("i", ids).tobytes()
-            if b"".join(map(self.table.__getitem__, ids)) != part.encode("utf-8"):
-                self.bad.add(part)
-        out = [
-            np.frombuffer(b"".join(map(self.known.__getitem__, own)), dtype="i4") if self.bad.isdisjoint(own) else None
-            for own in parts]
-        for part in new:
-            if len(part) > self.longest:
-                del self.known[part]
-                self.bad.discard(part)
-        return out
-
-
 class Vocabularies:
-    """Both encoders, and the decimal digits of all their ids."""
+    """Both encoders, and the bytes, byte lengths and decimal digits of all their ids."""
 
-    def __init__(self, a: str, b: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has its core, not the machine
+    def __init__(self, a: str, ranks: str, b: str):
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        byte_level = Tokenizer.from_file(vocabulary_path(a))
-        byte_level.encode_special_tokens = True
+        self.a_file = vocabulary_path(a)
+        with open(vocabulary_path(ranks), "rb") as f:
+            table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+        # The ranks file holds the same vocabulary without special tokens, so their strings are plain text.
+        self.fast = tiktoken.Encoding("ranks", pat_str=SPLIT.pattern, mergeable_ranks=table, special_tokens={})
         byte = {letter: bytes([i]) for i, letter in enumerate(_byte_letters())}
-        with open(vocabulary_path(a), encoding="utf-8") as f:
+        with open(self.a_file, encoding="utf-8") as f:
             names = {i: token for token, i in json.load(f)["model"]["vocab"].items()}
-        # Its merges stay within the pre-tokens.
-        self.a = Remembered(
-            SPLIT, lambda parts: [e.ids for e in byte_level.encode_batch_fast(parts, add_special_tokens=False)],
-            [b"".join(byte[c] for c in names.get(i, "")) for i in range(max(names) + 1)])
-        pieces = sentencepiece.SentencePieceProcessor(model_file=vocabulary_path(b))
-        names = [pieces.id_to_piece(i) for i in range(pieces.get_piece_size())]
-        # Where no piece has a space after another character, merges stay within runs of spaces and what follows; else texts go whole.
-        space = pieces.piece_to_id("▁")  # it adds no space to an empty text
-        whole = any("▁" in name.lstrip("▁") for name in names)
-        self.b = Remembered(
-            regex.compile(r"(?s).+" if whole else r" +[^ ]*"), lambda parts: [
-                ids if part != " " else [space] for part, ids in zip(parts, pieces.encode([p[1:] for p in parts], num_threads=1), strict=True)],
-            [bytes([int(name[3:5], 16)]) if pieces.is_byte(i) else name.replace("▁", " ").encode("utf-8") for i, name in enumerate(names)])
+        self.a_bytes = [b"".join(byte[c] for c in names.get(i, "")) for i in range(max(names) + 1)]
+        self.b = sentencepiece.SentencePieceProcessor(model_file=vocabulary_path(b))
+        names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.b_bytes = [
+            bytes([int(name[3:5], 16)]) if self.b.is_byte(i) else name.replace("▁", " ").encode("utf-8") for i, name in enumerate(names)]
+        self.a_size, self.b_size = (np.array([len(t) for t in table]) for table in (self.a_bytes, self.b_bytes))
         self.shift = len(names).bit_length()
-        self.digits = _decimal(max(len(self.a.table), len(self.b.table)))
+        self.digits = _decimal(max(len(self.a_bytes), len(self.b_bytes)))
+
+    @functools.cached_property
+    def exact(self):
+        """The vocabulary's own library, for the texts on which the faster one fails."""
+        from tokenizers import Tokenizer
+
+        own = Tokenizer.from_file(self.a_file)
+        own.encode_special_tokens = True
+        return own
+
+    def ids_a(self, spaced: str) -> list[int]:
+        return self.exact.encode(spaced, add_special_tokens=False).ids if long_space(spaced) else self.fast.encode_ordinary(spaced)
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of both vocabularies for every text; none where one of them doesn't give the text back."""
-        spaced = [" " + t if t else "" for t in texts]
-        none = np.zeros(0, dtype="i4")
-        both = [(x, y) if x is not None and y is not None else (none, none) for x, y in zip(self.a.ids(spaced), self.b.ids(spaced), strict=True)]
-        return [x for x, _ in both], [y for _, y in both]
+        out_a, out_b = [], []
+        for text, ids_b in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
+            spaced = " " + text
+            ids_a, raw = self.ids_a(spaced), spaced.encode("utf-8")
+            if not text or b"".join(map(self.b_bytes.__getitem__, ids_b)) != raw or b"".join(map(self.a_bytes.__getitem__, ids_a)) != raw:
+                ids_a = ids_b = []
+            out_a.append(np.array(array("i", ids_a)))
+            out_b.append(np.array(array("i", ids_b)))
+        return out_a, out_b
 
 
 def _decimal(n: int) -> np.ndarray:
@@ -183,14 +160,14 @@ def align_run(ids_a: list[np.ndarray], ids_b: list[np.ndarray], size_a: np.ndarr
     # Both vocabularies give every text back, so offsets of the whole run agree.
     ends_a, ends_b = np.cumsum(size_a[flat_a]), np.cumsum(size_b[flat_b])
     some = ptr_a[1:] > ptr_a[:-1]
-    first_a = shared_cuts(ends_a, ends_b, ptr_a[:-1][some], ptr_a[1:][some])
-    first_b = np.searchsorted(ends_b, ends_a[first_a[1:] - 1]) + 1
-    first_a, first_b = np.append(first_a, len(flat_a)), np.concatenate(([0], first_b, [len(flat_b)] if len(first_a) else []))
-    start_a, start_b = ends_a - size_a[flat_a], ends_b - size_b[flat_b]
-    low, high = np.searchsorted(ends_b, start_a, side="right"), np.searchsorted(start_b, ends_a, side="left")
-    return Aligned(
-        flat_a, flat_b, ptr_a, ptr_b, first_a, first_b.astype(np.int64),
-        np.repeat(np.arange(len(flat_a)), high - low), gather_ranges(low, high - low))
+    first_a = np.append(shared_cuts(ends_a, ends_b, ptr_a[:-1][some], ptr_a[1:][some]), len(flat_a))
+    # The B token in which each A token ends; the next A token begins there too, or, at a shared end, with the next B token.
+    into = np.searchsorted(ends_b, ends_a)
+    onward = into + (ends_b[into] == ends_a)
+    low = np.concatenate(([0], onward[:-1])) if len(onward) else onward
+    first_b = np.append(low[first_a[:-1]], len(flat_b))
+    links = into + 1 - low
+    return Aligned(flat_a, flat_b, ptr_a, ptr_b, first_a, first_b, np.repeat(np.arange(len(flat_a)), links), gather_ranges(low, links))
 
 
 def written_groups(run: Aligned, digits: np.ndarray) -> list[str]:
@@ -217,34 +194,34 @@ def linked_pairs(run: Aligned, shift: int) -> tuple[np.ndarray, np.ndarray, np.n
     """Distinct id pairs of every text, in its order: text, pair (A id << shift | B id), how many links."""
     doc = np.repeat(np.arange(len(run.ptr_a) - 1), np.diff(run.ptr_a))[run.link_a]
     pair = run.ids_a[run.link_a] << shift | run.ids_b[run.link_b]
-    order = np.lexsort((pair, doc))
-    doc, pair = doc[order], pair[order]
-    new = np.flatnonzero(np.concatenate((np.ones(min(1, len(doc)), dtype=bool), (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1]))))
-    return doc[new], pair[new], np.diff(np.append(new, len(doc)))
+    bits = max(1, int(pair.max(initial=0)).bit_length())  # at most 63 with the text's number: a run has few texts
+    keys, times = np.unique(doc << bits | pair, return_counts=True)
+    return keys >> bits, keys & ((1 << bits) - 1), times
 
 
-_LOADED: dict[tuple[str, str], Vocabularies] = {}
+_LOADED: dict[tuple[str, str, str], Vocabularies] = {}
 
 
-def vocabularies(a: str, b: str) -> Vocabularies:
+def vocabularies(a: str, ranks: str, b: str) -> Vocabularies:
     """Both vocabularies, loaded once per worker."""
-    if (a, b) not in _LOADED:
-        _LOADED[a, b] = Vocabularies(a, b)
-    return _LOADED[a, b]
+    if (a, ranks, b) not in _LOADED:
+        _LOADED[a, ranks, b] = Vocabularies(a, ranks, b)
+    return _LOADED[a, ranks, b]
 
 
 def align(
-    docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k.model", order: str = "doc_id", text: str = "text",
+    docs: DataFrame, a: str = "byte_bpe_50k.json", ranks: str = "byte_bpe_50k.tiktoken", b: str = "piece_bpe_32k.model",
+    order: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """Every text's alignment: doc_id, n_a, n_b, n_groups, n_links, groups (string), pairs (A id << shift | B id) and
     times (links of each pair)."""
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = vocabularies(a, b)
+        both = vocabularies(a, ranks, b)
         for batch in batches:
             texts = batch.column("body").to_pylist()
             for lo, hi in runs(texts, _RUN):
-                run = align_run(*both.encode(texts[lo:hi]), both.a.size, both.b.size)
+                run = align_run(*both.encode(texts[lo:hi]), both.a_size, both.b_size)
                 n = hi - lo
                 doc, pair, times = linked_pairs(run, both.shift)
                 offsets = pa.array(np.searchsorted(doc, np.arange(n + 1)).astype(np.int32))
@@ -284,14 +261,13 @@ def pair_counts(links: DataFrame, shift: int, folder: str) -> DataFrame:
 
 
 def report(
-    docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k.model", max_hot: int = 1 << 18, keep_groups: bool = False,
-    **columns,
+    docs: DataFrame, b: str = "piece_bpe_32k.model", max_hot: int = 1 << 18, keep_groups: bool = False, **options,
 ) -> DataFrame:
     """Per text: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 (and groups, if kept)."""
     spark = docs.sparkSession
     folder = scratch_path(spark, f"alignment-{uuid4().hex}")
     digest = F.when(F.col("n_a") == 0, F.lit("")).otherwise(F.sha2("groups", 256))
-    rows = align(docs, a, b, **columns).withColumn("groups_sha256", digest)
+    rows = align(docs, b=b, **options).withColumn("groups_sha256", digest)
     rows = rows if keep_groups else rows.drop("groups")
     rows.withColumn("row", F.monotonically_increasing_id()).write.parquet(f"{folder}/texts")
     done = spark.read.parquet(f"{folder}/texts")

@@ -81,7 +81,9 @@ def test_coding_edges(make_docs):
     rows = rank_queue.decode(rank_queue.encode(docs)).collect()
     assert sorted(bytes(r["decoded"]) for r in rows) == sorted((r["text"] or "").encode() for r in rows) and len(rows) == 7
     assert all(r["ids"] == b"" for r in rows if not r["text"])
-    assert rank_queue.encode(docs.where("doc_id > 99")).count() == 0
+    same = lambda df: sorted((r["doc_id"] or 0, bytes(r["ids"]), bytes(r["decoded"])) for r in df.collect())
+    assert same(rank_queue.round_trip(docs)) == same(rank_queue.decode(rank_queue.encode(docs)))
+    assert rank_queue.encode(docs.where("doc_id > 99")).count() == 0 and rank_queue.round_trip(docs.where("doc_id > 99")).count() == 0
     assert rank_queue.decode(docs.selectExpr("cast(null as binary) as ids").limit(1)).first()["decoded"] == b""
     with pytest.raises(ValueError):
         rank_queue.encode(docs.withColumnRenamed("extra", "ids"))
@@ -96,12 +98,12 @@ def both():
     a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     a.encode_special_tokens = True
     b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
-    known = alignment.vocabularies("byte_bpe_50k.json", "piece_bpe_32k.model")
+    known = alignment.vocabularies("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model")
     decode = {c: bytes([i]) for i, c in enumerate(alignment._byte_letters())}
     names = {i: t for t, i in a.get_vocab().items()}
     a_bytes = lambda i: b"".join(decode[c] for c in names[i])
     b_bytes = lambda i: bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()
-    assert known.a.table[:50256] == [a_bytes(i) for i in range(50256)]
+    assert known.a_bytes[:50256] == [a_bytes(i) for i in range(50256)]
 
     def slow(text):
         """Token ids, groups and links (as index pairs) of one text, whole texts through the libraries."""
@@ -181,14 +183,17 @@ def test_shared_cuts_are_all_found():
             assert ends_a[np.append(first[1:], len(ends_a)) - 1].tolist() == np.intersect1d(ends_a, ends_b).tolist() and first[0] == 0
 
 
-def test_forgetting_parts_does_not_change_alignment(both):
-    known = alignment.vocabularies("byte_bpe_50k.json", "piece_bpe_32k.model")
-    small = [alignment.Remembered(r.parts, r.encode, r.table, remember=3, longest=4) for r in (known.a, known.b)]
-    for t in [*ODD, *ODD]:
-        if t:
-            a, b = (r.ids([" " + t])[0] for r in small)
-            whole = both(t)
-            assert (a is not None and b is not None and a.tolist() == whole[0] and b.tolist() == whole[1]) or whole[0] == []
+def test_every_code_point_is_encoded_as_the_library_does():
+    known = alignment.vocabularies("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model")
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for lo in range(0, len(points), 5000):
+        probe = "\n".join(f"a{c} {c}b1{c}{c} 2" for c in points[lo: lo + 5000])
+        assert known.ids_a(probe) == known.exact.encode(probe, add_special_tokens=False).ids, hex(lo)
+
+
+def test_long_white_space_goes_to_the_own_library(make_docs):
+    got = alignment.report(make_docs([(1, "a" + "\n" * 1_200_000 + "b")], parts=1)).first()
+    assert got["n_b"] > 1_200_000 and got["n_links"] >= got["n_b"] and got["count_sum"] > got["n_links"]
 
 
 # ------------------------------------------------------------------ bit planes
