@@ -67,7 +67,7 @@ def op10_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_rank_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = rank_queue.decode(rank_queue.encode(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    coded = rank_queue.round_trip(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return coded.select(
         "doc_id", rank_queue.n_ids("ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -12,7 +12,7 @@ word is no problem.  Ids of short pre-tokens are remembered in a table of
 bounded size per worker.
 
 ``encode`` gives the ids as little-endian unsigned 32-bit integers (binary),
-``decode`` gives the bytes of such ids.
+``decode`` gives the bytes of such ids, ``round_trip`` gives both in one pass.
 
 Nulls and edges: a null or empty text has no ids; null ids decode to no bytes;
 an id outside the vocabulary, or ids that are not whole integers, raise; other
@@ -197,8 +197,25 @@ def decode(
         bpe = coder(vocabulary, split)
         return pd.Series([bpe.decode(p) for p in packed], dtype=object)
 
-    # Not a call on a call: the ids are made once, and also read by others.
-    return rows.withColumn(out, decoded(F.coalesce(F.col(ids), F.lit(b""))))
+    return rows.withColumn(out, decoded(F.col(ids)))
+
+
+def round_trip(
+    docs: DataFrame, vocabulary: str = "byte_bpe_multi_50k.tiktoken", split: str | None = None, text: str = "text",
+    ids: str = "ids", decoded: str = "decoded",
+) -> DataFrame:
+    """``docs`` with the ids of every whole text and the bytes that these ids stand for, in one pass of one worker."""
+    if clash := {ids, decoded} & set(docs.columns):
+        raise ValueError(f"input must not have columns named {sorted(clash)}")
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def coded(texts: pd.Series) -> pd.DataFrame:
+        bpe = coder(vocabulary, split)
+        packed = [bpe.encode(t) for t in texts]
+        return pd.DataFrame({"ids": pd.Series(packed, dtype=object), "decoded": pd.Series(map(bpe.decode, packed), dtype=object)})
+
+    both = coded(F.coalesce(F.col(text), F.lit("")))
+    return docs.withColumn("__coded", both).select(*docs.columns, F.col("__coded.ids").alias(ids), F.col("__coded.decoded").alias(decoded))
 
 
 def n_ids(ids: str = "ids"):
