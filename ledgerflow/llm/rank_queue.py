@@ -79,7 +79,7 @@ class RankQueue:
 class Coder(dict):
     """Ids of pre-tokens as packed 32-bit integers; as a mapping it remembers those of short ones, lately seen."""
 
-    def __init__(self, ranks: dict[bytes, int], split: str, remember: int = 150_000, longest: int = 40):
+    def __init__(self, ranks: dict[bytes, int], split: str, remember: int = 400_000, longest: int = 40):
         super().__init__()
         self.ranks, self.split = ranks, regex.compile(split)
         self.remember, self.longest = remember, longest
