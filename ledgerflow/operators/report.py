@@ -25,6 +25,13 @@ VERDICTS = {
     "clear": "✅ All clear — dashboard is up to date",
 }
 LOCAL_TZ = "Asia/Singapore"
+# The parts of the daily message.
+REPORT_TITLE = "📊 <b>Daily Report</b>"
+SOURCES_HEADING = "<b>Investment Positions</b>"
+TABLES_HEADING = "<b>dbt Build &amp; Dashboard</b>"
+NO_STATUS = "❓ No status recorded — pipeline may not have run"
+NO_TABLES = "❓ Could not check table freshness"
+RULE = "──────────────────────"
 
 
 def status_icon(status: Column) -> Column:
@@ -111,6 +118,51 @@ def report_lines(status: DataFrame, fresh: DataFrame, verdicts: DataFrame, label
     return allx.withColumn("line_no", F.row_number().over(w).cast("long")).select(key, "line_no", "line")
 
 
+def report_message(days: DataFrame, status: DataFrame, fresh: DataFrame, labels: Mapping[str, str] | None = None,
+                   title: str = REPORT_TITLE, key: str = "run_date") -> DataFrame:
+    """The whole daily message of every day in ``days``: (key, verdict, message).
+
+    Parts in order, separated by blank lines: the title with the day; the
+    sources (by name) or a note that no status was recorded, and the rates;
+    the tables (by name) or a note that none could be checked; the verdict.
+    A day that ``days`` lists and that neither input knows gets both notes.
+    Everything is grouped by day, and a day has one line per source and table.
+    """
+    wanted = days.select(key).distinct()
+    count = F.when(F.col("row_count").isNotNull(), F.concat(F.lit(" — "), F.col("row_count").cast("string"), F.lit(" positions"))).otherwise(F.lit(""))
+    of_source = F.concat(status_icon(F.col("status")), F.lit(" "), F.upper("source"), count, F.lit(" ("), F.col("status"), F.lit(")"))
+    is_rates = F.col("source") == "fx"
+    rates = F.min(F.when(is_rates, F.col("status")))
+    per_day = status.groupBy(key).agg(
+        F.array_sort(F.collect_list(F.when(~is_rates, F.struct("source", of_source.alias("line"))))).alias("sources"),
+        F.concat(status_icon(rates), F.lit(" FX Rates ("), rates, F.lit(")")).alias("rates"),
+        F.max((F.col("status") == "failed").cast("int")).alias("has_failed"),
+        F.max((F.col("status") == "fallback").cast("int")).alias("has_fallback"))
+    lab = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv]) if labels else None
+    label = F.coalesce(lab[F.col("table")], F.col("table")) if lab is not None else F.col("table")
+    of_table = (F.when(F.col("fresh"), F.concat(F.lit("✅ "), label, F.lit(" — updated "), F.col("updated_local"), F.lit(" SGT")))
+                .otherwise(F.concat(F.lit("❌ "), label, F.lit(" — stale ("), F.col("age_hours").cast("string"), F.lit("h old)"))))
+    tables = fresh.groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct("table", of_table.alias("line")))).alias("tables"),
+        F.min(F.col("fresh").cast("int")).alias("all_fresh"))
+    j = wanted.join(per_day, key, "left").join(tables, key, "left")
+    none = F.array().cast("array<string>")
+    lines = lambda c: F.coalesce(F.transform(c, lambda x: x["line"]), none)
+    or_note = lambda found, note: F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(note)))
+    verdict = (F.when((F.col("has_failed") == 1) | (F.coalesce(F.col("all_fresh"), F.lit(0)) == 0), F.lit("action"))
+               .when(F.col("has_fallback") == 1, F.lit("warn"))
+               .when(F.col("has_failed").isNull(), F.lit("unknown"))
+               .otherwise(F.lit("clear")))
+    texts = F.create_map(*[F.lit(x) for kv in VERDICTS.items() for x in kv])
+    head = F.concat(F.lit(f"{title} — "), F.date_format(key, "EEE dd MMM yyyy"))
+    parts = F.concat(
+        F.array(head, F.lit(""), F.lit(SOURCES_HEADING)), or_note(lines("sources"), NO_STATUS),
+        F.when(F.col("rates").isNotNull(), F.array("rates")).otherwise(none),
+        F.array(F.lit(""), F.lit(TABLES_HEADING)), or_note(lines("tables"), NO_TABLES),
+        F.array(F.lit(""), F.lit(RULE), texts[F.col("verdict")]))
+    return j.withColumn("verdict", verdict).select(key, "verdict", F.array_join(parts, "\n").alias("message"))
+
+
 # ------------------------------------------------------------------ dashboard summaries
 
 def kpis(monthly: DataFrame, metrics: Sequence[str] = ("total_net_worth_sgd", "investment_sgd", "cash_sgd", "total_cpf_sgd"),
@@ -163,5 +215,5 @@ def breakdown(history: DataFrame, by: str = "source", keys: Sequence[str] = ())
     return share_of_total(g, "value", keys=[*keys, "date"])
 
 
-__all__ = ["source_status", "freshness", "overall_verdict", "report_lines", "kpis", "allocation", "breakdown",
+__all__ = ["source_status", "freshness", "overall_verdict", "report_lines", "report_message", "kpis", "allocation", "breakdown",
            "share_of_total", "status_icon", "pct_change"]

@@ -87,6 +87,10 @@ def period_change(
     return out.drop(prev)
 
 
+def _bin(day: Column, days: int) -> Column:
+    return F.floor(F.unix_date(day.cast("date")) / F.lit(days)).cast("long")
+
+
 def interval_join(
     left: DataFrame,
     ranges: DataFrame,
@@ -95,22 +99,38 @@ def interval_join(
     hi: str = "next_date",
     keys: Sequence[str] = (),
     how: str = "left",
+    bin_days: int = 32,
 ) -> DataFrame:
-    """Left rows joined to the range with ``lo <= point < hi`` (same owner keys).
-
-    For month-granular points (the net-worth feeds) use :func:`month_asof_join`
-    which turns the range predicate into an equi-join.  This generic form keeps
-    the range as a residual predicate on an equi-join over ``keys``; with no
-    keys Spark plans a nested-loop join, which is only acceptable when the
-    range table is bounded (one row per month).
+    """Left rows joined to every range with ``lo <= point < hi`` (same owner keys), by range binning.
+
+    The calendar is cut into bins of ``bin_days`` days.  A left row lies in one
+    bin; a range becomes one row per bin that it touches, so the join is an
+    equi-join on (keys, bin) with the exact range as a residual condition, and
+    an owner with a huge share of the rows is spread over its bins.  Ranges are
+    first clipped to the span of the left points (read in one pass over the
+    point column), so an open end costs no bins beyond the data.  A range
+    touches each bin once, so no match appears twice; a point in no range, or
+    a NULL one, stays (``how='left'``) with NULLs.  ``how``: any type of
+    join that keeps the left rows' side ('inner', 'left', 'left_semi', 'left_anti').
+
+    Columns: the left ones, then those of ``ranges`` without the keys.  Dates
+    and timestamps may be mixed.
     """
     p = F.col(point) if isinstance(point, str) else point
-    r = ranges.alias("__r")
-    cond = (p >= F.col(f"__r.{lo}")) & (p < F.col(f"__r.{hi}"))
+    b, at = "__bin", "__point"
+    own = left.withColumn(at, p).withColumn(b, _bin(F.col(at), bin_days))
+    span = own.agg(F.min(b).alias("first"), F.max(b).alias("last"))
+    first, last = (span.select(c).scalar() for c in ("first", "last"))
+    touched = F.sequence(F.greatest(_bin(F.col(lo), bin_days), first), F.least(_bin(F.col(hi), bin_days), last))
+    reached = (_bin(F.col(lo), bin_days) <= last) & (_bin(F.col(hi), bin_days) >= first) & (F.col(lo) < F.col(hi))
+    # Without a span (no left row) the condition is NULL and no range is left.
+    binned = ranges.filter(reached).withColumn(b, F.explode(touched)).alias("__r")
+    own = own.alias("__l")
+    cond = (F.col(f"__l.{b}") == F.col(f"__r.{b}")) & (F.col(f"__l.{at}") >= F.col(f"__r.{lo}")) & (F.col(f"__l.{at}") < F.col(f"__r.{hi}"))
     for k in keys:
-        cond = cond & (left[k] == F.col(f"__r.{k}"))
-    joined = left.join(r, cond, how)
-    return joined.drop(*[F.col(f"__r.{k}") for k in keys])
+        cond = cond & (F.col(f"__l.{k}") == F.col(f"__r.{k}"))
+    extra = [] if how in ("left_semi", "left_anti") else [F.col(f"__r.{c}") for c in ranges.columns if c not in keys]
+    return own.join(binned, cond, how).select(*[F.col(f"__l.{c}") for c in left.columns], *extra)
 
 
 def month_asof_join(

@@ -167,6 +167,28 @@ def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def daily_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(days, status, tables) of one report a day.  By the day's number modulo 7: 0 all live, 1 some sources on fallback, 2 some
+    failed, 3 the tables of the day before, 4 the job did not run, 5 no table known, 6 neither; 'purchase' stands for the rates."""
+    e = table(spark, sf_dir, "events").select("ts", "event_type")
+    g = e.groupBy(F.col("ts").cast("date").alias("run_date"), "event_type").agg(F.max("ts").alias("last"), F.count(F.lit(1)).alias("n"))
+    g = g.withColumn("kind", F.pmod(F.unix_date("run_date"), F.lit(7)))
+    days = g.select("run_date").distinct()
+    odd = F.length("event_type") % 2 == 1
+    status = F.when((F.col("kind") == 1) & odd, F.lit("fallback")).when((F.col("kind") == 2) & odd, F.lit("failed")).otherwise(F.lit("live"))
+    is_rates = F.col("event_type") == "purchase"
+    runs = g.filter(F.col("kind").isin(0, 1, 2, 3, 5)).select(
+        "run_date", F.when(is_rates, F.lit("fx")).otherwise(F.col("event_type")).alias("source"), status.alias("status"),
+        F.when(~is_rates, F.col("n")).alias("row_count"))
+    # The last load of the day was shortly before the report (22:30 UTC of that day), in kind 3 a day earlier.
+    modified = F.col("run_date").cast("timestamp_ntz") + F.make_dt_interval(
+        F.when(F.col("kind") == 3, F.lit(-1)).otherwise(F.lit(0)), F.lit(22), F.minute("last"), F.second("last"))
+    as_of = F.col("run_date").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(23), F.lit(30), F.lit(0))
+    tables = g.filter(F.col("kind").isin(0, 1, 2, 3, 4)).select(
+        "run_date", F.concat(F.lit("ads_"), F.col("event_type")).alias("table"), modified.alias("last_modified"), as_of.alias("as_of"))
+    return days, runs, tables
+
+
 # ---------------------------------------------------------------------------
 # exchange balance payloads and spot prices (from events)
 # ---------------------------------------------------------------------------

@@ -24,10 +24,11 @@ def _resolve(names, seen, order):
         order.append(n)
 
 
-def with_views(select: str, names=(), ctes: dict[str, str] | None = None) -> str:
+def with_views(select: str, names=(), ctes: dict[str, str] | None = None, stored: bool = False) -> str:
+    """``stored``: the views are computed once each, and not folded into the places that read them."""
     order: list[str] = []
     _resolve(list(names), set(), order)
-    parts = [f"{n} AS (\n{VIEWS[n][1]}\n)" for n in order]
+    parts = [f"{n} AS {'MATERIALIZED ' if stored else ''}(\n{VIEWS[n][1]}\n)" for n in order]
     parts += [f"{k} AS (\n{v.strip()}\n)" for k, v in (ctes or {}).items()]
     head = ("WITH " + ",\n".join(parts) + "\n") if parts else ""
     return head + select.strip()

@@ -240,7 +240,33 @@ LEFT JOIN bank_ranged b ON cast(date_trunc('month', i.date) AS date) >= b.date
 def q_interval_join(spark, d):
     inv = rollup.pivot_classes(_dwd_pos(spark, d), m.DAILY_CLASSES)
     bank = rollup.monthly_balance(m.latest_balances(fx.balances(spark, d), tiebreak=bal_tb()))
-    return timeline.month_asof_join(inv, bank, "date", "date", ["cash_sgd"]).select("date", "stocks_sgd", "cash_sgd")
+    ranged = timeline.to_ranges(bank.withColumnRenamed("date", "from_date"), "from_date")
+    joined = timeline.interval_join(inv, ranged, month_start("date"), "from_date", "next_date")
+    return joined.select("date", "stocks_sgd", "cash_sgd")
+
+
+_ACCOUNT = "'acct_' || cast(o_custkey % 3 AS varchar) || '.pdf'"
+
+
+@query("interval_join_owners", with_views(f"""
+SELECT o.k, o.account, o.day, r.from_date, r.next_date, r.balance FROM (
+  SELECT o_orderkey AS k, {_ACCOUNT} AS account, cast(o_orderdate AS date) AS day FROM orders) o
+LEFT JOIN (
+  SELECT account, from_date, balance, lead(from_date, 1, DATE '9999-12-31') OVER (PARTITION BY account ORDER BY from_date) AS next_date FROM (
+    SELECT {_ACCOUNT} AS account, cast(o_orderdate AS date) AS from_date, cast(max({money('o_totalprice')}) AS double) AS balance
+    FROM orders WHERE day(o_orderdate) % 13 = 5 AND year(o_orderdate) > 1992 GROUP BY 1, 2)) r
+  ON o.account = r.account AND o.day >= r.from_date AND o.day < r.next_date"""))
+def q_interval_join_owners(spark, d):
+    """Every order's day within its account's balance that held on it: ranges of some days that cross months, the last one
+    open, none before the first; three accounts hold all rows."""
+    o = fx.table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("k"), F.concat(F.lit("acct_"), (F.col("o_custkey") % 3).cast("string"), F.lit(".pdf")).alias("account"),
+        F.col("o_orderdate").cast("date").alias("day"), "o_totalprice")
+    known = o.filter((F.day("day") % 13 == 5) & (F.year("day") > 1992))
+    balance = known.groupBy("account", F.col("day").alias("from_date")).agg(F.max(rollup.money("o_totalprice")).cast("double").alias("balance"))
+    ranged = timeline.to_ranges(balance, "from_date", keys=["account"])
+    return timeline.interval_join(o.drop("o_totalprice"), ranged, "day", "from_date", "next_date", keys=["account"]).select(
+        "k", "account", "day", "from_date", "next_date", "balance")
 
 
 @query("month_join", with_views("""

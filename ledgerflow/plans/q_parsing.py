@@ -147,14 +147,17 @@ def q_column_centres(spark, d):
     return st.column_centres(fx.statement_words(spark, d, "savings"))
 
 
+view("sav_amounts", """
+SELECT * FROM sav_words WHERE regexp_matches(text, '^\\d{1,3}(,\\d{3})*\\.\\d{2}$')""", ("sav_words",))
+
+
 @query("nearest_column", with_views("""
 SELECT w.source_file, w.page, w.top, w.x0, w.text,
   CASE WHEN abs((x0 + x1) / 2 - withdrawal) <= abs((x0 + x1) / 2 - deposit)
          AND abs((x0 + x1) / 2 - withdrawal) <= abs((x0 + x1) / 2 - balance) THEN 'withdrawal'
        WHEN abs((x0 + x1) / 2 - deposit) <= abs((x0 + x1) / 2 - balance) THEN 'deposit'
        ELSE 'balance' END AS col
-FROM sav_words w JOIN sav_centres c ON w.source_file = c.source_file AND w.page = c.page
-WHERE regexp_matches(w.text, '^\\d{1,3}(,\\d{3})*\\.\\d{2}$')""", ["sav_words", "sav_centres"]))
+FROM sav_amounts w JOIN sav_centres c ON w.source_file = c.source_file AND w.page = c.page""", ["sav_amounts", "sav_centres"], stored=True))
 def q_nearest_column(spark, d):
     words = fx.statement_words(spark, d, "savings")
     c = st.column_centres(words)

@@ -195,6 +195,53 @@ def q_report_lines(spark, d):
     return rp.report_lines(status, fresh, rp.overall_verdict(status, fresh))
 
 
+view("daily_runs", """
+SELECT cast(ts AS date) AS run_date, event_type, max(ts) AS last, count(*) AS n, (date_diff('day', DATE '1970-01-01', cast(ts AS date))) % 7 AS kind
+FROM events GROUP BY cast(ts AS date), event_type""")
+view("daily_status", """
+SELECT run_date, CASE WHEN event_type = 'purchase' THEN 'fx' ELSE event_type END AS source,
+  CASE WHEN kind = 1 AND length(event_type) % 2 = 1 THEN 'fallback' WHEN kind = 2 AND length(event_type) % 2 = 1 THEN 'failed' ELSE 'live' END AS status,
+  CASE WHEN event_type <> 'purchase' THEN n END AS row_count
+FROM daily_runs WHERE kind IN (0, 1, 2, 3, 5)""", ("daily_runs",))
+# The report's local day (eight hours ahead) began at 16:00 UTC; all loads are of 22:00 to 22:59 UTC, a day earlier in kind 3.
+view("daily_tables", """
+SELECT run_date, 'ads_' || event_type AS "table", kind <> 3 AS fresh,
+  CASE WHEN kind = 3 THEN '❌ ads_' || event_type || ' — stale (' || cast(24 + CASE WHEN minute(last) * 60 + floor(second(last)) <= 1800 THEN 1 ELSE 0 END AS varchar) || 'h old)'
+       ELSE '✅ ads_' || event_type || ' — updated 06:' || lpad(cast(minute(last) AS varchar), 2, '0') || ' SGT' END AS line
+FROM daily_runs WHERE kind IN (0, 1, 2, 3, 4)""", ("daily_runs",))
+view("daily_verdicts", """
+SELECT run_date, CASE WHEN s.failed OR t.fresh IS NOT TRUE THEN 'action' WHEN s.fallback THEN 'warn' WHEN s.run_date IS NULL THEN 'unknown' ELSE 'clear' END AS verdict
+FROM (SELECT DISTINCT run_date FROM daily_runs) d
+LEFT JOIN (SELECT run_date, bool_or(status = 'failed') AS failed, bool_or(status = 'fallback') AS fallback FROM daily_status GROUP BY run_date) s USING (run_date)
+LEFT JOIN (SELECT run_date, bool_and(fresh) AS fresh FROM daily_tables GROUP BY run_date) t USING (run_date)""",
+     ("daily_runs", "daily_status", "daily_tables"))
+
+
+def _daily_report(spark, d):
+    days, status, tables = fx.daily_runs(spark, d)
+    return rp.report_message(days, status, rp.freshness(tables, F.col("as_of")).drop("as_of"))
+
+
+@query("daily_verdicts", with_views("SELECT * FROM daily_verdicts", ["daily_verdicts"]))
+def q_daily_verdicts(spark, d):
+    """All four verdicts, days without status, without tables and without either."""
+    return _daily_report(spark, d).select("run_date", "verdict")
+
+
+@query("report_message", with_views(f"""
+SELECT run_date, concat_ws(chr(10),
+  '{rp.REPORT_TITLE} — ' || strftime(run_date, '%a %d %b %Y'), '', '{rp.SOURCES_HEADING}', coalesce(b.lines, '{rp.NO_STATUS}'), f.line, '',
+  '{rp.TABLES_HEADING}', coalesce(t.lines, '{rp.NO_TABLES}'), '', '{rp.RULE}', {_VERDICT_TEXT}) AS message
+FROM daily_verdicts
+LEFT JOIN (SELECT run_date, string_agg({_ICON.format(c="status")} || ' ' || upper(source) || ' — ' || row_count || ' positions (' || status || ')',
+             chr(10) ORDER BY source) AS lines FROM daily_status WHERE source <> 'fx' GROUP BY run_date) b USING (run_date)
+LEFT JOIN (SELECT run_date, {_ICON.format(c="status")} || ' FX Rates (' || status || ')' AS line FROM daily_status WHERE source = 'fx') f USING (run_date)
+LEFT JOIN (SELECT run_date, string_agg(line, chr(10) ORDER BY "table") AS lines FROM daily_tables GROUP BY run_date) t USING (run_date)""",
+    ["daily_verdicts", "daily_status", "daily_tables"]))
+def q_report_message(spark, d):
+    return _daily_report(spark, d).select("run_date", "message")
+
+
 # ------------------------------------------------------------------ Q4-Q6, O2, O3
 
 def _monthly(spark, d):
