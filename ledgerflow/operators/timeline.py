@@ -37,12 +37,38 @@ def to_ranges(
     return df.withColumn(next_col, F.lead(F.col(date), 1, open_end).over(w))
 
 
-def fill_forward(df: DataFrame, cols: Sequence[str], order: Sequence[str] = ("date",), keys: Sequence[str] = ()) -> DataFrame:
-    """Replace NULLs by the latest earlier non-NULL value (per owner)."""
-    w = _running(keys, order)
-    return df.select(
-        *[F.last(F.col(c), ignorenulls=True).over(w).alias(c) if c in cols else F.col(c) for c in df.columns]
-    )
+def _joined_by(left: DataFrame, right: DataFrame, on: Sequence[str], value: str) -> DataFrame:
+    """``left`` with ``value`` of the one ``right`` row of equal ``on`` (NULL equals NULL, as in a window's partitions)."""
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(f"__l.{c}").eqNullSafe(F.col(f"__r.{c}"))
+    return left.alias("__l").join(right.alias("__r"), same, "left").select("__l.*", f"__r.{value}")
+
+
+def fill_forward(df: DataFrame, cols: Sequence[str], order: Sequence[str] = ("date",), keys: Sequence[str] = (),
+                 bucket: Column | None = None) -> DataFrame:
+    """Replace NULLs by the latest earlier non-NULL value (per owner).
+
+    With ``bucket``, an expression that never falls along ``order`` (such as the
+    month of a leading date), an owner is carried in two levels, so that no
+    task holds a whole owner: along each (owner, bucket), and from the last
+    values of the buckets before it, one row per bucket.
+    """
+    if bucket is None:
+        w = _running(keys, order)
+        return df.select(
+            *[F.last(F.col(c), ignorenulls=True).over(w).alias(c) if c in cols else F.col(c) for c in df.columns]
+        )
+    b, own = "__bucket", [*keys, "__bucket"]
+    rows = df.withColumn(b, bucket)
+    at = F.struct(*order)
+    ends = rows.groupBy(*own).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in cols])
+    before = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*own, F.struct(*[F.last(c, ignorenulls=True).over(before).alias(c) for c in cols]).alias("__in"))
+    w = _running(own, order)
+    inside = rows.select(b, *[F.last(c, ignorenulls=True).over(w).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return _joined_by(inside, carried, own, "__in").select(
+        *[F.coalesce(F.col(c), F.col(f"__in.{c}")).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def running_total(
@@ -52,10 +78,27 @@ def running_total(
     keys: Sequence[str] = (),
     out: str | None = None,
     scale: int = 2,
+    bucket: Column | None = None,
 ) -> DataFrame:
-    """Cumulative sum (rows unbounded preceding..current), exact decimal, DOUBLE out."""
-    w = _running(keys, order)
-    return df.withColumn(out or value, F.round(F.sum(money(value)).over(w), scale).cast("double"))
+    """Cumulative sum (rows unbounded preceding..current), exact decimal, DOUBLE out.
+
+    ``bucket``: as in :func:`fill_forward`; the totals of earlier buckets are added to the sum along the row's own.
+    """
+    if bucket is None:
+        w = _running(keys, order)
+        return df.withColumn(out or value, F.round(F.sum(money(value)).over(w), scale).cast("double"))
+    b, own = "__bucket", [*keys, "__bucket"]
+    rows = df.withColumn(b, bucket)
+    sums = rows.groupBy(*own).agg(F.sum(money(value)).alias("__n"))
+    before = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = sums.select(*own, F.sum("__n").over(before).alias("__in"))
+    inside = rows.withColumn("__own", F.sum(money(value)).over(_running(own, order)))
+    # A sum is NULL only where nothing but NULLs came before.
+    total = F.coalesce(F.col("__own") + F.col("__in"), F.col("__own"), F.col("__in"))
+    name = out or value
+    joined = _joined_by(inside, earlier, own, "__in").withColumn("__total", F.round(total, scale).cast("double"))
+    kept = [F.col("__total").alias(name) if c == name else F.col(c) for c in df.columns]
+    return joined.select(*kept, *([] if name in df.columns else [F.col("__total").alias(name)]))
 
 
 def period_change(

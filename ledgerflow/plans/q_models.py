@@ -293,3 +293,32 @@ def q_day_over_day(spark, d):
 @query("net_worth_daily", with_views("SELECT * FROM nw_daily", ["nw_daily"]))
 def q_net_worth_daily(spark, d):
     return _daily(spark, d)
+
+
+# ------------------------------------------------------------------ owners with a large share of all rows
+
+_OWNED = """SELECT o_orderkey AS k, CASE WHEN o_custkey % 3 = 0 THEN 'hot' ELSE 'c' || cast(o_custkey % 50 AS varchar) END AS owner,
+  cast(o_orderdate AS date) AS day, o_totalprice AS amount, CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice END AS known FROM orders"""
+
+
+def _owned(spark, d):
+    """Raw rows of owners, one of whom has a third of them; a balance is known on a seventh of the rows."""
+    o = fx.table(spark, d, "orders")
+    owner = F.when(F.col("o_custkey") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("c"), (F.col("o_custkey") % 50).cast("string")))
+    return o.select(F.col("o_orderkey").alias("k"), owner.alias("owner"), F.col("o_orderdate").cast("date").alias("day"),
+                    F.col("o_totalprice").alias("amount"), F.when(F.col("o_orderkey") % 7 == 0, F.col("o_totalprice")).alias("known"))
+
+
+@query("fill_forward_owners", f"""
+SELECT k, owner, day, amount, last_value(known IGNORE NULLS) OVER (PARTITION BY owner ORDER BY day, k
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS known FROM ({_OWNED})""")
+def q_fill_forward_owners(spark, d):
+    return timeline.fill_forward(_owned(spark, d), ["known"], order=["day", "k"], keys=["owner"], bucket=F.trunc("day", "MM"))
+
+
+@query("running_total_owners", f"""
+SELECT k, owner, day, amount, cast(sum({money('amount')}) OVER (PARTITION BY owner ORDER BY day, k
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS double) AS total FROM ({_OWNED})""")
+def q_running_total_owners(spark, d):
+    return timeline.running_total(_owned(spark, d).drop("known"), "amount", order=["day", "k"], keys=["owner"], out="total",
+                                  bucket=F.trunc("day", "MM"))

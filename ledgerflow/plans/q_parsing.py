@@ -312,7 +312,7 @@ def broker_positions(records):
     return fxops.market_value(out, "rounded").drop("code")
 
 
-@query("sectioned_csv", with_views("""
+_SECTIONED_SQL = """
 SELECT file, line_no, symbol, quantity, price, currency, asset_class,
        cast(round(cast(quantity AS decimal(19,8)) * cast(price AS decimal(19,8)), 2) AS double) AS market_value
 FROM (
@@ -333,12 +333,31 @@ FROM (
             FROM (SELECT file, line_no, list_transform(string_split(text, ','), lambda c: regexp_replace(trim(c), '^"+|"+$', '', 'g')) AS cells
                   FROM flex_lines)))
     WHERE NOT is_header AND header IS NOT NULL AND len(cells) = len(header)))
-WHERE quantity IS NOT NULL AND price IS NOT NULL AND quantity <> 0""", ["flex_lines"]))
+WHERE quantity IS NOT NULL AND price IS NOT NULL AND quantity <> 0"""
+
+
+@query("sectioned_csv", with_views(_SECTIONED_SQL, ["flex_lines"]))
 def q_sectioned_csv(spark, d):
     recs = payloads.read_sectioned_csv(_flex_lines(spark, d))
     return broker_positions(recs)
 
 
+# The same lines as files: a file's lines follow one another, so a line's number is its rank (the dates of flex_lines leave gaps).
+@query("sectioned_csv_files", with_views(_SECTIONED_SQL.replace("FROM flex_lines", "FROM file_lines"), ["flex_lines"], {"file_lines": """
+SELECT file, cast(row_number() OVER (PARTITION BY file ORDER BY line_no, text) - 1 AS bigint) AS line_no, text FROM flex_lines"""}))
+def q_sectioned_csv_files(spark, d):
+    """Report files written from the lines, then read as the scan splits them."""
+    path = _scratch(spark, "reports")
+    lines = _flex_lines(spark, d)
+    body = lines.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("line_no", "text"))).alias("ls"))
+    # One text value per file: its lines in order.  (Fixture only: reading does not need a file in one value.)
+    whole = body.select("file", F.array_join(F.transform("ls", lambda x: x["text"]), "\n").alias("value"))
+    whole.write.partitionBy("file").text(path)
+    records = payloads.sectioned_csv_files(spark, path)
+    named = records.withColumn("file", F.regexp_extract("file", r"file=([^/]+)/", 1))
+    return broker_positions(named)
+
+
 # ------------------------------------------------------------------ S5, S6 idempotent loads
 
 @query("skip_landed", with_views("""
@@ -615,8 +634,10 @@ ORACLE_CARD = with_views(_CARD_ORACLE, ["card_lines", "stmt_facts"], _CARD_CTES)
 query("statement_card", ORACLE_CARD)(q_statement_card)
 
 _TX_COLS = "source_file, page, top, date, description, transaction_type, amount"
-ORACLE_TRANSACTIONS = with_views(f"SELECT {_TX_COLS} FROM ({_SAV_ORACLE}) UNION ALL SELECT {_TX_COLS} FROM ({_CARD_ORACLE})",
-                                 ["sav_lines", "sav_centres", "card_lines", "stmt_facts"], {**_SAV_CTES, **_CARD_CTES})
+#: The statement of all transactions, and the views and further CTEs that it reads.
+TRANSACTIONS_SQL = (f"SELECT {_TX_COLS} FROM ({_SAV_ORACLE}) UNION ALL SELECT {_TX_COLS} FROM ({_CARD_ORACLE})",
+                    ["sav_lines", "sav_centres", "card_lines", "stmt_facts"], {**_SAV_CTES, **_CARD_CTES})
+ORACLE_TRANSACTIONS = with_views(*TRANSACTIONS_SQL)
 ORACLE_MONTH = with_views(f"""
 SELECT source_file, strftime(arg_min(cast(strptime(date, '%d %b %Y') AS date), page * 1000000 + top), '%Y-%m') AS statement_month
 FROM (SELECT {_TX_COLS} FROM ({_SAV_ORACLE}) UNION ALL SELECT {_TX_COLS} FROM ({_CARD_ORACLE})) GROUP BY source_file""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
@@ -15,13 +16,16 @@ from ledgerflow.plans import models as m
 from ledgerflow.plans.catalog import query
 from ledgerflow.plans.oracle_views import OVERRIDE, TX_ID, pct, view, with_views
 from ledgerflow.plans.q_models import _dwd_tx, _history
+from ledgerflow.plans.q_parsing import TRANSACTIONS_SQL
 from ledgerflow.schemas import BANK_TRANSACTIONS
 from ledgerflow.session import scratch_path
 from ledgerflow.sources import payloads
 from ledgerflow.streaming.ingest import idempotent_append, ingest_stream
+from ledgerflow.streaming.statements import landed, stream_statements
 
 STATUS_DATE = "2024-01-15"
 TOP_MONTH = "1998-07"
+LOADED = dt.datetime(2024, 1, 15, 22, 0)
 
 # ------------------------------------------------------------------ C1-C6
 
@@ -64,6 +68,18 @@ def q_assign_batches(spark, d):
                                      "batch", "batch_index")
 
 
+@query("assign_batches_one_load", with_views("""
+SELECT source_file, description, row_index, cast(row_index // 40 AS integer) AS batch, cast(row_index % 40 AS integer) AS batch_index FROM (
+  SELECT source_file, description, row_number() OVER (PARTITION BY source_file ORDER BY description, etl_time) - 1 AS row_index FROM (
+    SELECT CASE WHEN substr(source_file, 11, 2) <= '04' THEN 'all.pdf' ELSE source_file END AS source_file, description, etl_time FROM tx))""", ["tx"]))
+def q_assign_batches_one_load(spark, d):
+    """Each statement loaded at one time, one of them with a third of all rows."""
+    hot = F.when(F.substring("source_file", 11, 2) <= "04", F.lit("all.pdf")).otherwise(F.col("source_file"))
+    tx = fx.tx(spark, d).withColumn("source_file", hot).withColumnRenamed("etl_time", "delivered").withColumn("etl_time", F.lit(LOADED).cast("timestamp_ntz"))
+    out = lb.assign_batches(tx, order=("etl_time", "description", "delivered"), strategy="ranked")
+    return out.select("source_file", "description", F.col("row_index").cast("bigint").alias("row_index"), "batch", "batch_index")
+
+
 @query("build_request", with_views("""
 SELECT source_file, batch, 'Classify these transactions:' || chr(10) || chr(10) || string_agg(
   cast(batch_index AS varchar) || '. Date: ' || date || ' | Description: ' || description || ' | Amount: '
@@ -334,6 +350,40 @@ def q_file_arrival_stream(spark, d):
     return spark.read.parquet(target)
 
 
+def _deliver(spark, d) -> str:
+    """All statements arrive as files of words; then some arrive again, under their own and under other names, and a second
+    loader meets the same files.  Returns the target."""
+    root = scratch_path(spark, f"statements-{uuid.uuid4().hex[:12]}")
+    inbox, target = f"{root}/inbox", f"{root}/target"
+    words = fx.statement_words(spark, d, "savings").unionByName(fx.statement_words(spark, d, "credit_card"))
+    words.repartition(6, "source_file").write.mode("append").parquet(inbox)
+    stream_statements(spark, inbox, target, f"{root}/first", "first", LOADED, max_files=3)
+    early = F.regexp_extract("source_file", r"_(\d{4})_", 1) < "1994"
+    again = words.filter(early).withColumn("source_file", F.concat(F.lit("again_"), F.col("source_file"))).unionByName(words.filter(early))
+    again.repartition(2, "source_file").write.mode("append").parquet(inbox)
+    stream_statements(spark, inbox, target, f"{root}/first", "first", LOADED)
+    stream_statements(spark, inbox, target, f"{root}/second", "second", LOADED)
+    return target
+
+
+@query("stream_statements", with_views(f"""
+SELECT source_file, date, description, transaction_type, amount, 'SGD' AS currency, {_KW_SQL} AS category FROM ({TRANSACTIONS_SQL[0]})""",
+    *TRANSACTIONS_SQL[1:]))
+def q_stream_statements(spark, d):
+    """Transactions landed by a stream of statement words, each statement once however often it arrives."""
+    return landed(spark, _deliver(spark, d), "transactions").drop("etl_time")
+
+
+@query("stream_balances", with_views(f"""
+SELECT 'bank_savings' AS source, source_file, strftime(cast(strptime(first_date, '%d %b %Y') AS date), '%Y-%m') AS statement_date,
+       closing_balance AS balance, 'SGD' AS currency
+FROM (SELECT source_file, arg_min(date, page * 1000000 + top) AS first_date FROM ({TRANSACTIONS_SQL[0]}) GROUP BY source_file)
+JOIN stmt_facts USING (source_file) WHERE closing_balance IS NOT NULL""", *TRANSACTIONS_SQL[1:]))
+def q_stream_balances(spark, d):
+    """Closing balances landed by the same stream: none of statements without transactions, none twice."""
+    return landed(spark, _deliver(spark, d), "balances").drop("etl_time")
+
+
 @query("read_holdings_csv", with_views("""
 SELECT DATE '1998-12-31' AS date, cast(o_orderdate AS date) AS issue_date,
        cast(o_orderdate + INTERVAL 120 MONTH AS date) AS maturity_date, 'GX' || cast(o_orderkey AS varchar) AS issue_code,

@@ -66,13 +66,28 @@ def read_sectioned_csv(lines: DataFrame, required: Sequence[str] = POSITION_HEAD
 
 
 def read_report_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Report files -> (file, line_no, text) with the line order made explicit.
+    """Report files -> (file, line_no, text), line numbers from 0, however many splits a file is read in.
 
-    Whole files are read as one value each (``wholetext``) and split with
-    ``posexplode`` so the line order never depends on row order.
+    The text source gives the lines of a split in file order, and each line to
+    one split.  So a line's number is its place among the lines of its split
+    plus the number of lines in earlier splits of the file: one row per split,
+    added up along the file.  No file is read as one value or by one task, and
+    the lines themselves are not sorted or shuffled.
     """
-    raw = spark.read.option("wholetext", True).text(path).withColumn("file", F.input_file_name())
-    return raw.select("file", F.posexplode(F.split(F.col("value"), "\r?\n")).alias("line_no", "text"))
+    split = F.col("_metadata.file_block_start")
+    # The id counts a task's rows in the order read: whole splits, one after the other.
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), split.alias("__split"), F.monotonically_increasing_id().alias("__row"),
+        F.regexp_replace("value", "\r$", "").alias("text"))
+    per = lines.groupBy("file", "__split").agg(F.min("__row").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy("file").orderBy("__split").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per.select("file", "__split", (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift"))
+    return lines.join(starts, ["file", "__split"]).select("file", (F.col("__row") + F.col("__shift")).alias("line_no"), "text")
+
+
+def sectioned_csv_files(spark: SparkSession, path: str, required: Sequence[str] = POSITION_HEADER, **options) -> DataFrame:
+    """Records of all sectioned report files under ``path``: (file, line_no, record), sections running on across splits."""
+    return read_sectioned_csv(read_report_lines(spark, path), required, **options)
 
 
 def read_holdings_csv(spark: SparkSession, path: str, as_of=None) -> DataFrame:

@@ -10,7 +10,8 @@ from ledgerflow.plans import catalog
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
 PYTHON_ALLOWED = {"classify_batches"}
-SIDE_EFFECT = {"land_raw_roundtrip", "append_ods", "materialize", "file_arrival_stream", "read_holdings_csv"}
+SIDE_EFFECT = {"land_raw_roundtrip", "append_ods", "materialize", "file_arrival_stream", "read_holdings_csv", "stream_statements", "stream_balances",
+               "sectioned_csv_files", "assign_batches_one_load"}
 
 
 def plan_text(df) -> str:

@@ -82,7 +82,8 @@ def test_letter_without_a_date(spark):
         statements.labelled_balances(df).collect()
 
 
-SIDE_EFFECT = {"land_raw_roundtrip", "append_ods", "materialize", "file_arrival_stream", "read_holdings_csv"}
+SIDE_EFFECT = {"land_raw_roundtrip", "append_ods", "materialize", "file_arrival_stream", "read_holdings_csv", "stream_statements", "stream_balances",
+               "sectioned_csv_files", "assign_batches_one_load"}
 
 
 def test_building_a_query_runs_no_job(spark, registry):
