@@ -22,6 +22,8 @@ an empty result; other columns are not read.
 from __future__ import annotations
 
 import base64
+import functools
+import json
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -54,12 +56,18 @@ class Encoder:
     """Token ids of a byte-level vocabulary given as a .json file and as ranks of the same tokens."""
 
     def __init__(self, vocabulary: str, ranks: str):
-        self.exact = Tokenizer.from_file(vocabulary_path(vocabulary))
+        self.vocabulary = vocabulary_path(vocabulary)
         with open(vocabulary_path(ranks), "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        special = {t.content: i for i, t in self.exact.get_added_tokens_decoder().items()}
+        with open(self.vocabulary, encoding="utf-8") as f:
+            special = {t["content"]: t["id"] for t in json.load(f).get("added_tokens", [])}
         self.fast = tiktoken.Encoding("ranks", pat_str=SPLIT.pattern, mergeable_ranks=table, special_tokens=special)
 
+    @functools.cached_property
+    def exact(self) -> Tokenizer:
+        """Loaded by the first text that needs it."""
+        return Tokenizer.from_file(self.vocabulary)
+
     def ids(self, text: str) -> list[int]:
         if _COMMON.fullmatch(text) and not long_space(text):
             return self.fast.encode(text, allowed_special="all")
