@@ -23,12 +23,23 @@ from ledgerflow.llm import lsh_forest, mixing, packing, secret_ledger, toxicity
 from ledgerflow.session import scratch_path
 
 
+#: Rows that go to a Python worker at a time.  The default of 10,000 texts makes buffers of tens of MB on both sides of every
+#: task, which executors and workers keep from stage to stage.
+ROWS_PER_BATCH = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.score(docs, labels).where("predicted = 0").select(docs.columns)
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return lsh_forest.one_of_each(docs)
 
 
@@ -44,6 +55,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.pack_documents(docs, size=1024, end_id=2)
 
 
