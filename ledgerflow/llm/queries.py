@@ -66,13 +66,20 @@ def op10_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score(_table(spark, sf_dir, "documents"))
 
 
+def _small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Rows that go to a Python worker at a time: the default of 10,000 whole texts makes buffers of tens of MB in every task."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def op11_rank_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     coded = rank_queue.round_trip(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return coded.select(
         "doc_id", rank_queue.n_ids("ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return alignment.report(_table(spark, sf_dir, "documents"))
 
 
