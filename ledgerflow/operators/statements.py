@@ -367,3 +367,10 @@ def labelled_balances(docs: DataFrame, id_col: str = "source_file", text: str =
     res = g.select(*out)
     total = F.round(sum((F.col(n).cast("decimal(18,2)") for n in labels), F.lit(0).cast("decimal(18,2)")), 2).cast("double")
     return res.withColumn("total", total)
+
+
+def checked_balances(docs: DataFrame, id_col: str = "source_file", text: str = "text", labels: dict[str, str] = BALANCE_LABELS) -> DataFrame:
+    """:func:`labelled_balances` of every document, with ``reason``: what is missing or unreadable, or NULL."""
+    out = labelled_balances(docs, id_col, text, labels, on_missing="null")
+    missing = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in ("statement_date", *labels)])
+    return out.withColumn("reason", F.when(missing != "", F.concat(F.lit("missing "), missing)))

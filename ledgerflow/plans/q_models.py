@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.dates import month_start
 from ledgerflow.operators import dedup, rollup, rules, timeline
 from ledgerflow.plans import fixtures as fx
 from ledgerflow.plans import models as m
+from ledgerflow.plans import runner
 from ledgerflow.plans.catalog import query
 from ledgerflow.plans.oracle_views import CARRIED, OVERRIDE, fill_sql, money, pct, row_total_sql, with_views
+from ledgerflow.session import scratch_path
 
 # Reports that need "today" take an explicit date (never the wall clock).
 AS_OF = "1998-09-15"
@@ -61,7 +65,9 @@ def q_dwd_positions(spark, d):
 SELECT date, source, symbol, market_value_sgd FROM dwd_pos
 WHERE date IN (SELECT max(date) FROM dwd_pos GROUP BY date_trunc('month', date))""", ["dwd_pos"]))
 def q_month_end_snapshot(spark, d):
-    return rollup.month_end_rows(_dwd_pos(spark, d)).select("date", "source", "symbol", "market_value_sgd")
+    # Keeping the newest load drops no date, so only rows of month ends are compared.
+    rows = rollup.month_end_rows(fx.positions(spark, d))
+    return m.dwd_positions(rows, tiebreak=pos_tb()).select("date", "source", "symbol", "market_value_sgd")
 
 
 @query("month_end_by_class", with_views("SELECT * FROM inv_month_end", ["inv_month_end"]))
@@ -322,3 +328,29 @@ SELECT k, owner, day, amount, cast(sum({money('amount')}) OVER (PARTITION BY own
 def q_running_total_owners(spark, d):
     return timeline.running_total(_owned(spark, d).drop("known"), "amount", order=["day", "k"], keys=["owner"], out="total",
                                   bucket=F.trunc("day", "MM"))
+
+
+# ------------------------------------------------------------------ the whole model graph
+
+# What is added up over each model's rows.
+_MODEL_VALUES = {
+    "dwd_transactions": "amount", "dwd_positions": "market_value_sgd", "monthly_spend": "net_spend", "savings_rate": "net_savings",
+    "net_worth_history": "market_value_sgd", "net_worth_monthly": "total_net_worth_sgd", "net_worth_daily": "total_net_worth_sgd",
+    "spend_mom": "mom_delta"}
+_MODEL_VIEWS = {"dwd_transactions": "dwd_tx", "dwd_positions": "dwd_pos", "monthly_spend": "m_spend", "net_worth_history": "nw_history",
+                "net_worth_monthly": "nw_monthly", "net_worth_daily": "nw_daily",
+                "savings_rate": f"(SELECT sum({money('amount')}) AS net_savings FROM dwd_tx GROUP BY year_month)",
+                "spend_mom": f"({_MOM})"}
+
+
+@query("model_graph", with_views("\nUNION ALL\n".join(
+    f"SELECT '{name}' AS model, count(*) AS n_rows, cast(sum({money(_MODEL_VALUES[name])}) AS double) AS total FROM {_MODEL_VIEWS[name]}"
+    for name in _MODEL_VALUES), ["dwd_tx", "dwd_pos", "m_spend", "nw_history", "nw_monthly", "nw_daily"]))
+def q_model_graph(spark, d):
+    """All eight models from one run, level by level; each model's rows and total."""
+    inputs = {"tx": fx.tx(spark, d), "positions": fx.positions(spark, d), "balances": fx.balances(spark, d), "pension": fx.pension(spark, d)}
+    nodes = runner.graph(as_of=AS_OF, position_tiebreak=pos_tb(), balance_tiebreak=bal_tb(), pension_tiebreak=bal_tb())
+    built = runner.run_graph(spark, nodes, inputs, list(_MODEL_VALUES), scratch_path(spark, f"models-{uuid.uuid4().hex[:12]}"))
+    parts = [built[name].agg(F.count("*").alias("n_rows"), F.sum(rollup.money(value)).cast("double").alias("total"))
+             .select(F.lit(name).alias("model"), "n_rows", "total") for name, value in _MODEL_VALUES.items()]
+    return rollup.union_feeds(*parts)

@@ -478,6 +478,47 @@ def q_land_raw_roundtrip(spark, d):
     return spark.read.parquet(path)
 
 
+# ------------------------------------------------------------------ rejects, refresh, freshness by listing
+
+_LETTER_FAULTS = {"statement_date": "o_orderkey % 13 IN (5, 6)", "special_account": "o_orderkey % 11 = 3"}
+
+
+def _faulty_letters(spark, d):
+    """Pension letters of which some lack a balance, and some a date, or give one that is none."""
+    p = fx.pension_letters(spark, d)
+    k = F.regexp_extract("source_file", r"_(\d+)", 1).cast("long")
+    text = F.when(k % 11 == 3, F.regexp_replace("text", "SPECIAL ACCOUNT", "Other")).otherwise(F.col("text"))
+    text = F.when(k % 13 == 5, F.regexp_replace(text, "as at", "on")).when(k % 13 == 6, F.regexp_replace(text, r"as at \d+", "as at 31 Foo 2020,")).otherwise(text)
+    return p.select("source_file", text.alias("text"))
+
+
+@query("quarantine_letters", with_views(f"""
+SELECT source_file, CASE WHEN faults <> '' THEN 'missing ' || faults END AS reason,
+  CASE WHEN {_LETTER_FAULTS["statement_date"]} THEN NULL ELSE statement_date END AS statement_date, ordinary_account,
+  CASE WHEN {_LETTER_FAULTS["special_account"]} THEN NULL ELSE special_account END AS special_account, medisave_account,
+  CASE WHEN {_LETTER_FAULTS["special_account"]} THEN NULL ELSE total_cpf END AS total
+FROM (SELECT *, concat_ws(', ', {", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in _LETTER_FAULTS.items())}) AS faults FROM pension)""", ["pension"]))
+def q_quarantine_letters(spark, d):
+    """Good letters and rejects, from one evaluation; together all letters."""
+    good, rejects = tables.split_rejects(st.checked_balances(_faulty_letters(spark, d)), _scratch(spark, "letters"))
+    return good.withColumn("reason", F.lit(None).cast("string")).unionByName(rejects)
+
+
+@query("refresh_switch", with_views("SELECT * FROM m_spend", ["m_spend"]))
+def q_refresh_switch(spark, d):
+    """A table refreshed twice; its name gives the rows of the second refresh."""
+    from ledgerflow.plans.q_models import _monthly_spend
+    spend, path, name = _monthly_spend(spark, d), _scratch(spark, "spend"), f"spend_{uuid.uuid4().hex[:12]}"
+    tables.refresh(spend.filter("net_spend > 0"), "ads", name, path)
+    tables.refresh(spend, "ads", name, path)
+    return spark.table(f"ads.{name}")
+
+
+@query("listed_freshness")
+def q_listed_freshness(spark, d):
+    return tables.listed_freshness(spark, {t: f"{d.rstrip('/')}/{t}.parquet" for t in ("orders", "lineitem", "events", "documents")})
+
+
 @query("append_ods", with_views("SELECT * FROM tx", ["tx"]))
 def q_append_ods(spark, d):
     """Append raw transactions in the enforced ods schema and read the table back."""

@@ -20,6 +20,7 @@ from ledgerflow.plans.q_parsing import TRANSACTIONS_SQL
 from ledgerflow.schemas import BANK_TRANSACTIONS
 from ledgerflow.session import scratch_path
 from ledgerflow.sources import payloads
+from ledgerflow.sources.tables import split_rejects
 from ledgerflow.streaming.ingest import idempotent_append, ingest_stream
 from ledgerflow.streaming.statements import landed, stream_statements
 
@@ -95,6 +96,21 @@ def q_parse_reply(spark, d):
     return lb.parse_reply(_replies(spark, d))
 
 
+@query("quarantine_replies", with_views("""
+SELECT source_file, batch, n AS n_items, CASE batch % 5 WHEN 1 THEN 'not a JSON array' WHEN 2 THEN 'an item without index or category' END AS reason
+FROM (SELECT source_file, batch, count(*) AS n FROM tx_batched WHERE category IS NOT NULL GROUP BY source_file, batch)""", ["tx_batched"]))
+def q_quarantine_replies(spark, d):
+    """Replies that can be used (with their labels) and rejects, from one evaluation; together all replies."""
+    r = _replies(spark, d)
+    n = F.size(F.split("reply", '"index"')) - 1
+    spoilt = F.when(F.col("batch") % 5 == 1, F.lit("I can't do that.")).when(
+        F.col("batch") % 5 == 2, F.regexp_replace("reply", '"category":"[^"]*"}\\]', '"label":"x"}]')).otherwise(F.col("reply"))
+    checked = lb.checked_replies(r.withColumn("n_items", n.cast("bigint")).withColumn("reply", spoilt))
+    good, rejects = split_rejects(checked, scratch_path(spark, f"replies-{uuid.uuid4().hex[:12]}"))
+    labelled = lb.parse_reply(good).groupBy("source_file", "batch").agg(F.count("*").alias("n_items"))
+    return labelled.withColumn("reason", F.lit(None).cast("string")).unionByName(rejects.drop("reply"))
+
+
 @query("attach_label", with_views("""
 SELECT b.source_file, cast(b.row_index AS bigint) AS row_index, b.description, coalesce(l.category, 'Other') AS category
 FROM tx_batched b LEFT JOIN reply_labels l ON b.source_file = l.source_file AND b.row_index = l.row_index""",

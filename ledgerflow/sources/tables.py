@@ -8,6 +8,7 @@ machine-local folder.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,6 +71,54 @@ def materialize(df: DataFrame, layer: str, name: str, path: str | None = None) -
     return full
 
 
+def refresh(df: DataFrame, layer: str, name: str, path: str) -> str:
+    """Full refresh of ``layer.name`` that readers never see half done.
+
+    The rows are written to a new folder below ``path``; only then the name is
+    switched to it, in one step of the catalog.  A reader that began before
+    goes on with the old folder, one that begins later gets the new one, with
+    its columns, should they have changed; a refresh that fails leaves the old
+    rows.  The name is a view over the newest folder.  Older folders stay until
+    :func:`drop_versions`.  Returns the new folder.
+    """
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+    newest = max((n for n, _ in versions(spark, path)), default=0) + 1
+    folder = f"{path.rstrip('/')}/v{newest:08d}-{uuid4().hex[:8]}"
+    df.write.parquet(folder)
+    spark.sql(f"CREATE OR REPLACE VIEW `{layer}`.`{name}` AS SELECT * FROM parquet.`{folder}`")
+    return folder
+
+
+def versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, folder) of the versions below ``path``, the oldest first."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+    return sorted((int(n[1:9]), f"{path.rstrip('/')}/{n}") for n in names if n.startswith("v") and n[1:9].isdigit())
+
+
+def drop_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete all versions but the newest ``keep`` (at least one); call it when no reader of older ones is left."""
+    old = [folder for _, folder in versions(spark, path)[: -max(1, keep)]]
+    for folder in old:
+        where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return old
+
+
+def split_rejects(checked: DataFrame, path: str, reason: str = "reason") -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejects with their reason) of rows that carry a ``reason`` (NULL: good), evaluated once.
+
+    The rows are written below ``path`` by outcome, so each of the two reads
+    only its own files; together they are all rows.
+    """
+    spark = checked.sparkSession
+    checked.withColumn("__rejected", F.col(reason).isNotNull()).write.mode("overwrite").partitionBy("__rejected").parquet(path)
+    rows = spark.read.schema(T.StructType([*checked.schema.fields, T.StructField("__rejected", T.BooleanType())])).parquet(path)
+    return rows.filter(~F.col("__rejected")).drop("__rejected", reason), rows.filter("__rejected").drop("__rejected")
+
+
 def skip_landed(new: DataFrame, landed: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose landing key is not already landed (anti join)."""
     return new.join(landed.select(*on).distinct(), on=list(on), how="left_anti")
@@ -96,6 +145,22 @@ def file_freshness(df: DataFrame, name: str) -> DataFrame:
         F.max("file_modification_time").alias("last_modified")).select(F.lit(name).alias("table"), "last_modified")
 
 
+def listed_freshness(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
+    """(table, last_modified as UTC wall-clock) of file-backed tables by the file listing alone: no row and no footer is read.
+
+    A table without files has no time.
+    """
+    parts = []
+    for name, path in tables.items():
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("modificationTime")
+        utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.max("modificationTime").cast("timestamp_ntz"))
+        parts.append(files.agg(utc.alias("last_modified")).select(F.lit(name).alias("table"), "last_modified"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def stamp(df: DataFrame, as_of, tz: str = "Asia/Singapore", ts_col: str = "etl_time", date_col: str = "date",
           utc_date_col: str | None = "landing_date") -> DataFrame:
     """Load time stamp (UTC wall-clock), the local calendar date of it in ``tz``,
