@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerflow.operators import fx as fxops
 from ledgerflow.operators import rollup, statements as st
 from ledgerflow.plans import fixtures as fx
+from ledgerflow.plans import runs
 from ledgerflow.plans.catalog import query
 from ledgerflow.plans.oracle_views import view, with_views
 from ledgerflow.schemas import BANK_TRANSACTIONS
@@ -504,6 +506,20 @@ def q_quarantine_letters(spark, d):
     return good.withColumn("reason", F.lit(None).cast("string")).unionByName(rejects)
 
 
+@query("pension_run", with_views(f"""
+SELECT source_file, statement_date, ordinary_account, special_account, medisave_account, total_cpf, 'SGD' AS currency FROM (
+  SELECT *, row_number() OVER (PARTITION BY statement_date ORDER BY o_orderkey % 2 DESC, source_file) AS rn
+  FROM pension WHERE NOT ({" OR ".join(_LETTER_FAULTS.values())})) WHERE rn = 1""", ["pension"]))
+def q_pension_run(spark, d):
+    """Half of the letters in one run, all of them in the next, which is repeated: a date is loaded once."""
+    target, letters = _scratch(spark, "pension"), _faulty_letters(spark, d)
+    odd = F.regexp_extract("source_file", r"_(\d+)", 1).cast("long") % 2 == 1
+    runs.pension_run(spark, letters.filter(odd), target, dt.datetime(2024, 1, 14))
+    for _ in range(2):
+        runs.pension_run(spark, letters, target, dt.datetime(2024, 1, 15))
+    return runs.stored(spark, target, runs.PENSION).drop("etl_time")
+
+
 @query("refresh_switch", with_views("SELECT * FROM m_spend", ["m_spend"]))
 def q_refresh_switch(spark, d):
     """A table refreshed twice; its name gives the rows of the second refresh."""

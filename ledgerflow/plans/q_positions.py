@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import dedup, fx as fxops, rollup
 from ledgerflow.plans import fixtures as fx
+from ledgerflow.plans import runs
 from ledgerflow.plans.catalog import query
 from ledgerflow.plans.oracle_views import with_views
+from ledgerflow.session import scratch_path
 from ledgerflow.sources.payloads import explode_balances
 
 
@@ -252,3 +257,53 @@ def q_price_lookup(spark, d):
 def q_portfolio_summary(spark, d):
     from ledgerflow.plans.q_models import _dwd_pos
     return rollup.portfolio_summary(_dwd_pos(spark, d))
+
+
+# ------------------------------------------------------------------ whole runs
+
+_RUNS = [dt.datetime(2024, 1, 14, 22), dt.datetime(2024, 1, 15, 22), dt.datetime(2024, 1, 16, 22)]
+_SNAPSHOT_ORDER = ("market_value_sgd", "market_value", "quantity", "price", "currency", "asset_class")
+
+
+def _position_runs(spark, d) -> str:
+    """Three runs: all sources live; one source's fetch failed; all live but empty.  The second is repeated.  Returns the target."""
+    target = scratch_path(spark, f"positions-{uuid.uuid4().hex[:12]}")
+    pos, rates = fx.positions_raw(spark, d), fx.rates(spark, d)
+    pos = pos.select("source", "symbol", "asset_class", "quantity", "price", "market_value", "currency", "l_suppkey")
+    ok = spark.createDataFrame([(s, True) for s, _ in OUTCOME], "source string, ok boolean")
+    ties = [F.col(c).desc() for c in _SNAPSHOT_ORDER]
+    runs.positions_run(spark, pos.filter("l_suppkey % 2 = 0"), ok, target, _RUNS[0], rates, tiebreak=ties)
+    for _ in range(2):
+        runs.positions_run(spark, pos.filter("l_suppkey % 2 = 1"), spark.createDataFrame(OUTCOME, "source string, ok boolean"), target, _RUNS[1], rates, tiebreak=ties)
+    runs.positions_run(spark, pos.limit(0), ok, target, _RUNS[2], None, tiebreak=ties)
+    return target
+
+
+_RUN_COLS = "source, symbol, asset_class, quantity, price, market_value, currency, fx_rate_to_sgd, market_value_sgd"
+_RUNS_SQL = f"""
+SELECT DATE '2024-01-15' AS date, {_RUN_COLS} FROM positions WHERE l_suppkey % 2 = 0
+UNION ALL
+SELECT DATE '2024-01-16', {_RUN_COLS} FROM positions WHERE l_suppkey % 2 = 1 AND source <> 'tiger'
+UNION ALL
+SELECT DATE '2024-01-16', {_RUN_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY source, symbol ORDER BY {", ".join(c + " DESC" for c in _SNAPSHOT_ORDER)}) AS rn
+  FROM positions WHERE l_suppkey % 2 = 0 AND source = 'tiger') WHERE rn = 1"""
+
+
+@query("positions_run", with_views(_RUNS_SQL, ["positions"]))
+def q_positions_run(spark, d):
+    """Stored positions after three runs: the failed source has its newest stored snapshot, the empty run adds nothing."""
+    return runs.stored(spark, _position_runs(spark, d), runs.POSITIONS).drop("etl_time")
+
+
+@query("positions_run_status", with_views(f"""
+SELECT date AS run_date, source, CASE WHEN source = 'tiger' AND date = DATE '2024-01-16' THEN 'fallback' ELSE 'live' END AS status, count(*) AS row_count
+FROM ({_RUNS_SQL}) GROUP BY date, source
+UNION ALL
+SELECT DATE '2024-01-17', source, 'live', 0 FROM outcome
+UNION ALL
+SELECT * FROM (VALUES (DATE '2024-01-15', 'fx', 'live', NULL), (DATE '2024-01-16', 'fx', 'live', NULL), (DATE '2024-01-17', 'fx', 'fallback', NULL)) t""",
+    ["positions"], {"outcome": OUTCOME_SQL}))
+def q_positions_run_status(spark, d):
+    """Status rows of the three runs; the empty one wrote its status alone, with the rates of stored rows."""
+    return runs.stored(spark, _position_runs(spark, d), runs.STATUS).select("run_date", "source", "status", "row_count")

@@ -11,7 +11,8 @@ from ledgerflow.plans import catalog
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
 PYTHON_ALLOWED = {"classify_batches"}
 SIDE_EFFECT = {"land_raw_roundtrip", "append_ods", "materialize", "file_arrival_stream", "read_holdings_csv", "stream_statements", "stream_balances",
-               "sectioned_csv_files", "assign_batches_one_load"}
+               "sectioned_csv_files", "assign_batches_one_load", "model_graph", "quarantine_letters", "quarantine_replies", "refresh_switch",
+               "positions_run", "positions_run_status", "pension_run"}
 
 
 def plan_text(df) -> str:

@@ -83,7 +83,8 @@ def test_letter_without_a_date(spark):
 
 
 SIDE_EFFECT = {"land_raw_roundtrip", "append_ods", "materialize", "file_arrival_stream", "read_holdings_csv", "stream_statements", "stream_balances",
-               "sectioned_csv_files", "assign_batches_one_load"}
+               "sectioned_csv_files", "assign_batches_one_load", "model_graph", "quarantine_letters", "quarantine_replies", "refresh_switch",
+               "positions_run", "positions_run_status", "pension_run"}
 
 
 def test_building_a_query_runs_no_job(spark, registry):
