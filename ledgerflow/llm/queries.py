@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from ledgerflow.llm import (
     toxicity, wand,
 )
 from ledgerflow.llm.oracles import ORACLE
+from ledgerflow.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +21,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_ledger.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs, ledger = _table(spark, sf_dir, "documents").select("doc_id", "text"), scratch_path(spark, f"secret-ledger-{uuid4().hex}")
+    # About half of the documents had arrived before; then the whole table comes, of which only blobs not seen are scanned.
+    earlier = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 2 == 0
+    secret_ledger.scan_blobs(docs.where(earlier), ledger)
+    found = secret_ledger.scan(docs, ledger)
     count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     spans = secret_ledger.digest(F.col("secrets"))
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"))

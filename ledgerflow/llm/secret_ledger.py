@@ -19,7 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.session import scratch_path
@@ -107,19 +107,14 @@ def scan_blobs(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES
     pairs = blobs.select("blob", F.explode(F.array(*(
         F.struct(F.lit(r.key).alias("rule"), F.when(unseen(r), _matched(F.col("body"), r)).alias("hits")) for r in rules
     ))).alias("pair")).select("blob", "pair.rule", "pair.hits").where(F.col("hits").isNotNull())
-    # Running sums turn gaps and lengths into positions, in one pass over the hits.
-    ends = F.aggregate(
-        F.col("hits"),
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPANS).alias("out")),
-        lambda acc, h: F.struct(
-            (acc["at"] + h["gap"] + h["size"]).alias("at"),
-            F.when(h["kept"], F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + h["gap"]).alias("start"), (acc["at"] + h["gap"] + h["size"]).alias("end")))))
-            .otherwise(acc["out"]).alias("out"),
-        ),
-    )["out"]
+    # A running sum along a pair's hits turns gaps and lengths into positions.  A pair without hits keeps one row.
+    hits = pairs.select("blob", "rule", F.posexplode_outer("hits").alias("pos", "hit"))
+    along = Window.partitionBy("blob", "rule").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = hits.withColumn("end", F.sum(F.col("hit.gap") + F.col("hit.size")).over(along))
+    span = F.when(F.col("hit.kept"), F.struct((F.col("end") - F.col("hit.size")).alias("start"), "end"))
+    spans = placed.groupBy("blob", "rule").agg(F.array_sort(F.collect_list(span)).alias("spans"))
     # A batch becomes visible under the ledger only when its write has been committed.
-    pairs.select("blob", "rule", ends.alias("spans")).write.mode("append").parquet(ledger)
+    spans.write.mode("append").parquet(ledger)
     return _ledger(spark, ledger)
 
 
@@ -143,7 +138,8 @@ def scan(versions: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...]
         .select("blob", F.transform("spans", lambda s: F.struct(
             s["start"].alias("start"), kind_no[F.col("rule")].alias("kind_no"),
             kind[F.col("rule")].alias("kind"), s["end"].alias("end"))).alias("part"))
-        .groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("part"))).alias("secrets"))
+        # A set: two callers at a time may both have noted a pair.
+        .groupBy("blob").agg(F.array_sort(F.flatten(F.collect_set("part"))).alias("secrets"))
         .withColumnRenamed("blob", "__blob")
     )
     out = versions.withColumn("__blob", _address(F.col(text))).join(found, "__blob", "left").drop("__blob")
@@ -157,18 +153,36 @@ def digest(spans: Column) -> Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
+#: Characters of a block: cutting a piece out of a text reads the blocks that it touches, not the text from its start.
+_BLOCK = 1024
+
+
 def redact(scanned: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
-    """Replace every span of ``secrets`` in ``text`` by ``mark`` (overlapping spans by one mark)."""
-    body = F.col(text)
-    state = "struct<at:bigint,out:array<string>>"
-    cut = F.aggregate(
-        F.col("secrets"),
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out")).cast(state),
-        lambda acc, s: F.when(s["start"] >= acc["at"], F.struct(
-            s["end"].alias("at"),
-            F.concat(acc["out"], F.array(
-                F.substring(body, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).alias("out")).cast(state))
-        .otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")).cast(state)),
-    )
-    whole = F.concat(F.array_join(cut["out"], ""), F.substring(body, cut["at"] + 1, F.length(body)))
-    return scanned.withColumn(text, F.when(F.size("secrets") == 0, body).otherwise(whole)).drop("secrets")
+    """Replace every span of ``secrets`` in ``text`` by ``mark`` (overlapping spans by one mark).
+
+    Equal texts have equal spans, so each distinct text with spans is redacted
+    once and joined back.  The work is about linear in the text and its spans.
+    """
+    if "__blob" in scanned.columns or "__clean" in scanned.columns:
+        raise ValueError("input must not have columns named __blob or __clean")
+    rows = scanned.withColumn("__blob", F.when(F.size("secrets") > 0, _address(F.col(text))))
+    blobs = rows.where(F.col("__blob").isNotNull()).groupBy("__blob").agg(F.first(text).alias("body"), F.first("secrets").alias("secrets"))
+    # The text between the marks: from the furthest end so far to a start beyond it.
+    spans = blobs.select("__blob", F.posexplode("secrets").alias("pos", "s")).select("__blob", "pos", "s.start", "s.end")
+    earlier = Window.partitionBy("__blob").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.withColumn("before", F.coalesce(F.max("end").over(earlier), F.lit(0)))
+    opens = F.when(F.col("start") >= F.col("before"), F.struct(F.col("before").alias("a"), F.col("start").alias("b")))
+    bounds = spans.groupBy("__blob").agg(F.array_sort(F.collect_list(opens)).alias("bounds"), F.max("end").alias("last"))
+    blocks = F.regexp_extract_all("body", F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0))
+    cut = blobs.select("__blob", blocks.alias("blocks")).join(bounds, "__blob")
+
+    def piece(lo: Column, hi: Column) -> Column:
+        first = F.floor(lo / _BLOCK).cast("int")
+        touched = F.slice("blocks", first + 1, F.greatest(F.ceil(hi / _BLOCK).cast("int") - first, F.lit(0)))
+        return F.substring(F.array_join(touched, ""), (lo - first * _BLOCK + 1).cast("int"), (hi - lo).cast("int"))
+
+    length = (F.size("blocks") - 1) * _BLOCK + F.length(F.element_at("blocks", -1))
+    pieces = F.transform("bounds", lambda x: F.concat(piece(x["a"], x["b"]), F.lit(mark)))
+    clean = cut.select("__blob", F.concat(F.array_join(pieces, ""), piece(F.col("last"), length)).alias("__clean"))
+    joined = rows.join(clean, "__blob", "left").withColumn(text, F.coalesce("__clean", text))
+    return joined.select(*[c for c in scanned.columns if c != "secrets"])
