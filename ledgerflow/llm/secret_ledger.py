@@ -165,8 +165,10 @@ def redact(scanned: DataFrame, text: str = "text", mark: str = "[secret]") -> Da
     """
     if "__blob" in scanned.columns or "__clean" in scanned.columns:
         raise ValueError("input must not have columns named __blob or __clean")
-    rows = scanned.withColumn("__blob", F.when(F.size("secrets") > 0, _address(F.col(text))))
-    blobs = rows.where(F.col("__blob").isNotNull()).groupBy("__blob").agg(F.first(text).alias("body"), F.first("secrets").alias("secrets"))
+    # Rows without spans meet no text; a key of their own spreads them over the tasks.
+    spread = F.concat(F.lit("-"), F.xxhash64(*[F.col(c) for c in scanned.columns if c != "secrets"]).cast("string"))
+    rows = scanned.withColumn("__blob", F.when(F.size("secrets") > 0, _address(F.col(text))).otherwise(spread))
+    blobs = rows.where(F.size("secrets") > 0).groupBy("__blob").agg(F.first(text).alias("body"), F.first("secrets").alias("secrets"))
     # The text between the marks: from the furthest end so far to a start beyond it.
     spans = blobs.select("__blob", F.posexplode("secrets").alias("pos", "s")).select("__blob", "pos", "s.start", "s.end")
     earlier = Window.partitionBy("__blob").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
