@@ -113,7 +113,7 @@ q AS (SELECT d.r, d.doc_id AS query_id, term, idf FROM d JOIN f USING (r) JOIN i
 z AS (SELECT q.r AS qr, query_id, d.doc_id, d.r,
     round(sum(idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(d.w) / average))), 6) AS score
   FROM q JOIN f USING (term) JOIN d ON d.r = f.r, g GROUP BY q.r, query_id, d.doc_id, d.r, average),
-o AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM z)
+o AS (SELECT *, row_number() OVER (PARTITION BY qr ORDER BY score DESC, doc_id) AS rank FROM z)
 SELECT query_id, doc_id, rank::INTEGER AS rank, score FROM o WHERE rank <= 10
 """
 
