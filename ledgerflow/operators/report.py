@@ -210,7 +210,7 @@ def allocation(monthly: DataFrame, classes: Mapping[str, Sequence[str]], keys: S
 
 def breakdown(history: DataFrame, by: str = "source", keys: Sequence[str] = ()) -> DataFrame:
     """Latest month's value per ``by`` with its share of the month's total."""
-    latest = latest_rows(history, keys=keys)
+    latest = latest_rows(history, keys=keys, bounded=False)
     g = latest.groupBy(*keys, "date", by).agg(F.round(F.sum(money("market_value_sgd")), 2).cast("double").alias("value"))
     return share_of_total(g, "value", keys=[*keys, "date"])
 
