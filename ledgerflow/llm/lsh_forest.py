@@ -1,20 +1,29 @@
-"""N-gram Jaccard join with MinHash banding.
-
-A text's set of word five-grams gets a MinHash signature of ``trees`` bands.
-Their depth is the largest, up to ``max_depth``, at which the chance that a
-pair at the threshold shares a band reaches the target recall; it is computed
-from the parameters before matching, so no trie is sorted and no prefix is
-shortened level by level, as in an LSH forest.  A band's hash is called a node;
-texts that share one are candidates, and candidates are verified exactly.
-
-Exact copies meet first, by content, and count as one text.  Texts that share
-a trie node are connected through the node's least member, and each candidate
-group is verified by itself, in cells of two blocks of texts, so a group of
-any size is spread over many tasks, and a text's shingles are shuffled once
-per block of its group.  In a cell, intersections of all pairs come from a
-product of incidence matrices over the shingles that at least two texts share;
-the cell returns each text's number of links and a spanning forest of the links,
-never the pairs.  Classes are the connected components of the verified links.
+"""N-gram Jaccard join with a MinHash LSH forest.
+
+A text's set of word five-grams gets, for every tree of the forest, a label of
+``max_depth`` min-hashes (a byte of each).  The labels of a tree, sorted, are its
+trie: texts whose labels begin alike stand side by side, and the longest prefix
+that neighbours share is the depth at which they meet.  The sort is one range
+shuffle over (tree, label, number), so a node that holds a third of all texts is
+dealt over many tasks; each task compares neighbours and passes on only texts
+that meet another, and a node cut by a range border is put together by its hash.
+
+Matching begins at the full depth and is shortened level by level until the
+chance that a pair at the threshold meets in some tree reaches the target
+recall.  That level follows from threshold, trees and target and never from the
+data, so no link is traded for speed.
+
+Exact copies meet first, by content, and count as one text.  Texts that meet
+are connected through the least member of their node.  A connected group of more
+than ``block`` texts is cut into blocks, and a text is dealt to the block of
+another only if the two blocks share a node that holds this text, so a group
+that hangs together by chains costs what its candidates cost and not its size squared; a
+dense group of any size is spread over many tasks.  A pair has one cell, that
+of its two blocks, and is counted there once, however many trees it meets in.
+In a cell, intersections of all pairs come from a product of incidence matrices
+over the shingles that at least two texts share; the cell returns each text's
+number of links and a spanning forest of the links, never the pairs.  Classes
+are the connected components of the verified links.
 
 Nulls and edges: a null text counts as empty; a text without words links to
 nothing and is a class of its own; one of 1 to 4 words has one shingle, all its
@@ -51,24 +60,58 @@ def adapted_depth(threshold: float, trees: int, max_depth: int, target: float) -
     return depth
 
 
-def prefix_keys(texts: list[str], trees: int, depth: int, shingle: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """Trie node of every text in every tree, and the number of its shingles (with repeats)."""
+def labels_of(texts: list[str], trees: int, max_depth: int, shingle: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+    """Labels (texts x trees x max_depth bytes) of every text, and the number of its shingles (with repeats)."""
     rng = np.random.default_rng(seed)
-    a = rng.integers(0, 1 << 63, trees * depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    b = rng.integers(0, 1 << 63, trees * depth, dtype=np.uint64)
-    keys, sizes = np.zeros((len(texts), trees), dtype=np.uint64), np.zeros(len(texts), dtype=np.int64)
+    a = rng.integers(0, 1 << 63, trees * max_depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    b = rng.integers(0, 1 << 63, trees * max_depth, dtype=np.uint64)
+    labels, sizes = np.zeros((len(texts), trees * max_depth), dtype=np.uint8), np.zeros(len(texts), dtype=np.int64)
     for lo, hi in runs(texts, 1 << 18):  # small enough for the cache
         h, ptr = shingles(words(texts[lo:hi]), shingle)
         sizes[lo:hi] = np.diff(ptr)
         work = np.empty_like(h)
-        for t in range(trees):
-            node = np.full(hi - lo, t + 1, dtype=np.uint64)
-            for d in range(t * depth, (t + 1) * depth):
-                np.multiply(h, a[d], out=work)
-                np.add(work, b[d], out=work)
-                node = mix64(node ^ segments_min(work, ptr))
-            keys[lo:hi, t] = node
-    return keys, sizes
+        for d in range(trees * max_depth):
+            np.multiply(h, a[d], out=work)
+            np.add(work, b[d], out=work)
+            labels[lo:hi, d] = mix64(segments_min(work, ptr)).astype(np.uint8)
+    return labels.reshape(len(texts), trees, max_depth), sizes
+
+
+def shared_depth(tree: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Length of the prefix that each label shares with the next one (0 in another tree)."""
+    alike = np.cumprod(labels[1:] == labels[:-1], axis=1).sum(axis=1)
+    return np.where(tree[1:] == tree[:-1], alike, 0)
+
+
+def node_keys(tree: np.ndarray, labels: np.ndarray, depth: int) -> np.ndarray:
+    """Hash of the trie node of this depth that holds each label."""
+    node = tree.astype(np.uint64) + np.uint64(1)
+    for d in range(depth):
+        node = mix64(node ^ (labels[:, d].astype(np.uint64) << np.uint64(8)))
+    return node
+
+
+def meetings(batches: Iterator[pd.DataFrame], depth: int) -> Iterator[pd.DataFrame]:
+    """One part of the sorted labels (tree, label, no) to (no, node) of the texts that meet a neighbour at this depth.
+
+    The first and the last text are always passed on, as their neighbours may lie in another part.
+    """
+    held = None  # the last text so far, and whether it is to be passed on whatever follows
+    for batch in batches:
+        if len(batch) == 0:
+            continue
+        tree, no = batch["tree"].to_numpy(np.int64), batch["no"].to_numpy(np.int64)
+        labels = np.frombuffer(b"".join(batch["label"]), dtype=np.uint8).reshape(len(batch), -1)
+        met = held[3] if held else True
+        if held:
+            tree, no, labels = np.append(held[0], tree), np.append(held[1], no), np.concatenate((held[2], labels))
+        meets = shared_depth(tree, labels) >= depth
+        keep = np.append(meets, False) | np.concatenate(([met], meets))
+        held = tree[-1:], no[-1:], labels[-1:], bool(keep[-1])
+        at = np.flatnonzero(keep[:-1])
+        yield pd.DataFrame({"no": no[at], "node": signed(node_keys(tree[at], labels[at], depth))})
+    if held:
+        yield pd.DataFrame({"no": held[1], "node": signed(node_keys(held[0], held[2], depth))})
 
 
 def verify_cell(first: list[np.ndarray], second: list[np.ndarray] | None, threshold: float, width: int = 4096) -> np.ndarray:
@@ -117,6 +160,13 @@ def _roots(linked: np.ndarray, square: bool) -> np.ndarray:
         label = new
 
 
+def reached_blocks(members: DataFrame, blocked: DataFrame) -> DataFrame:
+    """no, others: for a text of a group of several blocks, the blocks that share one of its nodes, its own among them."""
+    spread = members.join(blocked.where("blocks > 1").select("no", "own"), "no")
+    beside = spread.groupBy("node", F.col("own").alias("other")).agg(F.lit(1).alias("one")).drop("one")
+    return spread.select("node", "no").join(beside, "node").groupBy("no").agg(F.collect_set("other").alias("others"))
+
+
 def link_table(
     docs: DataFrame, threshold: float = 0.8, shingle: int = 5, trees: int = 32, max_depth: int = 10,
     target: float = 0.9999, block: int = 512, order: str = "doc_id", text: str = "text",
@@ -132,31 +182,46 @@ def link_table(
 
     def signed_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys, sizes = prefix_keys(batch["body"].tolist(), trees, depth, shingle)
+            labels, sizes = labels_of(batch["body"].tolist(), trees, max_depth, shingle)
             yield pd.DataFrame({"id": batch["id"].array, "digest": batch["digest"].array, "size": sizes,
-                                "nodes": list(signed(keys))})
+                                "labels": [x.tobytes() for x in labels]})
 
-    # Written once: distinct texts with their trie nodes, numbered.
+    # Written once: distinct texts with their labels, numbered.
     texts_path = scratch_path(spark, f"forest-texts-{uuid4().hex}")
     (
         body.select(F.col("id").cast("string").alias("id"), F.md5("body").alias("digest"), "body")
-        .mapInPandas(signed_texts, "id string, digest string, size long, nodes array<long>")
+        .mapInPandas(signed_texts, "id string, digest string, size long, labels binary")
         .groupBy("digest").agg(F.min(F.col("id").cast("long")).alias("least"), F.count("*").alias("copies"),
-                               F.first("size").alias("size"), F.first("nodes").alias("nodes"))
+                               F.first("size").alias("size"), F.first("labels").alias("labels"))
         .withColumn("no", F.monotonically_increasing_id())
         .write.parquet(texts_path)
     )
     texts = spark.read.parquet(texts_path)
 
-    members = texts.where("size > 0").select("no", F.posexplode("nodes").alias("tree", "node"))
-    shared = members.groupBy("tree", "node").agg(F.min("no").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    near = members.join(shared, ["tree", "node"]).where("no != head").select(F.col("no").alias("a"), F.col("head").alias("b"))
+    # The sorted tries, read from left to right by many tasks.
+    label = F.expr(f"substring(labels, tree * {max_depth} + 1, {max_depth})").alias("label")
+    branches = texts.where("size > 0").select("no", "labels", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    sorted_labels = (
+        branches.select("tree", label, "no").repartitionByRange("tree", "label", "no").sortWithinPartitions("tree", "label", "no"))
+    members_path = scratch_path(spark, f"forest-members-{uuid4().hex}")
+    sorted_labels.mapInPandas(lambda batches: meetings(batches, depth), "no long, node long").write.parquet(members_path)
+    members = spark.read.schema("no long, node long").parquet(members_path)
+
+    # Written, so that the join deals both sides anew and can split a hot node.
+    heads_path = scratch_path(spark, f"forest-heads-{uuid4().hex}")
+    (members.groupBy("node").agg(F.min("no").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
+     .write.parquet(heads_path))
+    shared = spark.read.schema("node long, head long").parquet(heads_path)
+    near = members.join(shared, "node").where("no != head").select(F.col("no").alias("a"), F.col("head").alias("b"))
     groups = connected_components(near)  # checkpointed: candidate groups
 
     parts = groups.groupBy("root").count().select("root", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("no"), F.col("blocks")).cast("int")
+    blocked_path = scratch_path(spark, f"forest-blocks-{uuid4().hex}")
+    groups.join(parts, "root").withColumnRenamed("node", "no").withColumn("own", own).write.parquet(blocked_path)
+    blocked = spark.read.schema("root long, no long, blocks int, own int").parquet(blocked_path)
     placed = (
-        groups.join(parts, "root").withColumnRenamed("node", "no").withColumn("own", own)
+        blocked.join(reached_blocks(members, blocked), "no", "left").withColumn("others", F.coalesce("others", F.array("own")))
         .join(texts.select("no", "digest", "copies"), "no")
     )
 
@@ -173,11 +238,11 @@ def link_table(
     wanted = placed.join(texts.select("digest", F.coalesce("least", none).alias("key")), "digest")
     sets = (
         body.select(F.md5("body").alias("digest"), F.coalesce("id", none).alias("key"), "body")
-        .join(wanted, ["digest", "key"]).select("root", "blocks", "own", "no", "copies", "body")
-        .mapInPandas(as_sets, "root long, blocks int, own int, no long, copies long, grams binary")
+        .join(wanted, ["digest", "key"]).select("root", "others", "own", "no", "copies", "body")
+        .mapInPandas(as_sets, "root long, others array<int>, own int, no long, copies long, grams binary")
     )
     cells = (
-        sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        sets.withColumn("other", F.explode("others"))
         .select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "no", "copies", "grams")
     )
     dealt = cells.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "no")
@@ -225,7 +290,7 @@ def link_table(
     classes = connected_components(found.select(F.col("no").alias("a"), F.col("head").alias("b")))
 
     known = (
-        texts.drop("nodes").join(counts, "no", "left").join(classes.withColumnRenamed("node", "no"), "no", "left")
+        texts.drop("labels").join(counts, "no", "left").join(classes.withColumnRenamed("node", "no"), "no", "left")
         .withColumn("root", F.coalesce("root", "no"))
         .withColumn("links", F.when(F.col("size") > 0, F.coalesce("others", F.lit(0)) + F.col("copies") - 1).otherwise(F.lit(0)))
     )

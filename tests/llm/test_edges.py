@@ -1,10 +1,12 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import collections
 import hashlib
 import time
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from ledgerflow.llm import components, ctw, fingerprints, lsh_forest, mixing, packing, secret_ledger, substrings, tokens, toxicity, wand
@@ -160,6 +162,64 @@ def test_near_duplicates(odd, none, make_docs):
     assert {r["class_id"] for r in got} == {100}
 
 
+def test_forest_meets_as_a_plain_search(spark):
+    rng = np.random.default_rng(5)
+    trees, depth = 3, 4
+    labels = rng.integers(0, 3, (60, trees, 8), dtype=np.uint8)  # many shared prefixes
+    rows = sorted((t, labels[i, t].tobytes(), i) for i in range(60) for t in range(trees))
+    wanted = collections.defaultdict(set)
+    for t, raw, i in rows:
+        wanted[t, raw[:depth]].add(i)
+    wanted = sorted(sorted(v) for v in wanted.values() if len(v) > 1)
+    for cuts in ([0, 180], [0, 7, 8, 50, 51, 179, 180]):  # parts of the sorted labels, in batches of 5
+        nodes = collections.defaultdict(set)
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            batches = (pd.DataFrame(rows[x: min(x + 5, b)], columns=["tree", "label", "no"]) for x in range(a, b, 5))
+            for out in lsh_forest.meetings(batches, depth):
+                for no, node in out.itertuples(index=False):
+                    nodes[node].add(no)
+        assert sorted(sorted(v) for v in nodes.values() if len(v) > 1) == wanted
+    assert list(lsh_forest.meetings(iter([]), depth)) == []
+
+
+def test_forest_depth_follows_the_target():
+    for threshold, trees, target in ((0.8, 32, 0.9999), (0.9, 8, 0.99), (0.5, 64, 0.9)):
+        depth = lsh_forest.adapted_depth(threshold, trees, 10, target)
+        assert lsh_forest.recall(threshold, trees, depth) >= target
+        assert depth == 10 or lsh_forest.recall(threshold, trees, depth + 1) < target
+
+
+def test_a_chained_group_costs_its_candidates(spark):
+    n, blocks = 400, 50  # one group: text i meets i + 1 alone
+    members = spark.createDataFrame([(i + j, 1000 + i) for i in range(n) for j in (0, 1)], "no long, node long")
+    blocked = spark.createDataFrame([(0, i, blocks, i * 7 % blocks) for i in range(n + 1)], "root long, no long, blocks int, own int")
+    dealt = {r["no"]: set(r["others"]) for r in lsh_forest.reached_blocks(members, blocked).collect()}
+    own = {i: i * 7 % blocks for i in range(n + 1)}
+    assert dealt == {i: {own[j] for j in (i - 1, i, i + 1) if 0 <= j <= n} for i in range(n + 1)}
+
+
+def test_links_across_blocks_are_counted_once(make_docs):
+    rng = np.random.default_rng(11)
+    base = [[f"b{c}_{i}" for i in range(120)] for c in range(3)]
+    texts = []
+    for d in range(150):
+        w = list(base[d % 3])
+        for at in rng.integers(0, 120, int(rng.integers(1, 4))):
+            w[at] = f"x{rng.integers(0, 50)}"
+        texts.append((d, " ".join(w)))
+    grams = {d: {tuple(t.split()[i: i + 5]) for i in range(116)} for d, t in texts}
+    got = {r["doc_id"]: r for r in lsh_forest.near_duplicates(make_docs(texts), block=16).collect()}
+    linked = {d: {e for e in grams if e != d and 5 * len(grams[d] & grams[e]) >= 4 * len(grams[d] | grams[e])} for d in grams}
+    assert {d: r["n_links"] for d, r in got.items()} == {d: len(v) for d, v in linked.items()}
+    for d, r in got.items():
+        reached, todo = {d}, [d]
+        while todo:
+            new = linked[todo.pop()] - reached
+            reached |= new
+            todo += new
+        assert r["class_id"] == min(reached)
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(100) if i % 10 != 9] + [(500, 400), (400, 500), (7, 7)], "a long, b long")
     got = {r["node"]: r["root"] for r in components.connected_components(links).collect()}
