@@ -178,6 +178,13 @@ def without_near_copies(body: DataFrame, taught: DataFrame) -> DataFrame:
     return taught.join(kept.select("__id").distinct(), "__id")
 
 
+def sample_by_id(rows: DataFrame, share: float) -> DataFrame:
+    """About this share of the rows, by hash of __id; steps of 2**-20 of a millionth, so a share of any large table is not rounded to none."""
+    h = F.xxhash64("__id")
+    place = F.pmod(h, F.lit(1_000_000)) + F.pmod(F.shiftright(h, 20), F.lit(1 << 20)) / (1 << 20)
+    return rows.where(place < 1e6 * share)
+
+
 def train(
     docs: DataFrame, labels: DataFrame, folds: int = 5, max_labelled: int = 20_000, max_voters: int = 384,
     least_support: int = 4, order: str = "doc_id", text: str = "text", label: str = "toxic",
@@ -189,7 +196,7 @@ def train(
     )
     have = taught.count()
     if have > max_labelled:
-        taught = taught.where(F.pmod(F.xxhash64("__id"), F.lit(1_000_000)) < int(1_000_000 * max_labelled / have))
+        taught = sample_by_id(taught, max_labelled / have)
     body = docs.select(F.col(order).cast("long").alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     ids_path = scratch_path(spark, f"toxicity-sample-{uuid4().hex}")
     without_near_copies(body, taught).write.parquet(ids_path)

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerflow.llm import components, ctw, fingerprints, lsh_forest, mixing, packing, secret_ledger, substrings, tokens, toxicity, wand
 
@@ -220,6 +221,14 @@ def test_links_across_blocks_are_counted_once(make_docs):
         assert r["class_id"] == min(reached)
 
 
+def test_samples_of_tiny_shares_are_not_empty(spark):
+    ids = spark.range(20_000_000).select(F.col("id").alias("__id"))
+    few, more = (toxicity.sample_by_id(ids, share) for share in (8e-7, 1e-4))
+    assert 4 <= few.count() <= 40 and 1700 <= more.count() <= 2300
+    assert few.join(more, "__id").count() == few.count()  # a larger share holds the smaller one
+    assert toxicity.sample_by_id(ids, 1.0).count() == 20_000_000
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(100) if i % 10 != 9] + [(500, 400), (400, 500), (7, 7)], "a long, b long")
     got = {r["node"]: r["root"] for r in components.connected_components(links).collect()}
