@@ -52,6 +52,7 @@ def latest_snapshot(
     df: DataFrame,
     date: str = "date",
     keys: Sequence[str] = (),
+    few_keys: bool = False,
 ) -> DataFrame:
     """Rows whose ``date`` equals the newest ``date`` (per ``keys``, or globally).
 
@@ -63,7 +64,9 @@ def latest_snapshot(
     # Without keys the newest date is one row: broadcast it so the big side is
     # not shuffled.  With keys its size follows the key set, so AQE decides
     # from runtime statistics (it broadcasts a small key set such as sources).
-    return df.join(F.broadcast(newest) if not keys else newest, on=[*keys, date], how="left_semi")
+    # ``few_keys``: the caller knows that there are few, so the rows are never
+    # dealt by them (a join by few keys has as many tasks).
+    return df.join(F.broadcast(newest) if few_keys or not keys else newest, on=[*keys, date], how="left_semi")
 
 
 def latest_per_key_in_snapshot(
@@ -73,7 +76,8 @@ def latest_per_key_in_snapshot(
     keys: Sequence[str] = (),
     order: Sequence[Column | str] = ("etl_time",),
     tiebreak: Sequence[Column | str] = (),
+    few_keys: bool = False,
 ) -> DataFrame:
     """Newest snapshot (per ``keys``), then the newest row per item inside it."""
-    snap = latest_snapshot(df, date=date, keys=keys)
+    snap = latest_snapshot(df, date=date, keys=keys, few_keys=few_keys)
     return dedup_latest(snap, [*keys, *item_keys], order=order, tiebreak=tiebreak)

@@ -120,13 +120,14 @@ def positions_with_fallback(live: DataFrame, outcome: DataFrame, history: DataFr
     fetch failed take the newest stored snapshot (newest date for that source,
     newest load per symbol).  A successful empty fetch stays live with 0 rows.
     """
-    ok = outcome.filter(F.col("ok")).select("source")
-    failed = outcome.filter(~F.col("ok")).select("source")
+    # One row per source: broadcast, so that the positions are not dealt by their few sources.
+    ok = F.broadcast(outcome.filter(F.col("ok")).select("source"))
+    failed = F.broadcast(outcome.filter(~F.col("ok")).select("source"))
     live_rows = live.join(ok, "source", "left_semi")
     if history is None:
         return live_rows
     hist = history.join(failed, "source", "left_semi")
-    fallback = latest_per_key_in_snapshot(hist, ["symbol"], date=date, keys=["source"], tiebreak=tiebreak)
+    fallback = latest_per_key_in_snapshot(hist, ["symbol"], date=date, keys=["source"], tiebreak=tiebreak, few_keys=True)
     return live_rows.unionByName(fallback.select(*live_rows.columns))
 
 
