@@ -11,7 +11,7 @@ or an owner, and nothing passes through the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,26 +63,56 @@ def _amount_value(text: Column) -> Column:
     return F.regexp_replace(text, ",", "").cast("decimal(18,2)")
 
 
+def _bind(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with ``value`` evaluated once, however often ``fn`` uses it (also inside lambdas)."""
+    return F.transform(F.array(value), fn)[0]
+
+
+def _cut(rows: Column, starts: Column, fn: Callable[[Column, Column], Column]) -> Column:
+    """``fn(piece, number)`` of each piece of ``rows``: from a start (1-based places, ascending) up to the next, numbered from 0."""
+    end = F.size(rows) + 1
+    return F.transform(starts, lambda s, i: fn(F.slice(rows, s, F.coalesce(F.get(starts, i + 1), end) - s), i))
+
+
 # ----------------------------------------------------------------- R1, R2
 
+def page_lines(words: DataFrame, keys: Sequence[str] = PAGE) -> DataFrame:
+    """One row per page: its lines (array<struct<top, text, words>>) in ``top`` order, as in :func:`words_to_lines`.
+
+    A page's words are gathered (before the shuffle those of a split), sorted once and then
+    cut where ``top`` changes, so a page is one group, not one for each of its lines.
+    """
+    word = F.struct(F.round("top", 1).alias("top"), "x0", "x1", "text")
+    pages = words.select(*keys, word.alias("w")).groupBy(*keys).agg(F.collect_list("w").alias("ws"))
+
+    def line(ws, _):
+        return F.struct(ws[0]["top"].alias("top"), F.trim(F.array_join(ws["text"], " ")).alias("text"), ws.alias("words"))
+
+    def lines(ws):
+        starts = F.array_compact(F.transform(ws, lambda w, i: F.when((i == 0) | ~w["top"].eqNullSafe(F.get(ws, i - 1)["top"]), i + 1)))
+        return _bind(starts, lambda at: _cut(ws, at, lambda piece, i: _bind(piece, lambda p: line(p, i))))
+
+    return pages.select(*keys, _bind(F.sort_array("ws"), lines).alias("lines"))
+
+
 def words_to_lines(words: DataFrame, keys: Sequence[str] = PAGE) -> DataFrame:
     """Words sharing ``round(top, 1)`` form a line, ordered by ``x0``, joined by spaces.
 
     Output: keys, top, words (array<struct<x0,x1,text>> in x order), text.
     """
-    g = words.groupBy(*keys, F.round(F.col("top"), 1).alias("top")).agg(
-        F.sort_array(F.collect_list(F.struct("x0", "x1", "text"))).alias("words"))
-    return g.withColumn("text", F.trim(F.array_join(F.transform("words", lambda w: w["text"]), " ")))
+    lines = page_lines(words, keys).select(*keys, F.explode("lines").alias("l"))
+    return lines.select(*keys, F.col("l.top").alias("top"), F.arrays_zip(
+        F.col("l.words.x0").alias("x0"), F.col("l.words.x1").alias("x1"), F.col("l.words.text").alias("text")).alias("words"),
+        F.col("l.text").alias("text"))
 
 
 def drop_noise(lines: DataFrame, fragments: Sequence[str] = NOISE_FRAGMENTS, col: str = "text") -> DataFrame:
     return lines.filter(~_contains_any(F.col(col), fragments))
 
 
-def page_text(lines: DataFrame, keys: Sequence[str] = PAGE) -> DataFrame:
-    """Lines of a page joined by newlines in ``top`` order (the page's extracted text)."""
-    g = lines.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("top", "text"))).alias("ls"))
-    return g.select(*keys, F.array_join(F.transform("ls", lambda x: x["text"]), "\n").alias("text"))
+def page_text(pages: DataFrame, keys: Sequence[str] = PAGE) -> DataFrame:
+    """Lines of each page of :func:`page_lines` joined by newlines (the page's extracted text)."""
+    return pages.select(*keys, F.array_join(F.col("lines.text"), "\n").alias("text"))
 
 
 # ----------------------------------------------------------------- R3-R5
@@ -109,27 +139,38 @@ def statement_facts(pages: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------- R6, R7
 
+def _centres(lines: Column) -> Column:
+    """Of a page's lines: struct of the centres of the first 'Withdrawals' word and of the first
+    'Deposits' and 'Balance' words after it in reading order; NULL without one of them.
+
+    Every later 'Withdrawals' is followed by fewer words, so the first one decides."""
+    heads = F.filter(F.flatten(lines["words"]), lambda w: w["text"].isin(*COLUMN_HEADERS))
+
+    def of(heads):
+        return _bind(F.array_position(heads["text"], COLUMN_HEADERS[0]), lambda at: F.when(
+            at > 0, F.slice(heads, F.greatest(at, F.lit(1)).cast("int"), F.size(heads))))
+
+    def first_of(found, header):
+        return F.get(F.filter(found, lambda w: w["text"] == header), F.lit(0))
+
+    def pick(found):
+        first = {n: first_of(found, h) for n, h in zip(COLUMNS, COLUMN_HEADERS, strict=True)}
+        some = F.lit(True)
+        for w in first.values():
+            some = some & w.isNotNull()
+        return F.when(some, F.struct(*[((w["x0"] + w["x1"]) / 2).alias(n) for n, w in first.items()]))
+
+    return _bind(_bind(heads, of), pick)
+
+
 def column_centres(words: DataFrame, keys: Sequence[str] = PAGE) -> DataFrame:
     """Per page: centres of the first 'Withdrawals' word followed (in reading
     order) by a 'Deposits' and a 'Balance' word.  Pages without one are absent.
 
-    Only the three header words take part, and "the first X after this word"
-    is a running minimum over the words *after* it, evaluated with the order
-    reversed so the frame grows incrementally (an unbounded-following frame
-    would be recomputed for every row).
+    Only the three header words take part.
     """
-    # Words of a line may differ a little in height: the line's height orders them, as in words_to_lines.
-    pos = F.struct(F.round("top", 1).alias("top"), "x0", "x1")
-    hdr = words.filter(F.col("text").isin(*COLUMN_HEADERS)).select(
-        *keys, "text", pos.alias("pos"), ((F.col("x0") + F.col("x1")) / 2).alias("centre"))
-    after = (Window.partitionBy(*keys).orderBy(F.col("pos").desc())
-             .rowsBetween(Window.unboundedPreceding, -1))
-    for name, h in (("dep", "Deposits"), ("bal", "Balance")):
-        hdr = hdr.withColumn(name, F.min(F.when(F.col("text") == h, F.struct("pos", "centre"))).over(after))
-    cands = hdr.filter((F.col("text") == "Withdrawals") & F.col("dep").isNotNull() & F.col("bal").isNotNull())
-    first = cands.groupBy(*keys).agg(F.min(F.struct("pos", "centre", F.col("dep.centre").alias("d"),
-                                                    F.col("bal.centre").alias("b"))).alias("h"))
-    return first.select(*keys, F.col("h.centre").alias("withdrawal"), F.col("h.d").alias("deposit"), F.col("h.b").alias("balance"))
+    heads = page_lines(words.filter(F.col("text").isin(*COLUMN_HEADERS)), keys)
+    return heads.select(*keys, F.inline(F.array_compact(F.array(_centres(F.col("lines"))))))
 
 
 def nearest_column(x: Column, centres: dict[str, Column]) -> Column:
@@ -165,8 +206,27 @@ def segment(lines: DataFrame, date_re: str, keys: Sequence[str] = PAGE) -> DataF
     return lines.withColumn("txn", F.sum(is_start.cast("int")).over(w)).filter(F.col("txn") > 0)
 
 
-def _group_transactions(seg: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return seg.groupBy(*keys, "txn").agg(F.sort_array(F.collect_list(F.struct("top", "text", "words"))).alias("lines"))
+def _page_transactions(lines: Column, noise: Sequence[str], date_re: str, fn: Callable[[Column, Column], Column]) -> Column:
+    """``fn(lines, txn)`` of each transaction of a page: noise dropped, cut at date lines as in :func:`segment`."""
+    def is_start(line):
+        return F.concat(line["words"][0]["text"], F.lit(" "), F.coalesce(F.get(line["words"], F.lit(1))["text"], F.lit(""))).rlike(date_re)
+
+    def cut(kept):
+        starts = F.array_compact(F.transform(kept, lambda line, i: F.when(is_start(line), i + 1)))
+        return _bind(starts, lambda at: _cut(kept, at, lambda ls, i: _bind(ls, lambda own: fn(own, (i + 1).cast("bigint")))))
+
+    return _bind(F.filter(lines, lambda line: ~_contains_any(line["text"], noise)), cut)
+
+
+def _day_month(first: Column) -> Column:
+    return F.concat_ws(" ", F.slice(first["words"]["text"], 1, 2))
+
+
+def _dated(rows: DataFrame, years: DataFrame, on: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Transactions of pages with the year of their statement."""
+    return rows.join(years, list(on)).select(
+        *keys, "txn", "top", F.concat(F.col("day_month"), F.lit(" "), F.col("year")).alias("date"),
+        "description", "transaction_type", "amount")
 
 
 def _join_desc(lines: Column, noise: Sequence[str], ref_re: str) -> Column:
@@ -176,93 +236,80 @@ def _join_desc(lines: Column, noise: Sequence[str], ref_re: str) -> Column:
 
 # --------------------------------------------------------------------- R9
 
-def savings_transactions(lines: DataFrame, centres: DataFrame, years: DataFrame, keys: Sequence[str] = PAGE) -> DataFrame:
-    """Savings pages -> transactions (date, description, transaction_type, amount).
-
-    ``lines``: output of :func:`words_to_lines` for savings pages; ``centres``:
-    :func:`column_centres`; ``years``: (source_file, year).
+def _savings_page(lines: Column, centres: Column) -> Column:
+    """Transactions of a savings page (array of structs, without the year); NULL without column headers.
 
-    Each transaction's few lines are folded once into three values (the
-    chosen amount token, the type text and the description lines) in a
-    single projection, so no array expression is evaluated twice; the
-    remaining derivations are scalar.
+    Each transaction's few lines are folded once: what several parts use is bound to a
+    lambda's variable, and rows without amount or description are dropped from the array,
+    so no filter repeats the folds.
     """
-    # inner join: only pages with a column header take part; the three centres
-    # ride along as grouping columns (they are constant per page)
-    with_cols = lines.join(centres, list(keys))
-    seg = segment(drop_noise(with_cols, SAVINGS_NOISE), SAVINGS_DATE_RE, keys)
-    tx = seg.groupBy(*keys, "txn", *COLUMNS).agg(F.sort_array(F.collect_list(F.struct("top", "text", "words"))).alias("lines"))
-    first = F.element_at("lines", 1)
-    rest_lines = F.slice("lines", 2, F.size("lines"))
-    cols = {n: F.col(n) for n in COLUMNS}
-
-    def amount_token(w, is_first):
-        col = nearest_column((w["x0"] + w["x1"]) / 2, cols)
-        return F.struct(w["text"].alias("text"), F.lit(is_first).alias("first"), col.alias("col"))
-
     def is_amount(w):
         return w["text"].rlike(AMOUNT_RE)
 
-    first_words = F.slice(first["words"], 3, F.size(first["words"]))
-    amounts = F.concat(
-        F.transform(F.filter(first_words, is_amount), lambda w: amount_token(w, True)),
-        F.flatten(F.transform(rest_lines, lambda l: F.transform(F.filter(l["words"], is_amount), lambda w: amount_token(w, False)))),
-    )
-    chosen = F.try_element_at(F.filter(amounts, lambda t: t["col"].isin("withdrawal", "deposit")), F.lit(1))
-    type_text = F.trim(F.array_join(F.transform(F.filter(first_words, lambda w: ~is_amount(w)), lambda w: w["text"]), " "))
-    cont_text = F.filter(F.transform(rest_lines, lambda l: l["text"]), lambda l: ~F.trim(l).rlike(SAVINGS_REF_RE))
-    tx = tx.select(
-        *keys, "txn", first["top"].alias("top"),
-        F.concat_ws(" ", F.slice(F.transform(first["words"], lambda w: w["text"]), 1, 2)).alias("day_month"),
-        chosen.alias("chosen"), type_text.alias("ttype"), cont_text.alias("cont_text"),
-    ).join(years, "source_file")
-
-    keyword = _contains_any(F.col("ttype"), DEPOSIT_KEYWORDS)
-    is_dep = F.when(F.col("chosen.first") & (F.col("ttype") != ""), keyword).otherwise(F.col("chosen.col") == "deposit")
-    desc_lines = F.concat(F.when(F.col("ttype") != "", F.array(F.col("ttype"))).otherwise(F.array().cast("array<string>")),
-                          F.col("cont_text"))
-    amt = _amount_value(F.col("chosen.text"))
-    out = tx.select(
-        *keys, "txn", "top",
-        F.concat(F.col("day_month"), F.lit(" "), F.col("year")).alias("date"),
-        _join_desc(desc_lines, SAVINGS_NOISE, SAVINGS_REF_RE).alias("description"),
-        F.col("ttype").alias("transaction_type"),
-        F.when(is_dep, amt).otherwise(-amt).cast("double").alias("amount"),
-    )
-    return out.filter(F.col("amount").isNotNull() & (F.col("description") != "") & ~F.col("description").isin(*SAVINGS_SKIP))
+    def fold(own, txn, cols):
+        first = own[0]
 
+        def amount_token(w, is_first):
+            col = _bind((w["x0"] + w["x1"]) / 2, lambda x: nearest_column(x, cols))
+            return F.struct(w["text"].alias("text"), F.lit(is_first).alias("first"), col.alias("col"))
 
-# -------------------------------------------------------------------- R10
+        def parts(first_words, later):
+            amounts = F.concat(
+                F.transform(F.filter(first_words, is_amount), lambda w: amount_token(w, True)),
+                F.transform(F.filter(F.flatten(later["words"]), is_amount), lambda w: amount_token(w, False)))
+            chosen = F.get(F.filter(amounts, lambda t: t["col"].isin("withdrawal", "deposit")), F.lit(0))
+            ttype = F.trim(F.array_join(F.filter(first_words, lambda w: ~is_amount(w))["text"], " "))
+            cont = F.filter(later["text"], lambda l: ~F.trim(l).rlike(SAVINGS_REF_RE))
+            return F.struct(chosen.alias("chosen"), ttype.alias("ttype"), cont.alias("cont"))
+
+        def row(p):
+            chosen, ttype = p["chosen"], p["ttype"]
+            keyword = _contains_any(ttype, DEPOSIT_KEYWORDS)
+            is_dep = F.when(chosen["first"] & (ttype != ""), keyword).otherwise(chosen["col"] == "deposit")
+            desc_lines = F.concat(F.when(ttype != "", F.array(ttype)).otherwise(F.array().cast("array<string>")), p["cont"])
+            amount = _bind(_amount_value(chosen["text"]), lambda a: F.when(is_dep, a).otherwise(-a).cast("double"))
+            return F.struct(
+                txn.alias("txn"), first["top"].alias("top"), _day_month(first).alias("day_month"),
+                _join_desc(desc_lines, SAVINGS_NOISE, SAVINGS_REF_RE).alias("description"),
+                ttype.alias("transaction_type"), amount.alias("amount"))
+
+        words = first["words"]
+        return _bind(_bind(F.slice(words, 3, F.size(words)), lambda fw: _bind(F.slice(own, 2, F.size(own)), lambda later: parts(fw, later))), row)
+
+    def of(c):
+        return _page_transactions(lines, SAVINGS_NOISE, SAVINGS_DATE_RE, lambda own, txn: fold(own, txn, {n: c[n] for n in COLUMNS}))
+
+    return _bind(centres, lambda c: F.when(c.isNotNull(), _kept(of(c), SAVINGS_SKIP)))
+
+
+def _kept(rows: Column, skip: Sequence[str]) -> Column:
+    """Transactions with an amount and a description that is none of ``skip``."""
+    return F.filter(rows, lambda r: r["amount"].isNotNull() & (r["description"] != "") & ~r["description"].isin(*skip))
 
-def card_transactions(lines: DataFrame, years: DataFrame, keys: Sequence[str] = PAGE) -> DataFrame:
-    """Card pages -> transactions.  On the date line the last amount wins and a
-    'CR' suffix marks a credit; on later lines 'nnCR' always overrides, a plain
-    amount only fills a missing one, and a lone 'CR' flips to credit.
 
-    The amount rule is an ordered fold (``aggregate``) over the tokens of one
-    transaction.  Array expressions are evaluated once, before the join with
-    the statement years; the description is assembled after it.
+def savings_transactions(pages: DataFrame, years: DataFrame, keys: Sequence[str] = PAGE) -> DataFrame:
+    """Savings pages -> transactions (date, description, transaction_type, amount).
+
+    ``pages``: output of :func:`page_lines` for savings pages; only pages with a
+    column header take part; ``years``: (source_file, year).
     """
-    seg = segment(drop_noise(lines, CARD_NOISE), CARD_DATE_RE, keys)
-    tx = _group_transactions(seg, keys)
-    first = F.element_at("lines", 1)
-    rest_lines = F.slice("lines", 2, F.size("lines"))
-    rest = F.slice(first["words"], 3, F.size(first["words"]))
-    second_date = (F.size(rest) >= 2) & F.concat(F.try_element_at(rest, F.lit(1))["text"], F.lit(" "),
-                                                 F.try_element_at(rest, F.lit(2))["text"]).rlike(CARD_DATE_RE)
-    tx = tx.select(*keys, "txn", "lines", F.when(second_date, F.slice(rest, 3, F.size(rest))).otherwise(rest).alias("rest"))
+    rows = pages.select(*keys, F.inline(_savings_page(F.col("lines"), _centres(F.col("lines")))))
+    return _dated(rows, years, ["source_file"], keys)
+
+
+# -------------------------------------------------------------------- R10
+
+def _card_page(lines: Column) -> Column:
+    """Transactions of a card page (array of structs, without the year); NULL without a transaction-table header."""
+    def is_cr_amount(t):
+        return t.endswith("CR") & F.trim(F.regexp_replace(t, "CR$", "")).rlike(AMOUNT_RE)
 
     def tok(w, is_first):
         t = w["text"]
-        stem = F.trim(F.regexp_replace(t, "CR$", ""))
-        is_cr_amt = t.endswith("CR") & stem.rlike(AMOUNT_RE)
-        return F.struct(t.alias("text"), F.lit(is_first).alias("first"), is_cr_amt.alias("cr_amt"),
-                        F.when(is_cr_amt, stem).otherwise(t).alias("num"), t.rlike(AMOUNT_RE).alias("amt"))
-
-    toks = F.concat(
-        F.transform("rest", lambda w: tok(w, True)),
-        F.flatten(F.transform(rest_lines, lambda l: F.transform(l["words"], lambda w: tok(w, False)))),
-    )
+        return _bind(is_cr_amount(t), lambda cr: F.struct(
+            t.alias("text"), F.lit(is_first).alias("first"), cr.alias("cr_amt"),
+            F.when(cr, F.trim(F.regexp_replace(t, "CR$", ""))).otherwise(t).alias("num"), t.rlike(AMOUNT_RE).alias("amt")))
+
     init = F.struct(F.lit(None).cast("string").alias("amount"), F.lit(False).alias("credit"))
 
     def step(acc, t):
@@ -275,32 +322,49 @@ def card_transactions(lines: DataFrame, years: DataFrame, keys: Sequence[str] =
             .otherwise(acc)
         return F.when(t["first"], on_first).otherwise(later)
 
-    def plain_word(w):
-        t = w["text"]
-        return ~t.rlike(AMOUNT_RE) & ~(t.endswith("CR") & F.trim(F.regexp_replace(t, "CR$", "")).rlike(AMOUNT_RE))
-
-    first_desc = F.trim(F.array_join(F.transform(F.filter("rest", plain_word), lambda w: w["text"]), " "))
-    cont = F.filter(F.transform(rest_lines, lambda l: l["text"]),
-                    lambda l: ~F.trim(l).rlike(CARD_REF_RE) & ~F.trim(l).rlike(AMOUNT_RE))
-    out = tx.select(
-        *keys, "txn", first["top"].alias("top"),
-        F.concat_ws(" ", F.slice(F.transform(first["words"], lambda w: w["text"]), 1, 2)).alias("day_month"),
-        F.aggregate(toks, init, step).alias("st"), first_desc.alias("first_desc"), cont.alias("cont"),
-    ).join(years, "source_file")
-    head = F.col("first_desc")
-    desc_lines = F.concat(
-        F.when((head != "") & ~head.isin(*CARD_SKIP), F.array(head)).otherwise(F.array().cast("array<string>")),
-        F.col("cont"),
-    )
-    amt = _amount_value(F.col("st.amount"))
-    out = out.select(
-        *keys, "txn", "top",
-        F.concat(F.col("day_month"), F.lit(" "), F.col("year")).alias("date"),
-        _join_desc(desc_lines, NOISE_FRAGMENTS, CARD_REF_RE).alias("description"),
-        F.lit("Credit Card").alias("transaction_type"),
-        F.when(F.col("st.credit"), amt).otherwise(-amt).cast("double").alias("amount"),
-    )
-    return out.filter(F.col("amount").isNotNull() & (F.col("description") != "") & ~F.col("description").isin(*CARD_SKIP))
+    def fold(own, txn):
+        first = own[0]
+
+        def after_dates(rest):
+            second_date = (F.size(rest) >= 2) & F.concat(F.get(rest, F.lit(0))["text"], F.lit(" "), F.get(rest, F.lit(1))["text"]).rlike(CARD_DATE_RE)
+            return F.when(second_date, F.slice(rest, 3, F.size(rest))).otherwise(rest)
+
+        def parts(head, later):
+            tail = F.transform(F.flatten(later["words"]), lambda w: tok(w, False))
+            return _bind(F.transform(head, lambda w: tok(w, True)), lambda toks: F.struct(
+                F.aggregate(F.concat(toks, tail), init, step).alias("st"),
+                F.trim(F.array_join(F.filter(toks, lambda t: ~t["amt"] & ~t["cr_amt"])["text"], " ")).alias("head"),
+                F.filter(later["text"], lambda l: ~F.trim(l).rlike(CARD_REF_RE) & ~F.trim(l).rlike(AMOUNT_RE)).alias("cont")))
+
+        def row(p):
+            head = p["head"]
+            desc_lines = F.concat(
+                F.when((head != "") & ~head.isin(*CARD_SKIP), F.array(head)).otherwise(F.array().cast("array<string>")), p["cont"])
+            amount = _bind(_amount_value(p["st"]["amount"]), lambda a: F.when(p["st"]["credit"], a).otherwise(-a).cast("double"))
+            return F.struct(
+                txn.alias("txn"), first["top"].alias("top"), _day_month(first).alias("day_month"),
+                _join_desc(desc_lines, NOISE_FRAGMENTS, CARD_REF_RE).alias("description"),
+                F.lit("Credit Card").alias("transaction_type"), amount.alias("amount"))
+
+        words = first["words"]
+        rest = _bind(F.slice(words, 3, F.size(words)), after_dates)
+        return _bind(_bind(rest, lambda head: _bind(F.slice(own, 2, F.size(own)), lambda later: parts(head, later))), row)
+
+    is_card = F.exists(lines["text"], lambda l: _contains_any(l, CARD_HEADERS))
+    return F.when(is_card, _kept(_page_transactions(lines, CARD_NOISE, CARD_DATE_RE, fold), CARD_SKIP))
+
+
+def card_transactions(pages: DataFrame, years: DataFrame, keys: Sequence[str] = PAGE) -> DataFrame:
+    """Card pages -> transactions.  On the date line the last amount wins and a
+    'CR' suffix marks a credit; on later lines 'nnCR' always overrides, a plain
+    amount only fills a missing one, and a lone 'CR' flips to credit.
+
+    ``pages``: output of :func:`page_lines`; only pages with a transaction-table
+    header take part.  The amount rule is an ordered fold (``aggregate``) over
+    the tokens of one transaction.
+    """
+    rows = pages.select(*keys, F.inline(_card_page(F.col("lines"))))
+    return _dated(rows, years, ["source_file"], keys)
 
 
 # --------------------------------------------------------------- pipeline
@@ -308,23 +372,25 @@ def card_transactions(lines: DataFrame, years: DataFrame, keys: Sequence[str] =
 def parse_statements(words: DataFrame, keys: Sequence[str] = PAGE) -> tuple[DataFrame, DataFrame]:
     """Words of many statements -> (transactions, statement facts).
 
-    Words are hash partitioned once by page; lines, page text, column centres
-    and segmentation all reuse that partitioning.  Page 1 decides each file's
-    type; it is applied at the transaction level (with the year), not by
+    Words are gathered once by page, and both parsers run over a page's lines in one pass.  Page 1 decides each
+    file's type; it is applied at the transaction level (with the year), not by
     joining every line.  Savings pages are those with a column header, card
     pages those with a transaction-table header.
     """
-    words = words.repartition(*keys)
-    lines = words_to_lines(words, keys)
-    pages = page_text(lines, keys)
-    facts = statement_facts(pages)
-    years = {t: facts.filter(F.col("statement_type") == t).select("source_file", "year") for t in ("savings", "credit_card")}
-    sav = savings_transactions(lines, column_centres(words, keys), years["savings"], keys)
-    card_pages = pages.filter(_contains_any(F.col("text"), CARD_HEADERS)).select(*keys)
-    card = card_transactions(lines.join(card_pages, list(keys), "left_semi"), years["credit_card"], keys)
-    tx = sav.unionByName(card).select(
+    # The join with the years drops words of no file; dropped before, both its sides read the same shuffle.
+    pages = page_lines(words.filter(F.col("source_file").isNotNull()), keys)
+    years = statement_facts(page_text(pages, keys)).select("source_file", "statement_type", "year")
+    lines = F.col("lines")
+
+    def typed(rows, kind):
+        some = F.coalesce(rows, F.array().cast("array<struct<txn:bigint,top:double,day_month:string,description:string,transaction_type:string,amount:double>>"))
+        return F.transform(some, lambda r: F.struct(F.lit(kind).alias("statement_type"), r.alias("row")))
+
+    parsed = F.concat(typed(_savings_page(lines, _centres(lines)), "savings"), typed(_card_page(lines), "credit_card"))
+    rows = pages.select(*keys, F.inline(parsed)).select(*keys, "statement_type", "row.*")
+    tx = _dated(rows, years, ["source_file", "statement_type"], keys).select(
         "source_file", "page", "top", "date", "description", "transaction_type", "amount")
-    return tx, facts
+    return tx, statement_facts(page_text(page_lines(words, keys), keys))
 
 
 # -------------------------------------------------------------------- R13

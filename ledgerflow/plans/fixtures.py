@@ -223,8 +223,9 @@ def _w(line: int, x0: float, x1: float, text: Column, keep: Column | None = None
     return s if keep is None else F.when(keep, s)
 
 
-def _explode_words(df: DataFrame, words: list[Column], file_col: Column, page: Column, top: Column) -> DataFrame:
-    e = df.select(file_col.alias("source_file"), page.alias("page"), top.alias("base"), F.explode(F.array(*words)).alias("w"))
+def _explode_words(df: DataFrame, words: list[Column]) -> DataFrame:
+    """The words of each row, on its ``source_file`` and ``page``, below its ``base``."""
+    e = df.select("source_file", "page", "base", F.explode(F.array(*words)).alias("w"))
     return e.filter(F.col("w").isNotNull()).select(
         "source_file", "page", F.col("w.text").alias("text"), F.col("w.x0").alias("x0"), F.col("w.x1").alias("x1"),
         (F.col("base") + F.col("w.dy")).alias("top"))
@@ -241,9 +242,12 @@ def statement_words(spark: SparkSession, sf_dir: str, kind: str = "savings") ->
                         F.lit(".pdf"))
     page = ((k % 1024) / 32).cast("int") + 1
     top = F.lit(100.0) + (k % 32).cast("double") * 24.0
-    amt = F.format_number(money("o_totalprice"), 2)
-    day = F.date_format("o_orderdate", "dd")
+    # An order's file, date and amount are formatted once, below the explode, not for each of its words.
     mon = F.date_format("o_orderdate", "MMM")
+    o = o.select("o_orderkey", "o_orderdate", "o_totalprice", file_col.alias("source_file"), page.alias("page"), top.alias("base"),
+                 F.format_number(money("o_totalprice"), 2).alias("amt"), F.date_format("o_orderdate", "dd").alias("day"),
+                 (mon if kind == "savings" else F.upper(mon)).alias("mon"))
+    amt, day, mon = F.col("amt"), F.col("day"), F.col("mon")
     if kind == "savings":
         m4 = k % 4
         t1 = _case(m4, [(0, "Inward"), (1, "Bill"), (3, "Misc")], F.lit(None).cast("string"))
@@ -262,10 +266,9 @@ def statement_words(spark: SparkSession, sf_dir: str, kind: str = "savings") ->
         header = [("Date", 20, 45), ("Description", 80, 150), ("Withdrawals", 300, 360), ("Deposits", 405, 455), ("Balance", 505, 565)]
     else:
         cr = F.when(k % 5 >= 3, F.lit("CR")).otherwise(F.lit(""))
-        upmon = F.upper(mon)
         words = [
-            _w(0, 20, 32, day), _w(0, 40, 62, upmon),
-            _w(0, 70, 82, day, k % 2 == 0), _w(0, 90, 112, upmon, k % 2 == 0),
+            _w(0, 20, 32, day), _w(0, 40, 62, mon),
+            _w(0, 70, 82, day, k % 2 == 0), _w(0, 90, 112, mon, k % 2 == 0),
             _w(0, 150, 190, F.lit("SHOP")), _w(0, 195, 240, k.cast("string")),
             _w(0, 350, 390, F.lit("0.99"), k % 7 == 0),
             _w(0, 400, 460, F.concat(amt, cr)),
@@ -276,14 +279,14 @@ def statement_words(spark: SparkSession, sf_dir: str, kind: str = "savings") ->
         ]
         header = [("Post", 20, 40), ("Date", 45, 65), ("Trans", 70, 90), ("Date", 95, 115), ("Description", 150, 200),
                   ("of", 205, 215), ("Transaction", 220, 280), ("Transaction", 400, 450), ("Amount", 455, 490)]
-    tx_words = _explode_words(o, words, file_col, page, top)
+    tx_words = _explode_words(o, words)
 
-    pages = o.select(file_col.alias("f"), page.alias("p")).distinct()
-    page_words = [_w(40, 20, 50, F.lit("Page")), _w(40, 55, 65, F.col("p").cast("string"))] + \
+    pages = o.select("source_file", "page").distinct().withColumn("base", F.lit(0.0))
+    page_words = [_w(40, 20, 50, F.lit("Page")), _w(40, 55, 65, F.col("page").cast("string"))] + \
                  [_w(60, x0, x1, F.lit(t)) for t, x0, x1 in header]
-    hdr_words = _explode_words(pages, page_words, F.col("f"), F.col("p"), F.lit(0.0))
+    hdr_words = _explode_words(pages, page_words)
 
-    per_file = o.groupBy(file_col.alias("f")).agg(F.min("o_orderdate").alias("d0"), F.sum(money("o_totalprice")).alias("tot"))
+    per_file = o.groupBy("source_file").agg(F.min("o_orderdate").alias("d0"), F.sum(money("o_totalprice")).alias("tot"))
     y0, m0 = F.date_format("d0", "yyyy"), F.date_format("d0", "MMM")
     if kind == "savings":
         file_words = [_w(10, 20, 80, F.lit("Statement")), _w(10, 85, 100, F.lit("of")), _w(10, 105, 160, F.lit("Account")),
@@ -293,7 +296,7 @@ def statement_words(spark: SparkSession, sf_dir: str, kind: str = "savings") ->
     else:
         file_words = [_w(20, 20, 60, F.lit("Statement")), _w(20, 65, 85, F.lit("Date")), _w(20, 90, 100, F.lit("01")),
                       _w(20, 105, 125, F.upper(m0)), _w(20, 130, 160, y0)]
-    first_words = _explode_words(per_file, file_words, F.col("f"), F.lit(1), F.lit(0.0))
+    first_words = _explode_words(per_file.withColumns({"page": F.lit(1), "base": F.lit(0.0)}), file_words)
     return tx_words.unionByName(hdr_words).unionByName(first_words)
 
 

@@ -186,7 +186,7 @@ def _all_words(spark, d):
 
 
 def _facts(spark, d):
-    return st.statement_facts(st.page_text(st.words_to_lines(_all_words(spark, d))))
+    return st.statement_facts(st.page_text(st.page_lines(_all_words(spark, d))))
 
 
 @query("statement_type", with_views("SELECT source_file, statement_type FROM stmt_facts", ["stmt_facts"]))
@@ -200,18 +200,15 @@ def q_statement_facts(spark, d):
 
 
 def q_statement_savings(spark, d):
-    words = fx.statement_words(spark, d, "savings")
-    lines = st.words_to_lines(words)
-    years = st.statement_facts(st.page_text(lines)).select("source_file", "year")
-    return st.savings_transactions(lines, st.column_centres(words), years)
+    pages = st.page_lines(fx.statement_words(spark, d, "savings"))
+    years = st.statement_facts(st.page_text(pages)).select("source_file", "year")
+    return st.savings_transactions(pages, years)
 
 
 def q_statement_card(spark, d):
-    lines = st.words_to_lines(fx.statement_words(spark, d, "credit_card"))
-    pages = st.page_text(lines)
-    years = st.statement_facts(pages).select("source_file", "year")
-    card_pages = pages.filter(st._contains_any(F.col("text"), st.CARD_HEADERS)).select("source_file", "page")
-    return st.card_transactions(lines.join(card_pages, ["source_file", "page"], "left_semi"), years)
+    pages = st.page_lines(fx.statement_words(spark, d, "credit_card"))
+    years = st.statement_facts(st.page_text(pages)).select("source_file", "year")
+    return st.card_transactions(pages, years)
 
 
 def q_statement_transactions(spark, d):
