@@ -2,11 +2,11 @@
 
 Input is a words table ``(source_file, page, text, x0, x1, top)`` (one row per
 word as a PDF text extractor emits it) and, for page-level facts, a pages
-table ``(source_file, page, text)``.  All state is per (file, page): lines
-are a ``groupBy`` on the rounded ``top``, transactions are a running count of
-date lines over a (file, page) window, and each transaction is folded from
-its own few lines.  Groups are therefore bounded by a page, never by a file
-or an owner, and nothing passes through the driver.
+table ``(source_file, page, text)``.  All state is per (file, page): a page's
+words are gathered once and cut into lines where the rounded ``top`` changes,
+its lines are cut into transactions at date lines, and each transaction is
+folded from its own few lines.  Groups are therefore bounded by a page, never
+by a file or an owner, and nothing passes through the driver.
 """
 
 from __future__ import annotations
