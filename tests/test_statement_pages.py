@@ -64,5 +64,5 @@ def test_pages_with_both_headers_and_odd_words(spark):
     rows = [(f, 1, t, x, x + 30.0, top) for f, words in (("s.pdf", head + row), ("c.pdf", head + card + row), (None, head + row)) for t, x, top in words]
     tx, facts = st.parse_statements(spark.createDataFrame(rows, WORDS))
     got = sorted((r["source_file"], r["date"], r["description"], r["amount"]) for r in tx.collect())
-    assert got == [("c.pdf", "02 JAN 2026", "Cafe", 7.0), ("s.pdf", "01 Jan 2025", "Shop | 02 JAN Cafe 7.00CR", 12.0)]
+    assert got == [("c.pdf", "02 JAN 2026", "Cafe", 7.0), ("s.pdf", "01 Jan 2025", "Shop | 02 JAN Cafe 7.00CR", -12.0)]
     assert sorted(map(str, (r["source_file"] for r in facts.collect()))) == ["None", "c.pdf", "s.pdf"]
