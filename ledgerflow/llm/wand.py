@@ -1,19 +1,23 @@
-"""Exact top-k search: BM25 over an inverted index with block-max WAND pruning.
+"""Exact top-k search: BM25 over an inverted index with pruning by shard maxima and thresholds.
 
 The index is built where the documents lie: every run of documents becomes one
 shard, a row of packed arrays (terms, postings in order of document), written
 to a shared folder without a shuffle.  Global statistics (documents, average
 length, document frequencies of the queries' terms) are sums over the shards.
 
-Each shard answers all queries of a block on its own.  Terms are taken from the
-highest bound down; the k-th best score so far is the threshold, and one shard
-in eight answers first, so that the others start from its thresholds.  Terms
-whose upper bounds together stay well under it cannot lift a document into the
-result by themselves, so their postings are not read; for the documents that
-the other terms touch, the block maxima of the skipped terms bound what is
-missing, and only documents whose bound reaches the threshold are scored in full.  Pruning
-never drops a document that could be among the k best, ties included; Spark
-merges the shards' lists, so the result is exact.
+Each shard answers all queries of a block on its own, many at a time.  It is
+skipped by queries whose bound there, the sum of its terms' highest impacts,
+is under their threshold.  Whole documents as queries have hundreds of terms,
+whose bounds together lie far above any threshold, so finer bounds save little
+and the cost of a posting counts.  Terms in many of the shard's documents are a
+dense matrix, and their part of all scores is one matrix product in 32-bit
+floats; the postings of the others are added up in bulk.  These sums have a
+known relative error.  The k-th best score so far is the threshold, and one
+shard in eight answers first, so that the others start from its thresholds: only
+documents whose sum reaches the threshold, less the error, are scored in full,
+in 64-bit floats and a fixed order.  That never drops a document that could be
+among the k best, ties included; Spark merges the shards' lists, so the result
+is exact.
 
 Queries are taken in blocks of bounded size (``block_terms``), each sent to all
 shards; the number of blocks grows with the number of queries.
@@ -43,11 +47,15 @@ from ledgerflow.llm.textops import gather_ranges, runs, signed, words
 from ledgerflow.session import scratch_path
 
 NO_ID = (1 << 63) - 1
-#: Terms are read until the bounds of the rest fall under this share of the threshold: less saves postings, more saves full scores.
-SHARE = 0.25
+#: Terms in at least one of so many documents of a shard are a row of its matrix: there a cell of the product costs less than the postings.
+COMMON = 24
+#: A query takes part in the product if it has a posting in the matrix for each so many cells; else its postings are added up.
+CELLS_PER_POSTING = 512
+#: Most cells of a matrix, its queries' weights and its sums (4 bytes each), and most postings at hand, but for one term's.
+CELLS, SUMS = 1 << 24, 1 << 17
 #: One shard in so many answers first, to give the others their thresholds.
 FIRST = 8
-BLOCK = 64  # documents per block of the block maxima
+QUERIES = 1024  # queries of one matrix product, at most
 
 
 def _narrow(x: np.ndarray) -> bytes:
@@ -85,10 +93,18 @@ def pack_shard(ids: np.ndarray, texts: list[str]) -> dict:
     }
 
 
+def _places(vocabulary: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the terms that the vocabulary has, and their places there; both are in order."""
+    at = np.minimum(np.searchsorted(vocabulary, terms), max(0, len(vocabulary) - 1))
+    known = np.flatnonzero(vocabulary[at] == terms) if len(vocabulary) else np.zeros(0, np.int64)
+    return known, at[known]
+
+
+POSTING = np.dtype([("doc", np.int32), ("impact", np.float32)])
 SHARD = "n_docs long, n_words long, ids binary, lengths binary, terms binary, dfs binary, docs binary, tfs binary"
 
 
-def build_index(docs: DataFrame, order: str = "doc_id", text: str = "text", shard_chars: int = 16_000_000) -> DataFrame:
+def build_index(docs: DataFrame, order: str = "doc_id", text: str = "text", shard_chars: int = 16_000_000, shard_docs: int = 1 << 13) -> DataFrame:
     """Write the index of all rows to the shared folder and return it (one row per shard)."""
     spark = docs.sparkSession
 
@@ -99,7 +115,7 @@ def build_index(docs: DataFrame, order: str = "doc_id", text: str = "text", shar
                 ids.append(i)
                 texts.append(t)
                 size += len(t) + 1
-                if size >= shard_chars:
+                if size >= shard_chars or len(ids) == shard_docs:
                     yield pd.DataFrame([pack_shard(np.array(ids, dtype=np.int64), texts)])
                     ids, texts, size = [], [], 0
         if ids:
@@ -113,14 +129,14 @@ def build_index(docs: DataFrame, order: str = "doc_id", text: str = "text", shar
 
 
 class Shard:
-    """A shard's arrays, with impacts and block maxima."""
+    """A shard's arrays, with impacts and the matrix of its common terms."""
 
     def __init__(self, row: dict, average: float, k1: float, b: float):
         self.ids = np.frombuffer(row["ids"], dtype=np.int64)
         self.terms = np.frombuffer(row["terms"], dtype=np.int64)
         self.df = _wide(row["dfs"], len(self.terms)).astype(np.int64)
         self.starts = np.concatenate(([0], np.cumsum(self.df)))
-        self.docs = _wide(row["docs"], int(self.starts[-1]))
+        self.docs = _wide(row["docs"], int(self.starts[-1])).astype(np.int32)
         tf = _wide(row["tfs"], int(self.starts[-1])).astype(np.float64)
         lengths = np.frombuffer(row["lengths"], dtype=np.int32)
         norm = k1 * (1 - b + b * lengths / average)
@@ -128,18 +144,23 @@ class Shard:
         term_of = np.repeat(np.arange(len(self.terms), dtype=np.int32), self.df)
         del tf, norm
         self.term_max = np.maximum.reduceat(self.impacts, self.starts[:-1]) if len(self.terms) else np.zeros(0)
-        # Block maxima: one entry per term and block of documents where it occurs.
-        block = self.docs // BLOCK
-        self.n_blocks = len(self.ids) // BLOCK + 1
-        pair = np.flatnonzero(np.concatenate(([True], (term_of[1:] != term_of[:-1]) | (block[1:] != block[:-1])))) if len(term_of) else np.zeros(0, np.int64)
-        self.pair_block = block[pair]
-        self.pair_max = np.maximum.reduceat(self.impacts, pair) if len(pair) else np.zeros(0)
-        self.pair_starts = np.searchsorted(pair, self.starts)
+        # The most frequent terms as rows over all documents.
+        common = np.flatnonzero(self.df * COMMON >= len(self.ids))
+        most = CELLS // max(1, len(self.ids))
+        if len(common) > most:
+            common = np.sort(common[np.argsort(-self.df[common], kind="stable")[:most]])
+        self.row = np.full(len(self.terms), -1, dtype=np.int32)
+        self.row[common] = np.arange(len(common))
+        self.matrix = np.zeros((len(common), len(self.ids)), dtype=np.float32)
+        at = gather_ranges(self.starts[common], self.df[common])
+        self.matrix[np.repeat(np.arange(len(common)), self.df[common]), self.docs[at]] = self.impacts[at]
+        self.postings = np.empty(len(self.docs), dtype=POSTING)
+        self.postings["doc"], self.postings["impact"] = self.docs, self.impacts
         # The same postings by document, terms in order: for full scores.
-        del block
         by_doc = np.argsort(self.docs, kind="stable")
         self.doc_terms, self.doc_impacts = term_of[by_doc], self.impacts[by_doc]
         self.doc_starts = np.concatenate(([0], np.cumsum(np.bincount(self.docs, minlength=len(self.ids)))))
+        del self.docs, self.impacts
         self.weights = np.zeros(len(self.terms))  # of the query at hand
 
     def full(self, docs: np.ndarray) -> np.ndarray:
@@ -149,54 +170,67 @@ class Shard:
         owner = np.repeat(np.arange(len(docs)), n)
         return np.bincount(owner, weights=self.weights[self.doc_terms[at]] * self.doc_impacts[at], minlength=len(docs))
 
-    def top(self, term: np.ndarray, idf: np.ndarray, k: int, threshold: float = 0.0, slack: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
-        """The k best documents (places) of at least ``threshold``, and their scores; ``term`` are places of the query's terms here."""
-        if len(term) == 0:
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
-        self.weights[term] = idf
-        bound = idf * self.term_max[term]
-        order = np.argsort(-bound, kind="stable")
-        term, idf, bound = term[order], idf[order], bound[order]
-        below = np.append(np.cumsum(bound[::-1])[::-1], 0.0)  # sum of the bounds of this term and all later ones
-        partial = np.zeros(len(self.ids))
-        needed = lambda: int(np.searchsorted(-below, slack - SHARE * threshold, side="right"))  # noqa: E731  terms before the rest is too weak
-        done, step = 0, 16 if threshold == 0 else len(term)
-        # Read terms in growing steps until the rest cannot make a result on its own.
-        while done < min(len(term), needed()):
-            end = min(done + step, needed(), len(term))
-            t, weight = term[done:end], idf[done:end]
-            step *= 3
-            ranges = list(zip(self.starts[t].tolist(), self.starts[t + 1].tolist(), strict=True))
-            docs = np.concatenate([self.docs[lo:hi] for lo, hi in ranges])
-            gained = np.concatenate([self.impacts[lo:hi] for lo, hi in ranges]) * np.repeat(weight, self.df[t])
-            partial += np.bincount(docs, weights=gained, minlength=len(partial))
-            done = end
-            if len(partial) > k and done < len(term):
-                # A partial score is a lower bound of the whole one.
-                threshold = max(threshold, float(np.partition(partial, len(partial) - k)[-k]))
-        t, weight = term[done:], idf[done:]
-        n = self.pair_starts[t + 1] - self.pair_starts[t]
-        at = gather_ranges(self.pair_starts[t], n)
-        missing = np.bincount(self.pair_block[at], weights=np.repeat(weight, n) * self.pair_max[at], minlength=self.n_blocks)
-        touched = np.flatnonzero(partial)
-        reach = partial[touched] + missing[touched // BLOCK] + slack
-        keep = reach >= threshold
-        could, reach = touched[keep], reach[keep]
-        # Full scores from the highest bound down, in growing chunks, each of which may raise the threshold.
-        order = np.argsort(-reach, kind="stable")
-        could, reach = could[order], reach[order]
-        docs, scores, at, chunk = could[:0], np.zeros(0), 0, k + 2
-        while at < len(could) and reach[at] >= threshold:
-            now = could[at: at + chunk]
-            docs, scores = np.concatenate((docs, now)), np.concatenate((scores, self.full(now)))
-            if len(scores) >= k:
-                threshold = max(threshold, float(np.partition(scores, len(scores) - k)[-k]))
-            at, chunk = at + chunk, chunk * 2
-        enough = scores + slack >= threshold
-        could, score = docs[enough], np.round(scores[enough], 6)
-        self.weights[term] = 0.0
-        keep = np.lexsort((self.ids[could], -score))[:k]
-        return could[keep], score[keep]
+    def sums(self, term: np.ndarray, weight: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Scores of all documents (columns) under some queries (rows), in 32-bit floats; query q has the terms starts[q]:starts[q + 1]."""
+        n, docs = len(starts) - 1, len(self.ids)
+        owner = np.repeat(np.arange(n), np.diff(starts))
+        row, df = self.row[term], self.df[term]
+        product = np.bincount(owner[row >= 0], weights=df[row >= 0], minlength=n) * CELLS_PER_POSTING > self.matrix.size
+        dense = (row >= 0) & product[owner]
+        place = np.cumsum(product) - 1
+        weights = np.zeros((int(product.sum()), len(self.matrix)), dtype=np.float32)
+        weights[place[owner[dense]], row[dense]] = weight[dense]
+        out = np.zeros((n, docs), dtype=np.float32)
+        out[product] = weights @ self.matrix
+        term, weight, owner, df = term[~dense], weight[~dense].astype(np.float32), owner[~dense] * docs, df[~dense]
+        sums, both = out.reshape(-1), self.postings.view(np.int64)
+        read = np.cumsum(df)
+        at = 0
+        while at < len(term):
+            # Terms whose postings are few enough to hold; at least one.
+            end = max(at + 1, int(np.searchsorted(read, read[at] - df[at] + SUMS, side="right")))
+            count = df[at:end]
+            own = both[gather_ranges(self.starts[term[at:end]], count)].view(POSTING)
+            np.add.at(sums, np.repeat(owner[at:end], count) + own["doc"], np.repeat(weight[at:end], count) * own["impact"])
+            at = end
+        return out
+
+    def top(self, term: np.ndarray, weight: np.ndarray, starts: np.ndarray, k: int, least: np.ndarray, slack: float = 1e-5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, place and score of the k best documents of each query of at least its ``least``, which rises to the k-th best found.
+
+        ``term`` are places of the queries' terms here, those of query q at starts[q]:starts[q + 1], each once."""
+        out = []
+        n_docs = len(self.ids)
+        step = max(1, min(QUERIES, CELLS // max(1, n_docs), CELLS // max(1, len(self.matrix))))
+        # The shard's maxima bound what a query can reach here.
+        bound = np.bincount(np.repeat(np.arange(len(least)), np.diff(starts)), weights=weight * self.term_max[term], minlength=len(least))
+        asked = np.flatnonzero((bound > 0) & (bound + slack >= least))
+        for lo in range(0, len(asked), step):
+            mine = asked[lo: lo + step]
+            n = starts[mine + 1] - starts[mine]
+            at = gather_ranges(starts[mine], n)
+            sums = self.sums(term[at], weight[at], np.concatenate(([0], np.cumsum(n))))
+            # Terms are positive, so a sum of n of them is off by less than this share of it.
+            error = (n + 8) * 2.0**-23
+            reach = least[mine]
+            unknown = np.flatnonzero(reach <= 0)
+            if len(unknown) and n_docs > k:
+                reach[unknown] = np.partition(sums[unknown], n_docs - k, axis=1)[:, n_docs - k] * (1 - error[unknown])
+            cut = np.maximum(reach * (1 - error) - slack, np.finfo(np.float32).tiny)
+            q, doc = np.divmod(np.flatnonzero(sums >= np.nextafter(cut.astype(np.float32), np.float32(0))[:, None]), n_docs)
+            some = np.flatnonzero(np.diff(q, prepend=-1))
+            for i, could in zip(q[some].tolist(), np.split(doc, some)[1:], strict=True):
+                own = slice(starts[mine[i]], starts[mine[i] + 1])
+                self.weights[term[own]] = weight[own]
+                score = self.full(could)
+                self.weights[term[own]] = 0.0
+                enough = score + slack >= reach[i]
+                could, score = could[enough], np.round(score[enough], 6)
+                best = np.lexsort((self.ids[could], -score))[:k]
+                out.append((np.full(len(best), mine[i]), could[best], score[best]))
+                if len(best) == k:
+                    least[mine[i]] = max(least[mine[i]], score[best[-1]])
+        return tuple(map(np.concatenate, zip(*out, strict=True))) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
 
 
 def search(
@@ -240,9 +274,8 @@ def search(
                 for _, row in batch.iterrows():
                     terms = np.frombuffer(row["terms"], dtype=np.int64)
                     df = _wide(row["dfs"], len(terms))
-                    at = np.minimum(np.searchsorted(terms, vocabulary), max(0, len(terms) - 1))
-                    here = np.flatnonzero(terms[at] == vocabulary) if len(terms) else np.zeros(0, np.int64)
-                    yield pd.DataFrame({"place": here, "df": df[at[here]].astype(np.int64)})
+                    known, at = _places(vocabulary, terms)
+                    yield pd.DataFrame({"place": at, "df": df[known].astype(np.int64)})
 
         counted = (
             index.select("terms", "dfs").mapInPandas(frequencies, "place long, df long").groupBy("place").agg(F.sum("df").alias("df")).toPandas())
@@ -253,20 +286,19 @@ def search(
         def answering(thresholds):
             def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 rows, ids, starts, vocabulary, where = sent.value
-                weight, least = idf.value, thresholds.value
+                # What a shard finds raises the thresholds of the next ones of the task.
+                weight, least = idf.value, thresholds.value.copy()
                 for batch in batches:
                     for _, row in batch.iterrows():
                         shard = Shard(row, average, k1, b)
-                        place = np.minimum(np.searchsorted(shard.terms, vocabulary), max(0, len(shard.terms) - 1))
-                        here = shard.terms[place] == vocabulary if len(shard.terms) else np.zeros(len(vocabulary), dtype=bool)
-                        out = []
-                        for q in range(len(ids)):
-                            own = where[starts[q]: starts[q + 1]]
-                            own = own[here[own]]
-                            found, score = shard.top(place[own], weight[own], k, least[q])
-                            out.append((np.full(len(found), rows[q]), np.full(len(found), ids[q]), shard.ids[found], score))
-                        if out:
-                            yield pd.DataFrame(dict(zip(("query_row", "query_id", "id", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
+                        known, at = _places(vocabulary, shard.terms)
+                        place = np.full(len(vocabulary), -1, dtype=np.int32)
+                        place[at] = known
+                        term = place[where]
+                        here = term >= 0
+                        bounds = np.concatenate(([0], np.cumsum(here)))[starts]
+                        q, found, score = shard.top(term[here], weight[where[here]], bounds, k, least)
+                        yield pd.DataFrame({"query_row": rows[q], "query_id": ids[q], "id": shard.ids[found], "score": score})
 
             return answer
 
